@@ -1 +1,215 @@
-"""Queries (filled in below)."""
+"""Queries: customer-day aggregates, trailing windows, alert context, features and labels (O-46..O-58)."""
+
+from __future__ import annotations
+
+from functools import cached_property
+
+from pyspark.sql import functions as F
+
+from ..operators import features as fe
+from ..params import FeatureParams
+from .catalog import register
+from .oracle_ctes import cte, with_ctes
+from .warehouse import Monitoring
+
+FP = FeatureParams()
+EVT_DAYS = 30
+
+
+class Scoring(Monitoring):
+    """EVT monitoring plus features and labels."""
+
+    @cached_property
+    def daily(self):
+        return fe.customer_day(self.fact, self.dim_country, FP)
+
+    @cached_property
+    def campaigns(self):
+        return fe.campaigns(self.dim_customer)
+
+    @cached_property
+    def labelled(self):
+        return fe.label_alerts(self.alerts, self.campaigns, FP.label_grace_days)
+
+    @cached_property
+    def frame(self):
+        f = fe.feature_frame(self.alerts, self.fact, self.dim_country, self.dim_customer, self.dim_account,
+                             self.dim_rule, FP)
+        lab = self.labelled.select("alert_id", "is_true_positive")
+        return f.join(lab, "alert_id", "left")
+
+
+# ----------------------------------------------------------------- oracle
+_MONEY = {"vol_total", "vol_credit", "vol_debit", "vol_cash_credit", "vol_wire", "vol_highrisk", "max_amt"}
+cte("evt_daily", f"""
+SELECT f.customer_key, f.date_key, COUNT(*) AS n_txn, SUM(f.amount_cad) AS vol_total,
+       SUM(CASE WHEN f.direction = 'credit' THEN f.amount_cad ELSE 0 END) AS vol_credit,
+       SUM(CASE WHEN NOT (f.direction = 'credit') THEN f.amount_cad ELSE 0 END) AS vol_debit,
+       CAST(SUM(CASE WHEN f.channel = 'cash' AND f.direction = 'credit' THEN 1 ELSE 0 END) AS BIGINT) AS n_cash_credit,
+       SUM(CASE WHEN f.channel = 'cash' AND f.direction = 'credit' THEN f.amount_cad ELSE 0 END) AS vol_cash_credit,
+       CAST(SUM(CASE WHEN f.channel = 'wire' THEN 1 ELSE 0 END) AS BIGINT) AS n_wire,
+       SUM(CASE WHEN f.channel = 'wire' THEN f.amount_cad ELSE 0 END) AS vol_wire,
+       CAST(SUM(c.is_high_risk) AS BIGINT) AS n_highrisk,
+       SUM(CASE WHEN c.is_high_risk = 1 THEN f.amount_cad ELSE 0 END) AS vol_highrisk,
+       CAST(SUM(CASE WHEN f.channel = 'cash' AND f.direction = 'credit'
+                      AND f.amount_cad BETWEEN {FP.band_low} AND {FP.band_high} THEN 1 ELSE 0 END) AS BIGINT) AS n_band_cash,
+       CAST(SUM(CASE WHEN f.amount_cad % {FP.round_unit} = 0 AND f.amount_cad >= {FP.round_min} THEN 1 ELSE 0 END) AS BIGINT) AS n_round,
+       CAST(SUM(CASE WHEN NOT (f.hour_of_day BETWEEN {FP.offhours_start} AND {FP.offhours_end}) THEN 1 ELSE 0 END) AS BIGINT) AS n_offhours,
+       MAX(f.amount_cad) AS max_amt, COUNT(DISTINCT f.counterparty_id) AS n_counterparties
+FROM evt f JOIN dim_country c ON c.country_code = f.counterparty_country
+GROUP BY f.customer_key, f.date_key""", ("evt", "dim_country"))
+
+
+def _roll(m: str, w: int) -> str:
+    frame = f"OVER (PARTITION BY customer_key ORDER BY date_key RANGE BETWEEN {w - 1} PRECEDING AND CURRENT ROW)"
+    t = "DOUBLE" if m in _MONEY else "BIGINT"
+    return f"CAST(SUM({m}) {frame} AS {t}) AS {m}_{w}d"
+
+
+_ROLLS = ",\n       ".join(_roll(m, w) for w in FP.windows for m in fe.MEASURES)
+cte("evt_rolls", f"""
+SELECT customer_key, date_key,
+       {_ROLLS},
+       COUNT(*) OVER (PARTITION BY customer_key ORDER BY date_key
+                      RANGE BETWEEN {FP.active_window - 1} PRECEDING AND CURRENT ROW) AS active_days_90d
+FROM evt_daily""", ("evt_daily",))
+
+cte("evt_ctx", """
+SELECT a.*, d.n_rules_same_day, d.prior_alerts, d.days_since_prior_alert
+FROM evt_alerts a LEFT JOIN (
+  SELECT customer_key, date_key, n_rules_same_day,
+         CAST(COALESCE(SUM(n) OVER (PARTITION BY customer_key ORDER BY date_key
+                                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS prior_alerts,
+         CAST(COALESCE(date_key - LAG(date_key) OVER (PARTITION BY customer_key ORDER BY date_key), 999) AS INTEGER)
+           AS days_since_prior_alert
+  FROM (SELECT customer_key, date_key, COUNT(DISTINCT rule_id) AS n_rules_same_day, COUNT(*) AS n
+        FROM evt_alerts GROUP BY customer_key, date_key)) d
+  ON d.customer_key = a.customer_key AND d.date_key = a.date_key""", ("evt_alerts",))
+
+cte("evt_acct_summary", """
+SELECT customer_key, COUNT(*) AS n_accounts, MIN(opened_days_ago) AS newest_account_age
+FROM evt_account GROUP BY customer_key""", ("evt_account",))
+
+E = "1e-9"
+_RATIO_SQL = f"""
+       vol_credit_30d / (declared_annual_income_cad / 12.0 + {E}) AS vol_to_declared_30d,
+       vol_credit_90d / (3 * (declared_annual_income_cad / 12.0) + {E}) AS vol_to_declared_90d,
+       vol_cash_credit_30d / (vol_credit_30d + {E}) AS cash_share_30d,
+       vol_cash_credit_90d / (vol_credit_90d + {E}) AS cash_share_90d,
+       vol_highrisk_30d / (vol_total_30d + {E}) AS highrisk_share_30d,
+       vol_wire_30d / (vol_total_30d + {E}) AS wire_share_30d,
+       CAST(n_offhours_30d AS DOUBLE) / (n_txn_30d + {E}) AS offhours_share_30d,
+       CAST(n_round_30d AS DOUBLE) / (n_txn_30d + {E}) AS round_share_30d,
+       CAST(n_band_cash_30d AS DOUBLE) / (n_cash_credit_30d + {E}) AS band_share_30d,
+       (vol_credit_30d - vol_debit_30d) / (vol_credit_30d + {E}) AS retention_30d,
+       (vol_credit_90d - vol_debit_90d) / (vol_credit_90d + {E}) AS retention_90d,
+       vol_credit_30d / (vol_credit_90d / 3 + {E}) AS velocity_ratio,
+       CAST(n_txn_30d AS DOUBLE) / (CAST(n_txn_90d AS DOUBLE) / 3 + {E}) AS txn_velocity_ratio,
+       vol_total_30d / (n_counterparties_30d + {E}) AS vol_per_counterparty_30d,
+       CAST(n_txn_90d AS DOUBLE) / (active_days_90d + {E}) AS txn_per_active_day"""
+
+_CUST = ", ".join(f"c.{x}" for x in ["customer_id"] + fe.CUSTOMER_FEATURES)
+cte("evt_frame_base", f"""
+SELECT x.*, r.* EXCLUDE (customer_key, date_key), {_CUST}, s.n_accounts, s.newest_account_age,
+       dr.rule_family, dr.severity
+FROM evt_ctx x
+LEFT JOIN evt_rolls r ON r.customer_key = x.customer_key AND r.date_key = x.date_key
+LEFT JOIN evt_customer c ON c.customer_key = x.customer_key
+LEFT JOIN evt_acct_summary s ON s.customer_key = x.customer_key
+LEFT JOIN dim_rule dr ON dr.rule_id = x.rule_id""", ("evt_ctx", "evt_rolls", "evt_customer", "evt_acct_summary", "dim_rule"))
+
+cte("evt_campaign", """
+SELECT c_custkey AS customer_key, 'campaign' AS typology, CAST(c_custkey * 11 % 25 AS INTEGER) AS campaign_start_day,
+       CAST(c_custkey * 11 % 25 AS INTEGER) + 6 AS campaign_end_day
+FROM customer WHERE c_custkey % 4 = 0""")
+
+cte("evt_labels", """
+SELECT a.*, CASE WHEN g.campaign_start_day IS NOT NULL AND a.date_key >= g.campaign_start_day - 7
+                  AND a.date_key <= g.campaign_end_day + 7 THEN 1 ELSE 0 END AS is_true_positive
+FROM evt_alerts a LEFT JOIN evt_campaign g ON g.customer_key = a.customer_key""", ("evt_alerts", "evt_campaign"))
+
+cte("evt_frame", f"""
+SELECT b.*, {_RATIO_SQL}, l.is_true_positive
+FROM evt_frame_base b LEFT JOIN evt_labels l ON l.alert_id = b.alert_id""", ("evt_frame_base", "evt_labels"))
+
+_DAILY_OUT = ", ".join(f"CAST({m} AS DOUBLE) AS {m}" if m in _MONEY else m for m in fe.MEASURES)
+
+
+@register("customer_day", with_ctes(f"SELECT customer_key, date_key, {_DAILY_OUT} FROM evt_daily", "evt_daily"))
+def q_customer_day(spark, sf):
+    return Scoring(spark, sf).daily
+
+
+@register("rolling_features", with_ctes("SELECT * FROM evt_rolls", "evt_rolls"))
+def q_rolling(spark, sf):
+    return fe.rolling_features(Scoring(spark, sf).daily, FP)
+
+
+_GRID_OUT = ", ".join(f"CAST(COALESCE(d.{m}, 0) AS {'DOUBLE' if m in _MONEY else 'BIGINT'}) AS {m}"
+                      for m in fe.MEASURES)
+
+
+@register("dense_grid", with_ctes(f"""
+SELECT g.customer_key, g.date_key, {_GRID_OUT}
+FROM (SELECT c.customer_key, CAST(s.d AS INTEGER) AS date_key
+      FROM (SELECT DISTINCT customer_key FROM evt_daily) c, range(0, {EVT_DAYS}) AS s(d)) g
+LEFT JOIN evt_daily d ON d.customer_key = g.customer_key AND d.date_key = g.date_key""", "evt_daily"))
+def q_dense_grid(spark, sf):
+    g = fe.dense_grid(Scoring(spark, sf).daily, EVT_DAYS)
+    return g.select("customer_key", F.col("date_key").cast("int").alias("date_key"), *fe.MEASURES)
+
+
+@register("alert_context", with_ctes(
+    "SELECT alert_id, n_rules_same_day, prior_alerts, days_since_prior_alert FROM evt_ctx", "evt_ctx"))
+def q_alert_context(spark, sf):
+    return fe.alert_context(Scoring(spark, sf).alerts).select(
+        "alert_id", "n_rules_same_day", "prior_alerts", "days_since_prior_alert")
+
+
+@register("account_summary", with_ctes("SELECT * FROM evt_acct_summary", "evt_acct_summary"))
+def q_account_summary(spark, sf):
+    return fe.account_summary(Scoring(spark, sf).dim_account)
+
+
+@register("feature_ratios", with_ctes("SELECT alert_id, " + ", ".join(fe.RATIOS) + " FROM evt_frame", "evt_frame"))
+def q_feature_ratios(spark, sf):
+    return Scoring(spark, sf).frame.select("alert_id", *fe.RATIOS)
+
+
+def _frame_cols():
+    return (["alert_id", "rule_id", "customer_key", "date_key", "trigger_amount", "trigger_txn_count", "detail",
+             "n_rules_same_day", "prior_alerts", "days_since_prior_alert"] + fe.rolling_names(FP.windows)
+            + ["active_days_90d", "customer_id"] + fe.CUSTOMER_FEATURES
+            + ["n_accounts", "newest_account_age", "rule_family", "severity"] + fe.RATIOS + ["is_true_positive"])
+
+
+@register("feature_frame", with_ctes("SELECT " + ", ".join(_frame_cols()) + " FROM evt_frame", "evt_frame"))
+def q_feature_frame(spark, sf):
+    return Scoring(spark, sf).frame.select(*_frame_cols())
+
+
+def _matrix_sql() -> str:
+    cols = []
+    for c in _frame_cols():
+        if c in fe.FEATURE_BLOCKLIST and c != "alert_id":
+            continue
+        if c == "alert_id" or c in fe.CATEGORICAL:
+            cols.append(c)
+        else:
+            cols.append(f"COALESCE(CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN 0.0 ELSE CAST({c} AS DOUBLE) END, 0.0) AS {c}")
+    return "SELECT " + ", ".join(cols) + " FROM evt_frame"
+
+
+@register("feature_matrix", with_ctes(_matrix_sql(), "evt_frame"))
+def q_feature_matrix(spark, sf):
+    return fe.feature_matrix(Scoring(spark, sf).frame.select(*_frame_cols()))
+
+
+@register("labels", with_ctes("SELECT alert_id, customer_key, date_key, is_true_positive FROM evt_labels", "evt_labels"))
+def q_labels(spark, sf):
+    return Scoring(spark, sf).labelled.select("alert_id", "customer_key", "date_key", "is_true_positive")
+
+
+@register("campaigns", with_ctes("SELECT * FROM evt_campaign", "evt_campaign"))
+def q_campaigns(spark, sf):
+    return Scoring(spark, sf).campaigns
