@@ -158,7 +158,7 @@ def q_roc(spark, sf):
 _TARGETS = ", ".join(f"(CAST({t} AS DOUBLE))" for t in EP.recall_targets)
 
 
-@register("tradeoff_curve", with_ctes(f"""
+cte("evt_tradeoff", f"""
 SELECT t.recall_target, t.threshold, t.validation_recall,
        h.tp / CAST(h.p AS DOUBLE) AS holdout_recall, h.rev AS holdout_alerts_reviewed,
        (h.n - h.rev) / CAST(h.n AS DOUBLE) * 100.0 AS holdout_volume_deferred_pct,
@@ -173,13 +173,16 @@ FROM (SELECT g.recall_target, MAX(v.score) AS threshold,
 LATERAL (SELECT COUNT(*) AS n, SUM(is_true_positive) AS p,
                 CAST(SUM(CASE WHEN score >= t.threshold THEN 1 ELSE 0 END) AS BIGINT) AS rev,
                 CAST(SUM(CASE WHEN score >= t.threshold THEN is_true_positive ELSE 0 END) AS BIGINT) AS tp
-         FROM evt_scored WHERE split = 'holdout') h""", "evt_scored"))
+         FROM evt_scored WHERE split = 'holdout') h""", ("evt_scored",))
+
+
+@register("tradeoff_curve", with_ctes("SELECT * FROM evt_tradeoff", "evt_tradeoff"))
 def q_tradeoff(spark, sf):
     e = Evaluation(spark, sf)
     return ev.tradeoff_curve(e.part("valid"), e.part("holdout"), EP.recall_targets)
 
 
-@register("tier_policy", with_ctes(f"""
+cte("evt_tiers", f"""
 SELECT tier, COUNT(*) AS alerts, COUNT(*) / CAST(MAX(n) AS DOUBLE) * 100.0 AS share_of_volume_pct,
        CAST(SUM(is_true_positive) AS BIGINT) AS true_positives,
        SUM(is_true_positive) / CAST(MAX(p) AS DOUBLE) * 100.0 AS share_of_true_positives_pct,
@@ -190,7 +193,10 @@ FROM (SELECT is_true_positive, n, p,
       FROM (SELECT is_true_positive, ROW_NUMBER() OVER (ORDER BY score DESC, alert_id) - 1 AS pos,
                    COUNT(*) OVER () AS n, SUM(is_true_positive) OVER () AS p
             FROM evt_scored WHERE split = 'holdout'))
-GROUP BY tier""", "evt_scored"))
+GROUP BY tier""", ("evt_scored",))
+
+
+@register("tier_policy", with_ctes("SELECT * FROM evt_tiers", "evt_tiers"))
 def q_tier_policy(spark, sf):
     return ev.tier_policy(Evaluation(spark, sf).part("holdout"), EP)
 
