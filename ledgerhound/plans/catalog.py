@@ -42,7 +42,7 @@ def report(df: DataFrame) -> DataFrame:
 
 def _load_all() -> None:
     # Importing the query modules fills the registry.
-    from . import q_warehouse, q_quality, q_features, q_scoring, q_analytics, q_marts, q_models  # noqa: F401
+    from . import q_warehouse, q_quality, q_features, q_scoring, q_analytics, q_marts, q_models, q_io  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:
