@@ -16,6 +16,7 @@ from ..params import FIXTURE_SPLIT, EvalParams
 from .catalog import register
 from .oracle_ctes import cte, with_ctes
 from .q_features import Scoring
+from .store import stored
 
 EP = EvalParams()
 TR, VA = FIXTURE_SPLIT.train_end_day, FIXTURE_SPLIT.valid_end_day
@@ -229,8 +230,10 @@ FROM evt_pct p""", ("evt_pct", "valid_thr"))
 
 
 def scored_table(spark, sf):
-    e = Evaluation(spark, sf)
-    return ev.scored_alerts(e.scored, ev.threshold_value(e.part("valid")), EP).select(*SCORED_COLS)
+    def build():
+        e = Evaluation(spark, sf)
+        return ev.scored_alerts(e.scored, ev.threshold_value(e.part("valid")), EP).select(*SCORED_COLS)
+    return stored(spark, sf, "evt_scored_alerts", build)
 
 
 @register("scored_alerts", with_ctes("SELECT " + ", ".join(SCORED_COLS) + " FROM evt_scored_alerts",

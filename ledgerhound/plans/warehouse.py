@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, rules
 from ..params import FIXTURE_RULES, RuleParams
 from ..sources import ledgers
+from .store import stored
 
 # The fixture's cash-intensive occupation (lower-cased market segment).
 FIXTURE_CASH_INTENSIVE = ("machinery",)
@@ -39,13 +40,17 @@ class Warehouse:
     def stg_accounts(self) -> DataFrame:
         return ledgers.accounts_feed(self.spark, self.sf_dir)
 
+    def _stored(self, name, build):
+        return stored(self.spark, self.sf_dir, name, build)
+
     @cached_property
     def dim_customer(self) -> DataFrame:
-        return clean.customer_dim(self.stg_customers, FIXTURE_CASH_INTENSIVE)
+        return self._stored("lin_dim_customer",
+                            lambda: clean.customer_dim(self.stg_customers, FIXTURE_CASH_INTENSIVE))
 
     @cached_property
     def dim_account(self) -> DataFrame:
-        return clean.account_dim(self.stg_accounts, self.dim_customer)
+        return self._stored("lin_dim_account", lambda: clean.account_dim(self.stg_accounts, self.dim_customer))
 
     @cached_property
     def dim_country(self) -> DataFrame:
@@ -61,19 +66,20 @@ class Warehouse:
 
     @cached_property
     def dedup(self) -> DataFrame:
-        return clean.dedup_first(self.staging, "txn_id", "_ingest")
+        return self._stored("lin_dedup", lambda: clean.dedup_first(self.staging, "txn_id", "_ingest"))
 
     @cached_property
     def rejected(self) -> DataFrame:
-        return clean.quarantine(self.dedup, self.dim_account)
+        return self._stored("lin_rejected", lambda: clean.quarantine(self.dedup, self.dim_account))
 
     @cached_property
     def fact(self) -> DataFrame:
-        return clean.fact_transactions(self.dedup, self.dim_account, self.dim_customer, self.dim_country)
+        return self._stored("lin_fact", lambda: clean.fact_transactions(self.dedup, self.dim_account,
+                                                                        self.dim_customer, self.dim_country))
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return run_rules(self.fact, self.dim_country, self.rule_params)
+        return self._stored("lin_alerts", lambda: run_rules(self.fact, self.dim_country, self.rule_params))
 
 
 def run_rules(fact: DataFrame, dim_country: DataFrame, p: RuleParams) -> DataFrame:
@@ -117,7 +123,8 @@ class Monitoring:
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return run_rules(self.fact, self.dim_country, self.rule_params)
+        return stored(self.spark, self.sf_dir, "evt_alerts",
+                      lambda: run_rules(self.fact, self.dim_country, self.rule_params))
 
 
 def sup_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
