@@ -67,7 +67,8 @@ def average_precision(df: DataFrame, score: str = "score") -> DataFrame:
     r = value_ranks(df, score, Y)
     ge_n = F.col("total_n") - F.col("less_n")
     ge_p = F.col("total_pos") - F.col("less_pos")
-    return r.agg(F.round(F.sum(F.col("pos") * (ge_p / ge_n.cast("double"))) / F.max("total_pos"), 6)
+    return r.agg(F.round(F.try_divide(F.sum(F.col("pos") * (ge_p / ge_n.cast("double"))),
+                                      F.max("total_pos").cast("double")), 6)
                  .alias("average_precision"))
 
 
@@ -78,7 +79,8 @@ def roc_auc(df: DataFrame, score: str = "score") -> DataFrame:
     s2 = F.sum(F.col("pos") * (2 * F.col("less_n") + F.col("cnt") + 1))
     p = F.max("total_pos")
     neg = F.max("total_n") - p
-    return r.agg(F.round(((s2 - p * (p + 1)).cast("double") / (2.0 * p * neg).cast("double")), 6).alias("roc_auc"))
+    return r.agg(F.round(F.try_divide((s2 - p * (p + 1)).cast("double"), (2.0 * p * neg).cast("double")), 6)
+                 .alias("roc_auc"))
 
 
 def recall_thresholds(valid: DataFrame, targets: tuple[float, ...], score: str = "score") -> DataFrame:
@@ -110,9 +112,10 @@ def tradeoff_curve(valid: DataFrame, holdout: DataFrame, targets: tuple[float, .
         rows.append(F.struct(
             F.lit(r["recall_target"]).alias("recall_target"), F.lit(r["threshold"]).cast("double").alias("threshold"),
             F.lit(r["validation_recall"]).cast("double").alias("validation_recall"),
-            (tp / F.col("p").cast("double")).alias("holdout_recall"),
+            F.try_divide(tp.cast("double"), F.col("p").cast("double")).alias("holdout_recall"),
             rev.alias("holdout_alerts_reviewed"),
-            ((F.col("n") - rev) / F.col("n").cast("double") * 100.0).alias("holdout_volume_deferred_pct"),
+            (F.try_divide((F.col("n") - rev).cast("double"), F.col("n").cast("double")) * 100.0)
+            .alias("holdout_volume_deferred_pct"),
             F.when(rev > 0, tp / rev.cast("double")).otherwise(0.0).alias("holdout_precision_in_review")))
     return a.select(F.explode(F.array(*rows)).alias("r")).select("r.*")
 
@@ -130,7 +133,8 @@ def tier_policy(holdout: DataFrame, ep: EvalParams = EvalParams(), score: str =
     return g.select("tier", "alerts",
                     (F.col("alerts") / F.col("n").cast("double") * 100.0).alias("share_of_volume_pct"),
                     "true_positives",
-                    (F.col("true_positives") / F.col("p").cast("double") * 100.0).alias("share_of_true_positives_pct"),
+                    (F.try_divide(F.col("true_positives").cast("double"), F.col("p").cast("double")) * 100.0)
+                    .alias("share_of_true_positives_pct"),
                     (F.col("true_positives") / F.col("alerts").cast("double") * 100.0).alias("precision_pct"))
 
 

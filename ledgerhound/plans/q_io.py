@@ -62,3 +62,21 @@ def q_model_io(spark, sf):
     loaded = LogisticRegressionModel.load(path)
     from ..operators import modeling as md
     return md.score(loaded, m.x, "score_logistic").select("alert_id", F.col("score_logistic"))
+
+
+@register("sql_rule_summary", with_ctes("""
+SELECT r.rule_id, r.rule_name, COUNT(a.alert_id) AS alerts, COUNT(DISTINCT a.customer_key) AS customers,
+       CAST(SUM(s.is_true_positive) AS BIGINT) AS true_positives
+FROM dim_rule r LEFT JOIN evt_alerts a ON a.rule_id = r.rule_id
+LEFT JOIN evt_scored_alerts s ON s.alert_id = a.alert_id
+GROUP BY r.rule_id, r.rule_name""", "dim_rule", "evt_alerts", "evt_scored_alerts"))
+def q_sql_rule_summary(spark, sf):
+    """O-04: the same summary a SQL user writes against the registered views."""
+    from .views import register_views
+    register_views(spark, sf)
+    return spark.sql("""
+        SELECT r.rule_id, r.rule_name, COUNT(a.alert_id) AS alerts, COUNT(DISTINCT a.customer_key) AS customers,
+               CAST(SUM(s.is_true_positive) AS BIGINT) AS true_positives
+        FROM dim_rule r LEFT JOIN evt_alert a ON a.rule_id = r.rule_id
+        LEFT JOIN stg_scores s ON s.alert_id = a.alert_id
+        GROUP BY r.rule_id, r.rule_name""")

@@ -132,7 +132,7 @@ def q_model_selection(spark, sf):
 
 def _ap_sql(split: str) -> str:
     return f"""
-SELECT ROUND(SUM(pos * (ge_p / CAST(ge_n AS DOUBLE))) / MAX(total_pos), 6) AS average_precision
+SELECT ROUND(SUM(pos * (ge_p / CAST(ge_n AS DOUBLE))) / CAST(NULLIF(MAX(total_pos), 0) AS DOUBLE), 6) AS average_precision
 FROM (SELECT score, SUM(is_true_positive) AS pos,
              SUM(COUNT(*)) OVER (ORDER BY score DESC) AS ge_n,
              SUM(SUM(is_true_positive)) OVER (ORDER BY score DESC) AS ge_p,
@@ -147,7 +147,7 @@ def q_ap(spark, sf):
 
 @register("roc_auc", with_ctes("""
 SELECT ROUND(CAST(SUM(pos * (2 * less_n + cnt + 1)) - MAX(total_pos) * (MAX(total_pos) + 1) AS DOUBLE)
-             / CAST(2.0 * MAX(total_pos) * (MAX(total_n) - MAX(total_pos)) AS DOUBLE), 6) AS roc_auc
+             / CAST(NULLIF(2.0 * MAX(total_pos) * (MAX(total_n) - MAX(total_pos)), 0) AS DOUBLE), 6) AS roc_auc
 FROM (SELECT score, COUNT(*) AS cnt, SUM(is_true_positive) AS pos,
              COALESCE(SUM(COUNT(*)) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS less_n,
              SUM(SUM(is_true_positive)) OVER () AS total_pos, SUM(COUNT(*)) OVER () AS total_n
@@ -161,8 +161,8 @@ _TARGETS = ", ".join(f"(CAST({t} AS DOUBLE))" for t in EP.recall_targets)
 
 cte("evt_tradeoff", f"""
 SELECT t.recall_target, t.threshold, t.validation_recall,
-       h.tp / CAST(h.p AS DOUBLE) AS holdout_recall, h.rev AS holdout_alerts_reviewed,
-       (h.n - h.rev) / CAST(h.n AS DOUBLE) * 100.0 AS holdout_volume_deferred_pct,
+       h.tp / CAST(NULLIF(h.p, 0) AS DOUBLE) AS holdout_recall, h.rev AS holdout_alerts_reviewed,
+       (h.n - h.rev) / CAST(NULLIF(h.n, 0) AS DOUBLE) * 100.0 AS holdout_volume_deferred_pct,
        CASE WHEN h.rev > 0 THEN h.tp / CAST(h.rev AS DOUBLE) ELSE 0.0 END AS holdout_precision_in_review
 FROM (SELECT g.recall_target, MAX(v.score) AS threshold,
              MAX(CEIL(g.recall_target * v.total) / CAST(v.total AS DOUBLE)) AS validation_recall
@@ -186,7 +186,7 @@ def q_tradeoff(spark, sf):
 cte("evt_tiers", f"""
 SELECT tier, COUNT(*) AS alerts, COUNT(*) / CAST(MAX(n) AS DOUBLE) * 100.0 AS share_of_volume_pct,
        CAST(SUM(is_true_positive) AS BIGINT) AS true_positives,
-       SUM(is_true_positive) / CAST(MAX(p) AS DOUBLE) * 100.0 AS share_of_true_positives_pct,
+       SUM(is_true_positive) / CAST(NULLIF(MAX(p), 0) AS DOUBLE) * 100.0 AS share_of_true_positives_pct,
        SUM(is_true_positive) / CAST(COUNT(*) AS DOUBLE) * 100.0 AS precision_pct
 FROM (SELECT is_true_positive, n, p,
              CASE WHEN pos < floor(n * {EP.tier1_pct}) THEN 'T1_same_day'

@@ -1,0 +1,5 @@
+"""Streaming: intentionally empty.
+
+The reference pipeline is batch only (each step rebuilds its target table), so
+there is no stateful or incremental operator to re-express here.
+"""
