@@ -43,7 +43,8 @@ def case_columns(minutes: Column, rate: Column, cp: CostParams) -> list[Column]:
     """O-92/O-93 over a policy row (needs the trade-off columns and t1_share_pct)."""
     window = float(cp.holdout_window_days)
     defer = F.col("holdout_volume_deferred_pct") / 100.0
-    n_holdout = F.col("holdout_alerts_reviewed") / (1 - F.col("holdout_volume_deferred_pct") / 100.0)
+    n_holdout = F.try_divide(F.col("holdout_alerts_reviewed").cast("double"),
+                             1 - F.col("holdout_volume_deferred_pct") / 100.0)
     annual = n_holdout * (365.0 / window)
     hours_a = annual * defer * (minutes / 60.0) * cp.deferred_work_reduction
     benefit_a = hours_a * rate

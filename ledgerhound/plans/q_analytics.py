@@ -110,7 +110,7 @@ def _case_sql(minutes: str, rate: str, target: str = "recall_target") -> str:
     w = float(CP.holdout_window_days)
     build = CP.build_effort_person_days * CP.blended_day_rate_cad
     run = CP.annual_platform_cost_cad + CP.annual_model_governance_cost_cad
-    annual = f"(holdout_alerts_reviewed / (1 - holdout_volume_deferred_pct / 100.0) * (365.0 / {w!r}))"
+    annual = f"(holdout_alerts_reviewed / NULLIF(1 - holdout_volume_deferred_pct / 100.0, 0) * (365.0 / {w!r}))"
     ha = f"({annual} * (holdout_volume_deferred_pct / 100.0) * ({minutes} / 60.0) * {CP.deferred_work_reduction!r})"
     hb = (f"({annual} * {CP.queue_position_gain!r} * ({minutes} / 60.0) * (t1_share_pct / 100.0) "
           f"* {CP.prioritisation_value_share!r})")

@@ -98,7 +98,7 @@ class Monitoring:
 
     @cached_property
     def fact(self) -> DataFrame:
-        return ledgers.evt_transactions(self.spark, self.sf_dir)
+        return stored(self.spark, self.sf_dir, "evt_fact", lambda: ledgers.evt_transactions(self.spark, self.sf_dir))
 
     @cached_property
     def dim_country(self) -> DataFrame:
@@ -128,7 +128,7 @@ class Monitoring:
 
 
 def sup_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ledgers.sup_transactions(spark, sf_dir)
+    return stored(spark, sf_dir, "sup_fact", lambda: ledgers.sup_transactions(spark, sf_dir))
 
 
 def money_out(df: DataFrame, cols: list[str]) -> DataFrame:
