@@ -7,6 +7,7 @@ threshold) are covered by tests.
 
 from __future__ import annotations
 
+import math
 from functools import cached_property
 
 from pyspark.sql import functions as F
@@ -22,6 +23,7 @@ from .q_scoring import Evaluation
 
 MP = ModelParams()
 EP = EvalParams()
+ROWS_PER_MODEL_PARTITION = 500_000
 _CACHE: dict = {}
 
 
@@ -37,6 +39,11 @@ class ModelRun:
         # Materialise the model input once (reliable checkpoint in the shared
         # folder): preparation statistics and the iterative fits all read it.
         data = matrix.join(keys.withColumnRenamed("rule_id", "_rule"), "alert_id", "inner").checkpoint(eager=True)
+        # Iterative fits launch several jobs per iteration; size the input's
+        # partitions by rows so small alert tables do not pay per-task overhead
+        # and large ones still spread over the cluster.
+        n_rows = data.count()
+        data = data.coalesce(max(1, math.ceil(n_rows / ROWS_PER_MODEL_PARTITION)))
         feats = [c for c in matrix.columns if c != "alert_id"]
         self.cat_cols = [c for c in fe.CATEGORICAL if c in feats]
         self.num_cols = [c for c in feats if c not in self.cat_cols]
