@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.exprs import count_if
@@ -65,29 +65,45 @@ def rule_effectiveness(labelled: DataFrame, dim_rule: DataFrame, cp: CostParams
     return e.withColumn("recommendation", rec)
 
 
-def rule_overlap(alerts: DataFrame) -> DataFrame:
+def rule_overlap(alerts: DataFrame, rule_ids: list[str] | None = None) -> DataFrame:
     """O-88: pairwise overlap of rules on distinct (customer, date) events.
 
-    The self-join is on (customer, date); each side holds at most one row per
-    rule for a key, so a key yields at most C(rules, 2) pairs however hot the
-    customer is. Pairs of rules with alerts but no shared event are kept with
-    zero overlap; rules without alerts are absent."""
-    keys = alerts.select("rule_id", "customer_key", "date_key").distinct()
-    a, b = keys.alias("a"), keys.alias("b")
-    inter = (a.join(b, (F.col("a.customer_key") == F.col("b.customer_key"))
-                    & (F.col("a.date_key") == F.col("b.date_key")) & (F.col("a.rule_id") < F.col("b.rule_id")))
-             .groupBy(F.col("a.rule_id").alias("rule_a"), F.col("b.rule_id").alias("rule_b"))
-             .agg(F.count(F.lit(1)).alias("overlapping_events")))
-    sizes = keys.groupBy("rule_id").agg(F.count(F.lit(1)).alias("n"))
-    # sizes has one row per rule in the catalogue (a bounded handful): the rule
-    # pairs are enumerated on that tiny table.
-    sa = F.broadcast(sizes.select(F.col("rule_id").alias("rule_a"), F.col("n").alias("alerts_a")))
-    sb = F.broadcast(sizes.select(F.col("rule_id").alias("rule_b"), F.col("n").alias("alerts_b")))
-    pairs = sa.join(sb, F.col("rule_a") < F.col("rule_b"), "inner")
-    o = pairs.join(inter, ["rule_a", "rule_b"], "left").fillna({"overlapping_events": 0})
+    No self-join and no pair emission over the data: every (customer, date)
+    gets one bit mask of the rules that fired on it (``bit_or``, combined
+    map-side, so a hot customer collapses before the shuffle). The masks then
+    collapse to at most 2^rules rows with a count each, and one aggregate over
+    that tiny table yields every rule's size and every pair's intersection as
+    conditional sums. Pairs of rules with alerts but no shared event are kept
+    with zero overlap; rules without alerts are absent.
+
+    ``rule_ids`` is the rule catalogue (default: the fixed one of ``rules``).
+    """
+    from .rules import RULE_CATALOGUE
+    ids = sorted(rule_ids or [r[0] for r in RULE_CATALOGUE])
+    if len(ids) > 62:
+        raise ValueError("rule_overlap packs rules into a 64-bit mask: at most 62 rules")
+    bit = None
+    for i, r in enumerate(ids):
+        b = F.lit(1 << i).cast("long")
+        bit = F.when(F.col("rule_id") == r, b) if bit is None else bit.when(F.col("rule_id") == r, b)
+    masks = (alerts.select("customer_key", "date_key", bit.alias("_bit"))
+             .groupBy("customer_key", "date_key").agg(F.bit_or("_bit").alias("_mask")))
+    combos = masks.groupBy("_mask").agg(F.count(F.lit(1)).alias("_n"))
+
+    def covered(m: int) -> Column:
+        return F.sum(F.when(F.col("_mask").bitwiseAND(F.lit(m).cast("long")) == m, F.col("_n"))
+                     .otherwise(F.lit(0))).cast("long")
+
+    pairs = [(i, j) for i in range(len(ids)) for j in range(i + 1, len(ids))]
+    totals = combos.agg(*[covered(1 << i).alias(f"_s{i}") for i in range(len(ids))],
+                        *[covered((1 << i) | (1 << j)).alias(f"_p{i}_{j}") for i, j in pairs])
+    rows = F.explode(F.array(*[F.struct(F.lit(ids[i]).alias("rule_a"), F.lit(ids[j]).alias("rule_b"),
+                                        F.col(f"_s{i}").alias("alerts_a"), F.col(f"_s{j}").alias("alerts_b"),
+                                        F.col(f"_p{i}_{j}").alias("overlapping_events")) for i, j in pairs]))
+    o = totals.select(rows.alias("_r")).select("_r.*").filter((F.col("alerts_a") > 0) & (F.col("alerts_b") > 0))
     i = F.col("overlapping_events")
     union = F.col("alerts_a") + F.col("alerts_b") - i
-    return o.select("rule_a", "rule_b", "alerts_a", "alerts_b", i.cast("long").alias("overlapping_events"),
+    return o.select("rule_a", "rule_b", "alerts_a", "alerts_b", i.alias("overlapping_events"),
                     F.bround(i / union.cast("double"), 4).alias("jaccard"),
                     F.bround(i / F.col("alerts_a").cast("double") * 100.0, 2).alias("pct_of_a_covered_by_b"),
                     F.bround(i / F.col("alerts_b").cast("double") * 100.0, 2).alias("pct_of_b_covered_by_a"))
