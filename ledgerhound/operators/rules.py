@@ -12,6 +12,8 @@ compact rows inside ``partitionBy(customer_key | account_key)``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -71,38 +73,119 @@ def _cash_credit() -> Column:
     return (F.col("channel") == "cash") & (F.col("direction") == "credit")
 
 
-def _hourly_cluster(rows: DataFrame, hours: int, with_max: bool = False) -> DataFrame:
-    """Per (customer, hour) totals, then trailing ``hours``-hour RANGE sums."""
-    aggs = [F.count(F.lit(1)).alias("n"), F.sum("amount_cad").alias("amt")]
-    if with_max:
-        aggs.append(F.max("amount_cad").alias("mx"))
-    hourly = rows.groupBy("customer_key", "date_key", "hour_of_day").agg(*aggs)
-    w = (Window.partitionBy("customer_key").orderBy(_hour_idx())
-         .rangeBetween(-(hours - 1), Window.currentRow))
-    cols = [F.sum("n").over(w).alias("win_cnt"), F.sum("amt").over(w).alias("win_amt")]
-    if with_max:
-        cols.append(F.max("mx").over(w).alias("win_max"))
-    return hourly.select("customer_key", "date_key", *cols)
+@dataclass(frozen=True)
+class CustomerWindowRule:
+    """A rule that counts and sums one customer's qualifying transactions over a
+    trailing RANGE frame of ``span`` hours or days (R001, R002, R006, R008).
+
+    ``rows`` picks the transactions the rule looks at; ``keep(cnt, amt, mx)``
+    tests the frame totals; ``detail(amt, cnt)`` renders the alert text from the
+    per-(customer, date) maxima.
+    """
+    rule_id: str
+    rows: Column
+    unit: str  # "hour" or "day"
+    span: int
+    keep: Callable[[Column, Column, Column], Column]
+    detail: Callable[[Column, Column], Column]
+
+
+def customer_window_rules(fact: DataFrame, specs: list[CustomerWindowRule]) -> DataFrame:
+    """Evaluate several customer-window rules in one scan and one shuffle.
+
+    1. One pass over the fact keeps the rows any rule looks at and collapses
+       them to (customer, hour) with a count, a sum and a max *per rule*
+       (conditional aggregates, combined map-side). Peers in an hour share
+       every frame, so this gives the rule's alerts unchanged and bounds a hot
+       customer at 24 rows a day.
+    2. Every rule's frame runs over ``partitionBy(customer_key)``: hour frames
+       order by the hour index, day frames by ``date_key``; both reuse the one
+       exchange on ``customer_key`` (a day frame only adds a sort).
+    3. Each hour row that holds the rule's own transactions and passes its test
+       becomes one (rule, customer, date) candidate; ``explode`` + ``groupBy``
+       take the maxima per alert grain.
+    """
+    any_rule = reduce(lambda a, b: a | b, [s.rows for s in specs])
+    aggs = []
+    for i, s in enumerate(specs):
+        amt = F.when(s.rows, F.col("amount_cad"))
+        aggs += [F.count(F.when(s.rows, F.lit(1))).alias(f"_n{i}"), F.sum(amt).alias(f"_a{i}"), F.max(amt).alias(f"_m{i}")]
+    hourly = fact.filter(any_rule).groupBy("customer_key", "date_key", "hour_of_day").agg(*aggs)
+
+    cands = []
+    for i, s in enumerate(specs):
+        order = _hour_idx() if s.unit == "hour" else F.col("date_key")
+        w = Window.partitionBy("customer_key").orderBy(order).rangeBetween(-(s.span - 1), Window.currentRow)
+        cnt, amt, mx = (F.sum(f"_n{i}").over(w), F.sum(f"_a{i}").over(w), F.max(f"_m{i}").over(w))
+        hit = (F.col(f"_n{i}") > 0) & s.keep(cnt, amt, mx)
+        cands.append(F.when(hit, F.struct(F.lit(s.rule_id).alias("rule_id"), amt.alias("a"),
+                                          cnt.alias("c"))))
+    # Window expressions cannot sit inside a generator: build the array first.
+    x = (hourly.select("customer_key", "date_key", F.array(*cands).alias("_c"))
+         .select("customer_key", "date_key", F.explode(F.filter("_c", lambda c: c.isNotNull())).alias("_x")))
+    g = x.groupBy("_x.rule_id", "customer_key", "date_key").agg(F.max("_x.a").alias("a"),
+                                                                F.max("_x.c").alias("c"))
+    detail = None
+    for s in specs:
+        d = s.detail(F.col("a"), F.col("c"))
+        detail = F.when(F.col("rule_id") == s.rule_id, d) if detail is None else detail.when(
+            F.col("rule_id") == s.rule_id, d)
+    return g.select(
+        F.concat(F.col("rule_id"), F.lit("-"), F.col("customer_key").cast("string"), F.lit("-"),
+                 F.col("date_key").cast("string")).alias("alert_id"),
+        "rule_id",
+        F.col("customer_key").cast("long").alias("customer_key"),
+        F.col("date_key").cast("int").alias("date_key"),
+        F.col("a").cast("double").alias("trigger_amount"),
+        F.col("c").cast("long").alias("trigger_txn_count"),
+        detail.alias("detail"))
+
+
+def spec_r001(p: RuleParams = RuleParams()) -> CustomerWindowRule:
+    return CustomerWindowRule(
+        "R001", _cash_credit() & F.col("amount_cad").between(p.r001_band_low, p.band_high), "hour", p.r001_hours,
+        lambda cnt, amt, mx: cnt >= p.r001_min_count,
+        lambda a, c: F.concat(F.lit(f"cash credits in 8k-9,999 band within {p.r001_hours}h: "), c.cast("string")))
+
+
+def spec_r002(p: RuleParams = RuleParams()) -> CustomerWindowRule:
+    return CustomerWindowRule(
+        "R002", _cash_credit(), "hour", p.r002_hours,
+        lambda cnt, amt, mx: (amt >= p.r002_threshold) & (mx < p.r002_threshold) & (cnt >= p.r002_min_count),
+        lambda a, c: F.concat(F.lit(f"aggregated cash credits within {p.r002_hours}h: $"),
+                              real_text(F.round(a, 0))))
+
+
+def spec_r006(p: RuleParams = RuleParams()) -> CustomerWindowRule:
+    whole = F.floor(F.col("amount_cad"))
+    rows = (F.col("channel").isin(*p.r006_channels) & (F.col("amount_cad") >= p.r006_min_amount)
+            & (whole % p.r006_unit == 0) & (F.col("amount_cad") == whole))
+    return CustomerWindowRule(
+        "R006", rows, "hour", p.r006_hours,
+        lambda cnt, amt, mx: cnt >= p.r006_min_count,
+        lambda a, c: F.concat(F.lit("round-value transfers in 7d: "), c.cast("string")))
+
+
+def spec_r008(p: RuleParams = RuleParams()) -> CustomerWindowRule:
+    return CustomerWindowRule(
+        "R008", _cash_credit() & F.col("amount_cad").between(p.band_low, p.band_high), "day", p.r008_days,
+        lambda cnt, amt, mx: cnt >= p.r008_min_count,
+        lambda a, c: F.concat(F.lit("band cash credits in 30d: "), c.cast("string")))
+
+
+def customer_window_specs(p: RuleParams = RuleParams()) -> list[CustomerWindowRule]:
+    return [spec_r001(p), spec_r002(p), spec_r006(p), spec_r008(p)]
 
 
 def rule_r001(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
-    band = fact.filter(_cash_credit() & F.col("amount_cad").between(p.r001_band_low, p.band_high))
-    win = _hourly_cluster(band, p.r001_hours).filter(F.col("win_cnt") >= p.r001_min_count)
-    g = win.groupBy("customer_key", "date_key").agg(F.max("win_amt").alias("a"), F.max("win_cnt").alias("c"))
-    return g.select(*_alert("R001", F.col("a"), F.col("c"),
-                            F.concat(F.lit(f"cash credits in 8k-9,999 band within {p.r001_hours}h: "),
-                                     F.col("c").cast("string"))))
+    """Band cash clustering: RANGE 47 preceding hours, count >= 3."""
+    return customer_window_rules(fact, [spec_r001(p)])
 
 
 def rule_r002(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
-    cash = fact.filter(_cash_credit())
-    win = _hourly_cluster(cash, p.r002_hours, with_max=True).filter(
-        (F.col("win_amt") >= p.r002_threshold) & (F.col("win_max") < p.r002_threshold)
-        & (F.col("win_cnt") >= p.r002_min_count))
-    g = win.groupBy("customer_key", "date_key").agg(F.max("win_amt").alias("a"), F.max("win_cnt").alias("c"))
-    return g.select(*_alert("R002", F.col("a"), F.col("c"),
-                            F.concat(F.lit(f"aggregated cash credits within {p.r002_hours}h: $"),
-                                     real_text(F.round(F.col("a"), 0)))))
+    """Sub-threshold aggregation: 24-hour cash sum over the threshold, no single
+    transaction at it, at least two transactions."""
+    return customer_window_rules(fact, [spec_r002(p)])
 
 
 def rule_r003(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
@@ -179,13 +262,9 @@ def rule_r005(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
 
 
 def rule_r006(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
-    whole = F.floor(F.col("amount_cad"))
-    rnd = fact.filter(F.col("channel").isin(*p.r006_channels) & (F.col("amount_cad") >= p.r006_min_amount)
-                      & (whole % p.r006_unit == 0) & (F.col("amount_cad") == whole))
-    win = _hourly_cluster(rnd, p.r006_hours).filter(F.col("win_cnt") >= p.r006_min_count)
-    g = win.groupBy("customer_key", "date_key").agg(F.max("win_amt").alias("a"), F.max("win_cnt").alias("c"))
-    return g.select(*_alert("R006", F.col("a"), F.col("c"),
-                            F.concat(F.lit("round-value transfers in 7d: "), F.col("c").cast("string"))))
+    """Round-value clustering: wire/e-transfer, whole multiples of the unit,
+    RANGE 167 preceding hours."""
+    return customer_window_rules(fact, [spec_r006(p)])
 
 
 def rule_r007(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
@@ -206,15 +285,8 @@ def rule_r007(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
 
 
 def rule_r008(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
-    band = fact.filter(_cash_credit() & F.col("amount_cad").between(p.band_low, p.band_high))
-    daily = band.groupBy("customer_key", "date_key").agg(F.count(F.lit(1)).alias("n"),
-                                                         F.sum("amount_cad").alias("amt"))
-    w = Window.partitionBy("customer_key").orderBy("date_key").rangeBetween(-(p.r008_days - 1), Window.currentRow)
-    win = daily.select("customer_key", "date_key", F.sum("n").over(w).alias("win_cnt"),
-                       F.sum("amt").over(w).alias("win_amt")).filter(F.col("win_cnt") >= p.r008_min_count)
-    g = win.groupBy("customer_key", "date_key").agg(F.max("win_amt").alias("a"), F.max("win_cnt").alias("c"))
-    return g.select(*_alert("R008", F.col("a"), F.col("c"),
-                            F.concat(F.lit("band cash credits in 30d: "), F.col("c").cast("string"))))
+    """Sustained band cash: RANGE 29 preceding days."""
+    return customer_window_rules(fact, [spec_r008(p)])
 
 
 def all_alerts(parts: list[DataFrame]) -> DataFrame:
