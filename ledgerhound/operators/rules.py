@@ -224,41 +224,82 @@ def rule_r003(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
                                      F.lit(f"% within {p.r003_hours}h"))))
 
 
+def customer_day_rules(fact: DataFrame, dim_country: DataFrame | None, p: RuleParams = RuleParams(),
+                       which: tuple[str, ...] = ("R004", "R005")) -> DataFrame:
+    """R004 (high-risk wires) and R005 (velocity spike) in one scan and one
+    customer shuffle: both live on the (customer, date) grain.
+
+    One aggregate per (customer, date) carries R005's credit volume over every
+    active day (zero-credit days kept) and R004's sum, count and sorted country
+    list over its qualifying wires (conditional aggregates, combined map-side).
+    R005's two RANGE frames then run over ``partitionBy(customer_key)``; R004
+    needs no window. With R004 alone only its wires are read and no window runs.
+    """
+    wire = (F.col("channel") == "wire") & (F.col("amount_cad") >= p.r004_min_amount)
+    t = fact if "R005" in which else fact.filter(wire)
+    zero = F.lit(0).cast(MONEY)
+    aggs = []
+    if "R005" in which:
+        aggs.append(F.sum(F.when(F.col("direction") == "credit", F.col("amount_cad")).otherwise(zero))
+                    .alias("credit_vol"))
+    if "R004" in which:
+        hr = dim_country.filter(F.col("is_high_risk") == 1).select(
+            F.col("country_code").alias("counterparty_country"), F.lit(1).alias("_hr"))
+        # dim_country is bounded by the number of jurisdictions: broadcast.
+        t = t.join(F.broadcast(hr), "counterparty_country", "left")
+        r4 = wire & (F.col("_hr") == 1)
+        aggs += [F.sum(F.when(r4, F.col("amount_cad"))).alias("r4_amt"),
+                 F.count(F.when(r4, F.lit(1))).alias("r4_cnt"),
+                 F.array_join(F.array_sort(F.collect_set(F.when(r4, F.col("counterparty_country")))), ",")
+                 .alias("r4_cc")]
+    daily = t.groupBy("customer_key", "date_key").agg(*aggs)
+
+    cands = []
+    if "R004" in which:
+        cands.append(F.when(F.col("r4_cnt") > 0, F.struct(
+            F.lit("R004").alias("rule_id"), F.col("r4_amt").cast("decimal(38,2)").alias("a"),
+            F.col("r4_cnt").cast("long").alias("c"),
+            F.concat(F.lit("wire activity with high-risk jurisdiction: "), F.col("r4_cc")).alias("detail"))))
+    if "R005" in which:
+        base = Window.partitionBy("customer_key").orderBy("date_key")
+        w30 = base.rangeBetween(-(p.r005_window_days - 1), Window.currentRow)
+        wb = base.rangeBetween(-p.r005_baseline_from, -p.r005_baseline_to)
+        vol = F.sum("credit_vol").over(w30)
+        days = F.count(F.lit(1)).over(wb)
+        baseline = F.sum("credit_vol").over(wb).cast("double") / days * float(p.r005_window_days)
+        daily = daily.select("*", vol.alias("vol_30d"), days.alias("baseline_days"), baseline.alias("baseline_30d"))
+        hit = ((F.col("baseline_days") >= p.r005_min_baseline_days) & (F.col("baseline_30d") > 0)
+               & (F.col("vol_30d").cast("double") > F.lit(p.r005_multiplier) * F.col("baseline_30d"))
+               & (F.col("vol_30d") > p.r005_min_volume))
+        ratio = F.round(F.col("vol_30d").cast("double") / F.col("baseline_30d"), 1)
+        cands.append(F.when(hit, F.struct(
+            F.lit("R005").alias("rule_id"), F.col("vol_30d").cast("decimal(38,2)").alias("a"),
+            F.lit(None).cast("long").alias("c"),
+            F.concat(F.lit("rolling 30d credit volume "), ratio.cast("string"),
+                     F.lit("x the prior 90d baseline")).alias("detail"))))
+    x = daily.select("customer_key", "date_key",
+                     F.explode(F.filter(F.array(*cands), lambda c: c.isNotNull())).alias("_x"))
+    return x.select(
+        F.concat(F.col("_x.rule_id"), F.lit("-"), F.col("customer_key").cast("string"), F.lit("-"),
+                 F.col("date_key").cast("string")).alias("alert_id"),
+        F.col("_x.rule_id").alias("rule_id"),
+        F.col("customer_key").cast("long").alias("customer_key"),
+        F.col("date_key").cast("int").alias("date_key"),
+        F.col("_x.a").cast("double").alias("trigger_amount"),
+        F.col("_x.c").alias("trigger_txn_count"),
+        F.col("_x.detail").alias("detail"))
+
+
 def rule_r004(fact: DataFrame, dim_country: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
-    hr = dim_country.filter(F.col("is_high_risk") == 1).select(F.col("country_code").alias("counterparty_country"))
-    wires = fact.filter((F.col("channel") == "wire") & (F.col("amount_cad") >= p.r004_min_amount))
-    # dim_country is bounded by the number of jurisdictions: broadcast.
-    j = wires.join(F.broadcast(hr), "counterparty_country", "inner")
-    g = j.groupBy("customer_key", "date_key").agg(
-        F.sum("amount_cad").alias("a"), F.count(F.lit(1)).alias("c"),
-        F.array_join(F.array_sort(F.collect_set("counterparty_country")), ",").alias("cc"))
-    return g.select(*_alert("R004", F.col("a"), F.col("c"),
-                            F.concat(F.lit("wire activity with high-risk jurisdiction: "), F.col("cc"))))
+    """High-risk wire: wires of at least the minimum to or from a high-risk
+    jurisdiction, per (customer, date)."""
+    return customer_day_rules(fact, dim_country, p, ("R004",))
 
 
 def rule_r005(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     """Velocity spike over customer-days (zero-credit active days kept). The
     baseline averages the *active* days in the prior frame."""
-    daily = fact.groupBy("customer_key", "date_key").agg(
-        F.sum(F.when(F.col("direction") == "credit", F.col("amount_cad")).otherwise(F.lit(0).cast(MONEY)))
-        .alias("credit_vol"))
-    base = Window.partitionBy("customer_key").orderBy("date_key")
-    w30 = base.rangeBetween(-(p.r005_window_days - 1), Window.currentRow)
-    wb = base.rangeBetween(-p.r005_baseline_from, -p.r005_baseline_to)
-    r = daily.select(
-        "customer_key", "date_key",
-        F.sum("credit_vol").over(w30).alias("vol_30d"),
-        F.sum("credit_vol").over(wb).alias("base_sum"),
-        F.count(F.lit(1)).over(wb).alias("baseline_days"))
-    r = r.withColumn("baseline_30d",
-                     F.col("base_sum").cast("double") / F.col("baseline_days") * float(p.r005_window_days))
-    r = r.filter((F.col("baseline_days") >= p.r005_min_baseline_days) & (F.col("baseline_30d") > 0)
-                 & (F.col("vol_30d").cast("double") > F.lit(p.r005_multiplier) * F.col("baseline_30d"))
-                 & (F.col("vol_30d") > p.r005_min_volume))
-    ratio = F.round(F.col("vol_30d").cast("double") / F.col("baseline_30d"), 1)
-    return r.select(*_alert("R005", F.col("vol_30d"), F.lit(None),
-                            F.concat(F.lit("rolling 30d credit volume "), ratio.cast("string"),
-                                     F.lit("x the prior 90d baseline"))))
+    return customer_day_rules(fact, None, p, ("R005",))
 
 
 def rule_r006(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:

@@ -83,10 +83,10 @@ class Warehouse:
 
 
 def run_rules(fact: DataFrame, dim_country: DataFrame, p: RuleParams) -> DataFrame:
-    # R001, R002, R006 and R008 share one scan and one customer_key shuffle.
+    # R001/R002/R006/R008 share one scan and one customer_key shuffle; so do R004/R005.
     return rules.all_alerts([
         rules.customer_window_rules(fact, rules.customer_window_specs(p)), rules.rule_r003(fact, p),
-        rules.rule_r004(fact, dim_country, p), rules.rule_r005(fact, p), rules.rule_r007(fact, p)])
+        rules.customer_day_rules(fact, dim_country, p), rules.rule_r007(fact, p)])
 
 
 @dataclass
