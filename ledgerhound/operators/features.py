@@ -69,6 +69,20 @@ def customer_day(fact: DataFrame, dim_country: DataFrame, fp: FeatureParams = Fe
         F.countDistinct("counterparty_id").alias("n_counterparties"))
 
 
+def alert_span_days(daily: DataFrame, alerts: DataFrame, fp: FeatureParams = FeatureParams()) -> DataFrame:
+    """Keep the customer-days any alert's trailing frame can reach: alerted
+    customers only, from (first alert - longest frame + 1) to the last alert.
+    Frames only look back, so the features at alert dates are unchanged; the
+    windows then sort a fraction of the customer-days. The span table has one
+    row per alerted customer, and the join's customer partitioning is the one
+    the windows need, so it adds no exchange to the daily side."""
+    reach = max(*fp.windows, fp.active_window) - 1
+    span = alerts.groupBy("customer_key").agg(F.min("date_key").alias("_lo"), F.max("date_key").alias("_hi"))
+    return (daily.join(span, "customer_key", "inner")
+            .filter((F.col("date_key") >= F.col("_lo") - reach) & (F.col("date_key") <= F.col("_hi")))
+            .drop("_lo", "_hi"))
+
+
 def rolling_features(daily: DataFrame, fp: FeatureParams = FeatureParams()) -> DataFrame:
     """O-49/O-50: trailing SUM of every measure over 7/30/90 days (inclusive) and
     the number of active days in 90. Like the reference, ``max_amt_*d`` and
@@ -148,7 +162,7 @@ def add_ratios(df: DataFrame, eps: float = 1e-9) -> DataFrame:
 def feature_frame(alerts: DataFrame, fact: DataFrame, dim_country: DataFrame, dim_customer: DataFrame,
                   dim_account: DataFrame, dim_rule: DataFrame, fp: FeatureParams = FeatureParams()) -> DataFrame:
     """O-55: alerts + context + trailing windows + customer + accounts + rule, then ratios."""
-    daily = customer_day(fact, dim_country, fp)
+    daily = alert_span_days(customer_day(fact, dim_country, fp), alerts, fp)
     rolls = rolling_features(daily, fp)
     ctx = alert_context(alerts)
     df = ctx.join(rolls, ["customer_key", "date_key"], "left")
