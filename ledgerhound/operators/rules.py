@@ -109,7 +109,8 @@ def customer_window_rules(fact: DataFrame, specs: list[CustomerWindowRule]) -> D
     aggs = []
     for i, s in enumerate(specs):
         amt = F.when(s.rows, F.col("amount_cad"))
-        aggs += [F.count(F.when(s.rows, F.lit(1))).alias(f"_n{i}"), F.sum(amt).alias(f"_a{i}"), F.max(amt).alias(f"_m{i}")]
+        aggs += [F.count(F.when(s.rows, F.lit(1))).alias(f"_n{i}"), F.sum(amt).alias(f"_a{i}"),
+                 F.max(amt).alias(f"_m{i}")]
     hourly = fact.filter(any_rule).groupBy("customer_key", "date_key", "hour_of_day").agg(*aggs)
 
     cands = []
