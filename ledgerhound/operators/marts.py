@@ -120,8 +120,34 @@ def customer_measures(scored: DataFrame, customer_week: DataFrame, window_days:
     return a.join(c, "customer_key", "left")
 
 
+def queue_listing(scored: DataFrame, dim_customer: DataFrame, dim_date: DataFrame,
+                  date_from: int | None = None, date_to: int | None = None, tier: str | None = None,
+                  rule_id: str | None = None, kyc: str | None = None, segment: str | None = None) -> DataFrame:
+    """O-108: the investigator queue. Every alert that passes the slicers (date
+    range, tier, rule, KYC rating, customer segment), highest score first; the
+    whole queue, no row cap. The global sort is range-partitioned by Spark."""
+    q = scored
+    if date_from is not None:
+        q = q.filter(F.col("date_key") >= date_from)
+    if date_to is not None:
+        q = q.filter(F.col("date_key") <= date_to)
+    if tier:
+        q = q.filter(F.col("tier") == tier)
+    if rule_id:
+        q = q.filter(F.col("rule_id") == rule_id)
+    q = q.join(dim_customer.select("customer_key", "customer_segment", "kyc_risk_rating"), "customer_key", "left")
+    if kyc:
+        q = q.filter(F.col("kyc_risk_rating") == kyc)
+    if segment:
+        q = q.filter(F.col("customer_segment") == segment)
+    # dim_date holds one row per calendar day: bounded, broadcast.
+    q = q.join(F.broadcast(dim_date.select("date_key", "calendar_date")), "date_key", "left")
+    return q.select("alert_id", "calendar_date", "customer_key", "customer_segment", "kyc_risk_rating", "rule_id",
+                    "score", "tier", "priority").orderBy(F.col("score").desc(), F.col("alert_id"))
+
+
 def queue_topk(scored: DataFrame, k: int, tier: str | None = None, rule_id: str | None = None) -> DataFrame:
-    """O-83/O-108: the investigator queue, filtered and sorted by score (top-k report)."""
+    """O-83: the k highest-scoring alerts (the reference's top-k report)."""
     q = scored
     if tier:
         q = q.filter(F.col("tier") == tier)

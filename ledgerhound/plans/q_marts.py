@@ -177,11 +177,36 @@ def q_queue_topk(spark, sf):
     return mt.queue_topk(scored_table(spark, sf), TOP_K)
 
 
+_QUEUE_SQL = """
+SELECT s.alert_id, strftime(d.calendar_date, '%Y-%m-%d') AS calendar_date, s.customer_key, c.customer_segment,
+       c.kyc_risk_rating, s.rule_id, s.score, s.tier, s.priority
+FROM evt_scored_alerts s
+LEFT JOIN evt_customer c ON c.customer_key = s.customer_key
+LEFT JOIN evt_date d ON d.date_key = s.date_key
+WHERE {where}
+ORDER BY s.score DESC, s.alert_id"""
+
+
+def _queue(spark, sf, **slicers):
+    e = Evaluation(spark, sf)
+    return mt.queue_listing(scored_table(spark, sf), e.dim_customer, e.dim_date, **slicers)
+
+
 @register("queue_tier1_r004", with_ctes(
-    "SELECT " + ", ".join(SCORED_COLS) + " FROM evt_scored_alerts WHERE tier = 'T1_same_day' AND rule_id = 'R004' "
-    f"ORDER BY score DESC, alert_id LIMIT {TOP_K}", "evt_scored_alerts"))
+    _QUEUE_SQL.format(where="s.tier = 'T1_same_day' AND s.rule_id = 'R004'"),
+    "evt_scored_alerts", "evt_customer", "evt_date"))
 def q_queue_filtered(spark, sf):
-    return mt.queue_topk(scored_table(spark, sf), TOP_K, tier="T1_same_day", rule_id="R004")
+    """O-108 with the tier and rule slicers set: the whole tier-1 R004 queue."""
+    return _queue(spark, sf, tier="T1_same_day", rule_id="R004")
+
+
+@register("queue_listing", with_ctes(
+    _QUEUE_SQL.format(where="s.date_key BETWEEN 5 AND 25 AND c.kyc_risk_rating = 'low' "
+                            "AND c.customer_segment = 'personal'"),
+    "evt_scored_alerts", "evt_customer", "evt_date"))
+def q_queue_listing(spark, sf):
+    """O-108 with the date-range, KYC and segment slicers set."""
+    return _queue(spark, sf, date_from=5, date_to=25, kyc="low", segment="personal")
 
 
 @register("month_tier", with_ctes("""
