@@ -80,3 +80,44 @@ def q_sql_rule_summary(spark, sf):
         FROM dim_rule r LEFT JOIN evt_alert a ON a.rule_id = r.rule_id
         LEFT JOIN stg_scores s ON s.alert_id = a.alert_id
         GROUP BY r.rule_id, r.rule_name""")
+
+
+# The report's extract names, each mapped to the query that
+# produces it, and the analysis tables republished next to them.
+EXTRACTS = {
+    "dim_customer": "dim_customer_bands",
+    "dim_date": "dim_date",
+    "dim_rule": "dim_rule",
+    "dim_country": "dim_country",
+    "fact_alert": "mart_alert",
+    "fact_customer_week": "mart_customer_week",
+    "fact_txn_drill": "mart_txn_drill",
+    "dq_scorecard": "dq_scorecard",
+}
+REPUBLISHED = {
+    "rule_effectiveness": "rule_effectiveness",
+    "rule_overlap": "rule_overlap",
+    "cost_benefit_sensitivity": "sensitivity_grid",
+}
+
+
+def _publish_oracle() -> str:
+    from .catalog import ORACLES
+    parts = [f"SELECT '{name}' AS extract, CAST(COUNT(*) AS BIGINT) AS n_rows FROM ({ORACLES[key]}) t"
+             for name, key in {**EXTRACTS, **REPUBLISHED}.items()]
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("publish_exports", _publish_oracle())
+def q_publish_exports(spark, sf):
+    """O-05/O-06: the 8 report extracts and the republished analysis tables
+    written as CSV under one export folder, then read back (rows per extract)."""
+    from functools import reduce
+
+    from .catalog import QUERIES
+    frames = {name: QUERIES[key](spark, sf) for name, key in {**EXTRACTS, **REPUBLISHED}.items()}
+    paths = sinks.publish(frames, sinks.export_dir(spark, "report_extracts"))
+    back = [spark.read.options(**feeds.CSV_OPTIONS).schema(frames[name].schema).csv(path)
+            .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("extract"), "n_rows")
+            for name, path in paths.items()]
+    return reduce(lambda a, b: a.unionByName(b), back)
