@@ -5,8 +5,9 @@ scale we instead:
 
 1. take a bounded sample of the ordering key and pick bucket boundaries on the
    driver (at most ``sample_rows`` keys are collected, never the data);
-2. assign every row a bucket that is a pure function of its key, so a task that
-   is recomputed after an executor loss lands every row in the same bucket;
+2. assign every row a bucket that is a pure function of its key (a binary
+   search over the boundaries, compiled into the stage), so a task that is
+   recomputed after an executor loss lands every row in the same bucket;
 3. aggregate the weights per bucket (one row per bucket), turn them into
    offsets on a table of at most ``n_buckets`` rows and broadcast it;
 4. run the running total inside each bucket (``partitionBy(bucket)``).
@@ -44,6 +45,16 @@ def _boundaries(df: DataFrame, keys: list[str], n_buckets: int, sample_rows: int
     return bounds, n
 
 
+def _bucket_of(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
+    """Number of ascending ``bounds`` that are <= ``key``, as a binary-search
+    CASE tree: log2(len(bounds)) compiled comparisons per row."""
+    if lo == hi:
+        return F.lit(lo)
+    mid = (lo + hi) // 2
+    return F.when(key >= bounds[mid], _bucket_of(key, bounds, mid + 1, hi)).otherwise(
+        _bucket_of(key, bounds, lo, mid))
+
+
 def running_totals(df: DataFrame, keys: list[str], weights: dict[str, Column],
                    rows_per_bucket: int = 2_000_000, min_buckets: int = 8,
                    max_buckets: int = 1024, sample_rows: int = 100_000,
@@ -65,9 +76,8 @@ def running_totals(df: DataFrame, keys: list[str], weights: dict[str, Column],
     schema = {f.name: f.dataType for f in df.schema.fields}
     key_struct = F.struct(*[F.col(k).alias(k) for k in keys])
     if bounds:
-        arr = F.array(*[F.struct(*[F.lit(v).cast(schema[k]).alias(k) for k, v in zip(keys, b)])
-                        for b in bounds])
-        bucket = F.size(F.filter(arr, lambda b: b <= F.col(_KEY)))
+        lits = [F.struct(*[F.lit(v).cast(schema[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds]
+        bucket = _bucket_of(F.col(_KEY), lits, 0, len(lits))
     else:
         bucket = F.lit(0)
     keyed = df.withColumn(_KEY, key_struct).withColumn(_BUCKET, bucket)
