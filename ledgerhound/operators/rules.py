@@ -113,17 +113,22 @@ def customer_window_rules(fact: DataFrame, specs: list[CustomerWindowRule]) -> D
                  F.max(amt).alias(f"_m{i}")]
     hourly = fact.filter(any_rule).groupBy("customer_key", "date_key", "hour_of_day").agg(*aggs)
 
-    cands = []
+    cands, hits = [], []
     for i, s in enumerate(specs):
         order = _hour_idx() if s.unit == "hour" else F.col("date_key")
         w = Window.partitionBy("customer_key").orderBy(order).rangeBetween(-(s.span - 1), Window.currentRow)
         cnt, amt, mx = (F.sum(f"_n{i}").over(w), F.sum(f"_a{i}").over(w), F.max(f"_m{i}").over(w))
-        hit = (F.col(f"_n{i}") > 0) & s.keep(cnt, amt, mx)
+        hit = F.coalesce((F.col(f"_n{i}") > 0) & s.keep(cnt, amt, mx), F.lit(False))
+        hits.append(hit)
         cands.append(F.when(hit, F.struct(F.lit(s.rule_id).alias("rule_id"), amt.alias("a"),
                                           cnt.alias("c"))))
-    # Window expressions cannot sit inside a generator: build the array first.
-    x = (hourly.select("customer_key", "date_key", F.array(*cands).alias("_c"))
-         .select("customer_key", "date_key", F.explode(F.filter("_c", lambda c: c.isNotNull())).alias("_x")))
+    # Window expressions cannot sit inside a generator: build the array first,
+    # drop rows without any hit, then explode (all compiled, no per-row lambda).
+    x = (hourly.select("customer_key", "date_key", F.array(*cands).alias("_c"),
+                       reduce(lambda a, b: a | b, hits).alias("_any"))
+         .filter("_any")
+         .select("customer_key", "date_key", F.explode("_c").alias("_x"))
+         .filter(F.col("_x").isNotNull()))
     g = x.groupBy("_x.rule_id", "customer_key", "date_key").agg(F.max("_x.a").alias("a"),
                                                                 F.max("_x.c").alias("c"))
     detail = None
@@ -278,8 +283,8 @@ def customer_day_rules(fact: DataFrame, dim_country: DataFrame | None, p: RulePa
             F.lit(None).cast("long").alias("c"),
             F.concat(F.lit("rolling 30d credit volume "), ratio.cast("string"),
                      F.lit("x the prior 90d baseline")).alias("detail"))))
-    x = daily.select("customer_key", "date_key",
-                     F.explode(F.filter(F.array(*cands), lambda c: c.isNotNull())).alias("_x"))
+    x = (daily.select("customer_key", "date_key", F.explode(F.array(*cands)).alias("_x"))
+         .filter(F.col("_x").isNotNull()))
     return x.select(
         F.concat(F.col("_x.rule_id"), F.lit("-"), F.col("customer_key").cast("string"), F.lit("-"),
                  F.col("date_key").cast("string")).alias("alert_id"),
