@@ -31,7 +31,8 @@ def _txn_enriched(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame)
 
 def mart_customer_week(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, alerts: DataFrame) -> DataFrame:
     """O-97: weekly measures (week = date_key div 7) for alerted customers only."""
-    t = _txn_enriched(fact, dim_date, dim_country).join(alerts.select("customer_key"), "customer_key", "left_semi")
+    alerted = alerts.select("customer_key").distinct()
+    t = _txn_enriched(fact, dim_date, dim_country).join(alerted, "customer_key", "left_semi")
     amt = F.col("amount_cad")
     zero = F.lit(0).cast("decimal(18,2)")
     credit = F.col("direction") == "credit"
@@ -48,7 +49,7 @@ def mart_customer_week(fact: DataFrame, dim_date: DataFrame, dim_country: DataFr
 
 def mart_txn_drill(fact: DataFrame, dim_date: DataFrame, dim_country: DataFrame, scored: DataFrame) -> DataFrame:
     """O-98: transactions of customers with any tier-1 alert."""
-    t1 = scored.filter(F.col("tier") == T1).select("customer_key")
+    t1 = scored.filter(F.col("tier") == T1).select("customer_key").distinct()
     t = _txn_enriched(fact, dim_date, dim_country).join(t1, "customer_key", "left_semi")
     return t.select("txn_id", "customer_key", "date_key", "calendar_date", "amount_cad", "direction", "channel",
                     "counterparty_country", "counterparty_id", "hour_of_day", "is_high_risk")
