@@ -102,6 +102,8 @@ REPUBLISHED = {
 
 
 def _publish_oracle() -> str:
+    # The extracts' own queries (and oracles) are registered by these modules.
+    from . import q_analytics, q_marts, q_quality, q_warehouse  # noqa: F401
     from .catalog import ORACLES
     parts = [f"SELECT '{name}' AS extract, CAST(COUNT(*) AS BIGINT) AS n_rows FROM ({ORACLES[key]}) t"
              for name, key in {**EXTRACTS, **REPUBLISHED}.items()]
