@@ -30,7 +30,10 @@ class Warehouse:
 
     @cached_property
     def staging(self) -> DataFrame:
-        return ledgers.lin_staging(self.spark, self.sf_dir)
+        # Landed once (the reference loads its staging table too): the dedup,
+        # the date dimension and the controls all read it, and the derivation
+        # is a large shuffle join that should not run three times.
+        return self._stored("lin_staging", lambda: ledgers.lin_staging(self.spark, self.sf_dir))
 
     @cached_property
     def stg_customers(self) -> DataFrame:
