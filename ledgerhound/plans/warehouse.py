@@ -61,7 +61,7 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return clean.date_dim(self.staging)
+        return self._stored("lin_dim_date", lambda: clean.date_dim(self.staging))
 
     @cached_property
     def dim_rule(self) -> DataFrame:
@@ -118,7 +118,8 @@ class Monitoring:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return ledgers.evt_date_dim(self.spark, self.sf_dir)
+        # One row per active day; written once, read by every mart.
+        return stored(self.spark, self.sf_dir, "evt_dim_date", lambda: ledgers.evt_date_dim(self.spark, self.sf_dir))
 
     @cached_property
     def dim_rule(self) -> DataFrame:
