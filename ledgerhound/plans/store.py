@@ -60,10 +60,24 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
         return _OPEN[key]
     root = os.path.join(ensure_checkpoint_dir(spark), "tables", _fingerprint(spark, sf_dir))
     path = os.path.join(root, name)
-    try:
-        df = spark.read.parquet(path)
-    except AnalysisException:
+    df = None
+    if _committed(spark, path):
+        try:
+            df = spark.read.parquet(path)
+        except AnalysisException:
+            df = None
+    if df is None:
+        # A missing table, or one whose writing job never committed (driver lost
+        # mid-write): rebuild it whole.
         build().write.mode("overwrite").parquet(path)
         df = spark.read.parquet(path)
     _OPEN[key] = df
     return df
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True when the job that wrote ``path`` committed (its ``_SUCCESS`` marker exists)."""
+    jvm = spark.sparkContext._jvm
+    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return bool(fs.exists(marker))
