@@ -123,3 +123,29 @@ def q_publish_exports(spark, sf):
             .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("extract"), "n_rows")
             for name, path in paths.items()]
     return reduce(lambda a, b: a.unionByName(b), back)
+
+
+_MART_VIEW_SQL = """
+SELECT a.tier, COUNT(*) AS alerts, CAST(SUM(a.is_true_positive) AS BIGINT) AS true_positives,
+       COUNT(DISTINCT a.customer_key) AS customers,
+       (SELECT CAST(SUM(is_pass) AS BIGINT) FROM {mart_dq}) AS dq_checks_passed,
+       (SELECT COUNT(*) FROM {mart_txn_drill}) AS drill_rows
+FROM {mart_alert} a
+GROUP BY a.tier"""
+
+
+def _mart_view_oracle() -> str:
+    from . import q_marts, q_quality  # noqa: F401  (register the marts' oracles)
+    from .catalog import ORACLES
+    return _MART_VIEW_SQL.format(mart_dq=f"({ORACLES['dq_scorecard']}) dq",
+                                 mart_txn_drill=f"({ORACLES['mart_txn_drill']}) d",
+                                 mart_alert=f"({ORACLES['mart_alert']})")
+
+
+@register("sql_mart_views", _mart_view_oracle())
+def q_sql_mart_views(spark, sf):
+    """O-04: SQL over the reference's mart views (mart_alert, mart_dq, mart_txn_drill)."""
+    from .views import register_views
+    register_views(spark, sf)
+    return spark.sql(_MART_VIEW_SQL.format(mart_dq="mart_dq", mart_txn_drill="mart_txn_drill",
+                                           mart_alert="mart_alert"))

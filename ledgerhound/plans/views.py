@@ -9,13 +9,25 @@ from .warehouse import Warehouse
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> list[str]:
-    """Register the LIN star schema and the EVT alert marts as temp views."""
+    """Register the LIN star schema, the EVT alert tables and the reference's
+    five views (``stg_txn_dedup`` and the four marts) as temp views. Views are
+    lazy plans over the shared tables; nothing runs until a query does."""
+    from ..operators import marts as mt
+    from ..operators import quality
+    from .q_quality import dq_results
+
     w, e = Warehouse(spark, sf_dir), Evaluation(spark, sf_dir)
+    scored = scored_table(spark, sf_dir)
     views = {
         "dim_customer": w.dim_customer, "dim_account": w.dim_account, "dim_country": w.dim_country,
         "dim_date": w.dim_date, "dim_rule": w.dim_rule, "fact_transaction": w.fact,
         "rejected_transaction": w.rejected, "fact_alert": w.alerts,
-        "evt_transaction": e.fact, "evt_alert": e.alerts, "stg_scores": scored_table(spark, sf_dir),
+        "evt_transaction": e.fact, "evt_alert": e.alerts, "stg_scores": scored,
+        "stg_txn_dedup": w.dedup,
+        "mart_alert": mt.mart_alert(e.alerts, e.dim_date, scored),
+        "mart_customer_week": mt.mart_customer_week(e.fact, e.dim_date, e.dim_country, e.alerts),
+        "mart_txn_drill": mt.mart_txn_drill(e.fact, e.dim_date, e.dim_country, scored),
+        "mart_dq": quality.dq_scorecard(dq_results(spark, sf_dir), with_run_ts=False),
     }
     for name, df in views.items():
         df.createOrReplaceTempView(name)
