@@ -121,6 +121,15 @@ def q_model_scored(spark, sf):
     return table.join(reasons, "alert_id", "left").withColumn("production_model", F.lit(sel))
 
 
+@register("mart_alert_explained")
+def q_mart_alert_explained(spark, sf):
+    """O-96 as the reference serves it: the alert mart over the production
+    model's scores, with reason_1..3 and top_mitigant."""
+    from ..operators import marts as mt
+    e = Evaluation(spark, sf)
+    return mt.mart_alert(e.alerts, e.dim_date, q_model_scored(spark, sf))
+
+
 @register("model_tradeoff")
 def q_model_tradeoff(spark, sf):
     """O-69 on the boosted model's scores."""
