@@ -139,3 +139,58 @@ def q_model_tradeoff(spark, sf):
 
 
 __all__ = ["ModelRun", "FP"]
+
+
+@register("metrics_document")
+def q_metrics_document(spark, sf):
+    """O-08 with the reference's content: split days, both baselines, both
+    models on validation and holdout (operating point, PR-AUC, ROC-AUC), the
+    production choice, the boosted model's bootstrap CI, the trade-off curve,
+    the tier policy and the feature count. Every figure is a Spark aggregate;
+    only those few dozen numbers reach the driver, which nests them into one
+    document. It is written as JSON and read back."""
+    import json
+
+    from ..params import FIXTURE_SPLIT
+    from ..sources import sinks
+    from .q_scoring import hash_score
+
+    m = ModelRun.get(spark, sf)
+    s = m.scored.withColumnRenamed("_rule", "rule_id").withColumn("random_score", hash_score())
+    va, ho = s.filter(F.col("split") == "valid"), s.filter(F.col("split") == "holdout")
+
+    def one(df):
+        r = df.first()
+        return r.asDict(recursive=True) if r else {}
+
+    def many(df):
+        return [r.asDict(recursive=True) for r in df.collect()]
+
+    def window_metrics(df, thr, col):
+        return {**one(ev.evaluate_at_threshold(df, thr, col)), **one(ev.average_precision(df, col)),
+                **one(ev.roc_auc(df, col))}
+
+    results = {"baseline_all_alerts": {"holdout": one(ev.all_alerts_baseline(ho))}}
+    thr_r = ev.threshold_value(va, "random_score")
+    results["baseline_random"] = {"threshold": thr_r, "holdout": one(ev.evaluate_at_threshold(ho, thr_r, "random_score"))}
+    thresholds = {}
+    for name, col in (("logistic_regression", "score_logistic"), ("gradient_boosted", "score_gbm")):
+        thr = thresholds[name] = ev.threshold_value(va, col)
+        results[name] = {"threshold": thr, "validation": window_metrics(va, thr, col),
+                         "holdout": window_metrics(ho, thr, col)}
+    ci = one(ev.bootstrap_ci(spark, ho, thresholds["gradient_boosted"], EP, score="score_gbm"))
+    results["gradient_boosted"]["holdout"].update(ci)
+    sel = one(ev.model_selection(
+        ev.evaluate_at_threshold(ho, thresholds["logistic_regression"], "score_logistic"),
+        ev.evaluate_at_threshold(ho, thresholds["gradient_boosted"], "score_gbm"),
+        "logistic_regression", "gradient_boosted"))
+    results["production_model"] = sel
+    prod = "score_logistic" if sel.get("selected") == "logistic_regression" else "score_gbm"
+    results["tradeoff_curve_prospective"] = many(ev.tradeoff_curve(va, ho, EP.recall_targets, prod))
+    results["tier_policy_holdout"] = many(ev.tier_policy(ho, EP, prod))
+    doc = {"split_days": {"train_end_day": FIXTURE_SPLIT.train_end_day,
+                          "valid_end_day": FIXTURE_SPLIT.valid_end_day},
+           "n_features": len(m.num_cols) + len(m.cat_cols), "results": results}
+    path = sinks.export_dir(spark, "metrics_document")
+    spark.createDataFrame([(json.dumps(doc),)], "doc string").write.mode("overwrite").text(path)
+    return spark.read.json(path)
