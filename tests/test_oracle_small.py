@@ -11,7 +11,8 @@ from conftest import SF_SMALL
 NAMES = ["dim_customer_bands", "dedup_first", "rejected_rows", "fact_conform", "rule_r001", "rule_r003",
          "rule_r004", "rule_r007", "alerts_all", "alerts_by_rule", "dq_scorecard", "feature_frame",
          "scored_alerts", "tier_policy", "rule_effectiveness", "rule_overlap", "mart_customer_week",
-         "assert_fk"]
+         "assert_fk", "rule_r002", "rule_r005", "rule_r006", "rule_r008", "queue_listing", "queue_tier1_r004",
+         "sql_mart_views", "publish_exports", "alert_context"]
 
 
 @pytest.fixture(scope="module")
