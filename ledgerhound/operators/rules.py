@@ -260,8 +260,9 @@ def customer_day_rules(fact: DataFrame, dim_country: DataFrame | None, p: RulePa
                  .alias("r4_cc")]
     daily = t.groupBy("customer_key", "date_key").agg(*aggs)
 
-    cands = []
+    cands, hits = [], []
     if "R004" in which:
+        hits.append(F.col("r4_cnt") > 0)
         cands.append(F.when(F.col("r4_cnt") > 0, F.struct(
             F.lit("R004").alias("rule_id"), F.col("r4_amt").cast("decimal(38,2)").alias("a"),
             F.col("r4_cnt").cast("long").alias("c"),
@@ -278,12 +279,15 @@ def customer_day_rules(fact: DataFrame, dim_country: DataFrame | None, p: RulePa
                & (F.col("vol_30d").cast("double") > F.lit(p.r005_multiplier) * F.col("baseline_30d"))
                & (F.col("vol_30d") > p.r005_min_volume))
         ratio = F.round(F.col("vol_30d").cast("double") / F.col("baseline_30d"), 1)
+        hits.append(F.coalesce(hit, F.lit(False)))
         cands.append(F.when(hit, F.struct(
             F.lit("R005").alias("rule_id"), F.col("vol_30d").cast("decimal(38,2)").alias("a"),
             F.lit(None).cast("long").alias("c"),
             F.concat(F.lit("rolling 30d credit volume "), ratio.cast("string"),
                      F.lit("x the prior 90d baseline")).alias("detail"))))
-    x = (daily.select("customer_key", "date_key", F.explode(F.array(*cands)).alias("_x"))
+    # Most customer-days fire nothing: drop them before the generator.
+    x = (daily.filter(reduce(lambda a, b: a | b, hits))
+         .select("customer_key", "date_key", F.explode(F.array(*cands)).alias("_x"))
          .filter(F.col("_x").isNotNull()))
     return x.select(
         F.concat(F.col("_x.rule_id"), F.lit("-"), F.col("customer_key").cast("string"), F.lit("-"),
