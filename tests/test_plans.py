@@ -32,6 +32,14 @@ def test_customer_window_rules_scan_once_and_shuffle_twice(evt):
     assert not any(j in p for j in PAIR_JOINS)
 
 
+def test_customer_day_rules_scan_once(evt):
+    p = plan(rules.customer_day_rules(evt.fact, evt.dim_country, FIXTURE_RULES))
+    assert len([ln for ln in p.splitlines() if "FileScan parquet" in ln and "amount_cad" in ln]) == 1
+    # (customer, date) for the daily totals, customer_key for R005's frames.
+    assert p.count("Exchange hashpartitioning") == 2
+    assert "SortMergeJoin" not in p and "BroadcastNestedLoopJoin" not in p
+
+
 def test_alert_table_reads_the_fact_five_times(evt):
     p = plan(run_rules(evt.fact, evt.dim_country, FIXTURE_RULES))
     fact_scans = [ln for ln in p.splitlines() if "FileScan parquet" in ln and "amount_cad" in ln]
