@@ -29,13 +29,21 @@ def split_column(date_key: Column, sp: SplitParams) -> Column:
             .when(date_key <= sp.valid_end_day, "valid").otherwise("holdout"))
 
 
-def threshold_full_recall(df: DataFrame, score: str = "score") -> DataFrame:
-    """O-66: minimum score among positives (0.0 when there are none)."""
-    return df.agg(F.coalesce(F.min(F.when(F.col(Y) == 1, F.col(score))), F.lit(0.0)).alias("threshold"))
-
-
-def threshold_value(df: DataFrame, score: str = "score") -> float:
-    return float(threshold_full_recall(df, score).first()[0])
+def threshold_full_recall(df: DataFrame, score: str = "score", required_recall: float = 1.0) -> DataFrame:
+    """O-66: the highest threshold whose recall on ``df`` reaches
+    ``required_recall`` (trap T-15: the configured required validation recall
+    is the parameter). At 1.0, the default, it is the minimum score among
+    positives; below 1.0 it is the score of the ceil(r * P)-th best positive,
+    as in the trade-off curve. 0.0 when there are no positives."""
+    if required_recall >= 1.0:
+        return df.agg(F.coalesce(F.min(F.when(F.col(Y) == 1, F.col(score))), F.lit(0.0)).alias("threshold"))
+    t = recall_thresholds(df, (required_recall,), score)
+    return t.select(F.coalesce(F.col("threshold").cast("double"), F.lit(0.0)).alias("threshold"))
+
+
+def threshold_value(df: DataFrame, score: str = "score",
+                    required_recall: float = EvalParams.required_validation_recall) -> float:
+    return float(threshold_full_recall(df, score, required_recall).first()[0])
 
 
 def evaluate_at_threshold(df: DataFrame, thr: float | Column, score: str = "score") -> DataFrame:

@@ -71,3 +71,14 @@ def test_labels_are_binary_and_rules_come_from_the_catalogue(spark):
     assert len(catalogue) == 8 and set(alerts.rule_id) <= catalogue
     grain = Monitoring(spark, SF_SMALL).alerts.groupBy("rule_id", "customer_key", "date_key").count()
     assert grain.filter(F.col("count") > 1).count() == 0
+
+
+@pytest.mark.parametrize("target", [0.9, 0.75])
+def test_threshold_at_a_required_recall(spark, target):
+    import math
+    df = _scored(spark, 9)
+    thr = ev.threshold_value(df, required_recall=target)
+    pos = sorted((r.score for r in df.filter("is_true_positive = 1").collect()), reverse=True)
+    assert thr == pos[math.ceil(target * len(pos)) - 1]
+    assert ev.evaluate_at_threshold(df, thr).first()["recall"] >= target
+    assert ev.threshold_value(df, required_recall=1.0) == pos[-1]
