@@ -105,6 +105,8 @@ def customer_window_rules(fact: DataFrame, specs: list[CustomerWindowRule]) -> D
        becomes one (rule, customer, date) candidate; ``explode`` + ``groupBy``
        take the maxima per alert grain.
     """
+    if not specs:
+        raise ValueError("customer_window_rules needs at least one rule spec")
     any_rule = reduce(lambda a, b: a | b, [s.rows for s in specs])
     aggs = []
     for i, s in enumerate(specs):
@@ -241,6 +243,8 @@ def customer_day_rules(fact: DataFrame, dim_country: DataFrame | None, p: RulePa
     R005's two RANGE frames then run over ``partitionBy(customer_key)``; R004
     needs no window. With R004 alone only its wires are read and no window runs.
     """
+    if not set(which) & {"R004", "R005"} or set(which) - {"R004", "R005"}:
+        raise ValueError(f"customer_day_rules evaluates R004 and/or R005, got {which!r}")
     wire = (F.col("channel") == "wire") & (F.col("amount_cad") >= p.r004_min_amount)
     t = fact if "R005" in which else fact.filter(wire)
     zero = F.lit(0).cast(MONEY)
