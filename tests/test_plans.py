@@ -74,3 +74,12 @@ def test_no_row_at_a_time_python_in_core_queries(spark):
         p = plan(qs[n](spark, SF_SMALL))
         assert "BatchEvalPython" not in p, n
         assert "CartesianProduct" not in p, n
+
+
+def test_r003_has_no_range_join(evt):
+    p = plan(rules.rule_r003(evt.fact, FIXTURE_RULES))
+    # Outflow comes from a forward RANGE window over hourly debits; credits
+    # pick it up with an equi-join on (account, hour): no non-equi join.
+    assert "BroadcastNestedLoopJoin" not in p and "CartesianProduct" not in p
+    assert p.count("Window [") == 1
+    assert len([ln for ln in p.splitlines() if "FileScan parquet" in ln and "amount_cad" in ln]) == 2
