@@ -8,6 +8,12 @@ each rule first collapses its input to one row per (key, hour) or (key, day).
 That yields the identical alerts and bounds a hot customer or account at 24
 rows a day, whatever its transaction count; the window then only sorts those
 compact rows inside ``partitionBy(customer_key | account_key)``.
+
+Rules that share a key run as one plan: ``customer_window_rules`` evaluates
+R001/R002/R006/R008 with one scan and one customer shuffle, and
+``customer_day_rules`` does the same for R004/R005. The ``rule_r00n``
+functions are the one-rule case of the same code, so the per-rule queries and
+the alert table are checked against the same oracle SQL.
 """
 
 from __future__ import annotations
