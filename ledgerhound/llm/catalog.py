@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import exact_dedup, simhash  # noqa: F401
+from . import exact_dedup, langid, simhash  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
