@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, exact_dedup, langid, quality, shards, simhash, url_filter  # noqa: F401
+from . import bpe, exact_dedup, langid, mixing, quality, shards, simhash, url_filter  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
