@@ -34,6 +34,8 @@ STEPS_PER_TABLE = 10
 TOLERANCE = 1e-4
 #: The queries' target: a domain's share of the tokens to this power (rare domains are seen more often).
 TEMPERATURE = 0.7
+#: The queries keep every document at least once.
+LEAST_RATE = 1.0
 #: The fit is good to TOLERANCE; rates are used to as many decimals, so that a rate of one is one copy.
 RATE_DECIMALS = 3
 SEED = 11
@@ -92,9 +94,12 @@ def posteriors(docs: DataFrame, domains: list[str], model: DataFrame | None, pri
             .select("doc_id", "text_hash", "nth", "tokens", *[(F.col(f"e{i}") / total).alias(f"p{i}") for i in d]))
 
 
-def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None, temperature: float = TEMPERATURE) -> tuple[DataFrame, dict]:
+def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None, temperature: float = TEMPERATURE,
+              least: float = 0.0) -> tuple[DataFrame, dict]:
     """``members`` with a column rate; and the report: targets, totals and steps.
 
+    ``least`` (not negative) bounds the rates from below: 0 lets documents go, 1 only repeats documents of short domains.
+
     The targets' total is the least that asks for no domain to shrink: rates then rise where a domain is short.
     """
     d = range(len(domains))
@@ -123,7 +128,7 @@ def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float]
         if max(abs(x) for x in miss) <= TOLERANCE:
             break
         move = sum((F.col(f"p{i}") * F.lit(size * miss[i]) for i in d), F.lit(0.0))
-        now_rate = F.greatest(F.lit(0.0), now_rate + F.when(F.col("tokens") > 0, move).otherwise(F.lit(0.0)))
+        now_rate = F.greatest(F.lit(float(max(0.0, least))), now_rate + F.when(F.col("tokens") > 0, move).otherwise(F.lit(0.0)))
         steps += 1
         if steps % STEPS_PER_TABLE == 0:  # keeps the expression short and the lineage cut
             now, now_rate = materialize(now.withColumn("rate", now_rate), "mix-rates"), F.col("rate")
@@ -131,7 +136,8 @@ def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float]
     return now.withColumn("rate", now_rate), {"domains": domains, "targets": target, "totals": at, "steps": steps}
 
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, limit: int = LABELLED) -> tuple[DataFrame, dict]:
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, limit: int = LABELLED,
+        least: float = 0.0) -> tuple[DataFrame, dict]:
     """(doc_id, text_hash, nth, tokens, domain, posterior, rate, copies) of every row, and the fit's report.
 
     copies: the whole part of the rate, and one more with the probability of the rest, by a hash of the row.
@@ -142,7 +148,7 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
         domains, priors = ["all"], [0.0]
         model = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0.0).alias("l0"))
     members = materialize(posteriors(docs, domains, model, priors), "mix-members")
-    rated, report = fit_rates(members, domains, weights)
+    rated, report = fit_rates(members, domains, weights, least=least)
     best = F.greatest(*[F.struct(F.col(f"p{i}").alias("p"), F.lit(x).alias("domain")) for i, x in enumerate(domains)]) if len(domains) > 1 \
         else F.struct(F.col("p0").alias("p"), F.lit(domains[0]).alias("domain"))
     u = F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash", "nth", F.lit(SEED)), 11) / float(1 << 53)
@@ -151,9 +157,9 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
                                                  F.round("best.p", 9).alias("posterior"), "rate", copies.alias("copies")), report
 
 
-def mixed_docs(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None) -> DataFrame:
+def mixed_docs(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, least: float = 0.0) -> DataFrame:
     """The rows of ``docs``, each as often as its copies say, with its columns."""
-    got, _ = mix(docs, labelled, weights)
+    got, _ = mix(docs, labelled, weights, least=least)
     # Repeated rows of one document and text share a row here: their copies are dealt as their number and the rest.
     times = got.groupBy(F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_hash")).agg(
         F.sum("copies").alias("_k_copies"), F.count(F.lit(1)).alias("_k_rows"))
@@ -176,5 +182,5 @@ def domains_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 @register("op6_mixing")
 def op6_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    got, _ = mix(docs, domains_of(docs, table(spark, sf_dir, "labels")))
+    got, _ = mix(docs, domains_of(docs, table(spark, sf_dir, "labels")), least=LEAST_RATE)
     return got.select("doc_id", "tokens", "domain", "posterior", "rate", "copies")
