@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bm25, bpe, exact_dedup, langid, mixing, quality, shards, simhash, url_filter  # noqa: F401
+from . import bm25, bpe, exact_dedup, langid, mixing, quality, shards, simhash, suffix_dedup, url_filter  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
