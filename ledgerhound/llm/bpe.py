@@ -1,13 +1,13 @@
 """Byte-level BPE encoding and decoding by a global shuffle of distinct words.
 
-Texts are read in blocks. A block is pre-tokenised and its pre-tokens are exploded to (word, block, positions): one row for
-each distinct word of the block with all its positions there. The rows meet by word, so each distinct word of the corpus is encoded
-once; the rows, now with the word's ids, then meet again by block, where ids are put back by position. Positions cross the shuffles as
-deltas of one to a few bytes. Decoding joins every id with the token-byte table of the vocabulary (fixed, 50 thousand rows) and
-concatenates the bytes by position.
+Texts are read in blocks. A block is pre-tokenised and its pre-tokens are exploded to (word, position): the distinct words of the
+block are numbered, frequent ones first, and its positions hold numbers. The words go to buckets by their hash, so the rows of a
+word meet and each distinct word of the corpus is encoded once; its ids go back to the blocks that asked, are joined to the
+numbers, and put in order by position. Decoding joins every id with the token-byte table of the vocabulary (fixed, 50 thousand
+rows) and concatenates the bytes by position.
 
-Hot words: a word takes one row for each block, whatever its count, and a word that fills over ``HOT_SHARE`` of a block is dealt by
-word and block, so no task gets all positions of a common word (such words are encoded once a block).
+Rows of the shuffles are compressed bundles: the words of one block and bucket, or a block's positions. A word costs a block
+one entry, however often it occurs, so a very common word is no hot key: its bucket gets one entry a block.
 
 Null text is empty; an empty text has no ids. A very long text is a block of its own. Repeated rows are separate
 rows of a block. An empty table gives no rows. Special tokens have no meaning here: their strings are ordinary text.
@@ -18,6 +18,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import itertools
+import zlib
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,14 +31,35 @@ from pyspark.sql import functions as F
 from .common import arrow_rows, table, text_rows, width
 from .registry import register
 
-BLOCK_CHARS = 4_000_000
-HOT_SHARE = 0.005
-#: Rows of the shuffles; word null: the block's documents (ids, their counts of words).
-ROW = "block long, word binary, hot long, places binary, ids binary"
-SCHEMA = pa.schema([("block", pa.int64()), ("word", pa.binary()), ("hot", pa.int64()), ("places", pa.binary()), ("ids", pa.binary())])
+BLOCK_CHARS = 12_000_000
+#: Buckets of words for each shuffle partition.
+BUCKETS_PER_PARTITION = 2
+#: A bundle: the words of a block and bucket, or their ids, or (bucket -1) the documents and positions of a block.
+ROW = "block long, bucket long, payload binary"
+SCHEMA = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("payload", pa.binary())])
 OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 
 
+def bundle(*arrays: np.ndarray) -> bytes:
+    """Arrays as one compressed string; each is stored with its type and length."""
+    raw = b"".join(part for a in arrays for part in (a.dtype.str.encode().ljust(8), len(a).to_bytes(8, "little"), a.tobytes()))
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def unbundle(payload: bytes) -> list[np.ndarray]:
+    raw = pa.decompress(payload[8:], int.from_bytes(payload[:8], "little"), codec="zstd", asbytes=True)
+    out, at = [], 0
+    while at < len(raw):
+        a = np.frombuffer(raw, raw[at:at + 8].decode().strip(), int.from_bytes(raw[at + 8:at + 16], "little"), at + 16)
+        out.append(a)
+        at += 16 + a.nbytes
+    return out
+
+
+def _rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), SCHEMA, strict=True)], schema=SCHEMA)
+
+
 @lru_cache(maxsize=2)
 def load_ranks(path: str) -> dict[bytes, int]:
     """The rank of each token's bytes; ``path``: a rank file on every machine (it comes with an installed package)."""
@@ -61,8 +83,8 @@ def token_table(path: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.cumsum(size) - size, size, np.frombuffer(b"".join(by_id), np.uint8)
 
 
-def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(bytes, bytes of each value): seven bits a byte, the last byte of a value has the high bit clear."""
+def pack(values: np.ndarray) -> np.ndarray:
+    """Seven bits a byte; the last byte of a value has the high bit clear."""
     v = values.astype(np.uint64)
     n = 1 + sum((v >= np.uint64(1 << 7 * k)).astype(np.int64) for k in range(1, 5))
     ends = np.cumsum(n)
@@ -71,20 +93,19 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         has = n > k
         more = (n[has] > k + 1).astype(np.uint8) << 7
         out[(ends - n)[has] + k] = ((v[has] >> np.uint64(7 * k)) & np.uint64(127)).astype(np.uint8) | more
-    return out, n
+    return out
 
 
-def unpack(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(values, index of each value's last byte)."""
+def unpack(data: np.ndarray) -> np.ndarray:
     last = np.flatnonzero(data < 128)
     first = np.r_[0, last[:-1] + 1] if len(last) else last
     place = (np.arange(len(data)) - np.repeat(first, last - first + 1)).astype(np.uint64)
     parts = (data & np.uint8(127)).astype(np.uint64) << (place * np.uint64(7))
-    return (np.add.reduceat(parts, first).astype(np.int64) if len(first) else np.zeros(0, np.int64)), last
+    return np.add.reduceat(parts, first).astype(np.int64) if len(first) else np.zeros(0, np.int64)
 
 
-def _explode(pattern: str):
-    """Blocks of texts -> a row for each distinct word of a block, and one for the block's documents."""
+def _explode(pattern: str, buckets: int):
+    """Blocks of texts -> their words by bucket, and the numbers of the words by position."""
     find = regex.compile(pattern).findall
 
     def block_rows(block: int, texts: list[tuple]) -> pa.RecordBatch:
@@ -95,24 +116,22 @@ def _explode(pattern: str):
             words = find(text)
             parts.append(np.fromiter((place(w, len(known)) for w in words), np.int32, len(words)))
             counts.append(len(words))
-        local = np.concatenate(parts) if parts else np.zeros(0, np.int32)
-        order = np.argsort(local, kind="stable")
-        n = np.bincount(local, minlength=len(known))
-        ends = np.cumsum(n)
-        delta = np.diff(order, prepend=0)
-        heads = (ends - n)[n > 0]
-        delta[heads] = order[heads]
-        data, sizes = pack(delta)
-        offsets = np.r_[0, np.cumsum(sizes)[ends - 1]].astype(np.int32) if len(known) else np.zeros(1, np.int32)
-        hot = np.where(n > max(64, HOT_SHARE * len(local)), block, -1)
-        docs = np.array([d if d is not None else 0 for d, _ in texts], "<i8").tobytes()
-        nulls = np.array([d is None for d, _ in texts], np.uint8).tobytes()
-        head = len(texts).to_bytes(8, "little") + docs + nulls + np.array(counts, "<i8").tobytes()
-        words = [w.encode() for w in known]
-        return pa.record_batch([
-            pa.array(np.full(len(words) + 1, block)), pa.array([None, *words], pa.binary()), pa.array(np.r_[block, hot].astype(np.int64)),
-            pa.concat_arrays([pa.array([head], pa.binary()), pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer(offsets), pa.py_buffer(data)])]),
-            pa.nulls(len(words) + 1, pa.binary())], schema=SCHEMA)
+        seen = np.concatenate(parts)
+        often = np.argsort(-np.bincount(seen, minlength=len(known)), kind="stable")
+        number = np.empty(len(known), np.int64)
+        number[often] = np.arange(len(known))
+        encoded = [w.encode() for w in known]
+        words = [encoded[k] for k in often.tolist()]
+        bucket = np.fromiter((zlib.crc32(w) % buckets for w in words), np.int32, len(words))
+        ids = np.array([d if d is not None else 0 for d, _ in texts], np.int64)
+        nulls = np.array([d is None for d, _ in texts], np.uint8)
+        out = [(block, -1, bundle(ids, nulls, np.array(counts, np.int64), bucket, pack(number[seen])))]
+        order = np.argsort(bucket, kind="stable")
+        heads = np.flatnonzero(np.r_[True, np.diff(bucket[order]) != 0]) if len(order) else []
+        for a, b in zip(heads, [*heads[1:], len(order)] if len(order) else [], strict=True):
+            own = [words[k] for k in order[a:b].tolist()]
+            out.append((block, int(bucket[order[a]]), bundle(np.array([len(w) for w in own], np.int32), np.frombuffer(b"".join(own), np.uint8))))
+        return _rows(out)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -123,57 +142,50 @@ def _explode(pattern: str):
             texts.append((doc_id, text or ""))
             held += len(texts[-1][1])
             if held >= BLOCK_CHARS:
-                yield from _slices(block_rows(next(numbers), texts))
+                yield block_rows(next(numbers), texts)
                 texts, held = [], 0
         if texts:
-            yield from _slices(block_rows(next(numbers), texts))
+            yield block_rows(next(numbers), texts)
     return run
 
 
-def _slices(batch: pa.RecordBatch, rows: int = 20_000) -> Iterator[pa.RecordBatch]:
-    for at in range(0, batch.num_rows, rows):
-        yield batch.slice(at, rows)
-
-
 def _encode(path: str, pattern: str):
-    """Rows sorted by word: each word is encoded when it first comes up; its ids replace it."""
+    """Rows sorted by bucket: each word of a bucket is encoded when it first comes up; the ids replace the words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece, last, ids = encoder(path, pattern)._encode_single_piece, None, b""
-        for batch in batches:
-            out = []
-            for word in batch.column("word").to_pylist():
-                if word is None:
-                    out.append(None)
-                    continue
-                if word != last:
-                    last, ids = word, np.array(piece(word), "<u4").tobytes()
-                out.append(ids)
-            yield pa.record_batch([batch.column("block"), batch.column("places"), pa.array(out, pa.binary())], names=["block", "places", "ids"])
+        piece, now = encoder(path, pattern)._encode_single_piece, None
+        known: dict[bytes, list[int]] = {}
+        for block, bucket, payload in arrow_rows(batches, "block", "bucket", "payload"):
+            if bucket >= 0:
+                if bucket != now:
+                    known, now = {}, bucket
+                sizes, data = unbundle(payload)
+                raw, ids, counts = data.tobytes(), [], []
+                ends = np.cumsum(sizes)
+                for a, b in zip((ends - sizes).tolist(), ends.tolist(), strict=True):
+                    word = raw[a:b]
+                    own = known.get(word)
+                    if own is None:
+                        own = known[word] = piece(word)
+                    ids += own
+                    counts.append(len(own))
+                payload = bundle(np.array(counts, np.int32), np.array(ids, np.uint32))
+            yield _rows([(block, bucket, payload)])
     return run
 
 
-def assemble(rows: list[tuple[bytes, bytes | None]]) -> tuple[list[int | None], np.ndarray, np.ndarray]:
-    """(doc_ids, ids in each document, all ids in order) of the rows of one block: (places, ids)."""
-    head = next(p for p, ids in rows if ids is None)
-    n = int.from_bytes(head[:8], "little")
-    docs = np.frombuffer(head, "<i8", n, 8).tolist()
-    nulls = np.frombuffer(head, np.uint8, n, 8 + 8 * n)
-    counts = np.frombuffer(head, "<i8", n, 8 + 9 * n)
-    words = [(p, ids) for p, ids in rows if ids is not None]
-    data = np.frombuffer(b"".join(p for p, _ in words), np.uint8)
-    delta, last = unpack(data)
-    ends = np.searchsorted(last, np.cumsum([len(p) for p, _ in words]) - 1) + 1 if words else np.zeros(0, np.int64)
-    times = np.diff(ends, prepend=0)
-    run = np.cumsum(delta)
-    starts = ends - times
-    before = np.where(starts > 0, run[starts - 1], 0) if len(run) else starts
-    at = run - np.repeat(before, times)  # position of every word
-    flat = np.frombuffer(b"".join(ids for _, ids in words), "<u4")
-    size = np.array([len(ids) // 4 for _, ids in words], np.int64)
-    first = np.cumsum(size) - size
-    word_size, word_first = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
-    word_size[at], word_first[at] = np.repeat(size, times), np.repeat(first, times)
-    return [None if z else d for d, z in zip(docs, nulls, strict=True)], _sums(word_size, counts), flat[_spans(word_first, word_size)]
+def assemble(positions: bytes, replies: list[bytes]) -> tuple[list[int | None], np.ndarray, np.ndarray]:
+    """(doc_ids, ids in each document, all ids in order) of a block; ``replies``: the words' ids, by bucket."""
+    docs, nulls, counts, bucket, numbers = unbundle(positions)
+    number = unpack(numbers)
+    back = [unbundle(p) for p in replies]
+    size, first = np.zeros(len(bucket), np.int64), np.zeros(len(bucket), np.int64)
+    if back:
+        sizes = np.concatenate([b[0] for b in back]).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        size[order], first[order] = sizes, np.cumsum(sizes) - sizes
+    flat = np.concatenate([b[1] for b in back]) if back else np.zeros(0, np.uint32)
+    return ([None if z else d for d, z in zip(docs.tolist(), nulls.tolist(), strict=True)], _sums(size[number], counts),
+            flat[_spans(first[number], size[number])])
 
 
 def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -189,12 +201,12 @@ def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def _reassemble(path: str, make, schema: pa.Schema):
-    """Rows sorted by block -> what ``make`` returns for each document's (doc_id, ids, decoded bytes)."""
+    """Rows sorted by block, positions first -> what ``make`` returns for each document's (doc_id, ids, decoded bytes)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, size, token_bytes = token_table(path)
 
-        def finished(rows: list[tuple]) -> pa.RecordBatch:
-            docs, counts, ids = assemble(rows)
+        def finished(payloads: list[bytes]) -> pa.RecordBatch:
+            docs, counts, ids = assemble(payloads[0], payloads[1:])
             decoded = token_bytes[_spans(start[ids], size[ids])]  # the join with the token-byte table
             n_bytes, at, byte_at, out = _sums(size[ids], counts), 0, 0, []
             for doc_id, n, b in zip(docs, counts.tolist(), n_bytes.tolist(), strict=True):
@@ -202,24 +214,18 @@ def _reassemble(path: str, make, schema: pa.Schema):
                 at, byte_at = at + n, byte_at + b
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-        now, rows = None, []
-        for block, places, ids in arrow_rows(batches, "block", "places", "ids"):
-            if block != now and rows:
-                yield finished(rows)
-                rows = []
-            now = block
-            rows.append((places, ids))
-        if rows:
-            yield finished(rows)
+        rows = arrow_rows(batches, "block", "payload")
+        for _, group in itertools.groupby(rows, lambda r: r[0]):
+            yield finished([payload for _, payload in group])
     return run
 
 
 def _met(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     n = width(docs.sparkSession)
-    words = text_rows(docs).mapInArrow(_explode(pattern), ROW).select("block", "word", "hot", "places")
-    by_word = words.repartition(n, "word", "hot").sortWithinPartitions("word")
-    ids = by_word.mapInArrow(_encode(path, pattern), "block long, places binary, ids binary")
-    return ids.repartition(n, "block").sortWithinPartitions("block")
+    words = text_rows(docs).mapInArrow(_explode(pattern, n * BUCKETS_PER_PARTITION), ROW)
+    # Positions only pass through here, dealt by their block.
+    met = words.repartition(n, F.when(F.col("bucket") >= 0, F.col("bucket")).otherwise(F.col("block"))).sortWithinPartitions("bucket", "block")
+    return met.mapInArrow(_encode(path, pattern), ROW).repartition(n, "block").sortWithinPartitions("block", "bucket")
 
 
 def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
