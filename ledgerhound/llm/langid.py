@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, table
+from .common import arrow_rows, fresh, table
 from .registry import register
 
 SAMPLE_TEXTS = 64
@@ -180,7 +180,8 @@ def labelled_sample(docs: DataFrame, lang: str, where: Column) -> dict[str, list
 
 def predict(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
     """``keep`` columns and lang_pred, score of every whole text."""
-    rows = docs.select(*keep, F.col("text").cast("string").alias("text"))
+    (whole,) = fresh(docs.select(*keep), "text")
+    rows = docs.select(*keep, F.col("text").cast("string").alias(whole))
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.select(*keep).schema) + ", lang_pred string, score double"
     if model is None:
         return rows.select(*keep, F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
@@ -192,7 +193,7 @@ def predict(docs: DataFrame, model: Model | None, *keep: str) -> DataFrame:
             found: list[tuple[str, float]] = []
             seqs: list[np.ndarray] = []
             held = 0
-            for (text,) in arrow_rows([batch], "text"):
+            for (text,) in arrow_rows([batch], whole):
                 seqs.append(letters(text or "", own.classes))
                 held += len(seqs[-1])
                 if held > CHUNK_CHARS:

@@ -56,13 +56,15 @@ def labelled_rows(docs: DataFrame, labelled: DataFrame, limit: int = LABELLED) -
     return rows.join(F.broadcast(some), F.col("doc_id") == F.col("l_id")).select("text", "domain")  # at most ``limit`` small rows
 
 
-def train(docs: DataFrame, labelled: DataFrame, limit: int = LABELLED) -> tuple[list[str], DataFrame, list[float]]:
+def train(docs: DataFrame, labelled: DataFrame, limit: int = LABELLED) -> tuple[list[str], DataFrame | None, list[float]]:
     """(domains, one row of log likelihoods for each bucket, log priors)."""
     rows = materialize(labelled_rows(docs, labelled, limit), "mix-labelled")
     sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).limit(MAX_DOMAINS + 1).collect()}
     if len(sizes) > MAX_DOMAINS:
         raise ValueError(f"more than {MAX_DOMAINS} domains are labelled")
     domains = sorted(sizes)
+    if not domains:
+        return [], None, []
     each = [F.count(F.when(F.col("domain") == d, 1)).alias(f"c{i}") for i, d in enumerate(domains)]
     counts = materialize(word_counts(rows, "domain").groupBy("bucket").agg(*each), "mix-counts")
     totals = counts.agg(*[F.sum(f"c{i}").alias(f"c{i}") for i in range(len(domains))]).first()
@@ -74,7 +76,7 @@ def train(docs: DataFrame, labelled: DataFrame, limit: int = LABELLED) -> tuple[
     return domains, materialize(model, "mix-model"), [math.log(sizes[d] / everything) for d in domains]
 
 
-def posteriors(docs: DataFrame, domains: list[str], model: DataFrame | None, priors: list[float]) -> DataFrame:
+def posteriors(docs: DataFrame, domains: list[str], model: DataFrame, priors: list[float]) -> DataFrame:
     """(doc_id, text_hash, nth, tokens, p0, p1, ...) of every row; nth numbers repeated rows."""
     rows = text_rows(docs).select("doc_id", "text", row_hash(F.col("text")).alias("text_hash"))
     d = range(len(domains))
