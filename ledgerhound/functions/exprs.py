@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 MONEY = "decimal(18,2)"
@@ -38,13 +38,3 @@ def real_text(d: Column) -> Column:
     """Text of a whole-number REAL as SQLite prints it (``12345.0``), built from
     a decimal so it never falls into scientific notation."""
     return F.concat(d.cast("decimal(38,0)").cast("string"), F.lit(".0"))
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    """Broadcast ``df`` only after checking it has at most ``max_rows`` rows.
-
-    Beyond the bound the frame is returned unchanged and the planner (with AQE
-    runtime statistics) picks a shuffled join.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df

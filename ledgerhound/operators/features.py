@@ -97,11 +97,14 @@ def rolling_features(daily: DataFrame, fp: FeatureParams = FeatureParams()) -> D
     return daily.select("customer_key", "date_key", *cols)
 
 
-def dense_grid(daily: DataFrame, n_days: int) -> DataFrame:
+def dense_grid(daily: DataFrame, n_days: int | None = None) -> DataFrame:
     """O-48: the zero-filled customer x day grid over days 0..n_days-1 for the
-    customers present in ``daily``. Days are generated per customer with
+    customers present in ``daily``. Without ``n_days`` the horizon is the last
+    active day (one small job reads it). Days are generated per customer with
     ``sequence`` + ``explode`` (no join of two relations); kept as an operator for
     users who need the zero days themselves."""
+    if n_days is None:
+        n_days = (daily.agg(F.max("date_key")).first()[0] or 0) + 1
     customers = daily.select("customer_key").distinct()
     grid = customers.select("customer_key", F.explode(F.sequence(F.lit(0), F.lit(n_days - 1))).alias("date_key"))
     g = grid.join(daily, ["customer_key", "date_key"], "left")
@@ -132,10 +135,6 @@ def account_summary(dim_account: DataFrame) -> DataFrame:
                                                    F.min("opened_days_ago").alias("newest_account_age"))
 
 
-def _ratio(num: Column, den: Column) -> Column:
-    return num.cast("double") / den
-
-
 def add_ratios(df: DataFrame, eps: float = 1e-9) -> DataFrame:
     """O-56: the 15 ratio features, denominators + epsilon as in the reference."""
     c = {n: F.col(n).cast("double") for n in df.columns}
@@ -197,7 +196,7 @@ def label_alerts(alerts: DataFrame, campaign: DataFrame, grace: int = 7) -> Data
 
 
 def feature_matrix(frame: DataFrame) -> DataFrame:
-    """O-57: model inputs (the frame minus the blocklist), numeric NULL/NaN -> 0.
+    """O-57: model inputs (the frame minus the blocklist); NULL, NaN and both infinities -> 0.
 
     ``alert_id`` is kept as the row key; it is never a model input."""
     cols = [c for c in frame.columns if c not in FEATURE_BLOCKLIST]
@@ -207,5 +206,6 @@ def feature_matrix(frame: DataFrame) -> DataFrame:
             out.append(F.col(c))
         else:
             v = F.col(c).cast("double")
-            out.append(F.coalesce(F.nanvl(v, F.lit(0.0)), F.lit(0.0)).alias(c))
+            finite = v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf"))
+            out.append(F.when(finite, v).otherwise(F.lit(0.0)).alias(c))
     return frame.select(*out)

@@ -45,14 +45,14 @@ SELECT 'E' || CAST(e.event_id AS VARCHAR) AS txn_id,
        CAST(date_diff('day', DATE '2024-01-01', CAST(e.ts AS DATE)) AS INTEGER) AS date_key,
        e.user_id * 2 + e.event_id % 2 AS account_key,
        e.user_id AS customer_key,
-       n.n_name AS counterparty_country,
+       COALESCE(n.n_name, 'UNK') AS counterparty_country,
        'P' || CAST({K} AS VARCHAR) AS counterparty_id,
        CAST(hour(e.ts) AS INTEGER) AS hour_of_day,
        CAST(ROUND(e.value * 100, 2) AS DECIMAL(18,2)) AS amount_cad,
        CASE WHEN {K} % 2 = 0 THEN 'credit' ELSE 'debit' END AS direction,
        CASE e.event_type WHEN 'purchase' THEN 'cash' WHEN 'signup' THEN 'wire' WHEN 'click' THEN 'emt'
                          WHEN 'error' THEN 'cheque' WHEN 'view' THEN 'pos' END AS channel
-FROM events e JOIN nation n ON n.n_nationkey = e.event_id % 25""")
+FROM events e LEFT JOIN nation n ON n.n_nationkey = e.event_id % (SELECT COUNT(*) FROM nation)""")
 
 cte("dim_country", """
 SELECT n_name AS country_code,

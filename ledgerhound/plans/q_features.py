@@ -14,7 +14,6 @@ from .store import stored
 from .warehouse import Monitoring
 
 FP = FeatureParams()
-EVT_DAYS = 30
 
 
 class Scoring(Monitoring):
@@ -31,7 +30,7 @@ class Scoring(Monitoring):
     @cached_property
     def labelled(self):
         return stored(self.spark, self.sf_dir, "evt_labelled",
-                      lambda: fe.label_alerts(self.alerts, self.campaigns, FP.label_grace_days))
+                      lambda: fe.label_alerts(self.alerts, self.campaigns, FP.label_grace_days), (self.rule_params, FP))
 
     @cached_property
     def frame(self):
@@ -40,7 +39,7 @@ class Scoring(Monitoring):
                                  self.dim_rule, FP)
             lab = self.labelled.select("alert_id", "is_true_positive")
             return f.join(lab, "alert_id", "left")
-        return stored(self.spark, self.sf_dir, "evt_frame", build)
+        return stored(self.spark, self.sf_dir, "evt_frame", build, (self.rule_params, FP))
 
 
 # ----------------------------------------------------------------- oracle
@@ -155,11 +154,11 @@ _GRID_OUT = ", ".join(f"CAST(COALESCE(d.{m}, 0) AS {'DOUBLE' if m in _MONEY else
 
 @register("dense_grid", with_ctes(f"""
 SELECT g.customer_key, g.date_key, {_GRID_OUT}
-FROM (SELECT c.customer_key, CAST(s.d AS INTEGER) AS date_key
-      FROM (SELECT DISTINCT customer_key FROM evt_daily) c, range(0, {EVT_DAYS}) AS s(d)) g
+FROM (SELECT customer_key, CAST(unnest(range(0, (SELECT MAX(date_key) + 1 FROM evt_daily))) AS INTEGER) AS date_key
+      FROM (SELECT DISTINCT customer_key FROM evt_daily)) g
 LEFT JOIN evt_daily d ON d.customer_key = g.customer_key AND d.date_key = g.date_key""", "evt_daily"))
 def q_dense_grid(spark, sf):
-    g = fe.dense_grid(Scoring(spark, sf).daily, EVT_DAYS)
+    g = fe.dense_grid(Scoring(spark, sf).daily)
     return g.select("customer_key", F.col("date_key").cast("int").alias("date_key"), *fe.MEASURES)
 
 
@@ -200,7 +199,7 @@ def _matrix_sql() -> str:
         if c == "alert_id" or c in fe.CATEGORICAL:
             cols.append(c)
         else:
-            cols.append(f"COALESCE(CASE WHEN isnan(CAST({c} AS DOUBLE)) THEN 0.0 ELSE CAST({c} AS DOUBLE) END, 0.0) AS {c}")
+            cols.append(f"CASE WHEN isfinite(CAST({c} AS DOUBLE)) THEN CAST({c} AS DOUBLE) ELSE 0.0 END AS {c}")
     return "SELECT " + ", ".join(cols) + " FROM evt_frame"
 
 

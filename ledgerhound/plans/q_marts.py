@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import functions as F
 
 from ..operators import assertions as asr
@@ -293,19 +295,51 @@ def q_assert_nested(spark, sf):
     return asr.assert_nested_windows(fe.rolling_features(e.daily, FP))
 
 
-@register("assert_no_lookahead", "SELECT 'no_lookahead' AS check_name, CAST(0 AS BIGINT) AS violations")
-def q_assert_no_lookahead(spark, sf):
-    """O-116: add, for every customer, a copy of their last-day transactions one
-    day later; the features of the original alerts must not change."""
-    e = Evaluation(spark, sf)
-    fact = e.fact
-    last = fact.groupBy("customer_key").agg(F.max("date_key").alias("_last"))
-    future = (fact.join(last, "customer_key").filter(F.col("date_key") == F.col("_last"))
-              .drop("_last").withColumn("date_key", F.col("date_key") + 1)
-              .withColumn("txn_id", F.concat(F.col("txn_id"), F.lit("-future")))
-              .select(*fact.columns))
+_PLANTED = Decimal("1000000.00")
+
+
+def later_alert_fact(fact, alerts):
+    """``fact`` and one very large transaction the day after every alert that its customer has a later alert
+    than; so the planted day lies inside the span that later alerts need. And the planted alerts' number."""
+    last = alerts.groupBy("customer_key").agg(F.max("date_key").alias("_last"))
+    days = (alerts.join(last, "customer_key").filter(F.col("date_key") < F.col("_last"))
+            .select("customer_key", (F.col("date_key") + 1).alias("date_key"), "alert_id"))
+    per_day = days.groupBy("customer_key", "date_key").agg(F.first("alert_id").alias("alert_id"))
+    own = fact.groupBy("customer_key").agg(F.min(F.struct(*fact.columns)).alias("_row")).select("_row.*")
+    planted = (per_day.join(own.drop("date_key"), "customer_key")
+               .withColumn("txn_id", F.concat(F.lit("planted-"), F.col("alert_id")))
+               .withColumn("amount_cad", F.lit(_PLANTED).cast("decimal(18,2)"))
+               .withColumn("direction", F.lit("credit")).withColumn("signed_amount_cad", F.lit(_PLANTED).cast("decimal(18,2)")))
+    return fact.unionByName(planted.select(*fact.columns)), days
+
+
+def lookahead_violations(e, frame=None):
+    """(planted transactions, alerts before a planted one, alerts whose features changed although only later days did).
+
+    An alert is compared when every transaction planted for its customer lies after its date: that holds for the
+    first alert day of each customer with a later one. ``frame`` computes the features (a test passes a leaky one)."""
+    frame = frame or (lambda fact: fe.feature_frame(e.alerts, fact, e.dim_country, e.dim_customer, e.dim_account, e.dim_rule, FP))
+    more, days = later_alert_fact(e.fact, e.alerts)
+    first = days.groupBy("customer_key").agg((F.min("date_key") - 1).alias("date_key"))
+    compared = e.alerts.join(first, ["customer_key", "date_key"], "left_semi").select("alert_id")
     cols = (["alert_id"] + fe.rolling_names(FP.windows) + ["active_days_90d"] + fe.RATIOS)
-    base = fe.feature_frame(e.alerts, fact, e.dim_country, e.dim_customer, e.dim_account, e.dim_rule, FP)
-    bumped = fe.feature_frame(e.alerts, fact.unionByName(future), e.dim_country, e.dim_customer, e.dim_account,
-                              e.dim_rule, FP)
-    return asr.assert_same(base.select(*cols), bumped.select(*cols), "no_lookahead")
+    base = frame(e.fact).join(compared, "alert_id", "left_semi").select(*cols)
+    bumped = frame(more).join(compared, "alert_id", "left_semi").select(*cols)
+    counts = (days.select("customer_key", "date_key").distinct().agg(F.count(F.lit(1)).alias("planted"))
+              .select(F.lit("planted_transactions").alias("check_name"), F.col("planted").alias("violations")))
+    tested = compared.agg(F.count(F.lit(1)).alias("n")).select(F.lit("compared_alerts").alias("check_name"), F.col("n").alias("violations"))
+    return counts.unionByName(tested).unionByName(asr.assert_same(base, bumped, "no_lookahead"))
+
+
+@register("assert_no_lookahead", with_ctes("""
+SELECT 'planted_transactions' AS check_name, COUNT(*) AS violations FROM (
+  SELECT DISTINCT customer_key, date_key FROM evt_alerts a
+  WHERE EXISTS (SELECT 1 FROM evt_alerts b WHERE b.customer_key = a.customer_key AND b.date_key > a.date_key))
+UNION ALL SELECT 'compared_alerts', COUNT(*) FROM evt_alerts a
+  JOIN (SELECT customer_key, MIN(date_key) AS lo, MAX(date_key) AS hi FROM evt_alerts GROUP BY customer_key) s
+    ON s.customer_key = a.customer_key AND a.date_key = s.lo AND s.hi > s.lo
+UNION ALL SELECT 'no_lookahead', CAST(0 AS BIGINT)""", "evt_alerts"))
+def q_assert_no_lookahead(spark, sf):
+    """O-116: a very large transaction on the day after every alert that is not its customer's last must not change
+    the features of the alerts before it. The rows also count what was planted and compared."""
+    return lookahead_violations(Evaluation(spark, sf))

@@ -233,7 +233,7 @@ def scored_table(spark, sf):
     def build():
         e = Evaluation(spark, sf)
         return ev.scored_alerts(e.scored, ev.threshold_value(e.part("valid")), EP).select(*SCORED_COLS)
-    return stored(spark, sf, "evt_scored_alerts", build)
+    return stored(spark, sf, "evt_scored_alerts", build, (Evaluation(spark, sf).rule_params, EP, FIXTURE_SPLIT))
 
 
 @register("scored_alerts", with_ctes("SELECT " + ", ".join(SCORED_COLS) + " FROM evt_scored_alerts",

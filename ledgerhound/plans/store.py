@@ -6,22 +6,24 @@ as parquet under the cluster's shared checkpoint folder and read back, which
 both shares the work between queries and cuts lineage (a lost executor
 re-reads parquet instead of replaying the whole build).
 
-Tables are keyed by the input folder and a fingerprint of its files (name,
-size, modification time), so changed inputs get a fresh table.
+A table's place is named by everything it depends on: the input folder's files
+(name, size, modification time, at any depth), the package's source, the
+namespace and the parameters that its plan was given. Another parameter or a
+changed input is another table, in memory as well as on disk.
 """
 
 from __future__ import annotations
 
 import hashlib
 import os
+import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
 
-STORE_VERSION = "1"
+STORE_VERSION = "2"
 NAMESPACE_CONF = "spark.ledgerhound.store.namespace"
 _OPEN: dict[tuple, DataFrame] = {}
 
@@ -42,42 +44,63 @@ def _code_hash() -> str:
 _CODE = _code_hash()
 
 
+def _fs(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
 def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
     ns = spark.conf.get(NAMESPACE_CONF, "default")
-    h = hashlib.sha1(f"{STORE_VERSION}|{_CODE}|{ns}|{os.path.abspath(sf_dir)}".encode())
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(sf_dir)
-    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for st in sorted(fs.listStatus(path), key=lambda s: s.getPath().getName()):
-        h.update(f"|{st.getPath().getName()}:{st.getLen()}:{st.getModificationTime()}".encode())
+    fs, path = _fs(spark, sf_dir)
+    root = fs.makeQualified(path).toString()
+    h = hashlib.sha1(f"{STORE_VERSION}|{_CODE}|{ns}|{root}".encode())
+    files, found = fs.listFiles(path, True), []
+    while files.hasNext():
+        st = files.next()
+        found.append(f"|{st.getPath().toString()}:{st.getLen()}:{st.getModificationTime()}")
+    h.update("".join(sorted(found)).encode())
     return h.hexdigest()[:16]
 
 
-def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Return table ``name`` for ``sf_dir``, building and writing it on first use."""
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), name)
-    if key in _OPEN:
-        return _OPEN[key]
-    root = os.path.join(ensure_checkpoint_dir(spark), "tables", _fingerprint(spark, sf_dir))
-    path = os.path.join(root, name)
-    df = None
-    if _committed(spark, path):
-        try:
-            df = spark.read.parquet(path)
-        except AnalysisException:
-            df = None
-    if df is None:
-        # A missing table, or one whose writing job never committed (driver lost
-        # mid-write): rebuild it whole.
-        build().write.mode("overwrite").parquet(path)
-        df = spark.read.parquet(path)
-    _OPEN[key] = df
-    return df
+def table_name(name: str, params: tuple = ()) -> str:
+    """``name``, and a hash of the parameter objects that the plan was given."""
+    return f"{name}-{hashlib.sha1(repr(params).encode()).hexdigest()[:10]}" if params else name
+
+
+def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], DataFrame], params: tuple = ()) -> DataFrame:
+    """Return table ``name`` for ``sf_dir`` and ``params``, building and writing it on first use.
+
+    This writes when called, before any action on the result.
+    """
+    mark = _fingerprint(spark, sf_dir)
+    key = (spark.sparkContext.applicationId, mark, name, params)
+    if key not in _OPEN:
+        path = os.path.join(ensure_checkpoint_dir(spark), "tables", mark, table_name(name, params))
+        _OPEN[key] = spark.read.parquet(_written(spark, path, build))
+    return _OPEN[key]
+
+
+def _written(spark: SparkSession, path: str, build: Callable[[], DataFrame]) -> str:
+    """The folder of the committed table: ``path``, or the next free name where a writer left ``path`` unfinished.
+
+    The table is written aside and renamed, so readers never see a part of it; of two sessions that build one
+    table the first to rename wins, and the other reads that.
+    """
+    fs, _ = _fs(spark, path)
+    place, n = path, 0
+    while not _committed(spark, place):
+        if fs.exists(_fs(spark, place)[1]):
+            n += 1
+            place = f"{path}.{n}"
+            continue
+        aside = f"{path}.{uuid.uuid4().hex}.writing"
+        build().write.parquet(aside)
+        if not _committed(spark, place):
+            fs.rename(_fs(spark, aside)[1], _fs(spark, place)[1])
+    return place
 
 
 def _committed(spark: SparkSession, path: str) -> bool:
     """True when the job that wrote ``path`` committed (its ``_SUCCESS`` marker exists)."""
-    jvm = spark.sparkContext._jvm
-    marker = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
-    fs = marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, marker = _fs(spark, f"{path}/_SUCCESS")
     return bool(fs.exists(marker))

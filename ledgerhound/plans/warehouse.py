@@ -2,7 +2,8 @@
 
 ``Warehouse`` builds the LIN star schema (staging -> dims -> dedup ->
 quarantine -> fact). ``Monitoring`` holds the EVT fact with its dims and the
-alert table. Everything is lazy; nothing is computed until a caller acts.
+alert table. A property that names a shared table writes it on first touch
+(``store.stored``); the others are lazy plans.
 """
 
 from __future__ import annotations
@@ -43,8 +44,8 @@ class Warehouse:
     def stg_accounts(self) -> DataFrame:
         return ledgers.accounts_feed(self.spark, self.sf_dir)
 
-    def _stored(self, name, build):
-        return stored(self.spark, self.sf_dir, name, build)
+    def _stored(self, name, build, params=()):
+        return stored(self.spark, self.sf_dir, name, build, params)
 
     @cached_property
     def dim_customer(self) -> DataFrame:
@@ -82,7 +83,8 @@ class Warehouse:
 
     @cached_property
     def alerts(self) -> DataFrame:
-        return self._stored("lin_alerts", lambda: run_rules(self.fact, self.dim_country, self.rule_params))
+        return self._stored("lin_alerts", lambda: run_rules(self.fact, self.dim_country, self.rule_params),
+                            (self.rule_params,))
 
 
 def run_rules(fact: DataFrame, dim_country: DataFrame, p: RuleParams) -> DataFrame:
@@ -128,7 +130,7 @@ class Monitoring:
     @cached_property
     def alerts(self) -> DataFrame:
         return stored(self.spark, self.sf_dir, "evt_alerts",
-                      lambda: run_rules(self.fact, self.dim_country, self.rule_params))
+                      lambda: run_rules(self.fact, self.dim_country, self.rule_params), (self.rule_params,))
 
 
 def sup_fact(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -10,27 +9,25 @@ from pyspark.sql import SparkSession
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
-def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "ledgerhound") -> SparkSession:
+def build_session(app_name: str = "ledgerhound", conf: dict[str, str] | None = None) -> SparkSession:
     """Create (or reuse) a session configured for this engine.
 
-    AQE stays on: it coalesces small shuffle partitions, converts joins to
-    broadcast when the *runtime* size of a side is under the threshold, and
-    splits skewed sort-merge join partitions.
+    Master, memory and shuffle partitions are the cluster's (or the caller's, by ``conf``). AQE stays on: it coalesces
+    small shuffle partitions, converts joins to broadcast when the *runtime* size of a side is under the threshold,
+    and splits skewed sort-merge join partitions.
     """
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    b = (SparkSession.builder
-         .master(master or f"local[{cpus}]")
-         .appName(app_name)
-         .config("spark.ui.enabled", "false")
-         .config("spark.ui.showConsoleProgress", "false")
-         .config("spark.sql.session.timeZone", "UTC")
-         .config("spark.sql.adaptive.enabled", "true")
-         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus))))
+    own = {
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+    }
+    b = SparkSession.builder.appName(app_name)
+    for k, v in (own | (conf or {})).items():
+        b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
@@ -40,14 +37,15 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local tests) do we create a private folder.
+    On a cluster ``spark.checkpoint.dir`` must name a folder that the driver and all executors share. Only a local
+    master (tests, one machine) gets a private folder where the setting is missing.
     """
-    path = spark.conf.get(CHECKPOINT_CONF, None)
+    sc = spark.sparkContext
+    path = spark.conf.get(CHECKPOINT_CONF, None) or sc.getCheckpointDir()
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="ledgerhound-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, path)
-    sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(path)
     return path
