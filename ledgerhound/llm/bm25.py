@@ -31,8 +31,8 @@ from .registry import register
 
 K1, B = 1.2, 0.75
 TOP = 10
-DOCS_PER_SHARD = 32_768
-BYTES_PER_SHARD = 128 << 20
+DOCS_PER_SHARD = 8_192
+BYTES_PER_SHARD = 32 << 20
 BLOCK_DOCS = 64
 #: Blocks that are scored between two looks at the bound.
 STRIDE = 16
