@@ -31,7 +31,7 @@ EFFECTIVE_WORDS = 20.0
 MAX_DOMAINS = 64
 MAX_STEPS = 200
 STEPS_PER_TABLE = 10
-TOLERANCE = 1e-4
+TOLERANCE = 1e-3
 #: The queries' target: a domain's share of the tokens to this power (rare domains are seen more often).
 TEMPERATURE = 0.7
 #: The queries keep every document at least once.
