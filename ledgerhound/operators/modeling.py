@@ -3,9 +3,9 @@
 Preparation is plain column expressions: numeric inputs are standardised with
 the training mean and population standard deviation, categoricals are one-hot
 encoded over the levels seen at least ``min_category_rows`` times in training
-(rarer levels pool into one ``infrequent`` slot, unseen levels encode as all
-zeros). Only the fitted statistics (two numbers per numeric input, the level
-lists) and the model coefficients reach the driver.
+(rarer levels pool into one ``infrequent`` slot; levels that training never had,
+and nulls, encode as all zeros). Only the fitted statistics (two numbers per
+numeric input, the level lists) and the model coefficients reach the driver.
 """
 
 from __future__ import annotations
@@ -22,6 +22,10 @@ from ..params import ModelParams
 
 Y = "is_true_positive"
 INFREQUENT = "infrequent"
+#: Relative to the mean, a deviation that is rounding noise: the input is constant and only centred.
+CONSTANT = 1e-9
+#: Levels of all categorical inputs together that a model may have.
+MAX_LEVELS = 20_000
 
 
 @dataclass
@@ -31,7 +35,7 @@ class Prep:
     means: dict[str, float]
     stds: dict[str, float]
     levels: dict[str, list[str]]
-    pooled: dict[str, bool]
+    pooled: dict[str, list[str]]
 
     @property
     def names(self) -> list[str]:
@@ -42,39 +46,42 @@ class Prep:
                 out.append(f"{c}_{INFREQUENT}")
         return out
 
+    @property
+    def inputs(self) -> list[str]:
+        """The column that each of ``names`` comes from."""
+        return [*self.num_cols, *[c for c in self.cat_cols for _ in range(len(self.levels[c]) + bool(self.pooled[c]))]]
+
 
 def fit_prep(train: DataFrame, num_cols: list[str], cat_cols: list[str], mp: ModelParams = ModelParams()) -> Prep:
     stats = train.agg(*[F.avg(c).alias(f"m_{c}") for c in num_cols],
                       *[F.stddev_pop(c).alias(f"s_{c}") for c in num_cols]).first()
     means = {c: float(stats[f"m_{c}"] or 0.0) for c in num_cols}
     stds = {c: float(stats[f"s_{c}"] or 0.0) for c in num_cols}
-    levels, pooled = {c: [] for c in cat_cols}, {c: False for c in cat_cols}
+    levels, pooled = {c: [] for c in cat_cols}, {c: [] for c in cat_cols}
     if cat_cols:
-        # One job for every categorical input: (input, level) counts, bounded by the level lists.
+        # One job for every categorical input: (input, level) counts.
         pairs = train.select(F.explode(F.array(*[F.struct(F.lit(c).alias("k"), F.col(c).cast("string").alias("v"))
                                                   for c in cat_cols])).alias("p"))
-        counts = pairs.groupBy("p.k", "p.v").count().collect()
+        counts = pairs.filter("p.v IS NOT NULL").groupBy("p.k", "p.v").count().limit(MAX_LEVELS + 1).collect()
+        if len(counts) > MAX_LEVELS:
+            raise ValueError(f"the categorical inputs {cat_cols} have more than {MAX_LEVELS} levels; free text is no categorical")
         for r in counts:
-            if r["count"] >= mp.min_category_rows:
-                levels[r["k"]].append(str(r["v"]))
-            else:
-                pooled[r["k"]] = True
-        levels = {c: sorted(v) for c, v in levels.items()}
+            (levels if r["count"] >= mp.min_category_rows else pooled)[r["k"]].append(r["v"])
+        levels, pooled = ({c: sorted(v) for c, v in x.items()} for x in (levels, pooled))
     return Prep(num_cols, cat_cols, means, stds, levels, pooled)
 
 
 def transform(df: DataFrame, prep: Prep, out: str = "features") -> DataFrame:
     cols = []
     for c in prep.num_cols:
-        sd = prep.stds[c] if prep.stds[c] > 0 else 1.0
+        sd = prep.stds[c] if prep.stds[c] > CONSTANT * max(1.0, abs(prep.means[c])) else 1.0
         cols.append(((F.col(c).cast("double") - prep.means[c]) / sd).alias(f"_x_{len(cols)}"))
     for c in prep.cat_cols:
         v = F.col(c).cast("string")
         for lvl in prep.levels[c]:
             cols.append((v == lvl).cast("double").alias(f"_x_{len(cols)}"))
         if prep.pooled[c]:
-            known = v.isin(*prep.levels[c]) if prep.levels[c] else F.lit(False)
-            cols.append((v.isNotNull() & ~known).cast("double").alias(f"_x_{len(cols)}"))
+            cols.append(v.isin(*prep.pooled[c]).cast("double").alias(f"_x_{len(cols)}"))
     x = df.select("*", *[F.coalesce(c, F.lit(0.0)) for c in cols])
     names = [f"_x_{i}" for i in range(len(cols))]
     x = x.toDF(*df.columns, *names)
@@ -122,7 +129,16 @@ def score(model, df_x: DataFrame, name: str) -> DataFrame:
 
 
 def feature_importance(gbt_model, prep: Prep, spark) -> DataFrame:
-    """O-63: importance per model input, sorted descending."""
-    imp = gbt_model.featureImportances.toArray().tolist()
-    rows = list(zip(prep.names, [float(v) for v in imp]))
-    return spark.createDataFrame(rows, "feature string, importance double").orderBy(F.col("importance").desc())
+    """O-63: importance per original feature (the slots of a categorical add up), sorted descending."""
+    total = dict.fromkeys([*prep.num_cols, *prep.cat_cols], 0.0)
+    for column, v in zip(prep.inputs, gbt_model.featureImportances.toArray().tolist(), strict=True):
+        total[column] += float(v)
+    return spark.createDataFrame(list(total.items()), "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
+
+
+def prepared_values(df_x: DataFrame, prep: Prep) -> DataFrame:
+    """O-60 as rows: (alert_id, input, column, value) of every numeric input and every set categorical slot."""
+    slots = F.array(*[F.struct(F.lit(n).alias("input"), F.lit(c).alias("column")) for n, c in zip(prep.names, prep.inputs, strict=True)])
+    z = df_x.select("alert_id", F.explode(F.arrays_zip(slots.alias("s"), vector_to_array("features").alias("value"))).alias("e"))
+    numeric = F.col("column").isin(*prep.num_cols)
+    return z.select("alert_id", "e.s.input", "e.s.column", "e.value").filter(numeric | (F.col("value") != 0))

@@ -191,7 +191,12 @@ def q_feature_frame(spark, sf):
     return Scoring(spark, sf).frame.select(*_frame_cols())
 
 
-def _matrix_sql() -> str:
+def feature_columns() -> list[str]:
+    """The 81 model features: the frame's columns without the blocklist."""
+    return [c for c in _frame_cols() if c not in fe.FEATURE_BLOCKLIST]
+
+
+def matrix_sql() -> str:
     cols = []
     for c in _frame_cols():
         if c in fe.FEATURE_BLOCKLIST and c != "alert_id":
@@ -203,7 +208,7 @@ def _matrix_sql() -> str:
     return "SELECT " + ", ".join(cols) + " FROM evt_frame"
 
 
-@register("feature_matrix", with_ctes(_matrix_sql(), "evt_frame"))
+@register("feature_matrix", with_ctes(matrix_sql(), "evt_frame"))
 def q_feature_matrix(spark, sf):
     return fe.feature_matrix(Scoring(spark, sf).frame.select(*_frame_cols()))
 

@@ -1,29 +1,31 @@
 """Queries: MLlib models, explanations and the model-scored alert table (O-60..O-63, O-75..O-83).
 
-Model fits are not SQL-expressible, so these are rows-only checks; the
+The preparation, the contributions of a linear model and its reason codes have
+oracles (over fixed coefficients); fits are not SQL-expressible, their
 invariants (contributions + intercept = log-odds, recall at the validation
-threshold) are covered by tests.
+threshold, a vanishing gradient) are covered by tests.
 """
 
 from __future__ import annotations
 
-import math
 from functools import cached_property
 
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators import explain as ex
 from ..operators import features as fe
 from ..operators import modeling as md
-from ..params import EvalParams, ModelParams
+from ..params import FIXTURE_SPLIT, EvalParams, ModelParams
 from .catalog import register
-from .q_features import FP
-from .q_scoring import Evaluation
+from .oracle_ctes import cte, with_ctes
+from .q_features import FP, feature_columns, matrix_sql
+from .q_scoring import TR, Evaluation
+from .store import fingerprint, stored
 
 MP = ModelParams()
 EP = EvalParams()
-ROWS_PER_MODEL_PARTITION = 500_000
 _CACHE: dict = {}
 
 
@@ -39,20 +41,17 @@ class ModelRun:
         # Materialise the model input once (reliable checkpoint in the shared
         # folder): preparation statistics and the iterative fits all read it.
         data = matrix.join(keys.withColumnRenamed("rule_id", "_rule"), "alert_id", "inner").checkpoint(eager=True)
-        # Iterative fits launch several jobs per iteration; size the input's
-        # partitions by rows so small alert tables do not pay per-task overhead
-        # and large ones still spread over the cluster.
-        n_rows = data.count()
-        data = data.coalesce(max(1, math.ceil(n_rows / ROWS_PER_MODEL_PARTITION)))
         feats = [c for c in matrix.columns if c != "alert_id"]
         self.cat_cols = [c for c in fe.CATEGORICAL if c in feats]
         self.num_cols = [c for c in feats if c not in self.cat_cols]
         train = data.filter(F.col("split") == "train")
+        self.sf, self.rule_params = sf, e.rule_params
         self.prep = md.fit_prep(train, self.num_cols, self.cat_cols, MP)
         w = md.class_weights(train)
         x = md.with_weight(md.transform(data, self.prep), w)
         self.x = x.select("alert_id", "split", "is_true_positive", "_rule", "customer_key", "date_key", "features", "w")
-        self.train = self.x.filter(F.col("split") == "train")
+        # Both fits read this many times; it spills to disk rather than being computed again.
+        self.train = self.x.filter(F.col("split") == "train").persist(StorageLevel.MEMORY_AND_DISK)
         self.logit = md.fit_logistic(self.train, MP)
         self.logit_scored = md.score(self.logit, self.x, "score_logistic")
 
@@ -62,11 +61,13 @@ class ModelRun:
 
     @cached_property
     def scored(self):
-        return md.score(self.gbt, self.logit_scored, "score_gbm")
+        """Both scores of every alert, written once: thresholds, curves and tiers read it instead of scoring again."""
+        return stored(self.spark, self.sf, "evt_model_scores",
+                      lambda: md.score(self.gbt, self.logit_scored, "score_gbm").drop("features", "w"), (self.rule_params, MP, FIXTURE_SPLIT))
 
     @classmethod
     def get(cls, spark, sf):
-        key = (id(spark), sf)
+        key = (spark.sparkContext.applicationId, fingerprint(spark, sf))
         if key not in _CACHE:
             _CACHE[key] = cls(spark, sf)
         return _CACHE[key]
@@ -88,6 +89,87 @@ def q_importance(spark, sf):
     return md.feature_importance(m.gbt, m.prep, spark)
 
 
+# ------------------------------------------------ preparation and explanations with fixed coefficients
+
+_NUM = [c for c in feature_columns() if c not in fe.CATEGORICAL]
+_CAT = [c for c in feature_columns() if c in fe.CATEGORICAL]
+
+cte("model_matrix", f"SELECT m.*, a.date_key FROM ({matrix_sql()}) m JOIN evt_alerts a ON a.alert_id = m.alert_id", ("evt_frame", "evt_alerts"))
+cte("num_values", f"UNPIVOT (SELECT alert_id, date_key, {', '.join(_NUM)} FROM model_matrix) ON {', '.join(_NUM)} INTO NAME col VALUE v", ("model_matrix",))
+cte("num_stats", f"""
+SELECT col, avg(v) AS mean, stddev_pop(v) AS spread FROM num_values WHERE date_key <= {TR} GROUP BY col""", ("num_values",))
+cte("cat_values", f"""
+UNPIVOT (SELECT alert_id, date_key, {', '.join(f'CAST({c} AS VARCHAR) AS {c}' for c in _CAT)} FROM model_matrix)
+ON {', '.join(_CAT)} INTO NAME col VALUE lvl""", ("model_matrix",))
+cte("cat_seen", f"""
+SELECT col, lvl, count(*) AS n FROM cat_values WHERE date_key <= {TR} GROUP BY col, lvl""", ("cat_values",))
+cte("prep_values", f"""
+SELECT alert_id, n.col AS input, n.col AS "column", (v - mean) / CASE WHEN spread > {md.CONSTANT} * greatest(1, abs(mean)) THEN spread ELSE 1 END AS value
+FROM num_values n JOIN num_stats s ON s.col = n.col
+UNION ALL
+SELECT alert_id, c.col || '_' || CASE WHEN n >= {MP.min_category_rows} THEN c.lvl ELSE '{md.INFREQUENT}' END, c.col, 1.0
+FROM cat_values c JOIN cat_seen s ON s.col = c.col AND s.lvl = c.lvl""", ("num_values", "num_stats", "cat_values", "cat_seen"))
+
+
+@register("prep_matrix", with_ctes('SELECT alert_id, input, "column", round(value, 6) AS value FROM prep_values', "prep_values"))
+def q_prep_matrix(spark, sf):
+    """O-60: standardised numeric inputs and set one-hot slots, as rows."""
+    m = ModelRun.get(spark, sf)
+    return md.prepared_values(m.x, m.prep).withColumn("value", F.round("value", 6))
+
+
+def fixed_coefficient(name: str) -> float:
+    """The coefficients of the explanation queries: a plain function of the input's name, from -1 to 1."""
+    return ((len(name) * 37 + ord(name[0]) * 17) % 21 - 10) / 10
+
+
+cte("fixed_contrib", """
+SELECT alert_id, input, "column", value * (((length(input) * 37 + ascii(input) * 17) % 21 - 10) / 10.0) AS contribution
+FROM prep_values""", ("prep_values",))
+
+
+def _fixed(m):
+    return ex.contributions(m.x, [fixed_coefficient(n) for n in m.prep.names], m.prep.names)
+
+
+@register("linear_contributions", with_ctes("""
+SELECT alert_id, round(sum(contribution), 6) AS log_odds, round(max(contribution), 6) AS highest,
+       round(min(contribution), 6) AS lowest, count(*) FILTER (contribution > 0) AS drivers
+FROM fixed_contrib GROUP BY alert_id""", "fixed_contrib"))
+def q_linear_contributions(spark, sf):
+    """O-77: contributions of a linear model with fixed coefficients: their sum (the log-odds without intercept) and extremes."""
+    m = ModelRun.get(spark, sf)
+    c = _fixed(m).select("alert_id", F.transform("contrib", lambda s: s["value"]).alias("v"))
+    return c.select("alert_id", F.round(F.aggregate("v", F.lit(0.0), lambda a, x: a + x), 6).alias("log_odds"),
+                    F.round(F.array_max("v"), 6).alias("highest"), F.round(F.array_min("v"), 6).alias("lowest"),
+                    F.size(F.filter("v", lambda x: x > 0)).cast("long").alias("drivers"))
+
+
+def _labels_sql() -> str:
+    rows = ", ".join(f"('{k}', '{v}')" for k, v in ex.LABELS.items())
+    return f"SELECT * FROM (VALUES {rows}) AS t(input, label)"
+
+
+cte("label_table", _labels_sql())
+cte("ranked_contrib", """
+SELECT c.alert_id, coalesce(l.label, replace(c.input, '_', ' ')) AS label, c.contribution,
+       row_number() OVER (PARTITION BY c.alert_id ORDER BY c.contribution DESC, coalesce(l.label, replace(c.input, '_', ' ')) DESC) AS high,
+       row_number() OVER (PARTITION BY c.alert_id ORDER BY c.contribution, coalesce(l.label, replace(c.input, '_', ' '))) AS low
+FROM fixed_contrib c LEFT JOIN label_table l ON l.input = c.input""", ("fixed_contrib", "label_table"))
+
+
+@register("reason_codes_fixed", with_ctes("""
+SELECT alert_id, coalesce(max(label) FILTER (high = 1 AND contribution > 0), '') AS reason_1,
+       coalesce(max(label) FILTER (high = 2 AND contribution > 0), '') AS reason_2,
+       coalesce(max(label) FILTER (high = 3 AND contribution > 0), '') AS reason_3,
+       coalesce(max(label) FILTER (low = 1 AND contribution < 0), '') AS top_mitigant,
+       coalesce(string_agg(label, '; ' ORDER BY high) FILTER (high <= 3 AND contribution > 0), '') AS reason_summary
+FROM ranked_contrib GROUP BY alert_id""", "ranked_contrib"))
+def q_reason_codes_fixed(spark, sf):
+    """O-78..O-80 with fixed coefficients: labels, the three strongest drivers, the strongest mitigant, the summary."""
+    return ex.reason_codes(_fixed(ModelRun.get(spark, sf)))
+
+
 def _contrib(m):
     return ex.contributions(m.x, m.logit.coefficients.toArray().tolist(), m.prep.names)
 
@@ -151,7 +233,6 @@ def q_metrics_document(spark, sf):
     document. It is written as JSON and read back."""
     import json
 
-    from ..params import FIXTURE_SPLIT
     from ..sources import sinks
     from .q_scoring import hash_score
 

@@ -49,7 +49,7 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _fingerprint(spark: SparkSession, sf_dir: str) -> str:
+def fingerprint(spark: SparkSession, sf_dir: str) -> str:
     ns = spark.conf.get(NAMESPACE_CONF, "default")
     fs, path = _fs(spark, sf_dir)
     root = fs.makeQualified(path).toString()
@@ -72,7 +72,7 @@ def stored(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Data
 
     This writes when called, before any action on the result.
     """
-    mark = _fingerprint(spark, sf_dir)
+    mark = fingerprint(spark, sf_dir)
     key = (spark.sparkContext.applicationId, mark, name, params)
     if key not in _OPEN:
         path = os.path.join(ensure_checkpoint_dir(spark), "tables", mark, table_name(name, params))

@@ -25,7 +25,7 @@ def test_table_is_reused_and_uncommitted_output_is_rebuilt(spark):
     # A folder of parquet files without the commit marker (a write that never
     # finished) must not be trusted.
     other = "probe_" + uuid.uuid4().hex[:8]
-    root = os.path.join(ensure_checkpoint_dir(spark), "tables", store._fingerprint(spark, SF_SMALL), other)
+    root = os.path.join(ensure_checkpoint_dir(spark), "tables", store.fingerprint(spark, SF_SMALL), other)
     hconf = spark.sparkContext._jsc.hadoopConfiguration()
     hconf.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
     try:
