@@ -31,9 +31,13 @@ from pyspark.sql import functions as F
 from .common import arrow_rows, table, text_rows, width
 from .registry import register
 
-BLOCK_CHARS = 12_000_000
+#: Larger blocks ask for fewer words in all; a task holds about 30 bytes a character.
+BLOCK_CHARS = 24_000_000
+#: Ids that are decoded at once.
+DECODE_IDS = 1 << 20
+LEVEL = 7
 #: Buckets of words for each shuffle partition.
-BUCKETS_PER_PARTITION = 2
+BUCKETS_PER_PARTITION = 1
 #: A bundle: the words of a block and bucket, or their ids, or (bucket -1) the documents and positions of a block.
 ROW = "block long, bucket long, payload binary"
 SCHEMA = pa.schema([("block", pa.int64()), ("bucket", pa.int64()), ("payload", pa.binary())])
@@ -43,7 +47,7 @@ OUT = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 def bundle(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed string; each is stored with its type and length."""
     raw = b"".join(part for a in arrays for part in (a.dtype.str.encode().ljust(8), len(a).to_bytes(8, "little"), a.tobytes()))
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=LEVEL).compress(raw, asbytes=True)
 
 
 def unbundle(payload: bytes) -> list[np.ndarray]:
@@ -205,18 +209,24 @@ def _reassemble(path: str, make, schema: pa.Schema):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, size, token_bytes = token_table(path)
 
-        def finished(payloads: list[bytes]) -> pa.RecordBatch:
+        def finished(payloads: list[bytes]) -> Iterator[pa.RecordBatch]:
             docs, counts, ids = assemble(payloads[0], payloads[1:])
-            decoded = token_bytes[_spans(start[ids], size[ids])]  # the join with the token-byte table
-            n_bytes, at, byte_at, out = _sums(size[ids], counts), 0, 0, []
-            for doc_id, n, b in zip(docs, counts.tolist(), n_bytes.tolist(), strict=True):
-                out.append(make(doc_id, ids[at:at + n], decoded[byte_at:byte_at + b].tobytes()))
-                at, byte_at = at + n, byte_at + b
-            return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+            ends = np.cumsum(counts)
+            a = 0
+            while a < len(docs):  # whole documents, about DECODE_IDS at once
+                b = max(a + 1, int(np.searchsorted(ends, (ends[a - 1] if a else 0) + DECODE_IDS, side="right")))
+                part = ids[(ends[a] - counts[a]):ends[b - 1]]
+                decoded = token_bytes[_spans(start[part], size[part])]  # the join with the token-byte table
+                n_bytes, at, byte_at, out = _sums(size[part], counts[a:b]), 0, 0, []
+                for doc_id, n, m in zip(docs[a:b], counts[a:b].tolist(), n_bytes.tolist(), strict=True):
+                    out.append(make(doc_id, part[at:at + n], decoded[byte_at:byte_at + m].tobytes()))
+                    at, byte_at = at + n, byte_at + m
+                yield pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+                a = b
 
         rows = arrow_rows(batches, "block", "payload")
         for _, group in itertools.groupby(rows, lambda r: r[0]):
-            yield finished([payload for _, payload in group])
+            yield from finished([payload for _, payload in group])
     return run
 
 
