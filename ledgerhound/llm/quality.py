@@ -38,7 +38,7 @@ SMOOTHING = 20.0
 SEED = 7
 TOKEN = re.compile(r"\w+|[^\w\s]+")
 #: Words whose hash a task keeps at hand.
-CACHE = 500_000
+CACHE = 200_000
 TEMPERATURE = 1.0
 
 
