@@ -3,15 +3,17 @@
 ``Window.orderBy(...)`` with no partition moves every row into one task. At
 scale we instead:
 
-1. take a bounded sample of the ordering key and pick bucket boundaries on the
-   driver (at most ``sample_rows`` keys are collected, never the data);
-2. assign every row a bucket that is a pure function of its key (a binary
-   search over the boundaries, compiled into the stage), so a task that is
-   recomputed after an executor loss lands every row in the same bucket;
-3. aggregate the weights per bucket (one row per bucket), turn them into
-   offsets on a table of at most ``n_buckets`` rows and broadcast it;
+1. range-partition the rows by the ordering key (Spark samples the bounds) and
+   number the partitions: bucket ids in key order;
+2. write that once (a reliable checkpoint), so the input is evaluated once and
+   a lost executor can't shift the buckets between the next two steps;
+3. aggregate the weights per bucket (one row per bucket) and turn them into
+   offsets, a table as long as the number of partitions;
 4. run the running total inside each bucket (``partitionBy(bucket)``).
 
+The number of buckets is the session's shuffle width, like that of any other
+shuffle of the data: no ceiling is built in.
+
 Keys must be unique per row: callers collapse ties to one row per distinct
 value first (with a count), which also bounds a hot value to a single row.
 """
@@ -24,82 +26,38 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _BUCKET = "_bucket"
-_KEY = "_order_key"
-
-
-def _boundaries(df: DataFrame, keys: list[str], n_buckets: int, sample_rows: int, seed: int):
-    n = df.count()
-    if n == 0:
-        return [], 0
-    frac = min(1.0, sample_rows / n)
-    sample = df.select(*keys).sample(withReplacement=False, fraction=frac, seed=seed).collect()
-    rows = sorted(tuple(r) for r in sample if all(v is not None for v in r))
-    if not rows:
-        return [], n
-    step = max(1, len(rows) // n_buckets)
-    bounds = []
-    for i in range(step, len(rows), step):
-        b = rows[i]
-        if not bounds or b > bounds[-1]:
-            bounds.append(b)
-    return bounds, n
-
-
-def _bucket_of(key: Column, bounds: list[Column], lo: int, hi: int) -> Column:
-    """Number of ascending ``bounds`` that are <= ``key``, as a binary-search
-    CASE tree: log2(len(bounds)) compiled comparisons per row."""
-    if lo == hi:
-        return F.lit(lo)
-    mid = (lo + hi) // 2
-    return F.when(key >= bounds[mid], _bucket_of(key, bounds, mid + 1, hi)).otherwise(
-        _bucket_of(key, bounds, lo, mid))
 
 
 def running_totals(df: DataFrame, keys: list[str], weights: dict[str, Column],
-                   rows_per_bucket: int = 2_000_000, min_buckets: int = 8,
-                   max_buckets: int = 1024, sample_rows: int = 100_000,
-                   seed: int = 7) -> DataFrame:
+                   rows_per_bucket: int | None = None, min_buckets: int = 1) -> DataFrame:
     """Append, for every weight ``w``: ``before_<w>`` (sum of ``w`` over rows whose
     key is strictly smaller, ascending over ``keys``) and ``total_<w>``.
 
-    ``keys`` must be unique per row and non-null. Two actions run here (a count
-    and a bounded sample); the result is otherwise lazy.
+    ``keys`` must be unique per row and non-null. One action runs here (the
+    checkpoint of the ranged rows); with ``rows_per_bucket`` a count as well.
     """
-    probe = df.select(*keys)
-    n_est = None
-    bounds, n_est = _boundaries(probe, keys, max_buckets, sample_rows, seed)
-    n_buckets = max(min_buckets, min(max_buckets, math.ceil((n_est or 1) / rows_per_bucket)))
-    if bounds and len(bounds) > n_buckets:
-        step = len(bounds) / n_buckets
-        bounds = [bounds[int(i * step)] for i in range(1, n_buckets)]
-
-    schema = {f.name: f.dataType for f in df.schema.fields}
-    key_struct = F.struct(*[F.col(k).alias(k) for k in keys])
-    if bounds:
-        lits = [F.struct(*[F.lit(v).cast(schema[k]).alias(k) for k, v in zip(keys, b)]) for b in bounds]
-        bucket = _bucket_of(F.col(_KEY), lits, 0, len(lits))
+    order = [F.col(k).asc() for k in keys]
+    if rows_per_bucket:
+        buckets = max(min_buckets, math.ceil(df.count() / rows_per_bucket))
+        ranged = df.repartitionByRange(buckets, *order)
     else:
-        bucket = F.lit(0)
-    keyed = df.withColumn(_KEY, key_struct).withColumn(_BUCKET, bucket)
-
+        ranged = df.repartitionByRange(*order)
+    keyed = ranged.withColumn(_BUCKET, F.spark_partition_id()).checkpoint(eager=True)
     wnames = list(weights)
     per_bucket = keyed.groupBy(_BUCKET).agg(*[F.sum(weights[w]).alias(f"_bw_{w}") for w in wnames])
-    # per_bucket has at most n_buckets rows: a window without partition is fine here.
-    order = Window.orderBy(_BUCKET)
+    # per_bucket has one row per shuffle partition: a window without partition is fine here.
+    before = Window.orderBy(_BUCKET).rowsBetween(Window.unboundedPreceding, -1)
     offsets = per_bucket.select(
         _BUCKET,
-        *[F.coalesce(F.sum(f"_bw_{w}").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-           .alias(f"_off_{w}") for w in wnames],
+        *[F.coalesce(F.sum(f"_bw_{w}").over(before), F.lit(0)).alias(f"_off_{w}") for w in wnames],
         *[F.sum(f"_bw_{w}").over(Window.partitionBy()).alias(f"total_{w}") for w in wnames])
-    inner = Window.partitionBy(_BUCKET).orderBy(*[F.col(k).asc() for k in keys]) \
-        .rowsBetween(Window.unboundedPreceding, -1)
+    inner = Window.partitionBy(_BUCKET).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     joined = keyed.join(F.broadcast(offsets), _BUCKET, "inner")
-    out = joined.select(
+    return joined.select(
         *df.columns,
         *[(F.col(f"_off_{w}") + F.coalesce(F.sum(weights[w]).over(inner), F.lit(0))).alias(f"before_{w}")
           for w in wnames],
         *[F.col(f"total_{w}") for w in wnames])
-    return out
 
 
 def dense_sequence(df: DataFrame, key: str, name: str, **kw) -> DataFrame:

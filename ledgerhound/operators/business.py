@@ -11,7 +11,7 @@ import itertools
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..params import CostParams
+from ..params import CostParams, SplitParams, replace
 
 T1 = "T1_same_day"
 
@@ -39,6 +39,12 @@ def policy_rows(tradeoff: DataFrame, tiers: DataFrame) -> DataFrame:
     return u.filter(F.col("recall_target").isNotNull())
 
 
+def holdout_params(dates: DataFrame, split: SplitParams, cp: CostParams = CostParams()) -> CostParams:
+    """``cp`` with the holdout's length: the days of the calendar after the validation window (one number is read)."""
+    horizon = (dates.agg(F.max("date_key")).first()[0] or 0) + 1
+    return replace(cp, holdout_window_days=max(1, horizon - split.valid_end_day))
+
+
 def case_columns(minutes: Column, rate: Column, cp: CostParams) -> list[Column]:
     """O-92/O-93 over a policy row (needs the trade-off columns and t1_share_pct)."""
     window = float(cp.holdout_window_days)

@@ -24,6 +24,8 @@ Y = "is_true_positive"
 INFREQUENT = "infrequent"
 #: Relative to the mean, a deviation that is rounding noise: the input is constant and only centred.
 CONSTANT = 1e-9
+#: How far a value of a constant input may be from the mean and still be that constant.
+NOISE = 1e-6
 #: Levels of all categorical inputs together that a model may have.
 MAX_LEVELS = 20_000
 
@@ -74,8 +76,11 @@ def fit_prep(train: DataFrame, num_cols: list[str], cat_cols: list[str], mp: Mod
 def transform(df: DataFrame, prep: Prep, out: str = "features") -> DataFrame:
     cols = []
     for c in prep.num_cols:
-        sd = prep.stds[c] if prep.stds[c] > CONSTANT * max(1.0, abs(prep.means[c])) else 1.0
-        cols.append(((F.col(c).cast("double") - prep.means[c]) / sd).alias(f"_x_{len(cols)}"))
+        # A constant input is exactly 0: its rounding noise would be scaled up again inside the solver.
+        constant = prep.stds[c] <= CONSTANT * max(1.0, abs(prep.means[c]))
+        centred = F.col(c).cast("double") - prep.means[c]
+        cols.append((F.when(F.abs(centred) <= NOISE * max(1.0, abs(prep.means[c])), F.lit(0.0)).otherwise(centred) if constant
+                     else centred / prep.stds[c]).alias(f"_x_{len(cols)}"))
     for c in prep.cat_cols:
         v = F.col(c).cast("string")
         for lvl in prep.levels[c]:

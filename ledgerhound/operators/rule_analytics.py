@@ -11,7 +11,6 @@ from ..params import CostParams
 # The reference's recommendation texts (effectiveness table) and
 # the report's rule status texts.
 REC_RETIRE = "RETIRE - has produced zero alerts; no detection value"
-REC_SOLE = "RETAIN - sole detector for {n} illicit customer(s); cannot be retired at any precision"
 REC_RECAL = "RECALIBRATE - low precision and fully covered by other rules"
 REC_RETAIN = "RETAIN - contributes detection at acceptable precision"
 STATUS_RETIRE = "RETIRE - never fires"
@@ -139,4 +138,4 @@ def rule_measures(scored: DataFrame, dim_rule: DataFrame, n_days: int, cp: CostP
 
 
 __all__ = ["rule_effectiveness", "rule_overlap", "top_overlap", "dead_rules", "detection_by_rule",
-           "rule_measures", "count_if"]
+           "rule_measures"]

@@ -53,6 +53,31 @@ RULE_CATALOGUE = [
 RULE_COLUMNS = ["rule_id", "rule_name", "typology_target", "rule_family", "severity", "rule_description"]
 
 
+def _short(amount) -> str:
+    """8000 -> 8k, 9999.99 -> 9,999."""
+    whole = int(amount)
+    return f"{whole // 1000}k" if whole and whole % 1000 == 0 else f"{whole:,}"
+
+
+def detail_prefix(rule_id: str, p: RuleParams) -> str:
+    """The text before an alert's figure; windows and bands are those of the parameters."""
+    return {
+        "R001": f"cash credits in {_short(p.r001_band_low)}-{_short(p.band_high)} band within {p.r001_hours}h: ",
+        "R002": f"aggregated cash credits within {p.r002_hours}h: $",
+        "R003": "pass-through ratio ",
+        "R004": "wire activity with high-risk jurisdiction: ",
+        "R005": f"rolling {p.r005_window_days}d credit volume ",
+        "R006": f"round-value transfers in {p.r006_hours / 24:g}d: ",
+        "R007": "reactivated after ",
+        "R008": f"band cash credits in {p.r008_days}d: ",
+    }[rule_id]
+
+
+def detail_suffix(rule_id: str, p: RuleParams) -> str:
+    return {"R003": f"% within {p.r003_hours}h", "R005": f"x the prior {p.r005_baseline_from - p.r005_baseline_to + 1}d baseline",
+            "R007": " dormant days"}.get(rule_id, "")
+
+
 def rule_dim(spark) -> DataFrame:
     """dim_rule (O-03): the 8 literal rows."""
     return spark.createDataFrame(RULE_CATALOGUE, RULE_COLUMNS)
@@ -159,14 +184,14 @@ def spec_r001(p: RuleParams = RuleParams()) -> CustomerWindowRule:
     return CustomerWindowRule(
         "R001", _cash_credit() & F.col("amount_cad").between(p.r001_band_low, p.band_high), "hour", p.r001_hours,
         lambda cnt, amt, mx: cnt >= p.r001_min_count,
-        lambda a, c: F.concat(F.lit(f"cash credits in 8k-9,999 band within {p.r001_hours}h: "), c.cast("string")))
+        lambda a, c: F.concat(F.lit(detail_prefix("R001", p)), c.cast("string")))
 
 
 def spec_r002(p: RuleParams = RuleParams()) -> CustomerWindowRule:
     return CustomerWindowRule(
         "R002", _cash_credit(), "hour", p.r002_hours,
         lambda cnt, amt, mx: (amt >= p.r002_threshold) & (mx < p.r002_threshold) & (cnt >= p.r002_min_count),
-        lambda a, c: F.concat(F.lit(f"aggregated cash credits within {p.r002_hours}h: $"),
+        lambda a, c: F.concat(F.lit(detail_prefix("R002", p)),
                               real_text(F.round(a, 0))))
 
 
@@ -177,14 +202,14 @@ def spec_r006(p: RuleParams = RuleParams()) -> CustomerWindowRule:
     return CustomerWindowRule(
         "R006", rows, "hour", p.r006_hours,
         lambda cnt, amt, mx: cnt >= p.r006_min_count,
-        lambda a, c: F.concat(F.lit("round-value transfers in 7d: "), c.cast("string")))
+        lambda a, c: F.concat(F.lit(detail_prefix("R006", p)), c.cast("string")))
 
 
 def spec_r008(p: RuleParams = RuleParams()) -> CustomerWindowRule:
     return CustomerWindowRule(
         "R008", _cash_credit() & F.col("amount_cad").between(p.band_low, p.band_high), "day", p.r008_days,
         lambda cnt, amt, mx: cnt >= p.r008_min_count,
-        lambda a, c: F.concat(F.lit("band cash credits in 30d: "), c.cast("string")))
+        lambda a, c: F.concat(F.lit(detail_prefix("R008", p)), c.cast("string")))
 
 
 def customer_window_specs(p: RuleParams = RuleParams()) -> list[CustomerWindowRule]:
@@ -234,8 +259,8 @@ def rule_r003(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
         F.max("inflow").alias("a"), F.max("n_out").alias("c"), F.max("outflow").alias("o"))
     ratio = F.round(F.col("o").cast("double") * 100.0 / F.col("a").cast("double"), 0)
     return g.select(*_alert("R003", F.col("a"), F.col("c"),
-                            F.concat(F.lit("pass-through ratio "), real_text(ratio.cast("decimal(38,0)")),
-                                     F.lit(f"% within {p.r003_hours}h"))))
+                            F.concat(F.lit(detail_prefix("R003", p)), real_text(ratio.cast("decimal(38,0)")),
+                                     F.lit(detail_suffix("R003", p)))))
 
 
 def customer_day_rules(fact: DataFrame, dim_country: DataFrame | None, p: RuleParams = RuleParams(),
@@ -276,7 +301,7 @@ def customer_day_rules(fact: DataFrame, dim_country: DataFrame | None, p: RulePa
         cands.append(F.when(F.col("r4_cnt") > 0, F.struct(
             F.lit("R004").alias("rule_id"), F.col("r4_amt").cast("decimal(38,2)").alias("a"),
             F.col("r4_cnt").cast("long").alias("c"),
-            F.concat(F.lit("wire activity with high-risk jurisdiction: "), F.col("r4_cc")).alias("detail"))))
+            F.concat(F.lit(detail_prefix("R004", p)), F.col("r4_cc")).alias("detail"))))
     if "R005" in which:
         base = Window.partitionBy("customer_key").orderBy("date_key")
         w30 = base.rangeBetween(-(p.r005_window_days - 1), Window.currentRow)
@@ -293,8 +318,8 @@ def customer_day_rules(fact: DataFrame, dim_country: DataFrame | None, p: RulePa
         cands.append(F.when(hit, F.struct(
             F.lit("R005").alias("rule_id"), F.col("vol_30d").cast("decimal(38,2)").alias("a"),
             F.lit(None).cast("long").alias("c"),
-            F.concat(F.lit("rolling 30d credit volume "), ratio.cast("string"),
-                     F.lit("x the prior 90d baseline")).alias("detail"))))
+            F.concat(F.lit(detail_prefix("R005", p)), ratio.cast("string"),
+                     F.lit(detail_suffix("R005", p))).alias("detail"))))
     # Most customer-days fire nothing: drop them before the generator.
     x = (daily.filter(reduce(lambda a, b: a | b, hits))
          .select("customer_key", "date_key", F.explode(F.array(*cands)).alias("_x"))
@@ -341,8 +366,8 @@ def rule_r007(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     r = r.filter((F.col("gap_days") >= p.r007_gap_days) & (F.col("vol_7d") >= p.r007_min_volume))
     g = r.groupBy("customer_key", "date_key").agg(F.max("vol_7d").alias("a"), F.max("gap_days").alias("gap"))
     return g.select(*_alert("R007", F.col("a"), F.lit(None),
-                            F.concat(F.lit("reactivated after "), F.col("gap").cast("string"),
-                                     F.lit(" dormant days"))))
+                            F.concat(F.lit(detail_prefix("R007", p)), F.col("gap").cast("string"),
+                                     F.lit(detail_suffix("R007", p)))))
 
 
 def rule_r008(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:

@@ -96,6 +96,7 @@ class CostParams:
     deferred_work_reduction: float = 0.60
     queue_position_gain: float = 0.45
     prioritisation_value_share: float = 0.10
+    # Days of the holdout; the queries derive it from the date dimension and the split.
     holdout_window_days: int = 30
     sensitivity_minutes: tuple[float, ...] = (15.0, 22.0, 30.0)
     sensitivity_rates: tuple[tuple[float, str], ...] = ((0.8, "low"), (1.0, "base"), (1.25, "high"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from ..operators import business as bz
 from ..operators import evaluate as ev
 from ..operators import rule_analytics as ra
-from ..params import CostParams, EvalParams
+from ..params import FIXTURE_SPLIT, CostParams, EvalParams
 from .catalog import register
 from .oracle_ctes import cte, with_ctes
 from .q_scoring import Evaluation
@@ -101,16 +101,23 @@ def _policies(spark, sf):
     return bz.policy_rows(tr, ev.tier_policy(e.part("holdout"), EP))
 
 
+def _costs(spark, sf):
+    return bz.holdout_params(Evaluation(spark, sf).dim_date, FIXTURE_SPLIT, CP)
+
+
+# Days of the ledger's calendar after the validation window.
+_HOLDOUT_DAYS = f"(SELECT greatest(1, max(date_key) + 1 - {FIXTURE_SPLIT.valid_end_day}) FROM evt_date)"
+
+
 cte("evt_policy", """
 SELECT t.*, (SELECT share_of_true_positives_pct FROM evt_tiers WHERE tier = 'T1_same_day') AS t1_share_pct
-FROM evt_tradeoff t""", ("evt_tradeoff", "evt_tiers"))
+FROM evt_tradeoff t""", ("evt_tradeoff", "evt_tiers", "evt_date"))
 
 
 def _case_sql(minutes: str, rate: str, target: str = "recall_target") -> str:
-    w = float(CP.holdout_window_days)
     build = CP.build_effort_person_days * CP.blended_day_rate_cad
     run = CP.annual_platform_cost_cad + CP.annual_model_governance_cost_cad
-    annual = f"(holdout_alerts_reviewed / NULLIF(1 - holdout_volume_deferred_pct / 100.0, 0) * (365.0 / {w!r}))"
+    annual = f"(holdout_alerts_reviewed / NULLIF(1 - holdout_volume_deferred_pct / 100.0, 0) * (365.0 / {_HOLDOUT_DAYS}))"
     ha = f"({annual} * (holdout_volume_deferred_pct / 100.0) * ({minutes} / 60.0) * {CP.deferred_work_reduction!r})"
     hb = (f"({annual} * {CP.queue_position_gain!r} * ({minutes} / 60.0) * (t1_share_pct / 100.0) "
           f"* {CP.prioritisation_value_share!r})")
@@ -118,7 +125,7 @@ def _case_sql(minutes: str, rate: str, target: str = "recall_target") -> str:
     net = f"({gross} - {run!r})"
     return f"""round_even(CAST({rate} AS DOUBLE), 2) AS loaded_hourly_rate_cad,
        CAST({minutes} AS DOUBLE) AS minutes_per_alert_l1,
-       CAST(trunc({annual}) AS BIGINT) AS annual_alert_volume_est, {CP.holdout_window_days} AS holdout_window_days,
+       CAST(trunc({annual}) AS BIGINT) AS annual_alert_volume_est, CAST({_HOLDOUT_DAYS} AS INTEGER) AS holdout_window_days,
        {target} AS recall_policy, round_even(holdout_recall * 100.0, 2) AS holdout_recall_achieved_pct,
        round_even(holdout_volume_deferred_pct / 100.0 * 100.0, 2) AS deferred_share_pct,
        CAST(trunc({ha}) AS BIGINT) AS hours_freed_deferral, CAST(trunc({ha} * {rate}) AS BIGINT) AS value_deferral_cad,
@@ -135,7 +142,7 @@ def _case_sql(minutes: str, rate: str, target: str = "recall_target") -> str:
     f"SELECT {_case_sql(repr(CP.minutes_per_alert_l1), repr(RATE))} FROM evt_policy WHERE recall_target = 1.0",
     "evt_policy"))
 def q_business_case(spark, sf):
-    return bz.business_case(_policies(spark, sf), CP, 1.0)
+    return bz.business_case(_policies(spark, sf), _costs(spark, sf), 1.0)
 
 
 _GRID_VALUES = ", ".join(f"({m!r}, {mult!r}, '{lab}', {t!r})" for m in CP.sensitivity_minutes
@@ -153,7 +160,7 @@ FROM (SELECT g.minutes, g.investigator_cost, p.recall_target, {_case_sql("g.minu
 
 
 def _grid(spark, sf):
-    return bz.sensitivity_grid(spark, _policies(spark, sf), CP)
+    return bz.sensitivity_grid(spark, _policies(spark, sf), _costs(spark, sf))
 
 
 @register("sensitivity_grid", with_ctes("SELECT * FROM evt_sensitivity", "evt_sensitivity"))

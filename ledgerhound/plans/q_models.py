@@ -104,7 +104,9 @@ ON {', '.join(_CAT)} INTO NAME col VALUE lvl""", ("model_matrix",))
 cte("cat_seen", f"""
 SELECT col, lvl, count(*) AS n FROM cat_values WHERE date_key <= {TR} GROUP BY col, lvl""", ("cat_values",))
 cte("prep_values", f"""
-SELECT alert_id, n.col AS input, n.col AS "column", (v - mean) / CASE WHEN spread > {md.CONSTANT} * greatest(1, abs(mean)) THEN spread ELSE 1 END AS value
+SELECT alert_id, n.col AS input, n.col AS "column",
+       CASE WHEN spread > {md.CONSTANT} * greatest(1, abs(mean)) THEN (v - mean) / spread
+            WHEN abs(v - mean) <= {md.NOISE} * greatest(1, abs(mean)) THEN 0.0 ELSE v - mean END AS value
 FROM num_values n JOIN num_stats s ON s.col = n.col
 UNION ALL
 SELECT alert_id, c.col || '_' || CASE WHEN n >= {MP.min_category_rows} THEN c.lvl ELSE '{md.INFREQUENT}' END, c.col, 1.0
