@@ -31,8 +31,8 @@ from .registry import register
 
 K1, B = 1.2, 0.75
 TOP = 10
-DOCS_PER_SHARD = 8_192
-BYTES_PER_SHARD = 32 << 20
+DOCS_PER_SHARD = 6_144
+BYTES_PER_SHARD = 24 << 20
 BLOCK_DOCS = 64
 #: Blocks that are scored between two looks at the bound.
 STRIDE = 16
@@ -72,7 +72,9 @@ class Builder:
         names = "\n".join(self.known).encode()
         head = np.array([len(self.ids), len(df), len(doc), len(names)], "<i8")
         parts = [head, np.array(self.ids, "<i8"), np.array(self.lengths, "<i4"), df.astype("<i4"), doc[order].astype("<i4"), tf[order].astype("<i4")]
-        payload = b"".join(p.tobytes() for p in parts) + names
+        self.parts, self.counts = [], []
+        raw = b"".join([*[p.tobytes() for p in parts], names])
+        payload = len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
         yield pa.record_batch([pa.array([shard]), pa.array([len(self.ids)]), pa.array([sum(self.lengths)]), pa.nulls(1, pa.string()),
                                pa.nulls(1, pa.int64()), pa.array([payload], pa.binary())], schema=SCHEMA)
         words = list(self.known)
@@ -99,6 +101,7 @@ class Index:
     """A shard's index, ready to search under global statistics."""
 
     def __init__(self, payload: bytes, mean_words: float) -> None:
+        payload = pa.decompress(payload[8:], int.from_bytes(payload[:8], "little"), codec="zstd", asbytes=True)
         n_docs, n_terms, n_post, n_names = np.frombuffer(payload, "<i8", 4).tolist()
         at = 32
         self.ids = np.frombuffer(payload, "<i8", n_docs, at)

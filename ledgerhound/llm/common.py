@@ -73,15 +73,15 @@ def keep_rows(docs: DataFrame, kept: DataFrame) -> DataFrame:
     Rows of one doc_id that share their text are repeated rows; of each such set one row stays. Only the
     repeated ones are gathered, the others pass through a semi join.
     """
-    h, n = fresh(docs, "row_text_hash", "row_copies")
+    h, n, k_id, k_hash = fresh(docs, "row_text_hash", "row_copies", "kept_id", "kept_hash")
     keyed = docs.withColumn(h, row_hash(F.col("text").cast("string")))
     times = keyed.groupBy(F.col("doc_id").cast("long").alias("doc_id"), F.col(h).alias("text_hash")).agg(F.count(F.lit(1)).alias("n"))
     want = (times.join(kept.select("doc_id", "text_hash").distinct(),
                        times.doc_id.eqNullSafe(kept.doc_id) & (times.text_hash == kept.text_hash), "left_semi")
-            .select(F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_hash"), F.col("n").alias(n)))
-    rows = keyed.join(want, keyed.doc_id.cast("long").eqNullSafe(want["_k_id"]) & (keyed[h] == want["_k_hash"]), "inner")
+            .select(F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_hash), F.col("n").alias(n)))
+    rows = keyed.join(want, F.col("doc_id").cast("long").eqNullSafe(F.col(k_id)) & (F.col(h) == F.col(k_hash)), "inner")
     single = rows.filter(F.col(n) == 1).select(*docs.columns)
-    repeated = rows.filter(F.col(n) > 1).dropDuplicates(["_k_id", "_k_hash"]).select(*docs.columns)
+    repeated = rows.filter(F.col(n) > 1).dropDuplicates([k_id, k_hash]).select(*docs.columns)
     return single.unionByName(repeated)
 
 
@@ -91,3 +91,5 @@ def arrow_rows(batches: Iterable[pa.RecordBatch], *names: str) -> Iterator[tuple
         for at in range(0, batch.num_rows, 256):
             part = batch.slice(at, 256)
             yield from zip(*[part.column(n).to_pylist() for n in names], strict=True)
+        del batch
+        pa.default_memory_pool().release_unused()  # workers live on after a stage, their batches shouldn't

@@ -163,13 +163,13 @@ def mixed_docs(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] |
     """The rows of ``docs``, each as often as its copies say, with its columns."""
     got, _ = mix(docs, labelled, weights, least=least)
     # Repeated rows of one document and text share a row here: their copies are dealt as their number and the rest.
-    times = got.groupBy(F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_hash")).agg(
-        F.sum("copies").alias("_k_copies"), F.count(F.lit(1)).alias("_k_rows"))
-    nth, copy = fresh(docs, "row_nth", "row_copy")
-    met = docs.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col("_k_id")) & (row_hash(F.col("text").cast("string")) == F.col("_k_hash")))
-    single = met.filter("_k_rows = 1").withColumn(nth, F.lit(1))
-    again = met.filter("_k_rows > 1").withColumn(nth, F.row_number().over(Window.partitionBy("_k_id", "_k_hash").orderBy("_k_id")))
-    whole = F.floor(F.col("_k_copies") / F.col("_k_rows")) + (F.col(nth) <= F.col("_k_copies") % F.col("_k_rows")).cast("long")
+    nth, copy, k_id, k_hash, k_copies, k_rows = fresh(docs, "row_nth", "row_copy", "mixed_id", "mixed_hash", "mixed_copies", "mixed_rows")
+    times = got.groupBy(F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_hash)).agg(
+        F.sum("copies").alias(k_copies), F.count(F.lit(1)).alias(k_rows))
+    met = docs.join(times, F.col("doc_id").cast("long").eqNullSafe(F.col(k_id)) & (row_hash(F.col("text").cast("string")) == F.col(k_hash)))
+    single = met.filter(F.col(k_rows) == 1).withColumn(nth, F.lit(1))
+    again = met.filter(F.col(k_rows) > 1).withColumn(nth, F.row_number().over(Window.partitionBy(k_id, k_hash).orderBy(k_id)))
+    whole = F.floor(F.col(k_copies) / F.col(k_rows)) + (F.col(nth) <= F.col(k_copies) % F.col(k_rows)).cast("long")
     out = single.unionByName(again).withColumn(copy, F.explode(F.array_repeat(F.lit(1), whole.cast("int"))))
     return out.select(*docs.columns)
 

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import arrow_rows, materialize, row_hash, table, text_rows
+from .common import arrow_rows, fresh, materialize, row_hash, table, text_rows
 from .histogram import key62, side, splitters
 from .registry import register
 
@@ -150,8 +150,10 @@ def select(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED, k: int
 
 def drop_rejected(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are drawn, with its columns; repeated rows all stay or all go."""
-    kept = select(docs, labels).filter("kept").select(F.col("doc_id").alias("_k_id"), F.col("text_hash").alias("_k_hash")).distinct()
-    return docs.join(kept, F.col("doc_id").cast("long").eqNullSafe(F.col("_k_id")) & (row_hash(F.col("text").cast("string")) == F.col("_k_hash")), "left_semi")
+    k_id, k_hash = fresh(docs, "kept_id", "kept_hash")
+    kept = select(docs, labels).filter("kept").select(F.col("doc_id").alias(k_id), F.col("text_hash").alias(k_hash)).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(k_id)) & (row_hash(F.col("text").cast("string")) == F.col(k_hash))
+    return docs.join(kept, same, "left_semi")
 
 
 @register("op10_quality")

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, table, text_rows
+from .common import fresh, materialize, table, text_rows
 from .histogram import key62, side, splitters
 from .registry import register
 
@@ -61,9 +61,10 @@ def write_shards(docs: DataFrame, path: str, shards: int = SHARDS) -> None:
     rows = materialize(sized(docs), "shard-keys")
     total = rows.agg(F.sum("size")).first()[0] or 0
     cuts = splitters(rows, "k", "tie", "size", [round(total * i / shards) for i in range(1, shards)], int(TOLERANCE * total / shards))
-    keyed = docs.withColumns({"_k": key62(F.xxhash64(text)), "_tie": key62(F.xxhash64(F.col("doc_id").cast("long"), F.octet_length(text)))})
-    place = sum((side("_k", "_tie", c).cast("int") for c in cuts), F.lit(0))
-    keyed.withColumn("shard", place).drop("_k", "_tie").repartition("shard", F.rand(7)).write.partitionBy("shard").parquet(path)
+    k, tie = fresh(docs, "shard_key", "shard_tie")
+    keyed = docs.withColumns({k: key62(F.xxhash64(text)), tie: key62(F.xxhash64(F.col("doc_id").cast("long"), F.octet_length(text)))})
+    place = sum((side(k, tie, c).cast("int") for c in cuts), F.lit(0))
+    keyed.withColumn("shard", place).drop(k, tie).repartition("shard", F.rand(7)).write.partitionBy("shard").parquet(path)
 
 
 @register("op7_shards")
