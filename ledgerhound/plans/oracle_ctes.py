@@ -15,6 +15,7 @@ from __future__ import annotations
 from ..operators.rules import detail_prefix, detail_suffix
 from ..params import FIXTURE_RULES as R
 from ..params import FIXTURE_SPLIT as S
+from ..params import RuleParams
 
 _CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
@@ -195,9 +196,9 @@ def _sql_text(v: str) -> str:
     return "'" + v.replace("'", "''") + "'"
 
 
-def _alert_rows(rule: str, found: str, amount: str, count: str, figure: str) -> str:
+def _alert_rows(rule: str, p: RuleParams, found: str, amount: str, count: str, figure: str) -> str:
     """Alerts of the candidates in ``found``, one for each customer and day: the largest figures of that day."""
-    pre, post = _sql_text(detail_prefix(rule, R)), _sql_text(detail_suffix(rule, R))
+    pre, post = _sql_text(detail_prefix(rule, p)), _sql_text(detail_suffix(rule, p))
     return f"""
 SELECT concat_ws('-', '{rule}', customer_key, date_key) AS alert_id, '{rule}' AS rule_id, customer_key, date_key,
        CAST({amount} AS DOUBLE) AS trigger_amount, CAST({count} AS BIGINT) AS trigger_txn_count,
@@ -209,7 +210,7 @@ def _whole(number: str) -> str:
     return f"concat(CAST(round({number}) AS DECIMAL(38,0)), '.0')"
 
 
-def _burst(rule: str, src: str, rows: str, clock: str, span: int, keep: str, figure: str) -> str:
+def _burst(rule: str, p: RuleParams, src: str, rows: str, clock: str, span: int, keep: str, figure: str) -> str:
     """Candidates are the moments of the picked rows; what counts is the customer's picked rows of the ``span`` up to then."""
     picked = f"(SELECT customer_key, date_key, {clock} AS moment, amount_cad FROM {src} WHERE {rows})"
     found = f"""
@@ -218,26 +219,25 @@ def _burst(rule: str, src: str, rows: str, clock: str, span: int, keep: str, fig
        LATERAL (SELECT count(*) AS n, sum(x.amount_cad) AS total, max(x.amount_cad) AS largest FROM {picked} x
                 WHERE x.customer_key = m.customer_key AND x.moment <= m.moment AND x.moment > m.moment - {span}) around
   WHERE {keep}"""
-    return _alert_rows(rule, found, "max(total)", "max(n)", figure)
+    return _alert_rows(rule, p, found, "max(total)", "max(n)", figure)
 
 
 _HOUR = "24 * date_key + hour_of_day"
 
 
-def rule_sql(rule: str, src: str) -> str:
-    p = R
+def rule_sql(rule: str, src: str, p: RuleParams = R) -> str:
     cash_in = "channel = 'cash' AND direction = 'credit'"
     if rule == "R001":
-        return _burst(rule, src, f"{cash_in} AND amount_cad >= {p.r001_band_low} AND amount_cad <= {p.band_high}", _HOUR,
+        return _burst(rule, p, src, f"{cash_in} AND amount_cad >= {p.r001_band_low} AND amount_cad <= {p.band_high}", _HOUR,
                       p.r001_hours, f"n >= {p.r001_min_count}", "max(n)")
     if rule == "R002":
-        return _burst(rule, src, cash_in, _HOUR, p.r002_hours,
+        return _burst(rule, p, src, cash_in, _HOUR, p.r002_hours,
                       f"n >= {p.r002_min_count} AND total >= {p.r002_threshold} AND largest < {p.r002_threshold}", _whole("max(total)"))
     if rule == "R006":
-        return _burst(rule, src, f"channel IN {p.r006_channels} AND amount_cad >= {p.r006_min_amount} AND amount_cad % {p.r006_unit} = 0",
+        return _burst(rule, p, src, f"channel IN {p.r006_channels} AND amount_cad >= {p.r006_min_amount} AND amount_cad % {p.r006_unit} = 0",
                       _HOUR, p.r006_hours, f"n >= {p.r006_min_count}", "max(n)")
     if rule == "R008":
-        return _burst(rule, src, f"{cash_in} AND amount_cad >= {p.band_low} AND amount_cad <= {p.band_high}", "date_key",
+        return _burst(rule, p, src, f"{cash_in} AND amount_cad >= {p.band_low} AND amount_cad <= {p.band_high}", "date_key",
                       p.r008_days, f"n >= {p.r008_min_count}", "max(n)")
     if rule == "R003":
         found = f"""
@@ -247,13 +247,13 @@ def rule_sql(rule: str, src: str) -> str:
                 WHERE o.direction = 'debit' AND o.account_key = big.account_key
                   AND 24 * o.date_key + o.hour_of_day BETWEEN big.moment + 1 AND big.moment + {p.r003_hours}) gone
   WHERE went >= {p.r003_ratio} * came"""
-        return _alert_rows(rule, found, "max(came)", "max(n)", _whole("100.0 * CAST(max(went) AS DOUBLE) / CAST(max(came) AS DOUBLE)"))
+        return _alert_rows(rule, p, found, "max(came)", "max(n)", _whole("100.0 * CAST(max(went) AS DOUBLE) / CAST(max(came) AS DOUBLE)"))
     if rule == "R004":
         found = f"""
   SELECT customer_key, date_key, amount_cad, counterparty_country FROM {src}
   WHERE channel = 'wire' AND amount_cad >= {p.r004_min_amount}
     AND counterparty_country IN (SELECT country_code FROM dim_country WHERE is_high_risk = 1)"""
-        return _alert_rows(rule, found, "sum(amount_cad)", "count(*)", "array_to_string(list_sort(list_distinct(list(counterparty_country))), ',')")
+        return _alert_rows(rule, p, found, "sum(amount_cad)", "count(*)", "array_to_string(list_sort(list_distinct(list(counterparty_country))), ',')")
     if rule == "R005":
         days = f"(SELECT customer_key, date_key, sum(if(direction = 'credit', amount_cad, 0)) AS credits FROM {src} GROUP BY ALL)"
         found = f"""
@@ -265,7 +265,7 @@ def rule_sql(rule: str, src: str) -> str:
     FROM {days} o WHERE o.customer_key = d.customer_key AND o.date_key BETWEEN d.date_key - {p.r005_baseline_from} AND d.date_key) around
   WHERE around.n >= {p.r005_min_baseline_days} AND usual > 0 AND CAST(recent AS DOUBLE) > {p.r005_multiplier} * usual
     AND recent > {p.r005_min_volume}"""
-        return _alert_rows(rule, found, "max(recent)", "NULL", "round(CAST(max(recent) AS DOUBLE) / max(usual), 1)")
+        return _alert_rows(rule, p, found, "max(recent)", "NULL", "round(CAST(max(recent) AS DOUBLE) / max(usual), 1)")
     if rule == "R007":
         days = f"(SELECT account_key, customer_key, date_key, sum(amount_cad) AS moved FROM {src} GROUP BY ALL)"
         found = f"""
@@ -276,13 +276,14 @@ def rule_sql(rule: str, src: str) -> str:
        LATERAL (SELECT sum(o.moved) AS moved FROM {days} o
                 WHERE o.account_key = d.account_key AND o.date_key >= d.date_key AND o.date_key < d.date_key + {p.r007_window_days}) after
   WHERE gap >= {p.r007_gap_days} AND after.moved >= {p.r007_min_volume}"""
-        return _alert_rows(rule, found, "max(moved)", "NULL", "max(gap)")
+        return _alert_rows(rule, p, found, "max(moved)", "NULL", "max(gap)")
     raise KeyError(rule)
 
 
 RULES = ("R001", "R002", "R003", "R004", "R005", "R006", "R007", "R008")
 
 cte("evt_alerts", "\nUNION ALL\n".join(rule_sql(r, "evt") for r in RULES), ("evt", "dim_country"))
+cte("evt_alerts_default", "\nUNION ALL\n".join(rule_sql(r, "evt", RuleParams()) for r in RULES), ("evt", "dim_country"))
 cte("fact_alerts", "\nUNION ALL\n".join(rule_sql(r, "fact") for r in RULES), ("fact", "dim_country"))
 
 

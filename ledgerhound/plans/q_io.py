@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
 from pyspark.sql import functions as F
 
 from ..operators import marts as mt
@@ -35,6 +35,13 @@ def q_stage_customers(spark, sf):
     return feeds.stage_csv(spark, path, "customers")
 
 
+@register("stage_accounts", with_ctes("SELECT account_id, customer_id, account_type, opened_days_ago FROM stg_accounts", "stg_accounts"))
+def q_stage_accounts(spark, sf):
+    cols = [f.name for f in feeds.ACCOUNTS.fields]
+    path = sinks.write_csv(Warehouse(spark, sf).stg_accounts.select(*cols), sinks.export_dir(spark, "stg_accounts"))
+    return feeds.stage_csv(spark, path, "accounts")
+
+
 @register("export_roundtrip", with_ctes(f"SELECT {_WEEK_OUT} FROM evt_week", "evt_week"))
 def q_export(spark, sf):
     """O-05: a mart exported as a CSV extract and read back."""
@@ -55,13 +62,18 @@ def q_metrics_json(spark, sf):
 
 @register("model_save_load")
 def q_model_io(spark, sf):
-    """O-09: the fitted logistic model saved, loaded back and used to score."""
-    from .q_models import ModelRun
-    m = ModelRun.get(spark, sf)
-    path = sinks.save_model(m.logit, sinks.export_dir(spark, "logistic_model"))
-    loaded = LogisticRegressionModel.load(path)
+    """O-09: both models with their preparation saved, loaded back and used to score the raw features."""
+    from ..operators import features as fe
     from ..operators import modeling as md
-    return md.score(loaded, m.x, "score_logistic").select("alert_id", F.col("score_logistic"))
+    from .q_models import ModelRun
+    path = ModelRun.get(spark, sf).artefact
+    notes = sinks.load_notes(spark, path)
+    x = md.transform(fe.feature_matrix(Evaluation(spark, sf).frame), md.Prep(**notes["prep"]))
+    scored = md.score(LogisticRegressionModel.load(f"{path}/logistic_regression"), x, "score_logistic")
+    scored = md.score(GBTClassificationModel.load(f"{path}/gradient_boosted"), scored, "score_gbm")
+    production = "score_logistic" if notes["production_model"] == "logistic_regression" else "score_gbm"
+    return scored.select("alert_id", "score_logistic", "score_gbm",
+                         (F.col(production) >= notes["threshold"]).alias("is_priority"))
 
 
 @register("sql_rule_summary", with_ctes("""
@@ -98,6 +110,7 @@ REPUBLISHED = {
     "rule_effectiveness": "rule_effectiveness",
     "rule_overlap": "rule_overlap",
     "cost_benefit_sensitivity": "sensitivity_grid",
+    "feature_importance": "feature_importance",
 }
 
 
@@ -105,24 +118,36 @@ def _publish_oracle() -> str:
     # The extracts' own queries (and oracles) are registered by these modules.
     from . import q_analytics, q_marts, q_quality, q_warehouse  # noqa: F401
     from .catalog import ORACLES
-    parts = [f"SELECT '{name}' AS extract, CAST(COUNT(*) AS BIGINT) AS n_rows FROM ({ORACLES[key]}) t"
-             for name, key in {**EXTRACTS, **REPUBLISHED}.items()]
-    return "\nUNION ALL\n".join(parts)
+    from .oracle_ctes import with_ctes as ctes
+    from .q_features import feature_columns
+    counted = {name: f"SELECT count(*) FROM ({ORACLES[key]})" for name, key in {**EXTRACTS, **REPUBLISHED}.items() if key in ORACLES}
+    counted["dim_rule"] = f"SELECT count(*) FROM ({ctes('SELECT * FROM dim_rule', 'dim_rule')})"
+    counted["feature_importance"] = f"SELECT {len(feature_columns())}"  # fitted: one row a feature
+    return "\nUNION ALL\n".join(f"SELECT '{name}' AS extract, CAST(({sql}) AS BIGINT) AS n_rows, true AS same_content"
+                                for name, sql in counted.items())
+
+
+def _totals(df, name):
+    """Rows and an order-free hash of all cells."""
+    cells = F.xxhash64(*[F.col(c).cast("string") for c in df.columns]).cast("decimal(38,0)")
+    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(cells).alias("content")).select(F.lit(name).alias("extract"), "n_rows", "content")
 
 
 @register("publish_exports", _publish_oracle())
 def q_publish_exports(spark, sf):
     """O-05/O-06: the 8 report extracts and the republished analysis tables
-    written as CSV under one export folder, then read back (rows per extract)."""
+    written as CSV under one export folder, then read back: rows per extract, and
+    whether every cell came back."""
     from functools import reduce
 
-    from .catalog import QUERIES
-    frames = {name: QUERIES[key](spark, sf) for name, key in {**EXTRACTS, **REPUBLISHED}.items()}
+    from .catalog import QUERIES, report
+    keys = {**EXTRACTS, **REPUBLISHED}
+    frames = {name: report(Warehouse(spark, sf).dim_rule) if name == "dim_rule" else QUERIES[key](spark, sf) for name, key in keys.items()}
     paths = sinks.publish(frames, sinks.export_dir(spark, "report_extracts"))
-    back = [spark.read.options(**feeds.CSV_OPTIONS).schema(frames[name].schema).csv(path)
-            .agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("extract"), "n_rows")
-            for name, path in paths.items()]
-    return reduce(lambda a, b: a.unionByName(b), back)
+    back = [_totals(spark.read.options(**feeds.CSV_OPTIONS).schema(frames[name].schema).csv(path), name) for name, path in paths.items()]
+    sent = [_totals(df, name).withColumnsRenamed({"extract": "e", "n_rows": "n", "content": "c"}) for name, df in frames.items()]
+    both = reduce(lambda a, b: a.unionByName(b), back).join(F.broadcast(reduce(lambda a, b: a.unionByName(b), sent)), F.col("extract") == F.col("e"))
+    return both.select("extract", "n_rows", ((F.col("n_rows") == F.col("n")) & F.col("content").eqNullSafe(F.col("c"))).alias("same_content"))
 
 
 _MART_VIEW_SQL = """

@@ -213,6 +213,12 @@ def _queue(spark, sf, **slicers):
     return mt.queue_listing(scored_table(spark, sf), e.dim_customer, e.dim_date, **slicers)
 
 
+@register("queue_all", with_ctes(_QUEUE_SQL.format(where="true"), "evt_scored_alerts", "evt_customer", "evt_date"))
+def q_queue_all(spark, sf):
+    """O-108 without a slicer: every alert, highest score first."""
+    return _queue(spark, sf)
+
+
 @register("queue_tier1_r004", with_ctes(
     _QUEUE_SQL.format(where="s.tier = 'T1_same_day' AND s.rule_id = 'R004'"),
     "evt_scored_alerts", "evt_customer", "evt_date"))

@@ -8,6 +8,7 @@ threshold, a vanishing gradient) are covered by tests.
 
 from __future__ import annotations
 
+from dataclasses import asdict
 from functools import cached_property
 
 from pyspark import StorageLevel
@@ -18,6 +19,7 @@ from ..operators import explain as ex
 from ..operators import features as fe
 from ..operators import modeling as md
 from ..params import FIXTURE_SPLIT, EvalParams, ModelParams
+from ..sources import sinks
 from .catalog import register
 from .oracle_ctes import cte, with_ctes
 from .q_features import FP, feature_columns, matrix_sql
@@ -65,6 +67,25 @@ class ModelRun:
         return stored(self.spark, self.sf, "evt_model_scores",
                       lambda: md.score(self.gbt, self.logit_scored, "score_gbm").drop("features", "w"), (self.rule_params, MP, FIXTURE_SPLIT))
 
+    @cached_property
+    def selection(self):
+        """(production model, its score column, its threshold): chosen on the holdout, thresholds from the validation window."""
+        s = self.scored.withColumnRenamed("_rule", "rule_id")
+        va, ho = s.filter(F.col("split") == "valid"), s.filter(F.col("split") == "holdout")
+        thr = {c: ev.threshold_value(va, c) for c in ("score_logistic", "score_gbm")}
+        name = ev.model_selection(*[ev.evaluate_at_threshold(ho, t, c) for c, t in thr.items()],
+                                  "logistic_regression", "gradient_boosted").first()["selected"]
+        col = "score_logistic" if name == "logistic_regression" else "score_gbm"
+        return name, col, thr[col]
+
+    @cached_property
+    def artefact(self):
+        """Folder with both models, the preparation, columns, production model and threshold."""
+        name, _, thr = self.selection
+        return sinks.save_artefact(self.spark, {"logistic_regression": self.logit, "gradient_boosted": self.gbt},
+                                   {"prep": asdict(self.prep), "production_model": name, "threshold": thr,
+                                    "columns": [*self.num_cols, *self.cat_cols]}, sinks.export_dir(self.spark, "model"))
+
     @classmethod
     def get(cls, spark, sf):
         key = (spark.sparkContext.applicationId, fingerprint(spark, sf))
@@ -183,7 +204,10 @@ def q_reasons(spark, sf):
 
 @register("global_attribution")
 def q_global(spark, sf):
-    return ex.global_attribution(_contrib(ModelRun.get(spark, sf)))
+    """O-82: the boosted model's attribution per original feature."""
+    m = ModelRun.get(spark, sf)
+    trees = ex.tree_nodes(spark.read.parquet(f"{m.artefact}/gradient_boosted/data"), list(m.gbt.treeWeights))
+    return ex.boosted_attribution(m.x, trees, m.prep.inputs)
 
 
 @register("model_scored_alerts")
@@ -192,12 +216,7 @@ def q_model_scored(spark, sf):
     priority, percentile, tier and reason codes (joined by alert_id)."""
     m = ModelRun.get(spark, sf)
     s = m.scored.withColumnRenamed("_rule", "rule_id")
-    va, ho = s.filter(F.col("split") == "valid"), s.filter(F.col("split") == "holdout")
-    thr_l, thr_g = ev.threshold_value(va, "score_logistic"), ev.threshold_value(va, "score_gbm")
-    sel = ev.model_selection(ev.evaluate_at_threshold(ho, thr_l, "score_logistic"),
-                             ev.evaluate_at_threshold(ho, thr_g, "score_gbm"),
-                             "logistic_regression", "gradient_boosted").first()["selected"]
-    col, thr = ("score_logistic", thr_l) if sel == "logistic_regression" else ("score_gbm", thr_g)
+    sel, col, thr = m.selection
     base = s.select("alert_id", "rule_id", "customer_key", "date_key", "is_true_positive", "split",
                     F.col(col).alias("score"), "score_gbm")
     table = ev.scored_alerts(base, thr, EP)
@@ -235,7 +254,6 @@ def q_metrics_document(spark, sf):
     document. It is written as JSON and read back."""
     import json
 
-    from ..sources import sinks
     from .q_scoring import hash_score
 
     m = ModelRun.get(spark, sf)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, rules
 from ..params import FIXTURE_RULES as P
+from ..params import RuleParams
 from .catalog import register
 from .oracle_ctes import RULES, rule_sql, with_ctes
 from .warehouse import Monitoring, Warehouse, sup_fact
@@ -19,9 +20,19 @@ def q_dim_country(spark, sf):
     return Warehouse(spark, sf).dim_country
 
 
-@register("dim_rule", with_ctes("SELECT * FROM dim_rule", "dim_rule"))
+@register("dim_rule", with_ctes("""
+SELECT r.*, (SELECT count(*) FROM evt_alerts a WHERE a.rule_id = r.rule_id) AS alerts FROM dim_rule r""", "dim_rule", "evt_alerts"))
 def q_dim_rule(spark, sf):
-    return Warehouse(spark, sf).dim_rule
+    """O-03: the rule catalogue, with the alerts that each rule raises."""
+    m = Monitoring(spark, sf)
+    per = m.alerts.groupBy("rule_id").agg(F.count(F.lit(1)).alias("alerts"))
+    return m.dim_rule.join(per, "rule_id", "left").withColumn("alerts", F.coalesce("alerts", F.lit(0)))
+
+
+@register("alerts_default_rules", with_ctes("SELECT * FROM evt_alerts_default", "evt_alerts_default"))
+def q_alerts_default(spark, sf):
+    """O-29 under the default thresholds, next to the fixture's in one session."""
+    return Monitoring(spark, sf, RuleParams()).alerts
 
 
 @register("dim_customer_bands", with_ctes("SELECT * FROM dim_customer", "dim_customer"))

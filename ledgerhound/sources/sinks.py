@@ -6,6 +6,7 @@ location (``spark.checkpoint.dir``), never to a machine-local path.
 
 from __future__ import annotations
 
+import json
 import os
 import uuid
 
@@ -53,3 +54,15 @@ def save_model(model, path: str) -> str:
     """O-09: MLlib persistence (metadata + parquet data)."""
     model.write().overwrite().save(path)
     return path
+
+
+def save_artefact(spark: SparkSession, models: dict, notes: dict, path: str) -> str:
+    """O-09: all that scoring needs: the fitted models by name, and ``notes`` (preparation, thresholds, columns) as JSON."""
+    for name, model in models.items():
+        save_model(model, f"{path}/{name}")
+    spark.createDataFrame([(json.dumps(notes),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/notes")
+    return path
+
+
+def load_notes(spark: SparkSession, path: str) -> dict:
+    return json.loads(spark.read.text(f"{path}/notes").first()[0])

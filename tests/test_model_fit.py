@@ -69,3 +69,23 @@ def test_fewer_than_three_drivers(spark):
                                "alert_id string, contrib array<struct<label:string,value:double>>")
     got = {r.alert_id: (r.reason_1, r.reason_2, r.top_mitigant, r.reason_summary) for r in reason_codes(df).collect()}
     assert got == {"a": ("up", "", "down", "up"), "b": ("", "", "down", ""), "c": ("", "", "", "")}
+
+
+def test_path_contributions_add_up_to_the_margin(spark, run):
+    from ledgerhound.operators import explain as ex
+    trees = ex.tree_nodes(spark.read.parquet(f"{run.artefact}/gradient_boosted/data"), list(run.gbt.treeWeights))
+    rows = run.gbt.transform(run.x).select(vector_to_array("features").alias("x"), vector_to_array("rawPrediction").alias("raw")).collect()
+    x = np.array([r.x for r in rows])
+    owner = np.arange(x.shape[1])
+    margin = ex.path_contributions(x, trees, owner, x.shape[1]).sum(1) + sum(t["value"][0] for t in trees)
+    # The library's raw prediction is twice the margin, for either class.
+    assert np.allclose(np.abs([r.raw[1] for r in rows]), np.abs(margin), atol=1e-9) or np.allclose([r.raw[1] for r in rows], 2 * margin, atol=1e-9)
+    got = ex.boosted_attribution(run.x, trees, run.prep.inputs).collect()
+    assert len(got) == 81 and got[0].mean_abs_contribution > 0
+
+
+def test_loaded_artefact_scores_like_the_fitted_models(spark, run):
+    from ledgerhound.plans.catalog import queries
+    loaded = {r.alert_id: r for r in queries()["model_save_load"](spark, SF_MID).collect()}
+    for r in run.scored.collect():
+        assert abs(loaded[r.alert_id].score_gbm - r.score_gbm) < 1e-9 and abs(loaded[r.alert_id].score_logistic - r.score_logistic) < 1e-9
