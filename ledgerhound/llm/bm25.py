@@ -31,11 +31,11 @@ from .registry import register
 
 K1, B = 1.2, 0.75
 TOP = 10
-DOCS_PER_SHARD = 6_144
-BYTES_PER_SHARD = 24 << 20
+DOCS_PER_SHARD = 16_384
+BYTES_PER_SHARD = 64 << 20
 BLOCK_DOCS = 64
 #: Blocks that are scored between two looks at the bound.
-STRIDE = 16
+STRIDE = 64
 WORD = re.compile(r"\w+")
 INDEX = "shard long, docs long, words long, term string, df long, payload binary"
 SCHEMA = pa.schema([("shard", pa.int64()), ("docs", pa.int64()), ("words", pa.int64()), ("term", pa.string()), ("df", pa.int64()), ("payload", pa.binary())])
