@@ -5,9 +5,9 @@ the longest phrases that occur in the sample (a new phrase starts where the next
 language that needs the fewest phrases, normalised by the text length and the sample's log size (the cross entropy
 estimate ``phrases * log2(sample length) / letters``), wins. Ties go to the language that sorts first.
 
-The sample is bounded: ``SAMPLE_TEXTS`` labelled texts per language (those of the smallest text hash), an excerpt of at
-most ``EXCERPT_CHARS`` of each, ``SAMPLE_CHARS`` in all; languages with few labelled rows give what they have. Predictions
-read whole texts. A text is parsed in segments of ``SEGMENT_CHARS`` letters, a phrase ends with its segment; this adds
+The sample is bounded: ``SAMPLE_TEXTS`` distinct excerpts per language, the first ``EXCERPT_CHARS`` characters of labelled texts
+(those of the smallest text hash; copies, and texts that begin alike, count once), ``SAMPLE_CHARS`` in all; languages with few
+distinct excerpts give what they have. Predictions read whole texts. A text is parsed in segments of ``SEGMENT_CHARS`` letters, a phrase ends with its segment; this adds
 at most one phrase a segment, for all languages alike, and lets one task parse thousands of segments side by side.
 
 Null texts and texts without a letter give ``und`` with score 0, as do all texts where nothing is labelled. Very long
@@ -164,16 +164,17 @@ def decide(seqs: list[np.ndarray], model: Model) -> list[tuple[str, float]]:
 
 
 def labelled_sample(docs: DataFrame, lang: str, where: Column) -> dict[str, list[str]]:
-    """The bounded sample of each language; only excerpts leave the scan, and each task keeps its own smallest hashes."""
+    """The bounded sample of each language; only distinct excerpts leave the scan, and each task keeps its own smallest hashes."""
     rows = (docs.filter(where & F.col(lang).isNotNull() & F.col("text").isNotNull())
             .select(F.col(lang).cast("string").alias("lang"), F.xxhash64("text").alias("h"),
-                    F.substring("text", 1, EXCERPT_CHARS).alias("excerpt")).filter(F.col("excerpt").rlike(r"\p{L}")))
+                    F.substring("text", 1, EXCERPT_CHARS).alias("excerpt")).filter(F.col("excerpt").rlike(r"\p{L}"))
+            .groupBy("lang", "excerpt").agg(F.min("h").alias("h")))  # the bound counts distinct excerpts, whatever their copies
     nth = F.row_number().over(Window.partitionBy("lang").orderBy("h", "excerpt"))
     out: dict[str, list[str]] = {}
     for r in rows.withColumn("nth", nth).filter(F.col("nth") <= SAMPLE_TEXTS).orderBy("lang", "nth").collect():
         own = out.setdefault(r.lang, [])
         left = SAMPLE_CHARS - sum(map(len, own))
-        if left > 0 and r.excerpt not in own:
+        if left > 0:
             own.append(r.excerpt[:left])
     return out
 

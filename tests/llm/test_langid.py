@@ -52,3 +52,12 @@ def test_nothing_labelled_and_empty_table(spark):
     model = op.fit(op.labelled_sample(docs, "lang", F.lit(True)))
     assert model is None and [r.lang_pred for r in op.predict(docs, model, "doc_id").collect()] == ["und"]
     assert op.predict(docs.limit(0), op.fit({"en": ["abc"]}), "doc_id").collect() == []
+
+
+def test_copies_take_one_place_of_the_sample(spark):
+    en = [(1000 * k + n, f"english words number {chr(97 + k % 26)}{chr(97 + k // 26)}", "en") for k in range(70) for n in range(66)]
+    same = "le meme debut " * 40  # texts that differ only behind their excerpt
+    fr = [(10 ** 6 + n, f"{same}{n}", "fr") for n in range(200)] + [(2 * 10 ** 6 + n, f"autre texte {chr(97 + n)}", "fr") for n in range(20)]
+    got = op.labelled_sample(frame(spark, en + fr), "lang", F.lit(True))
+    assert len(got["en"]) == len(set(got["en"])) == op.SAMPLE_TEXTS
+    assert sorted(got["fr"]) == sorted({t[:op.EXCERPT_CHARS] for _, t, _ in fr})
