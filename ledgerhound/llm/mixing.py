@@ -2,9 +2,12 @@
 
 A naive Bayes classifier, trained on a labelled table, gives each document a posterior over the domains. Document rates
 are then fitted so that the expected tokens of each domain, the sum over documents of rate * tokens * posterior, meet the targets:
-projected gradient on the least squares of the relative misses, over rates that can't be negative, starting from one copy of
-each document. A step needs only one total for each domain, so each iteration is one aggregation over the documents and sends as many
-numbers to the driver as there are domains. Posteriors and rates stay in Spark; everything is DataFrame functions.
+least squares of the relative misses, over rates not below a floor, with a faint pull (``RIDGE``) to one copy of each document. At
+its optimum a rate is the larger of the floor and 1 + sum(posterior * multiplier), with one multiplier for each domain; Newton's
+method with a line search finds the multipliers. A step is one aggregation over the documents, which sends the domains' totals and their small
+Gram matrix to the driver; the number of steps doesn't depend on how rare a domain is. The fit ends when the targets are met or when no
+free rate can improve; what is missed then is returned in the report and logged as a warning. A fit that gets to neither raises.
+Posteriors and rates stay in Spark; everything is DataFrame functions.
 
 The classifier is fitted on at most ``LABELLED`` labelled rows (smallest id hash) with hashed words in ``BUCKETS`` buckets; posteriors
 read every word of every text. Documents without a word get the prior. Null text counts as empty; it has no tokens, so its rate
@@ -15,8 +18,10 @@ rate; very long texts count by their words. An empty table gives no rows.
 
 from __future__ import annotations
 
+import logging
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +37,8 @@ MAX_DOMAINS = 64
 MAX_STEPS = 200
 STEPS_PER_TABLE = 10
 TOLERANCE = 1e-3
+#: The pull of rates to 1, against misses relative to the largest target: misses that it leaves are a multiplier's RIDGE-th part at most.
+RIDGE = 1e-7
 #: The queries' target: a domain's share of the tokens to this power (rare domains are seen more often).
 TEMPERATURE = 0.7
 #: The queries keep every document at least once.
@@ -96,13 +103,91 @@ def posteriors(docs: DataFrame, domains: list[str], model: DataFrame, priors: li
             .select("doc_id", "text_hash", "nth", "tokens", *[(F.col(f"e{i}") / total).alias(f"p{i}") for i in d]))
 
 
-def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None, temperature: float = TEMPERATURE,
-              least: float = 0.0) -> tuple[DataFrame, dict]:
-    """``members`` with a column rate; and the report: targets, totals and steps.
+def wanted_totals(have: list[float], domains: list[str], weights: dict[str, float] | None, temperature: float) -> tuple[list[float], list[float]] | None:
+    """(targets, scales of the misses) for totals ``have``; None where no domain with tokens is wanted.
+
+    The targets' total is the least that asks for no domain to shrink: rates then rise where a domain is short.
+    """
+    d = range(len(domains))
+    wanted = weights or {x: (have[i] / (sum(have) or 1)) ** temperature for i, x in enumerate(domains)}
+    share = [wanted.get(x, 0.0) if have[i] > 0 else 0.0 for i, x in enumerate(domains)]
+    if sum(share) <= 0:
+        return None
+    share = [s / sum(share) for s in share]
+    total = max(have[i] / share[i] for i in d if share[i] > 0)
+    target = [s * total for s in share]
+    return target, [max(t, h, 1e-9) for t, h in zip(target, have, strict=True)]
+
+
+def solve_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None, temperature: float = TEMPERATURE,
+                least: float = 0.0) -> tuple[DataFrame, dict]:
+    """``members`` with a column rate; and the report: targets, totals, misses (relative, by domain), met and steps.
 
     ``least`` (not negative) bounds the rates from below: 0 lets documents go, 1 only repeats documents of short domains.
+    """
+    n, floor = len(domains), float(max(0.0, least))
+    pairs = [(i, j) for i in range(n) for j in range(i, n)]
 
-    The targets' total is the least that asks for no domain to shrink: rates then rise where a domain is short.
+    def raw(multipliers: np.ndarray) -> Column:
+        return sum((F.col(f"p{i}") * F.lit(float(x)) for i, x in enumerate(multipliers)), F.lit(1.0))
+
+    def rates(multipliers: np.ndarray) -> Column:
+        return F.when(F.col("tokens") > 0, F.greatest(F.lit(floor), raw(multipliers))).otherwise(F.lit(1.0))
+
+    def look(multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The domains' totals, and the Gram matrix of the documents whose rates are free."""
+        rows = members.select("tokens", *[f"p{i}" for i in range(n)], rates(multipliers).alias("rate"),
+                              F.when(raw(multipliers) >= floor, F.col("tokens")).otherwise(F.lit(0.0)).alias("free"))
+        got = rows.agg(*[F.sum(F.col("rate") * F.col("tokens") * F.col(f"p{i}")) for i in range(n)],
+                       *[F.sum(F.col("free") * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in pairs]).first()
+        gram = np.zeros((n, n))
+        for (i, j), x in zip(pairs, got[n:], strict=True):
+            gram[i, j] = gram[j, i] = x or 0.0
+        return np.array([x or 0.0 for x in got[:n]]), gram
+
+    have = members.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}")) for i in range(n)]).first()
+    have = [x or 0.0 for x in have]
+    found = wanted_totals(have, domains, weights, temperature)
+    if found is None:
+        return members.withColumn("rate", F.lit(1.0)), {"domains": domains, "targets": have, "totals": have, "misses": {x: 0.0 for x in domains}, "met": True, "steps": 0}
+    target, scale = map(np.array, found)
+    live = np.array(have) > 0
+    ridge = RIDGE * scale ** 2 / scale.max()
+    multipliers, steps = np.zeros(n), 0
+    at, gram = look(multipliers)
+    while True:
+        miss = (target - at) / scale
+        slope = np.where(live, at - target + ridge * multipliers, 0.0)
+        met = bool(np.abs(miss).max() <= TOLERANCE)
+        if met or np.abs(slope / scale).max() <= TOLERANCE / 100:  # or no free rate can improve
+            break
+        if steps >= MAX_STEPS:
+            raise RuntimeError(f"rates weren't fitted within {MAX_STEPS} steps; relative misses: {dict(zip(domains, miss.tolist(), strict=True))}")
+        own = gram[np.ix_(live, live)] + np.diag(ridge[live])
+        unit = 1 / np.sqrt(np.diag(own))  # domains differ by many orders of size
+        move = np.zeros(n)
+        move[live] = -unit * np.linalg.solve(own * np.outer(unit, unit), unit * slope[live])
+        fall, part = -float(slope @ move), 1.0
+        while True:
+            at, gram = look(multipliers + part * move)
+            steps += 1
+            rise = float(np.where(live, at - target + ridge * (multipliers + part * move), 0.0) @ move)
+            if rise <= 0.1 * fall or steps >= MAX_STEPS:
+                break
+            part *= max(0.1, fall / (fall + rise))  # went beyond the lowest point of the line
+        multipliers = multipliers + part * move
+    misses = dict(zip(domains, miss.tolist(), strict=True))
+    if not met:
+        logging.getLogger(__name__).warning("targets can't be met with rates of at least %s; relative misses: %s", floor, misses)
+    return members.withColumn("rate", rates(multipliers)), {"domains": domains, "targets": target.tolist(), "totals": at.tolist(), "misses": misses, "met": met, "steps": steps}
+
+
+def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None, temperature: float = TEMPERATURE,
+              least: float = 0.0) -> tuple[DataFrame, dict]:
+    """Plain projected gradient, at most MAX_STEPS steps: a slow reference to ``solve_rates``, which the operator uses.
+
+    ``members`` with a column rate; and the report: targets, totals, misses (relative, by domain), met and steps. A domain gains
+    at most the factor 1 - have / target a step, so rare domains can be missed.
     """
     d = range(len(domains))
 
@@ -111,14 +196,10 @@ def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float]
         return [got[i] or 0.0 for i in d]
 
     have = totals(members, F.lit(1.0))
-    wanted = weights or {x: (have[i] / (sum(have) or 1)) ** temperature for i, x in enumerate(domains)}
-    share = [wanted.get(x, 0.0) if have[i] > 0 else 0.0 for i, x in enumerate(domains)]
-    if sum(share) <= 0:
-        return members.withColumn("rate", F.lit(1.0)), {"domains": domains, "targets": have, "totals": have, "steps": 0}
-    share = [s / sum(share) for s in share]
-    total = max(have[i] / share[i] for i in d if share[i] > 0)
-    target = [s * total for s in share]
-    scale = [max(t, h, 1e-9) for t, h in zip(target, have, strict=True)]
+    found = wanted_totals(have, domains, weights, temperature)
+    if found is None:
+        return members.withColumn("rate", F.lit(1.0)), {"domains": domains, "targets": have, "totals": have, "misses": {x: 0.0 for x in domains}, "met": True, "steps": 0}
+    target, scale = found
     # Least squares of the relative misses, preconditioned by the tokens: a step moves document rates by
     # size * sum(p * miss / scale). Its curvature is at most the largest row sum of G, G_ij = sum(tokens * p_i * p_j) / scale_j.
     gram = members.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"g{i}_{j}") for i in d for j in d]).first()
@@ -135,7 +216,9 @@ def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float]
         if steps % STEPS_PER_TABLE == 0:  # keeps the expression short and the lineage cut
             now, now_rate = materialize(now.withColumn("rate", now_rate), "mix-rates"), F.col("rate")
         at = totals(now, now_rate)
-    return now.withColumn("rate", now_rate), {"domains": domains, "targets": target, "totals": at, "steps": steps}
+    misses = {x: (target[i] - at[i]) / scale[i] for i, x in enumerate(domains)}
+    return now.withColumn("rate", now_rate), {"domains": domains, "targets": target, "totals": at, "misses": misses,
+                                              "met": max(map(abs, misses.values())) <= TOLERANCE, "steps": steps}
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, limit: int = LABELLED,
@@ -150,7 +233,7 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
         domains, priors = ["all"], [0.0]
         model = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0.0).alias("l0"))
     members = materialize(posteriors(docs, domains, model, priors), "mix-members")
-    rated, report = fit_rates(members, domains, weights, least=least)
+    rated, report = solve_rates(members, domains, weights, least=least)
     best = F.greatest(*[F.struct(F.col(f"p{i}").alias("p"), F.lit(x).alias("domain")) for i, x in enumerate(domains)]) if len(domains) > 1 \
         else F.struct(F.col("p0").alias("p"), F.lit(domains[0]).alias("domain"))
     u = F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash", "nth", F.lit(SEED)), 11) / float(1 << 53)

@@ -59,3 +59,36 @@ def test_no_labels_and_empty_table(spark):
     got, _ = op.mix(docs, op.domains_of(docs, labels(spark, rows).limit(0)))
     assert {(r.domain, r.rate, r.copies) for r in got.collect()} == {("all", 1.0, 1)}
     assert op.mix(docs.limit(0), op.domains_of(docs, labels(spark, rows)))[0].collect() == []
+
+
+def disjoint(spark, sizes):
+    """Members of domains that share no document: ``sizes`` tokens in each, in two documents."""
+    n = len(sizes)
+    rows = [(10 * i + k, 0, 1, x / 2, *[float(i == j) for j in range(n)]) for i, x in enumerate(sizes) for k in (0, 1)]
+    return spark.createDataFrame(rows, "doc_id long, text_hash long, nth long, tokens double, " + ", ".join(f"p{i} double" for i in range(n)))
+
+
+def test_rare_domains_and_large_weights_are_met(spark, monkeypatch):
+    for sizes, weights in (([1e9, 1e5, 1e4, 1e3], None), ([1e6, 1e6], {"d0": 1.0, "d1": 100.0}), ([1e6, 1e2], {"d0": 1.0, "d1": 1.0})):
+        domains, members = [f"d{i}" for i in range(len(sizes))], disjoint(spark, sizes)
+        with monkeypatch.context() as m:  # the fit that the query and the pipeline get
+            m.setattr(op, "train", lambda *a: (domains, members, []))
+            m.setattr(op, "posteriors", lambda *a: members)
+            _, report = op.mix(members, members, weights, least=op.LEAST_RATE)
+        assert report["steps"] <= 10
+        for have, want in zip(report["totals"], report["targets"], strict=True):
+            assert abs(have - want) <= op.TOLERANCE * want
+
+
+def test_unreachable_targets_return_their_misses_at_the_optimum(spark, caplog):
+    # Half of every document is of a: b can't be more than half, whatever the rates.
+    rows = [(k, 0, 1, 10.0, 0.5, 0.5) for k in range(5)] + [(9, 0, 1, 10.0, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text_hash long, nth long, tokens double, p0 double, p1 double")
+    fitted, report = op.solve_rates(df, ["a", "b"], {"a": 0.2, "b": 0.8})
+    assert not report["met"] and max(map(abs, report["misses"].values())) > 0.1 and "can't be met" in caplog.text
+    rates = {r.doc_id: r.rate for r in fitted.collect()}
+    # One number, the tokens of the shared documents, is free; the document of a alone only adds to its excess.
+    a, b = report["targets"]
+    sa, sb = max(a, 35.0), max(b, 25.0)
+    half = (a / sa ** 2 + b / sb ** 2) / (1 / sa ** 2 + 1 / sb ** 2)
+    assert rates[9] == 0.0 and all(abs(rates[k] - half / 25) < 1e-4 for k in range(5))
