@@ -36,14 +36,14 @@ EFFECTIVE_WORDS = 20.0
 MAX_DOMAINS = 64
 MAX_STEPS = 200
 STEPS_PER_TABLE = 10
-TOLERANCE = 1e-3
+TOLERANCE = 1e-4
 #: The pull of rates to 1, against misses relative to the largest target: misses that it leaves are a multiplier's RIDGE-th part at most.
 RIDGE = 1e-7
 #: The queries' target: a domain's share of the tokens to this power (rare domains are seen more often).
 TEMPERATURE = 0.7
 #: The queries keep every document at least once.
 LEAST_RATE = 1.0
-#: The fit is good to TOLERANCE; rates are used to as many decimals, so that a rate of one is one copy.
+#: Rates are returned to this many decimals; copies are dealt from whole rates.
 RATE_DECIMALS = 3
 SEED = 11
 

@@ -92,3 +92,13 @@ def test_unreachable_targets_return_their_misses_at_the_optimum(spark, caplog):
     sa, sb = max(a, 35.0), max(b, 25.0)
     half = (a / sa ** 2 + b / sb ** 2) / (1 / sa ** 2 + 1 / sb ** 2)
     assert rates[9] == 0.0 and all(abs(rates[k] - half / 25) < 1e-4 for k in range(5))
+
+
+def test_floor_does_not_end_the_fit_early(spark):
+    # a is at its target already and can only shrink below the floor; the documents shared with it must give way to those of b alone.
+    rows = [(k, 0, 1, 100.0, 1.0, 0.0) for k in range(60)] + [(100 + k, 0, 1, 50.0, 0.005, 0.995) for k in range(20)] \
+        + [(200 + k, 0, 1, 50.0, 0.0, 1.0) for k in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text_hash long, nth long, tokens double, p0 double, p1 double")
+    fitted, report = op.solve_rates(df, ["a", "b"], None, least=1.0)
+    assert report["met"] and max(map(abs, report["misses"].values())) <= 1e-4 and report["steps"] < 20
+    assert min(r.rate for r in fitted.collect()) >= 1.0
