@@ -6,7 +6,8 @@ mean length, document frequencies) are counted over all shards first, so scores
 
 A query goes through a shard by dynamic pruning: the block maxima of its terms add up to an upper bound for each block; blocks are taken
 from the highest bound down, their postings are scored exactly, and when the k-th best score so far exceeds the next bound, no
-document of the rest can enter and the search stops. The shards' lists, each exact, merge by score, then doc_id. Scores
+document of the rest can enter and the search stops. This stands in for block-max WAND: there are no document-ordered cursors and
+no pivots, and the bounds of all blocks are added up for each query. The shards' lists, each exact, merge by score, then doc_id. Scores
 add up in the order of the terms everywhere, so equal documents have equal scores in any shard.
 
 Words are runs of ``\\w`` characters in lower case; a query's terms count once each. Documents that share no term with a query aren't
