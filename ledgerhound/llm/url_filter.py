@@ -73,7 +73,7 @@ def alias_key(url: Column) -> Column:
 
 
 def alias_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): alias keys of a page's url and of the canonical or redirect target that its html names."""
+    """(a, b): alias keys of a page's url and of each canonical or redirect target that its html names."""
     html = F.coalesce(F.col("html"), F.lit(""))
     base = F.regexp_extract("url", r"(?s)\A(.*?://[^/?#]*)", 1)
     scheme = F.regexp_extract("url", r"(?s)\A(.*?:)//", 1)
@@ -83,7 +83,7 @@ def alias_edges(pages: DataFrame) -> DataFrame:
             .when(target.startswith("/"), F.concat(base, target))
             .otherwise(F.concat(F.when(folder == "", F.concat(base, F.lit("/"))).otherwise(folder), target)))
     found = (pages.filter("url LIKE '%://%'")
-             .withColumn("target", F.explode(F.array(F.regexp_extract(html, CANONICAL, 1), F.regexp_extract(html, REFRESH, 1))))
+             .withColumn("target", F.explode(F.concat(F.regexp_extract_all(html, F.lit(CANONICAL), F.lit(1)), F.regexp_extract_all(html, F.lit(REFRESH), F.lit(1)))))
              .filter("target <> ''").withColumn("full", full))
     return found.select(alias_key(F.col("url")).alias("a"), alias_key(F.col("full")).alias("b"), F.col("full").alias("target_url"))
 

@@ -44,3 +44,10 @@ def test_chains_of_aliases_and_given_edges(spark):
 def test_no_rules_and_empty_table(spark):
     assert {r.verdict for r in op.judge(pages(spark), op.rule_table(spark, [])).collect()} == {"allow"}
     assert op.judge(pages(spark).limit(0), op.rule_table(spark, op.RULES)).collect() == []
+
+
+def test_every_named_target_is_an_alias(spark):
+    rows = [(1, "http://a.net/", link("http://b.net/") + link("http://z.com/de/")), (2, "http://c.net/", refresh("http://d.net/") + refresh("http://y.com/de/")),
+            (3, "http://e.net/", link("http://f.net/") + refresh("http://g.net/"))]
+    got = op.judge(pages(spark, rows), op.rule_table(spark, op.RULES)).collect()
+    assert {r.page_id: r.verdict for r in got} == {1: "block", 2: "block", 3: "allow"}
