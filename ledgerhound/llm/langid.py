@@ -36,6 +36,7 @@ SAMPLE_CHARS = 16_000
 SEGMENT_CHARS = 1024
 #: Letters that are parsed side by side in one step of a task.
 CHUNK_CHARS = 3_000_000
+#: The commonest letters have a column in the dense table; moves by the samples' other letters are looked up by key.
 ALPHABET = 200
 UNKNOWN = "und"
 #: Classes: 0 a run of other characters than letters, 1 a letter that no sample has, from 2 on the samples' letters.
@@ -47,6 +48,10 @@ class Model:
     langs: list[str]
     classes: np.ndarray  # class of every code point
     table: np.ndarray  # (state, class) -> 2 * row of the next state + 1 if a phrase starts
+    width: int  # classes in the table
+    stop: int  # classes in all
+    keys: np.ndarray  # sorted, state * (classes - width) + class - width of the moves by other classes
+    moves: np.ndarray  # their targets, as in the table
     roots: np.ndarray  # 2 * row of each language's root
     bits: np.ndarray  # log2 of each sample's length
 
@@ -96,20 +101,26 @@ def fit(samples: dict[str, list[str]]) -> Model | None:
     langs = sorted(x for x in samples if any(ch.isalpha() for t in samples[x] for ch in t))
     if not langs:
         return None
-    seen = Counter(ch for x in langs for t in samples[x] for ch in t.lower() if ch.isalpha())
-    known = {ch: k + FIRST for k, (ch, _) in enumerate(sorted(seen.items(), key=lambda kv: (-kv[1], kv[0]))[:ALPHABET])}
+    seen = Counter(ch.lower()[:1] for x in langs for t in samples[x] for ch in t if ch.isalpha())
+    known = {ch: k + FIRST for k, (ch, _) in enumerate(sorted(seen.items(), key=lambda kv: (-kv[1], kv[0])))}
+    stop = len(known) + FIRST  # ends a sample text, never matches
+    size = min(len(known), ALPHABET) + FIRST
     classes = np.fromiter((0 if 0xD800 <= cp < 0xE000 or unicodedata.category(chr(cp))[0] != "L" else known.get(chr(cp).lower()[:1], STRANGE)
-                           for cp in range(sys.maxunicode + 1)), np.uint8, sys.maxunicode + 1)
-    size, stop = len(known) + FIRST, len(known) + FIRST  # stop: ends a sample text, never matches
+                           for cp in range(sys.maxunicode + 1)), np.min_scalar_type(stop), sys.maxunicode + 1)
     parts, roots, bits, base = [], [], [], 0
+    others: dict[int, int] = {}
     for x in langs:
         seq = [c for t in samples[x] for c in (*letters(t, classes).tolist(), stop)]
         nxt, n = suffix_automaton(seq)
         own = np.full((n, size), -1, np.int64)
         for s, moves in enumerate(nxt):
             for c, to in moves.items():
-                if c not in (stop, STRANGE):
+                if c == stop:
+                    continue
+                if c < size:
                     own[s, c] = to
+                else:
+                    others[(s + base) * (stop - size) + c - size] = (to + base) * size * 2 + (s == 0)
         root = np.where(own[0] >= 0, own[0], 0)  # a phrase starts anew with this letter, or is the strange letter alone
         starts = (own < 0) | (np.arange(n) == 0)[:, None]
         own = np.where(own >= 0, own, root[None, :])
@@ -118,7 +129,28 @@ def fit(samples: dict[str, list[str]]) -> Model | None:
         bits.append(np.log2(max(2, len(seq))))
         base += n
     flat = np.concatenate(parts)
-    return Model(langs, classes, flat.astype(np.int32) if flat.max() < 2 ** 31 else flat, np.array(roots, flat.dtype), np.array(bits))
+    flat = flat.astype(np.int32) if flat.max() < 2 ** 31 else flat
+    keys = np.array(sorted(others), np.int64)
+    moves = np.array([others[k] for k in keys.tolist()], flat.dtype)
+    return Model(langs, classes, flat, size, stop, keys, moves, np.array(roots, flat.dtype), np.array(bits))
+
+
+def step(state: np.ndarray, c: np.ndarray, model: Model) -> np.ndarray:
+    """The next states of (language, segment) ``state`` by the classes ``c`` of the segments."""
+    other = np.flatnonzero(c >= model.width) if len(model.keys) else []
+    if not len(other):
+        return model.table[(state >> 1) + c]
+    now = model.table[(state >> 1) + np.where(c < model.width, c, STRANGE)]  # a strange letter leads to the root
+    span = model.stop - model.width
+    letter = c[other].astype(np.int64) - model.width
+    for k in range(len(state)):
+        here = now[k, other]
+        for row in (np.full(len(other), model.roots[k] >> 1, np.int64), (state[k, other] >> 1).astype(np.int64)):  # anew, or onward
+            key = row // model.width * span + letter
+            at = np.minimum(np.searchsorted(model.keys, key), len(model.keys) - 1)
+            here = np.where(model.keys[at] == key, model.moves[at], here)
+        now[k, other] = here
+    return now
 
 
 def phrases(seqs: list[np.ndarray], model: Model, segment: int = SEGMENT_CHARS) -> np.ndarray:
@@ -137,7 +169,7 @@ def phrases(seqs: list[np.ndarray], model: Model, segment: int = SEGMENT_CHARS)
     count = np.zeros(state.shape, np.int32)
     for t in range(int(lengths[0]) if len(lengths) else 0):
         n = active[t]
-        now = model.table[(state[:, :n] >> 1) + text[starts[:n] + t]]
+        now = step(state[:, :n], text[starts[:n] + t], model)
         state[:, :n] = now
         count[:, :n] += now & 1
     out = np.zeros((len(seqs), len(model.langs)), np.int64)

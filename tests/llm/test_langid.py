@@ -61,3 +61,24 @@ def test_copies_take_one_place_of_the_sample(spark):
     got = op.labelled_sample(frame(spark, en + fr), "lang", F.lit(True))
     assert len(got["en"]) == len(set(got["en"])) == op.SAMPLE_TEXTS
     assert sorted(got["fr"]) == sorted({t[:op.EXCERPT_CHARS] for _, t, _ in fr})
+
+
+def test_every_letter_of_the_samples_counts(monkeypatch):
+    rare = {"ko": "".join(chr(0xAC00 + k) for k in range(600)), "zh": "".join(chr(0x4E00 + k) for k in range(600))}
+    samples = {x: [t, t[::7] + " " + t[::-1]] for x, t in rare.items()}
+    model = op.fit(samples)
+    assert op.decide([op.letters(rare["zh"][a:a + 5], model.classes) for a in (0, 300, 590)], model)[0][0] == "zh"
+    assert {x for x, _ in op.decide([op.letters(rare["zh"][a:a + 5], model.classes) for a in range(0, 595, 5)], model)} == {"zh"}
+    assert {x for x, _ in op.decide([op.letters(rare["ko"][a:a + 5], model.classes) for a in range(0, 595, 5)], model)} == {"ko"}
+    texts = [rare["zh"][:40] + rare["ko"][100:90:-1] + " " + rare["zh"][3:80:7] + "\u3042xyz", rare["ko"][::5], "\u3042" * 4, ""]
+    seqs = [op.letters(t, model.classes) for t in texts]
+    got = op.phrases(seqs, model, segment=10_000)
+    for k, lang in enumerate(model.langs):
+        sample = [c for t in samples[lang] for c in (*op.letters(t, model.classes).tolist(), 5000)]
+        assert got[:, k].tolist() == [slow_phrases(s, sample) for s in seqs]
+    # However few letters have a column, the parse is the same.
+    whole = op.fit({"en": ["the thing and the other thing"], "fr": ["la chose et les autres choses"]})
+    monkeypatch.setattr(op, "ALPHABET", 3)
+    few = op.fit({"en": ["the thing and the other thing"], "fr": ["la chose et les autres choses"]})
+    both = [op.phrases([op.letters(t, m.classes) for t in ("the other choses", "zq thing", "autre")], m).tolist() for m in (whole, few)]
+    assert both[0] == both[1]
