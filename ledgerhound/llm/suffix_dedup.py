@@ -42,6 +42,7 @@ BLOCK_BYTES = 4 << 20
 ANCHOR_BUCKET = 32 << 20
 CONTEXT_BUCKET = 8 << 20
 HEAVY = 60_000
+#: Counts of a block's runs are sent in a byte each; those from MOST on follow in full.
 MOST = 255
 CODEC = "zstd"
 U64 = np.uint64
@@ -178,12 +179,22 @@ def _anchors(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, payload in arrow_rows(batches, "block", "payload"):
             anchors, count = np.unique(Block(payload).runs()[0], return_counts=True)
-            out = [(block, b, len(at), anchors[at].tobytes() + np.minimum(count[at], MOST).astype(np.uint8).tobytes()) for b, at in _by_bucket(anchors, buckets)]
+            out = [(block, b, len(at), anchors[at].tobytes() + _pack_counts(count[at])) for b, at in _by_bucket(anchors, buckets)]
             if out:
                 yield _message(out)
     return run
 
 
+def _pack_counts(count: np.ndarray) -> bytes:
+    return np.minimum(count, MOST).astype(np.uint8).tobytes() + count[count >= MOST].astype("<i8").tobytes()
+
+
+def _unpack_counts(raw: bytes, n: int) -> np.ndarray:
+    count = np.frombuffer(raw, np.uint8, n).astype(np.int64)
+    count[count == MOST] = np.frombuffer(raw, "<i8", -1, n) if len(raw) > n else []
+    return count
+
+
 def _grouped(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[tuple]]]:
     """Rows (block, kind, size, payload) sorted by ``key``: the rows of each key."""
     rows = arrow_rows(batches, "block", "kind", "size", "payload")
@@ -197,7 +208,10 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for bucket, rows in _grouped(batches, "kind"):
         sizes = [r[2] for r in rows]
         anchors = np.frombuffer(b"".join(r[3][:8 * r[2]] for r in rows), U64)
-        counts = np.frombuffer(b"".join(r[3][8 * r[2]:] for r in rows), np.uint8).astype(np.int64)
+        counts, at = np.empty(len(anchors), np.int64), 0
+        for _, _, n, payload in rows:
+            counts[at:at + n] = _unpack_counts(payload[8 * n:], n)
+            at += n
         order = np.argsort(anchors, kind="stable")
         head = np.flatnonzero(np.r_[True, np.diff(anchors[order]) != 0])
         total = np.add.reduceat(counts[order], head)

@@ -64,3 +64,18 @@ def test_suffix_order_against_sorted():
 def test_empty_table_and_no_text(spark):
     assert op.remove_repeats(frame(spark, corpus()).limit(0)).collect() == []
     assert results(spark, [(1, None, None), (2, "", None)]) == brute([(1, None, None), (2, "", None)])
+
+
+def test_an_anchor_of_few_blocks_is_heavy_by_its_real_count(monkeypatch):
+    monkeypatch.setattr(op, "HEAVY", 600)
+    text = "x" * 60 + "the same letters again and again %04d"  # one anchor in every document, a run each
+    docs = [(text % k).encode() for k in range(400)]
+    head = [np.array([len(docs)], "<i8"), np.arange(len(docs)), np.array([len(t) for t in docs], "<i8"), np.zeros(len(docs), np.uint8)]
+    payload = op.squeeze(b"".join(a.tobytes() for a in head) + b"".join(docs))
+    for blocks, state in ((1, 1), (2, 2)):  # 400 and 800 runs
+        sent = list(op._anchors(1)(iter([op._message([(b, -1, len(payload), payload) for b in range(blocks)])])))
+        (got,) = op._shared(iter(sent))
+        states = np.frombuffer(op.expand(got.column("payload")[0].as_py()), np.uint8)
+        assert states.max() == state
+    count = np.array([1, 254, 255, 256, 70_000, 3], np.int64)
+    assert op._unpack_counts(op._pack_counts(count), len(count)).tolist() == count.tolist()
