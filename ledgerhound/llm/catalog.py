@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bm25, bpe, decontaminate, exact_dedup, langid, mixing, quality, shards, simhash, suffix_dedup, url_filter  # noqa: F401
+from . import align, bm25, bpe, collocations, decontaminate, exact_dedup, langid, mixing, quality, shards, simhash, suffix_dedup, url_filter  # noqa: F401
 from .registry import ORACLES, QUERIES
 
 
