@@ -20,6 +20,7 @@ TENURE_TOP = "84m+"
 MONTH_NAMES = ("Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec")
 REJECT_NEGATIVE = "negative_amount"
 REJECT_ORPHAN = "orphan_account_id"
+REJECT_UNPARSABLE = "unparsable_row"
 
 
 def dedup_first(df: DataFrame, key: str, order_col: str) -> DataFrame:
@@ -97,6 +98,11 @@ def quarantine(dedup: DataFrame, dim_account: DataFrame) -> DataFrame:
     return neg.unionByName(orphan)
 
 
+def unparsable(bad: DataFrame) -> DataFrame:
+    """Rows of rejected_transaction for the lines of a feed that don't parse; ``bad``: (txn_id, raw_line)."""
+    return bad.select("txn_id", F.lit(REJECT_UNPARSABLE).alias("reject_reason"), F.col("raw_line").alias("raw_payload"))
+
+
 def fact_transactions(dedup: DataFrame, dim_account: DataFrame, dim_customer: DataFrame,
                       dim_country: DataFrame) -> DataFrame:
     """fact_transaction (O-14, O-15, O-16).

@@ -9,6 +9,9 @@ one as a literal collect it (one number per recall target).
 
 from __future__ import annotations
 
+import hashlib
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -186,45 +189,66 @@ def model_selection(eval_a: DataFrame, eval_b: DataFrame, name_a: str, name_b: s
                     F.col("b_defer").alias(f"{name_b}_deferred_pct"))
 
 
+def uniform(seed: int, draw: int, cell: int) -> float:
+    """A number from (0, 1) that depends on nothing but its counters: 52 bits of an MD5 digest."""
+    return (int(hashlib.md5(f"{seed}|{draw}|{cell}".encode()).hexdigest()[:13], 16) + 0.5) / (1 << 52)
+
+
+def binomial_quantile(n: int, p: float, u: float) -> int:
+    """The least k with P(Binomial(n, p) <= k) >= u; probabilities beyond a dozen deviations from the mean are zero here."""
+    if n <= 0 or p <= 0:
+        return 0
+    if p >= 1:
+        return n
+    reach = 12 * math.sqrt(n * p * (1 - p)) + 30
+    low, high = max(0, int(n * p - reach)), min(n, int(n * p + reach))
+    k = np.arange(low, high)
+    odds = math.log(p) - math.log1p(-p)
+    first = math.lgamma(n + 1) - math.lgamma(low + 1) - math.lgamma(n - low + 1) + low * math.log(p) + (n - low) * math.log1p(-p)
+    below = np.cumsum(np.exp(first + np.r_[0.0, np.cumsum(np.log((n - k) / (k + 1)) + odds)]))
+    return low + min(int(np.searchsorted(below, u, side="left")), high - low)
+
+
 def bootstrap_ci(spark: SparkSession, holdout: DataFrame, threshold: float, ep: EvalParams = EvalParams(),
                  seed: int = 20260723, score: str = "score") -> DataFrame:
     """O-74: percentile bootstrap of recall and volume reduction.
 
     Both statistics depend only on the four (label, reviewed) cell counts, so
     the alerts are aggregated once in Spark and each of the B resamples is a
-    seeded multinomial draw over those cells, run on executors with
-    ``mapInPandas`` over ``spark.range(B)`` (O(B) work, never B x n rows).
+    multinomial draw over those cells, run on executors with
+    ``mapInPandas`` over ``spark.range(B)`` (never B x n rows). A draw is a chain of conditional binomials by their
+    inverse distributions, from uniforms that are digests of (seed, draw, cell): any engine that follows this gets the same draws.
     """
     review = F.col(score) >= F.lit(threshold)
     cells = holdout.agg(count_if(review & (F.col(Y) == 1)).alias("tp_r"),
                         count_if(~review & (F.col(Y) == 1)).alias("tp_d"),
                         count_if(review & (F.col(Y) == 0)).alias("fp_r"),
                         count_if(~review & (F.col(Y) == 0)).alias("fp_d")).first()
-    counts = np.array([cells["tp_r"], cells["tp_d"], cells["fp_r"], cells["fp_d"]], dtype=float)
-    n = int(counts.sum())
-    probs = (counts / n).tolist() if n else [0.0, 0.0, 0.0, 1.0]
+    counts = [int(cells[c] or 0) for c in ("tp_r", "tp_d", "fp_r", "fp_d")]
+
+    def resample(draw: int) -> list[int]:
+        out, left, rest = [], sum(counts), sum(counts)
+        for cell, c in enumerate(counts[:-1]):
+            got = binomial_quantile(left, c / rest if rest else 0.0, uniform(seed, draw, cell))
+            out.append(got)
+            left, rest = left - got, rest - c
+        return [*out, left]
 
     def draw(batches):
         for b in batches:
             rec, vol = [], []
             for i in b["id"].tolist():
-                rng = np.random.default_rng([seed, int(i)])
-                tp_r, tp_d, fp_r, fp_d = rng.multinomial(n, probs) if n else (0, 0, 0, 0)
-                pos = tp_r + tp_d
-                if pos == 0:
-                    rec.append(None)
-                    vol.append(None)
-                    continue
-                rec.append(tp_r / pos)
-                vol.append((tp_d + fp_d) / n * 100.0)
+                tp_r, tp_d, fp_r, fp_d = resample(int(i))
+                pos, n = tp_r + tp_d, tp_r + tp_d + fp_r + fp_d
+                rec.append(tp_r / pos if pos else None)
+                vol.append((tp_d + fp_d) / n * 100.0 if pos else None)
             yield pd.DataFrame({"draw_recall": rec, "draw_volume_reduction": vol}, dtype="float64")
 
     schema = T.StructType([T.StructField("draw_recall", T.DoubleType()),
                            T.StructField("draw_volume_reduction", T.DoubleType())])
     draws = spark.range(ep.bootstrap_iterations).mapInPandas(draw, schema).filter(F.col("draw_recall").isNotNull())
     lo, hi = (1 - ep.bootstrap_ci) / 2, (1 + ep.bootstrap_ci) / 2
+    at = lambda c, q, name: F.round(F.percentile(c, q), 9).alias(name)
     return draws.agg(F.count(F.lit(1)).alias("draws"),
-                     F.percentile("draw_recall", lo).alias("recall_ci_low"),
-                     F.percentile("draw_recall", hi).alias("recall_ci_high"),
-                     F.percentile("draw_volume_reduction", lo).alias("volume_reduction_ci_low"),
-                     F.percentile("draw_volume_reduction", hi).alias("volume_reduction_ci_high"))
+                     at("draw_recall", lo, "recall_ci_low"), at("draw_recall", hi, "recall_ci_high"),
+                     at("draw_volume_reduction", lo, "volume_reduction_ci_low"), at("draw_volume_reduction", hi, "volume_reduction_ci_high"))

@@ -97,6 +97,33 @@ def rolling_features(daily: DataFrame, fp: FeatureParams = FeatureParams()) -> D
     return daily.select("customer_key", "date_key", *cols)
 
 
+def trailing_distinct(fact: DataFrame, dim_country: DataFrame, fp: FeatureParams = FeatureParams()) -> DataFrame:
+    """O-47/O-49 over whole windows: per active (customer, day) the distinct counterparties and the largest
+    transaction of the last 7/30/90 days (a day's counterparty isn't counted again on another day).
+
+    A day of a counterparty stands for it from that day on until its next one or until it leaves the window, whichever
+    comes first. So every counterparty-day adds one and takes it back later, and the count of a day is the running
+    sum of these differences: no row is repeated for each window that it is in, and a window's size doesn't matter.
+    """
+    hr = dim_country.select(F.col("country_code").alias("counterparty_country"))
+    t = fact.join(F.broadcast(hr), "counterparty_country", "inner")  # bounded by the number of jurisdictions
+    days = t.groupBy("customer_key", "counterparty_id", "date_key").agg(F.max("amount_cad").alias("largest"))
+    seen = days.withColumn("_next", F.lead("date_key").over(Window.partitionBy("customer_key", "counterparty_id").orderBy("date_key")))
+    known = F.col("counterparty_id").isNotNull().cast("long")
+    marks = [F.struct(F.col("date_key").alias("day"), F.col("largest").alias("largest"), *[known.alias(f"d{w}") for w in fp.windows])]
+    for w in fp.windows:
+        gone = F.least(F.coalesce("_next", F.col("date_key") + w), F.col("date_key") + w)
+        marks.append(F.struct(gone.alias("day"), F.lit(None).cast("decimal(18,2)").alias("largest"),
+                              *[(-known if v == w else F.lit(0).cast("long")).alias(f"d{v}") for v in fp.windows]))
+    moves = seen.select("customer_key", F.explode(F.array(*marks)).alias("m")).select("customer_key", F.col("m.day").alias("date_key"), "m.*")
+    daily = moves.groupBy("customer_key", "date_key").agg(F.max("largest").alias("largest"), *[F.sum(f"d{w}").alias(f"d{w}") for w in fp.windows])
+    base = Window.partitionBy("customer_key").orderBy("date_key")
+    run = base.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    out = daily.select("customer_key", "date_key", "largest", *[F.sum(f"d{w}").over(run).alias(f"distinct_counterparties_{w}d") for w in fp.windows],
+                       *[F.max("largest").over(base.rangeBetween(-(w - 1), Window.currentRow)).alias(f"largest_txn_{w}d") for w in fp.windows])
+    return out.filter(F.col("largest").isNotNull()).drop("largest")
+
+
 def dense_grid(daily: DataFrame, n_days: int | None = None) -> DataFrame:
     """O-48: the zero-filled customer x day grid over days 0..n_days-1 for the
     customers present in ``daily``. Without ``n_days`` the horizon is the last
@@ -184,15 +211,29 @@ def campaigns(customers: DataFrame) -> DataFrame:
                     start.alias("campaign_start_day"), (start + 6).alias("campaign_end_day"))
 
 
+#: Days of a label mask (a long holds their bits).
+MASK_DAYS = 32
+
+
 def label_alerts(alerts: DataFrame, campaign: DataFrame, grace: int = 7) -> DataFrame:
-    """O-58: positive when the alert date is within [start - grace, end + grace]
-    of the customer's campaign. ``campaign`` has one row per customer."""
-    j = alerts.join(campaign.select("customer_key", "campaign_start_day", "campaign_end_day"), "customer_key", "left")
-    lab = (F.col("campaign_start_day").isNotNull()
-           & (F.col("date_key") >= F.col("campaign_start_day") - grace)
-           & (F.col("date_key") <= F.col("campaign_end_day") + grace))
-    return j.withColumn("is_true_positive", F.coalesce(lab, F.lit(False)).cast("int")) \
-        .drop("campaign_start_day", "campaign_end_day")
+    """O-58: positive when the alert date is within [start - grace, end + grace] of any campaign of the customer.
+
+    A customer can have many campaigns, which may overlap. The days that they cover are bits of one mask for each
+    customer and stretch of ``MASK_DAYS`` days, combined map-side, so an alert meets one row at most and stays one row.
+    """
+    first, last = F.col("campaign_start_day").cast("long") - grace, F.col("campaign_end_day").cast("long") + grace
+    spans = campaign.select(F.col("customer_key").alias("_customer"), first.alias("_first"), last.alias("_last")).filter("_first <= _last")
+    stretch = lambda c: F.floor(c / F.lit(float(MASK_DAYS))).cast("long")
+    parts = spans.withColumn("_stretch", F.explode(F.sequence(stretch(F.col("_first")), stretch(F.col("_last")))))
+    start = F.col("_stretch") * MASK_DAYS
+    low = F.greatest(F.col("_first") - start, F.lit(0)).cast("int")
+    high = F.least(F.col("_last") - start, F.lit(MASK_DAYS - 1)).cast("int")
+    upto = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), c)
+    masks = parts.groupBy("_customer", "_stretch").agg(F.bit_or(upto(high + 1) - upto(low)).alias("_mask"))
+    own = stretch(F.col("date_key"))
+    j = alerts.join(masks, (F.col("customer_key") == F.col("_customer")) & (own == F.col("_stretch")), "left")
+    bit = F.call_function("shiftright", F.col("_mask"), F.pmod(F.col("date_key"), F.lit(MASK_DAYS)).cast("int")).bitwiseAND(F.lit(1).cast("long"))
+    return j.withColumn("is_true_positive", F.coalesce(bit, F.lit(0)).cast("int")).drop("_customer", "_stretch", "_mask")
 
 
 def feature_matrix(frame: DataFrame) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Model preparation, logistic regression and boosted trees on MLlib (O-60..O-63).
+"""Model preparation, logistic regression on MLlib and leaf-wise boosted trees (O-60..O-63).
 
 Preparation is plain column expressions: numeric inputs are standardised with
 the training mean and population standard deviation, categoricals are one-hot
@@ -12,13 +12,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.classification import GBTClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..params import ModelParams
+from . import boosting
 
 Y = "is_true_positive"
 INFREQUENT = "infrequent"
@@ -115,28 +116,23 @@ def fit_logistic(train_x: DataFrame, mp: ModelParams = ModelParams()):
     return lr.fit(train_x)
 
 
-def fit_gbt(train_x: DataFrame, mp: ModelParams = ModelParams()):
-    """O-62: gradient boosted trees (depth-wise, so close to, not equal to, a
-    leaf-wise booster). The boosting residuals are checkpointed every 10
-    iterations to the session's checkpoint folder so lineage stays short. No
-    node-id cache: for trees this shallow, re-walking at most ``max_depth``
-    splits per row is cheaper than persisting and checkpointing a node-id
-    column per level (the fitted model is the same either way)."""
-    gbt = GBTClassifier(featuresCol="features", labelCol=Y, weightCol="w", maxIter=mp.n_estimators,
-                        stepSize=mp.learning_rate, maxDepth=mp.max_depth, minInstancesPerNode=mp.min_child_samples,
-                        seed=mp.seed, checkpointInterval=10, cacheNodeIds=False)
-    return gbt.fit(train_x)
+def fit_gbt(train_x: DataFrame, mp: ModelParams = ModelParams()) -> boosting.BoostedTrees:
+    """O-62: gradient boosted trees, grown leaf by leaf."""
+    return boosting.fit(train_x, Y, mp.n_estimators, mp.learning_rate, mp.num_leaves, mp.min_child_samples)
 
 
 def score(model, df_x: DataFrame, name: str) -> DataFrame:
+    if isinstance(model, boosting.BoostedTrees):
+        return boosting.score(model, df_x, name)
     return model.transform(df_x).withColumn(name, vector_to_array("probability")[1]) \
         .drop("rawPrediction", "probability", "prediction")
 
 
-def feature_importance(gbt_model, prep: Prep, spark) -> DataFrame:
-    """O-63: importance per original feature (the slots of a categorical add up), sorted descending."""
+def feature_importance(gbt_model: boosting.BoostedTrees, prep: Prep, spark) -> DataFrame:
+    """O-63: each original feature's share of all split gains (the slots of a categorical add up), sorted descending."""
     total = dict.fromkeys([*prep.num_cols, *prep.cat_cols], 0.0)
-    for column, v in zip(prep.inputs, gbt_model.featureImportances.toArray().tolist(), strict=True):
+    gains = gbt_model.gains(len(prep.inputs))
+    for column, v in zip(prep.inputs, (gains / (gains.sum() or 1.0)).tolist(), strict=True):
         total[column] += float(v)
     return spark.createDataFrame(list(total.items()), "feature string, importance double").orderBy(F.col("importance").desc(), "feature")
 

@@ -64,42 +64,48 @@ def rule_effectiveness(labelled: DataFrame, dim_rule: DataFrame, cp: CostParams
     return e.withColumn("recommendation", rec)
 
 
+#: Rules of one word of a mask (a long without its sign and one spare bit).
+WORD_BITS = 62
+
+
 def rule_overlap(alerts: DataFrame, rule_ids: list[str] | None = None) -> DataFrame:
     """O-88: pairwise overlap of rules on distinct (customer, date) events.
 
     No self-join and no pair emission over the data: every (customer, date)
-    gets one bit mask of the rules that fired on it (``bit_or``, combined
-    map-side, so a hot customer collapses before the shuffle). The masks then
-    collapse to at most 2^rules rows with a count each, and one aggregate over
-    that tiny table yields every rule's size and every pair's intersection as
-    conditional sums. Pairs of rules with alerts but no shared event are kept
+    gets one bit mask of the rules that fired on it (``bit_or`` of as many longs as the catalogue
+    needs, combined map-side, so a hot customer collapses before the shuffle). Equal masks then
+    collapse to one row with a count. A mask goes once to each of its rules, where one aggregate adds up, for every
+    other rule, the counts of the masks that hold it too: a row for each rule, a column for each rule.
+    Pairs of rules with alerts but no shared event are kept
     with zero overlap; rules without alerts are absent.
 
     ``rule_ids`` is the rule catalogue (default: the fixed one of ``rules``).
     """
     from .rules import RULE_CATALOGUE
-    ids = sorted(rule_ids or [r[0] for r in RULE_CATALOGUE])
-    if len(ids) > 62:
-        raise ValueError("rule_overlap packs rules into a 64-bit mask: at most 62 rules")
-    bit = None
-    for i, r in enumerate(ids):
-        b = F.lit(1 << i).cast("long")
-        bit = F.when(F.col("rule_id") == r, b) if bit is None else bit.when(F.col("rule_id") == r, b)
-    masks = (alerts.select("customer_key", "date_key", bit.alias("_bit"))
-             .groupBy("customer_key", "date_key").agg(F.bit_or("_bit").alias("_mask")))
-    combos = masks.groupBy("_mask").agg(F.count(F.lit(1)).alias("_n"))
-
-    def covered(m: int) -> Column:
-        return F.sum(F.when(F.col("_mask").bitwiseAND(F.lit(m).cast("long")) == m, F.col("_n"))
-                     .otherwise(F.lit(0))).cast("long")
-
-    pairs = [(i, j) for i in range(len(ids)) for j in range(i + 1, len(ids))]
-    totals = combos.agg(*[covered(1 << i).alias(f"_s{i}") for i in range(len(ids))],
-                        *[covered((1 << i) | (1 << j)).alias(f"_p{i}_{j}") for i, j in pairs])
-    rows = F.explode(F.array(*[F.struct(F.lit(ids[i]).alias("rule_a"), F.lit(ids[j]).alias("rule_b"),
-                                        F.col(f"_s{i}").alias("alerts_a"), F.col(f"_s{j}").alias("alerts_b"),
-                                        F.col(f"_p{i}_{j}").alias("overlapping_events")) for i, j in pairs]))
-    o = totals.select(rows.alias("_r")).select("_r.*").filter((F.col("alerts_a") > 0) & (F.col("alerts_b") > 0))
+    ids = sorted(set(rule_ids or [r[0] for r in RULE_CATALOGUE]))
+    words = range(-(-len(ids) // WORD_BITS))
+    place = F.element_at(F.create_map(*[x for i, r in enumerate(ids) for x in (F.lit(r), F.lit(i))]), F.col("rule_id"))
+    one = F.lit(1).cast("long")
+    bit = F.call_function("shiftleft", one, F.col("_place") % WORD_BITS)
+    masks = (alerts.select("customer_key", "date_key", place.alias("_place")).filter(F.col("_place").isNotNull())
+             .groupBy("customer_key", "date_key")
+             .agg(*[F.bit_or(F.when(F.floor(F.col("_place") / WORD_BITS) == w, bit).otherwise(F.lit(0).cast("long"))).alias(f"_w{w}") for w in words]))
+    combos = masks.groupBy(*[f"_w{w}" for w in words]).agg(F.count(F.lit(1)).alias("_n"))
+
+    def held(i: int) -> Column:
+        return F.col(f"_w{i // WORD_BITS}").bitwiseAND(F.lit(1 << (i % WORD_BITS)).cast("long")) != 0
+
+    own = F.filter(F.array(*[F.when(held(i), F.lit(i)) for i in range(len(ids))]), lambda x: x.isNotNull())
+    rows = combos.select(F.explode(own).alias("_i"), "_n", *[f"_w{w}" for w in words])
+    shared = rows.groupBy("_i").agg(F.array(*[F.coalesce(F.sum(F.when(held(j), F.col("_n"))), F.lit(0)).cast("long") for j in range(len(ids))]).alias("_shared"))
+    # One row for each rule: their sizes fit one small map.
+    all_ = shared.agg(F.map_from_entries(F.collect_list(F.struct("_i", "_shared"))).alias("_by"))
+    names = F.array(*[F.lit(r) for r in ids])
+    first = all_.select("_by", F.explode(F.map_keys("_by")).alias("_a"))
+    both = first.select("_by", "_a", F.explode(F.map_keys("_by")).alias("_b")).filter("_a < _b")
+    of = lambda a, b: F.get(F.element_at("_by", F.col(a)), F.col(b))
+    o = both.select(F.get(names, F.col("_a")).alias("rule_a"), F.get(names, F.col("_b")).alias("rule_b"), of("_a", "_a").alias("alerts_a"),
+                    of("_b", "_b").alias("alerts_b"), of("_a", "_b").alias("overlapping_events"))
     i = F.col("overlapping_events")
     union = F.col("alerts_a") + F.col("alerts_b") - i
     return o.select("rule_a", "rule_b", "alerts_a", "alerts_b", i.alias("overlapping_events"),

@@ -227,7 +227,26 @@ def rule_r002(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     return customer_window_rules(fact, [spec_r002(p)])
 
 
-def rule_r003(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
+EVENT, DETECTION = "event", "detection"
+
+
+def _first_reached(steps: Column, target: Column) -> Column:
+    """The first (at, total, n) at which the running total of ``steps``, an array of (at, amount, n) by time, reaches ``target``; else null."""
+    none = F.struct(F.lit(None).cast("int").alias("at"), F.lit(0).cast("decimal(38,2)").alias("total"), F.lit(0).cast("long").alias("n"))
+
+    def step(so_far: Column, s: Column) -> Column:
+        total, n = (so_far["total"] + s["amount"]).cast("decimal(38,2)"), so_far["n"] + s["n"]
+        return F.when(so_far["at"].isNotNull(), so_far).otherwise(
+            F.struct(F.when(total >= target, s["at"]).alias("at"), total.alias("total"), n.alias("n")))
+    return F.aggregate(steps, none, step)
+
+
+def _check_as_of(as_of: str) -> None:
+    if as_of not in (EVENT, DETECTION):
+        raise ValueError(f"as_of is {EVENT!r} or {DETECTION!r}, not {as_of!r}")
+
+
+def rule_r003(fact: DataFrame, p: RuleParams = RuleParams(), as_of: str = EVENT) -> DataFrame:
     """Pass-through: debits on the same account in hours (h, h + 72] after a
     large credit at hour h carry >= 80 % of it out.
 
@@ -236,7 +255,13 @@ def rule_r003(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     forward RANGE window over those hourly rows gives the outflow of every hour
     that holds a large credit. Credits then pick their outflow up with an
     equi-join on (account, hour).
+
+    ``as_of='event'`` dates the alert at the credit, like the reference, with all of the 72 hours' outflow.
+    ``as_of='detection'`` dates it at the hour in which the outflow reaches the share, the first moment at which the
+    condition is known, with the outflow up to that hour: the window then keeps its hourly steps (72 at most), and
+    each credit finds its crossing on their running total.
     """
+    _check_as_of(as_of)
     credit = (F.col("direction") == "credit") & (F.col("amount_cad") >= p.r003_min_credit)
     debit = F.col("direction") == "debit"
     rel = fact.filter(credit | debit).select(
@@ -247,14 +272,19 @@ def rule_r003(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     hourly = rel.groupBy("account_key", "hr").agg(
         F.sum("d_amt").alias("d_amt"), F.sum("d_cnt").alias("d_cnt"), F.max("c_flag").alias("c_flag"))
     w = Window.partitionBy("account_key").orderBy("hr").rangeBetween(1, p.r003_hours)
-    fwd = hourly.select("account_key", "hr", "c_flag",
-                        F.coalesce(F.sum("d_amt").over(w), F.lit(0).cast(MONEY)).alias("outflow"),
-                        F.coalesce(F.sum("d_cnt").over(w), F.lit(0)).alias("n_out")) \
-        .filter(F.col("c_flag") == 1).drop("c_flag")
+    cols = [F.coalesce(F.sum("d_amt").over(w), F.lit(0).cast(MONEY)).alias("outflow"), F.coalesce(F.sum("d_cnt").over(w), F.lit(0)).alias("n_out")]
+    if as_of == DETECTION:
+        step = F.when(F.col("d_amt").isNotNull(), F.struct(F.col("hr").cast("int").alias("at"), F.col("d_amt").alias("amount"), F.col("d_cnt").cast("long").alias("n")))
+        cols.append(F.sort_array(F.collect_list(step).over(w)).alias("steps"))
+    fwd = hourly.select("account_key", "hr", "c_flag", *cols).filter(F.col("c_flag") == 1).drop("c_flag")
     credits = fact.filter(credit).select("customer_key", "account_key", "date_key",
                                          _hour_idx().alias("hr"), F.col("amount_cad").alias("inflow"))
     per_credit = credits.join(fwd, ["account_key", "hr"], "inner") \
         .filter(F.col("outflow") >= F.col("inflow") * p.r003_ratio)
+    if as_of == DETECTION:
+        per_credit = (per_credit.withColumn("_hit", _first_reached(F.col("steps"), F.col("inflow") * p.r003_ratio))
+                      .select("customer_key", F.floor(F.col("_hit.at") / 24).cast("int").alias("date_key"), "inflow",
+                              F.col("_hit.total").alias("outflow"), F.col("_hit.n").alias("n_out")))
     g = per_credit.groupBy("customer_key", "date_key").agg(
         F.max("inflow").alias("a"), F.max("n_out").alias("c"), F.max("outflow").alias("o"))
     ratio = F.round(F.col("o").cast("double") * 100.0 / F.col("a").cast("double"), 0)
@@ -353,17 +383,26 @@ def rule_r006(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
     return customer_window_rules(fact, [spec_r006(p)])
 
 
-def rule_r007(fact: DataFrame, p: RuleParams = RuleParams()) -> DataFrame:
-    """Dormant reactivation on account-days. Like the reference, the volume
-    looks ``window_days - 1`` days *ahead* of the alert date (trap T-3)."""
+def rule_r007(fact: DataFrame, p: RuleParams = RuleParams(), as_of: str = EVENT) -> DataFrame:
+    """Dormant reactivation on account-days. Like the reference, the volume looks ``window_days - 1`` days
+    *ahead* of the alert date (trap T-3) for ``as_of='event'``. ``as_of='detection'`` dates the alert at the day
+    on which the volume since the reactivation reaches the minimum, with the volume up to that day."""
+    _check_as_of(as_of)
     daily = fact.groupBy("account_key", "customer_key", "date_key").agg(F.sum("amount_cad").alias("day_vol"))
     lag_w = Window.partitionBy("account_key").orderBy("date_key", "customer_key")
     fwd_w = Window.partitionBy("account_key").orderBy("date_key") \
         .rangeBetween(Window.currentRow, p.r007_window_days - 1)
-    r = daily.select("customer_key", "date_key",
-                     (F.col("date_key") - F.lag("date_key").over(lag_w)).alias("gap_days"),
-                     F.sum("day_vol").over(fwd_w).alias("vol_7d"))
+    cols = [(F.col("date_key") - F.lag("date_key").over(lag_w)).alias("gap_days"), F.sum("day_vol").over(fwd_w).alias("vol_7d")]
+    if as_of == DETECTION:
+        step = F.struct(F.col("date_key").cast("int").alias("at"), F.col("day_vol").alias("amount"), F.lit(0).cast("long").alias("n"))
+        cols.append(F.sort_array(F.collect_list(step).over(fwd_w)).alias("steps"))
+    r = daily.select("customer_key", "date_key", *cols)
     r = r.filter((F.col("gap_days") >= p.r007_gap_days) & (F.col("vol_7d") >= p.r007_min_volume))
+    if as_of == DETECTION:
+        hit = _first_reached(F.col("steps"), F.lit(p.r007_min_volume))
+        day_total = F.aggregate(F.filter("steps", lambda s: s["at"] <= F.col("_at")), F.lit(0).cast("decimal(38,2)"),
+                                lambda total, s: (total + s["amount"]).cast("decimal(38,2)"))
+        r = r.withColumn("_at", hit["at"]).select("customer_key", F.col("_at").alias("date_key"), "gap_days", day_total.alias("vol_7d"))
     g = r.groupBy("customer_key", "date_key").agg(F.max("vol_7d").alias("a"), F.max("gap_days").alias("gap"))
     return g.select(*_alert("R007", F.col("a"), F.lit(None),
                             F.concat(F.lit(detail_prefix("R007", p)), F.col("gap").cast("string"),

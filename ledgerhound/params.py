@@ -64,7 +64,7 @@ class ModelParams:
     # The reference's model configuration.
     n_estimators: int = 400
     learning_rate: float = 0.05
-    max_depth: int = 5
+    num_leaves: int = 31
     min_child_samples: int = 40
     logistic_c: float = 0.5
     logistic_max_iter: int = 2000

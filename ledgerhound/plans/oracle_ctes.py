@@ -38,7 +38,7 @@ def with_ctes(body: str, *names: str) -> str:
         visit(n)
     if not order:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({_CTES[n][0]})" for n in order) + "\n" + body
+    return "WITH " + ",\n".join(f"{n} AS MATERIALIZED ({_CTES[n][0]})" for n in order) + "\n" + body
 
 
 K = r"CAST(regexp_extract(e.props, '\"k\":\s*(-?[0-9]+)', 1) AS BIGINT)"
@@ -280,6 +280,37 @@ def rule_sql(rule: str, src: str, p: RuleParams = R) -> str:
     raise KeyError(rule)
 
 
+def detection_sql(rule: str, src: str, p: RuleParams = R) -> str:
+    """R003 and R007 dated at the moment at which their condition becomes true: every later moment is a candidate, the first one that does it counts."""
+    if rule == "R003":
+        found = f"""
+  SELECT customer_key, moment // 24 AS date_key, came, went, n FROM (
+    SELECT big.customer_key, big.nth, big.amount_cad AS came, hit.moment, gone.amount AS went, gone.n,
+           row_number() OVER (PARTITION BY big.nth ORDER BY hit.moment) AS first
+    FROM (SELECT *, {_HOUR} AS moment, row_number() OVER () AS nth FROM {src} WHERE direction = 'credit' AND amount_cad >= {p.r003_min_credit}) big,
+         LATERAL (SELECT DISTINCT {_HOUR} AS moment FROM {src} o WHERE o.direction = 'debit' AND o.account_key = big.account_key
+                    AND {_HOUR} BETWEEN big.moment + 1 AND big.moment + {p.r003_hours}) hit,
+         LATERAL (SELECT sum(o.amount_cad) AS amount, count(*) AS n FROM {src} o
+                  WHERE o.direction = 'debit' AND o.account_key = big.account_key
+                    AND 24 * o.date_key + o.hour_of_day BETWEEN big.moment + 1 AND hit.moment) gone
+    WHERE gone.amount >= {p.r003_ratio} * big.amount_cad) WHERE first = 1"""
+        return _alert_rows(rule, p, found, "max(came)", "max(n)", _whole("100.0 * CAST(max(went) AS DOUBLE) / CAST(max(came) AS DOUBLE)"))
+    days = f"(SELECT account_key, customer_key, date_key, sum(amount_cad) AS moved FROM {src} GROUP BY ALL)"
+    found = f"""
+  SELECT customer_key, day AS date_key, gap, moved FROM (
+    SELECT d.customer_key, d.date_key - before.last AS gap, hit.day, after.moved,
+           row_number() OVER (PARTITION BY d.account_key, d.customer_key, d.date_key ORDER BY hit.day) AS first
+    FROM {days} d,
+         LATERAL (SELECT max(o.date_key) AS last FROM {days} o
+                  WHERE o.account_key = d.account_key AND (o.date_key, o.customer_key) < (d.date_key, d.customer_key)) before,
+         LATERAL (SELECT DISTINCT o.date_key AS day FROM {days} o
+                  WHERE o.account_key = d.account_key AND o.date_key >= d.date_key AND o.date_key < d.date_key + {p.r007_window_days}) hit,
+         LATERAL (SELECT sum(o.moved) AS moved FROM {days} o
+                  WHERE o.account_key = d.account_key AND o.date_key BETWEEN d.date_key AND hit.day) after
+    WHERE d.date_key - before.last >= {p.r007_gap_days} AND after.moved >= {p.r007_min_volume}) WHERE first = 1"""
+    return _alert_rows(rule, p, found, "max(moved)", "NULL", "max(gap)")
+
+
 RULES = ("R001", "R002", "R003", "R004", "R005", "R006", "R007", "R008")
 
 cte("evt_alerts", "\nUNION ALL\n".join(rule_sql(r, "evt") for r in RULES), ("evt", "dim_country"))

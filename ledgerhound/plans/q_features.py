@@ -148,6 +148,24 @@ def q_rolling(spark, sf):
     return fe.rolling_features(Scoring(spark, sf).daily, FP)
 
 
+_RECOUNT = ",\n       ".join(
+    [f"COUNT(DISTINCT f.counterparty_id) FILTER (f.date_key > d.date_key - {w}) AS distinct_counterparties_{w}d" for w in FP.windows]
+    + [f"CAST(MAX(f.amount_cad) FILTER (f.date_key > d.date_key - {w}) AS DOUBLE) AS largest_txn_{w}d" for w in FP.windows])
+
+
+@register("rolling_distinct", with_ctes(f"""
+SELECT d.customer_key, d.date_key, {_RECOUNT}
+FROM (SELECT DISTINCT customer_key, date_key FROM evt WHERE counterparty_country IN (SELECT country_code FROM dim_country)) d
+JOIN (SELECT * FROM evt WHERE counterparty_country IN (SELECT country_code FROM dim_country)) f
+  ON f.customer_key = d.customer_key AND f.date_key BETWEEN d.date_key - {max(FP.windows) - 1} AND d.date_key
+GROUP BY d.customer_key, d.date_key""", "evt", "dim_country"))
+def q_rolling_distinct(spark, sf):
+    """O-47/O-49 without trap T-4: counterparties counted once per window, and the window's largest transaction."""
+    s = Scoring(spark, sf)
+    got = fe.trailing_distinct(s.fact, s.dim_country, FP)
+    return got.select(*[F.col(c).cast("double").alias(c) if c.startswith("largest") else F.col(c) for c in got.columns])
+
+
 _GRID_OUT = ", ".join(f"CAST(COALESCE(d.{m}, 0) AS {'DOUBLE' if m in _MONEY else 'BIGINT'}) AS {m}"
                       for m in fe.MEASURES)
 

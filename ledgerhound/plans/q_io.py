@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
+from pyspark.ml.classification import LogisticRegressionModel
 from pyspark.sql import functions as F
 
 from ..operators import marts as mt
+from ..operators.boosting import BoostedTrees
 from ..sources import feeds, sinks
 from .catalog import register
 from .oracle_ctes import with_ctes
@@ -70,7 +71,7 @@ def q_model_io(spark, sf):
     notes = sinks.load_notes(spark, path)
     x = md.transform(fe.feature_matrix(Evaluation(spark, sf).frame), md.Prep(**notes["prep"]))
     scored = md.score(LogisticRegressionModel.load(f"{path}/logistic_regression"), x, "score_logistic")
-    scored = md.score(GBTClassificationModel.load(f"{path}/gradient_boosted"), scored, "score_gbm")
+    scored = md.score(BoostedTrees.read(spark.read.parquet(f"{path}/gradient_boosted")), scored, "score_gbm")
     production = "score_logistic" if notes["production_model"] == "logistic_regression" else "score_gbm"
     return scored.select("alert_id", "score_logistic", "score_gbm",
                          (F.col(production) >= notes["threshold"]).alias("is_priority"))
@@ -101,7 +102,7 @@ EXTRACTS = {
     "dim_date": "dim_date",
     "dim_rule": "dim_rule",
     "dim_country": "dim_country",
-    "fact_alert": "mart_alert",
+    "fact_alert": "mart_alert_explained",
     "fact_customer_week": "mart_customer_week",
     "fact_txn_drill": "mart_txn_drill",
     "dq_scorecard": "dq_scorecard",
@@ -111,6 +112,8 @@ REPUBLISHED = {
     "rule_overlap": "rule_overlap",
     "cost_benefit_sensitivity": "sensitivity_grid",
     "feature_importance": "feature_importance",
+    "scored_alerts_explained": "model_scored_alerts",
+    "feature_attribution": "global_attribution",
 }
 
 
@@ -122,7 +125,10 @@ def _publish_oracle() -> str:
     from .q_features import feature_columns
     counted = {name: f"SELECT count(*) FROM ({ORACLES[key]})" for name, key in {**EXTRACTS, **REPUBLISHED}.items() if key in ORACLES}
     counted["dim_rule"] = f"SELECT count(*) FROM ({ctes('SELECT * FROM dim_rule', 'dim_rule')})"
-    counted["feature_importance"] = f"SELECT {len(feature_columns())}"  # fitted: one row a feature
+    # Fitted: one row for each feature or alert.
+    counted["feature_importance"] = counted["feature_attribution"] = f"SELECT {len(feature_columns())}"
+    counted["fact_alert"] = f"SELECT count(*) FROM ({ORACLES['mart_alert']})"
+    counted["scored_alerts_explained"] = f"SELECT count(*) FROM ({ORACLES['alerts_all']})"
     return "\nUNION ALL\n".join(f"SELECT '{name}' AS extract, CAST(({sql}) AS BIGINT) AS n_rows, true AS same_content"
                                 for name, sql in counted.items())
 
@@ -135,7 +141,7 @@ def _totals(df, name):
 
 @register("publish_exports", _publish_oracle())
 def q_publish_exports(spark, sf):
-    """O-05/O-06: the 8 report extracts and the republished analysis tables
+    """O-05..O-07: the 8 report extracts (alerts with their reasons and strongest mitigant) and the republished analysis tables
     written as CSV under one export folder, then read back: rows per extract, and
     whether every cell came back."""
     from functools import reduce

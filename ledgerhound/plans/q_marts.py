@@ -6,6 +6,7 @@ from decimal import Decimal
 
 from pyspark.sql import functions as F
 
+from ..operators import asof as ao
 from ..operators import assertions as asr
 from ..operators import features as fe
 from ..operators import marts as mt
@@ -366,5 +367,16 @@ UNION ALL SELECT 'compared_alerts', COUNT(*) FROM evt_alerts a
 UNION ALL SELECT 'no_lookahead', CAST(0 AS BIGINT)""", "evt_alerts"))
 def q_assert_no_lookahead(spark, sf):
     """O-116: a very large transaction on the day after every alert that is not its customer's last must not change
-    the features of the alerts before it. The rows also count what was planted and compared."""
+    the features of each customer's first alert day (later alerts may see earlier planted rows; ``assert_asof_replay``
+    compares those too). The rows also count what was planted and compared."""
     return lookahead_violations(Evaluation(spark, sf))
+
+
+@register("assert_asof_replay", with_ctes(f"""
+SELECT 'compared_alerts' AS check_name, COUNT(DISTINCT alert_id) AS violations FROM evt_alerts
+UNION ALL SELECT 'compared_figures', COUNT(*) * {len(ao.replayed_names(FP))} FROM evt_alerts
+UNION ALL SELECT 'as_of_replay', CAST(0 AS BIGINT)""", "evt_alerts"))
+def q_assert_asof_replay(spark, sf):
+    """O-116 for every alert: its trailing features and context equal a recount of the facts and alerts up to its date."""
+    e = Evaluation(spark, sf)
+    return ao.replay_violations(e.frame, ao.replay(e.alerts, e.fact, e.dim_country, FP), FP)

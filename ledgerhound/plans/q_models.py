@@ -23,7 +23,7 @@ from ..sources import sinks
 from .catalog import register
 from .oracle_ctes import cte, with_ctes
 from .q_features import FP, feature_columns, matrix_sql
-from .q_scoring import TR, Evaluation
+from .q_scoring import SCORED_COLS, TR, Evaluation, scored_table
 from .store import fingerprint, stored
 
 MP = ModelParams()
@@ -82,7 +82,7 @@ class ModelRun:
     def artefact(self):
         """Folder with both models, the preparation, columns, production model and threshold."""
         name, _, thr = self.selection
-        return sinks.save_artefact(self.spark, {"logistic_regression": self.logit, "gradient_boosted": self.gbt},
+        return sinks.save_artefact(self.spark, {"logistic_regression": self.logit, "gradient_boosted": self.gbt.frame(self.spark)},
                                    {"prep": asdict(self.prep), "production_model": name, "threshold": thr,
                                     "columns": [*self.num_cols, *self.cat_cols]}, sinks.export_dir(self.spark, "model"))
 
@@ -181,18 +181,30 @@ SELECT c.alert_id, coalesce(l.label, replace(c.input, '_', ' ')) AS label, c.con
 FROM fixed_contrib c LEFT JOIN label_table l ON l.input = c.input""", ("fixed_contrib", "label_table"))
 
 
-@register("reason_codes_fixed", with_ctes("""
+_REASONS_SQL = """
 SELECT alert_id, coalesce(max(label) FILTER (high = 1 AND contribution > 0), '') AS reason_1,
        coalesce(max(label) FILTER (high = 2 AND contribution > 0), '') AS reason_2,
        coalesce(max(label) FILTER (high = 3 AND contribution > 0), '') AS reason_3,
        coalesce(max(label) FILTER (low = 1 AND contribution < 0), '') AS top_mitigant,
        coalesce(string_agg(label, '; ' ORDER BY high) FILTER (high <= 3 AND contribution > 0), '') AS reason_summary
-FROM ranked_contrib GROUP BY alert_id""", "ranked_contrib"))
+FROM ranked_contrib GROUP BY alert_id"""
+
+
+@register("reason_codes_fixed", with_ctes(_REASONS_SQL, "ranked_contrib"))
 def q_reason_codes_fixed(spark, sf):
     """O-78..O-80 with fixed coefficients: labels, the three strongest drivers, the strongest mitigant, the summary."""
     return ex.reason_codes(_fixed(ModelRun.get(spark, sf)))
 
 
+@register("scored_explained", with_ctes(f"""
+SELECT {", ".join(f"s.{c}" for c in SCORED_COLS)}, r.* EXCLUDE (alert_id) FROM evt_scored_alerts s LEFT JOIN ({_REASONS_SQL}) r ON r.alert_id = s.alert_id""",
+                                        "evt_scored_alerts", "ranked_contrib"))
+def q_scored_explained(spark, sf):
+    """O-81: the scored table with reasons attached by alert_id (fixture score, fixed coefficients)."""
+    m = ModelRun.get(spark, sf)
+    return scored_table(spark, sf).select(*SCORED_COLS).join(ex.reason_codes(_fixed(m)), "alert_id", "left")
+
+
 def _contrib(m):
     return ex.contributions(m.x, m.logit.coefficients.toArray().tolist(), m.prep.names)
 
@@ -204,10 +216,10 @@ def q_reasons(spark, sf):
 
 @register("global_attribution")
 def q_global(spark, sf):
-    """O-82: the boosted model's attribution per original feature."""
+    """O-82: the boosted model's Shapley values per original feature, written once (the export reads them again)."""
     m = ModelRun.get(spark, sf)
-    trees = ex.tree_nodes(spark.read.parquet(f"{m.artefact}/gradient_boosted/data"), list(m.gbt.treeWeights))
-    return ex.boosted_attribution(m.x, trees, m.prep.inputs)
+    return stored(spark, sf, "evt_attribution", lambda: ex.boosted_attribution(m.x, m.gbt, m.prep.inputs),
+                  (m.rule_params, MP, FIXTURE_SPLIT)).orderBy(F.desc("mean_abs_contribution"), "feature")
 
 
 @register("model_scored_alerts")

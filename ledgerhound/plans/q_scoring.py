@@ -242,7 +242,44 @@ def q_scored(spark, sf):
     return scored_table(spark, sf)
 
 
-@register("bootstrap_ci")
+_SEED, _DRAWS = 20260723, EP.bootstrap_iterations
+
+
+def _uniform(cell: int) -> str:
+    return f"(('0x' || substr(md5('{_SEED}|' || d || '|{cell}'), 1, 13))::BIGINT + 0.5) / 4503599627370496.0"
+
+
+def _binomials(given: str, cell: int, c: str, rest: str) -> str:
+    """``given`` (d, n, ...) with x{cell}, draws of Binomial(n, c / rest) by the inverse distribution, and n less these; its n are few numbers."""
+    log_pmf = f"lgamma(n + 1) - lgamma(k + 1) - lgamma(n - k + 1) + k * ln({c} / ({rest})::DOUBLE) + (n - k) * ln(1 - {c} / ({rest})::DOUBLE)"
+    return f"""
+below{cell} AS (
+  SELECT n, k, sum(exp({log_pmf})) OVER (PARTITION BY n ORDER BY k) AS p
+  FROM (SELECT n, unnest(range(0, n + 1)) AS k FROM (SELECT DISTINCT n FROM {given})), cells WHERE {c} > 0 AND {c} < {rest}),
+drawn{cell} AS (
+  SELECT * REPLACE (n - x{cell} AS n) FROM (
+    SELECT g.*, CASE WHEN {c} = 0 THEN 0 WHEN {c} = {rest} THEN n
+                     ELSE coalesce((SELECT min(b.k) FROM below{cell} b WHERE b.n = g.n AND b.p >= {_uniform(cell)}), n) END AS x{cell}
+    FROM {given} g, (SELECT c0, c1, c2, c3 FROM cells)))"""
+
+
+cte("cells", """
+SELECT count(*) FILTER (score >= threshold AND is_true_positive = 1) AS c0, count(*) FILTER (score < threshold AND is_true_positive = 1) AS c1,
+       count(*) FILTER (score >= threshold AND is_true_positive = 0) AS c2, count(*) FILTER (score < threshold AND is_true_positive = 0) AS c3
+FROM evt_scored, valid_thr WHERE split = 'holdout'""", ("evt_scored", "valid_thr"))
+_LOW, _HIGH = (1 - EP.bootstrap_ci) / 2, (1 + EP.bootstrap_ci) / 2
+
+
+@register("bootstrap_ci", with_ctes(f"""
+SELECT count(*) AS draws, round(quantile_cont(r, {_LOW}), 9) AS recall_ci_low, round(quantile_cont(r, {_HIGH}), 9) AS recall_ci_high,
+       round(quantile_cont(v, {_LOW}), 9) AS volume_reduction_ci_low, round(quantile_cont(v, {_HIGH}), 9) AS volume_reduction_ci_high
+FROM (
+  WITH draws AS (SELECT d, c0 + c1 + c2 + c3 AS n, c0 + c1 + c2 + c3 AS total FROM range({_DRAWS}) AS t(d), cells),
+  {_binomials("draws", 0, "c0", "c0 + c1 + c2 + c3")},
+  {_binomials("drawn0", 1, "c1", "c1 + c2 + c3")},
+  {_binomials("drawn1", 2, "c2", "c2 + c3")}
+  SELECT x0 / (x0 + x1)::DOUBLE AS r, (x1 + n) / total::DOUBLE * 100.0 AS v FROM drawn2 WHERE x0 + x1 > 0)""", "cells"))
 def q_bootstrap(spark, sf):
+    """O-74: every draw follows from its counters, so the oracle makes the same ones."""
     e = Evaluation(spark, sf)
-    return ev.bootstrap_ci(spark, e.part("holdout"), ev.threshold_value(e.part("valid")), EP)
+    return ev.bootstrap_ci(spark, e.part("holdout"), ev.threshold_value(e.part("valid")), EP, _SEED)

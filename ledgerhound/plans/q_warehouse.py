@@ -8,7 +8,7 @@ from ..operators import clean, rules
 from ..params import FIXTURE_RULES as P
 from ..params import RuleParams
 from .catalog import register
-from .oracle_ctes import RULES, rule_sql, with_ctes
+from .oracle_ctes import RULES, detection_sql, rule_sql, with_ctes
 from .warehouse import Monitoring, Warehouse, sup_fact
 
 DEDUP_COLS = ["txn_id", "account_id", "customer_id", "day_index", "hour", "amount_cad", "direction",
@@ -115,6 +115,18 @@ for _r in RULES:
     _led = RULE_LEDGER[_r]
     register(f"rule_{_r.lower()}", with_ctes(rule_sql(_r, _led), *_SQL_DEPS[_led]))(_rule_query(_r, _led))
 
+def _detection_query(rule: str, ledger: str):
+    def run(spark, sf):
+        fact = sup_fact(spark, sf) if ledger == "sup" else Warehouse(spark, sf).fact
+        return _RULE_FN[rule](fact, P, rules.DETECTION)
+    run.__doc__ = f"{rule} dated at the moment at which its condition becomes true (O-23/O-27, trap T-3)."
+    return run
+
+
+for _r in ("R003", "R007"):
+    _led = RULE_LEDGER[_r]
+    register(f"rule_{_r.lower()}_detection", with_ctes(detection_sql(_r, _led), *_SQL_DEPS[_led]))(_detection_query(_r, _led))
+
 register("rule_r003_evt", with_ctes(rule_sql("R003", "evt"), "evt"))(_rule_query("R003", "evt"))
 
 

@@ -51,7 +51,9 @@ def publish(marts: dict[str, DataFrame], root: str, fmt: str = "csv") -> dict[st
 
 
 def save_model(model, path: str) -> str:
-    """O-09: MLlib persistence (metadata + parquet data)."""
+    """O-09: MLlib persistence (metadata + parquet data); a model that is a table is written as parquet."""
+    if isinstance(model, DataFrame):
+        return write_parquet(model, path)
     model.write().overwrite().save(path)
     return path
 

@@ -71,19 +71,26 @@ def test_fewer_than_three_drivers(spark):
     assert got == {"a": ("up", "", "down", "up"), "b": ("", "", "down", ""), "c": ("", "", "", "")}
 
 
-def test_path_contributions_add_up_to_the_margin(spark, run):
+def test_shapley_values_add_up_to_the_margin(spark, run):
+    from ledgerhound.operators import boosting as bo
     from ledgerhound.operators import explain as ex
-    trees = ex.tree_nodes(spark.read.parquet(f"{run.artefact}/gradient_boosted/data"), list(run.gbt.treeWeights))
-    rows = run.gbt.transform(run.x).select(vector_to_array("features").alias("x"), vector_to_array("rawPrediction").alias("raw")).collect()
+    rows = run.scored.join(run.x.select("alert_id", vector_to_array("features").alias("x")), "alert_id").limit(300).collect()
     x = np.array([r.x for r in rows])
-    owner = np.arange(x.shape[1])
-    margin = ex.path_contributions(x, trees, owner, x.shape[1]).sum(1) + sum(t["value"][0] for t in trees)
-    # The library's raw prediction is twice the margin, for either class.
-    assert np.allclose(np.abs([r.raw[1] for r in rows]), np.abs(margin), atol=1e-9) or np.allclose([r.raw[1] for r in rows], 2 * margin, atol=1e-9)
-    got = ex.boosted_attribution(run.x, trees, run.prep.inputs).collect()
+    margin = bo.shapley_values(run.gbt, x).sum(1) + bo.expected_margin(run.gbt)
+    assert np.allclose(margin, run.gbt.margin(x), atol=1e-8)
+    assert np.allclose([r.score_gbm for r in rows], 1 / (1 + np.exp(-margin)), atol=1e-9)
+    got = ex.boosted_attribution(run.x, run.gbt, run.prep.inputs).collect()
     assert len(got) == 81 and got[0].mean_abs_contribution > 0
 
 
+def test_trees_keep_their_bounds(run):
+    assert len(run.gbt.trees) <= MP.n_estimators
+    for t in run.gbt.trees:
+        leaves = t.left < 0
+        assert 2 <= leaves.sum() <= MP.num_leaves and t.cover[leaves].min() >= MP.min_child_samples
+        assert np.allclose(t.cover[~leaves], t.cover[t.left[~leaves]] + t.cover[t.right[~leaves]])
+
+
 def test_loaded_artefact_scores_like_the_fitted_models(spark, run):
     from ledgerhound.plans.catalog import queries
     loaded = {r.alert_id: r for r in queries()["model_save_load"](spark, SF_MID).collect()}
