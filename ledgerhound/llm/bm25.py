@@ -1,19 +1,22 @@
-"""Exact top-k search: BM25 over an inverted index with block-max pruning, per shard, merged with global statistics.
+"""Exact top-k search: BM25 over an inverted index with block-max WAND, per shard, merged with global statistics.
 
 Documents are dealt to shards of about ``DOCS_PER_SHARD`` by a hash of their id and numbered so that like documents are
 neighbours. A shard's index holds, per term, the postings in document order and the highest impact in each block of ``BLOCK_DOCS`` documents. The statistics that scores need (number of documents,
 mean length, document frequencies) are counted over all shards first, so scores are the same in every shard.
 
-A query goes through a shard by dynamic pruning: the block maxima of its terms add up to an upper bound for each block; blocks are taken
-from the highest bound down, their postings are scored exactly, and when the k-th best score so far exceeds the next bound, no
-document of the rest can enter and the search stops. This stands in for block-max WAND: there are no document-ordered cursors and
-no pivots, and the bounds of all blocks are added up for each query. The shards' lists, each exact, merge by score, then doc_id. Scores
+A query first goes to one shard, that of its own id, and its k best scores there travel with it to all other shards as its threshold. In a shard its
+terms fall into three kinds by their number of postings. Rare terms have less than a posting or two in a block, so a posting is its block's maximum, and
+their cursors visit each. Terms that are common, in a quarter of the documents or more, leave a cursor nothing to skip: their impacts are rows of a matrix, and one
+product gives what they add to every document, for many queries together. Between them are the terms that blocks are for: their block
+maxima are added up first, a document is a candidate if what it has and the maxima of its block reach the threshold, and the cursors only move to blocks that hold
+a candidate. The few documents that still reach the threshold are scored exactly, the best first, and raise it. The first shard has no threshold
+until all its postings are added up. The shards' lists, each exact, merge by score, then doc_id. Scores
 add up in the order of the terms everywhere, so equal documents have equal scores in any shard.
 
 Words are runs of ``\\w`` characters in lower case; a query's terms count once each. Documents that share no term with a query aren't
 returned, so null, empty and wordless texts neither find nor are found. Rows with a null doc_id aren't indexed under
 an id and are left out. Repeated rows are documents of their own with the same id, and fill ranks of their own. Very long
-texts are ordinary. An empty table or no query gives no rows.
+texts are ordinary. Only doc_id and text are read, so other columns can have any name. An empty table or no query gives no rows.
 """
 
 from __future__ import annotations
@@ -35,8 +38,14 @@ TOP = 10
 DOCS_PER_SHARD = 8_192
 BYTES_PER_SHARD = 28 << 20
 BLOCK_DOCS = 64
-#: Blocks that are scored between two looks at the bound.
-STRIDE = 16
+#: A term is common from this part of a shard's documents on (one in COMMON), and rare below this many postings for each block.
+COMMON = 4
+RARE = 2
+#: Candidates that are scored exactly at once; queries that share a product.
+FEW = 16
+TOGETHER = 64
+#: Two sums of one set of numbers differ by less than this factor.
+SLACK = 1 + 1e-9
 WORD = re.compile(r"\w+")
 INDEX = "shard long, docs long, words long, term string, df long, payload binary"
 SCHEMA = pa.schema([("shard", pa.int64()), ("docs", pa.int64()), ("words", pa.int64()), ("term", pa.string()), ("df", pa.int64()), ("payload", pa.binary())])
@@ -46,6 +55,16 @@ def terms(text: str | None) -> list[str]:
     return WORD.findall((text or "").lower())
 
 
+def by_number(first: np.ndarray, second: np.ndarray | None = None) -> np.ndarray:
+    """The stable order of non-negative ints by ``second``, then ``first`` within it, sixteen bits at a time."""
+    order = np.arange(len(first))
+    for column in (first, second):
+        if column is not None:
+            for shift in range(0, max(1, int(column.max()).bit_length()) if len(column) else 1, 16):
+                order = order[np.argsort(((column[order] >> shift) & 0xFFFF).astype(np.uint16), kind="stable")]
+    return order
+
+
 class Builder:
     """Postings of one shard, gathered document by document."""
 
@@ -70,20 +89,23 @@ class Builder:
         # Documents with one commonest word, and of like length, share blocks: their maxima then bound them closely.
         by = np.lexsort((self.lengths, self.tops)).tolist()
         self.ids, self.lengths = [self.ids[k] for k in by], [self.lengths[k] for k in by]
-        self.parts, self.counts = [self.parts[k] for k in by], [self.counts[k] for k in by]
-        doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), [len(p) for p in self.parts])
-        term, tf = np.concatenate(self.parts), np.concatenate(self.counts)
-        order = np.argsort(term, kind="stable")  # documents stay in order within a term
-        df = np.bincount(term, minlength=len(self.known))
-        names = "\n".join(self.known).encode()
+        words = sorted(self.known)
+        number = np.empty(len(words), np.int32)
+        number[[self.known[w] for w in words]] = np.arange(len(words), dtype=np.int32)  # terms are numbered in their order, in every shard
+        sizes = np.array([len(self.parts[k]) for k in by], np.int64)
+        doc = np.repeat(np.arange(len(by), dtype=np.int32), sizes)
+        term, tf = number[np.concatenate([self.parts[k] for k in by])], np.concatenate([self.counts[k] for k in by])
+        order = by_number(term, doc)
+        term, tf = term[order], tf[order]
+        df = np.bincount(term, minlength=len(words))
+        names = "\n".join(words).encode()
         head = np.array([len(self.ids), len(df), len(doc), len(names)], "<i8")
-        parts = [head, np.array(self.ids, "<i8"), np.array(self.lengths, "<i4"), df.astype("<i4"), doc[order].astype("<i4"), tf[order].astype("<i4")]
+        parts = [head, np.array(self.ids, "<i8"), np.array(self.lengths, "<i4"), sizes.astype("<i4"), df.astype("<i4"), term.astype("<i4"), tf.astype("<i4")]
         self.parts, self.counts = [], []
         raw = b"".join([*[p.tobytes() for p in parts], names])
         payload = len(raw).to_bytes(8, "little") + pa.compress(raw, codec="zstd", asbytes=True)
         yield pa.record_batch([pa.array([shard]), pa.array([len(self.ids)]), pa.array([sum(self.lengths)]), pa.nulls(1, pa.string()),
                                pa.nulls(1, pa.int64()), pa.array([payload], pa.binary())], schema=SCHEMA)
-        words = list(self.known)
         for at in range(0, len(words), 20_000):
             part = words[at:at + 20_000]
             n = len(part)
@@ -112,55 +134,109 @@ class Index:
         at = 32
         self.ids = np.frombuffer(payload, "<i8", n_docs, at)
         lengths = np.frombuffer(payload, "<i4", n_docs, at := at + 8 * n_docs)
-        df = np.frombuffer(payload, "<i4", n_terms, at := at + 4 * n_docs)
-        self.doc = np.frombuffer(payload, "<i4", n_post, at := at + 4 * n_terms)
+        self.sizes = np.frombuffer(payload, "<i4", n_docs, at := at + 4 * n_docs).astype(np.int64)
+        df = np.frombuffer(payload, "<i4", n_terms, at := at + 4 * n_docs).astype(np.int64)
+        self.words = np.frombuffer(payload, "<i4", n_post, at := at + 4 * n_terms)  # of one document after the other
         tf = np.frombuffer(payload, "<i4", n_post, at := at + 4 * n_post)
         names = payload[at + 4 * n_post:].decode().split("\n") if n_names else []
         self.term = {w: k for k, w in enumerate(names)}
+        self.offset = np.cumsum(self.sizes) - self.sizes
+        doc = np.repeat(np.arange(n_docs, dtype=np.int32), self.sizes)
         norm = K1 * (1 - B + B * lengths / mean_words)
-        self.impact = tf * (K1 + 1) / (tf + norm[self.doc])
-        ends = np.cumsum(df, dtype=np.int64)
-        block = self.doc // BLOCK_DOCS
-        head = np.ones(n_post, bool)
-        head[1:] = block[1:] != block[:-1]
-        head[(ends - df)[df > 0]] = True
-        self.start = np.flatnonzero(head)
-        self.size = np.diff(np.r_[self.start, n_post])
-        self.block = block[self.start]
-        self.high = np.maximum.reduceat(self.impact, self.start) if n_post else self.impact
-        self.first = np.searchsorted(self.start, ends - df)  # a term's first entry of the block table
-        self.last = np.searchsorted(self.start, ends)
+        self.own = tf * (K1 + 1) / (tf + norm[doc])
+        order = by_number(self.words)
+        self.doc, self.impact = doc[order], self.own[order]
+        ends = np.cumsum(df)
+        self.df, self.begin = df, ends - df
         self.blocks = -(-n_docs // BLOCK_DOCS)
-
-    def search(self, words: list[str], idf: np.ndarray, top: int) -> list[tuple[int, float]]:
-        """The ``top`` best (doc_id, score), best first. ``words`` are sorted."""
+        self.block_of = np.arange(n_docs) // BLOCK_DOCS
+        self.row = np.full(n_terms, -1)
+        common = np.flatnonzero(df * COMMON >= n_docs)
+        self.row[common] = np.arange(len(common))
+        self.matrix = np.zeros((len(common), n_docs), np.float32)
+        at = _spans(self.begin[common], df[common])
+        self.matrix[np.repeat(np.arange(len(common)), df[common]), self.doc[at]] = self.impact[at]
+        # Blocks of the terms between rare and common ones.
+        self.blocked = (self.row < 0) & (df >= RARE * self.blocks)
+        some = np.flatnonzero(self.blocked)
+        at = _spans(self.begin[some], df[some])
+        term, block = np.repeat(some, df[some]), self.block_of[self.doc[at]]
+        head = np.flatnonzero(np.r_[True, (block[1:] != block[:-1]) | (term[1:] != term[:-1])]) if len(at) else np.zeros(0, np.int64)
+        self.start, self.block = at[head], block[head]
+        self.size = np.diff(np.r_[head, len(at)])
+        self.high = np.maximum.reduceat(self.impact[at], head) if len(at) else np.zeros(0)
+        self.first = np.searchsorted(term[head], np.arange(n_terms))  # a term's first entry of the block table
+        self.last = np.searchsorted(term[head], np.arange(n_terms), side="right")
+        self.weight = np.zeros(n_terms)
+        self.looked = 0  # postings that cursors and exact scores looked at
+
+    def known(self, words: list[str], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(numbers of the words that the shard has, ascending, their weights)."""
         known = [(self.term[w], k) for k, w in enumerate(words) if w in self.term]
-        if not known:
-            return []
-        at, k = np.array(known).T
-        entry = _spans(self.first[at], self.last[at] - self.first[at])
-        weight = np.repeat(idf[k], self.last[at] - self.first[at])
-        bound = np.bincount(self.block[entry], weight * self.high[entry], self.blocks)
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        block_of = self.block[entry]
-        best: list[tuple[float, int, int]] = []
-        take, slack = np.zeros(self.blocks, bool), 1 + 1e-9
-        for at_ in range(0, len(order), STRIDE):
-            chosen = order[at_:at_ + STRIDE]
-            if len(best) == top and bound[chosen[0]] * slack < -best[-1][0]:
+        at, k = np.array(known, np.int64).reshape(-1, 2).T
+        return at, idf[k]
+
+    def common(self, queries: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """(query, document): what the common terms add, in single precision."""
+        weights = np.zeros((len(queries), len(self.matrix)), np.float32)
+        for k, (at, w) in enumerate(queries):
+            row = self.row[at]
+            weights[k, row[row >= 0]] = w[row >= 0]
+        return weights @ self.matrix
+
+    def search(self, words: list[str], idf: np.ndarray, top: int, scores: list[float] | None = None) -> list[tuple[int, float]]:
+        """The ``top`` best (doc_id, score), best first; with ``scores``, the ``top`` best of another shard, only those that belong among both. ``words`` are sorted."""
+        at, weights = self.known(words, idf)
+        return self.best(at, weights, self.common([(at, weights)])[0], top, scores) if len(at) else []
+
+    def best(self, at: np.ndarray, weights: np.ndarray, common: np.ndarray, top: int, scores: list[float] | None) -> list[tuple[int, float]]:
+        in_matrix, blocked = self.row[at] >= 0, self.blocked[at]
+        rare = ~in_matrix & ~blocked
+        score = common.astype(float)
+        score += self._add(self.begin[at[rare]], self.df[at[rare]], weights[rare])
+        # Single precision and the order of sums make this much of a difference at most.
+        slack = (in_matrix.sum() + 2) * 2.0 ** -22 * (K1 + 1) * weights[in_matrix].sum() + 1e-9 * (K1 + 1) * weights.sum()
+        some, w = at[blocked], weights[blocked]
+        if scores and len(scores) >= top:
+            known = sorted(scores, reverse=True)[:top]
+            need = known[-1]
+            n = self.last[some] - self.first[some]
+            entry, weight = _spans(self.first[some], n), np.repeat(w, n)
+            ahead = np.bincount(self.block[entry], weight * self.high[entry], self.blocks)
+            docs = np.flatnonzero(score + ahead[self.block_of] >= need - slack)
+            live = np.zeros(self.blocks, bool)
+            live[self.block_of[docs]] = True
+            use = live[self.block[entry]]
+            score += self._add(self.start[entry[use]], self.size[entry[use]], weight[use])
+            docs = docs[score[docs] >= need - slack]
+        else:
+            known, need = [], 0.0
+            score += self._add(self.begin[some], self.df[some], w)
+            docs = np.flatnonzero(score > 0)
+            if len(docs) > top:
+                kth = np.partition(score[docs], len(docs) - top)[len(docs) - top]
+                docs = docs[score[docs] >= kth - 2 * slack]
+        docs = docs[np.argsort(-score[docs], kind="stable")]
+        found: list[tuple[float, int, int]] = []
+        self.weight[at] = weights
+        for a in range(0, len(docs), FEW):
+            few = docs[a:a + FEW]
+            if score[few[0]] < need - slack:
                 break
-            take[chosen] = True
-            use = take[block_of]
-            take[chosen] = False
-            span = _spans(self.start[entry[use]], self.size[entry[use]])
-            score = np.bincount(self.doc[span], np.repeat(weight[use], self.size[entry[use]]) * self.impact[span])
-            hit = np.flatnonzero(score)
-            if len(hit) > top:
-                kth = np.partition(score[hit], len(hit) - top)[len(hit) - top]
-                hit = hit[score[hit] >= kth]
-            best = sorted(best + [(-float(score[d]), int(self.ids[d]), int(d)) for d in hit])[:top]
-        return [(d, -s) for s, d, _ in best]
+            span = _spans(self.offset[few], self.sizes[few])
+            self.looked += len(span)
+            exact = np.bincount(np.repeat(np.arange(len(few)), self.sizes[few]), self.weight[self.words[span]] * self.own[span], len(few))
+            found = sorted(found + [(-float(x), int(self.ids[d]), int(d)) for d, x in zip(few, exact, strict=True) if x > 0 and x * SLACK >= need])[:top]
+            both = sorted(known + [-x for x, _, _ in found], reverse=True)
+            need = both[top - 1] if len(both) >= top else need
+        self.weight[at] = 0.0
+        return [(d, -x) for x, d, _ in found]
+
+    def _add(self, start: np.ndarray, size: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """What these postings add to each document."""
+        span = _spans(start, size)
+        self.looked += len(span)
+        return np.bincount(self.doc[span], np.repeat(weight, size) * self.impact[span], len(self.ids))
 
 
 def _spans(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -198,32 +274,49 @@ def _search(docs: int, mean_words: float, top: int):
     schema = pa.schema([("query_id", pa.int64()), ("doc_id", pa.int64()), ("score", pa.float64()), ("nth", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index, out = None, []
+        index, out, waiting = None, [], []
 
         def batch() -> pa.RecordBatch:
             return pa.record_batch([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
 
-        for query_id, payload in arrow_rows(batches, "query_id", "payload"):
+        def answer() -> None:
+            common = index.common([q[1:3] for q in waiting])
+            for (query_id, at, weights, scores), own in zip(waiting, common, strict=True):
+                out.extend((query_id, d, s, n) for n, (d, s) in enumerate(index.best(at, weights, own, top, scores)))
+            waiting.clear()
+
+        for query_id, payload, scores in arrow_rows(batches, "query_id", "payload", "scores"):
             if query_id is None:  # sorted first in its shard
+                if waiting:
+                    answer()
                 index = Index(payload, mean_words)
                 continue
             words, df = unpack_query(payload)
-            idf = np.log(1 + (docs - df + 0.5) / (df + 0.5))
-            out += [(query_id, d, s, n) for n, (d, s) in enumerate(index.search(words, idf, top))]
+            at, weights = index.known(words, np.log(1 + (docs - df + 0.5) / (df + 0.5)))
+            if len(at):
+                waiting.append((query_id, at, weights, scores))
+            if len(waiting) == TOGETHER:
+                answer()
             if len(out) > 10_000:
                 yield batch()
-                out = []
+                out.clear()
+        if waiting:
+            answer()
         if out:
             yield batch()
     return run
 
 
+def shard_of(doc_id: Column, shards: int) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(shards)).cast("long")
+
+
 def build(docs: DataFrame, docs_per_shard: int = DOCS_PER_SHARD) -> tuple[DataFrame, int]:
     """(index rows and term rows, number of shards)."""
     rows = text_rows(docs).filter("doc_id IS NOT NULL")
     n, size = rows.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
     shards = max(1, -(-n // docs_per_shard), -(-(size or 0) // BYTES_PER_SHARD))
-    dealt = rows.withColumn("shard", F.pmod(F.xxhash64("doc_id"), F.lit(shards)))
+    dealt = rows.withColumn("shard", shard_of(F.col("doc_id"), shards))
     met = dealt.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id")
     return materialize(met.mapInArrow(_build, INDEX), "bm25-index"), shards
 
@@ -238,12 +331,19 @@ def search(docs: DataFrame, queries: DataFrame, top: int = TOP, docs_per_shard:
     df = index.filter("term IS NOT NULL").groupBy(F.col("term").alias("t")).agg(F.sum("df").alias("df"))
     packed = (asked.join(df, F.col("term") == F.col("t")).groupBy("query_id").agg(F.collect_list(F.struct("term", "df")).alias("found"))
               .mapInArrow(_pack, "query_id long, payload binary"))
-    # Every shard searches the stated queries: a query takes one small row in each shard, behind the shard's index.
-    packed = materialize(packed, "bm25-queries")
-    sent = packed.withColumn("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long"))))
-    held = index.filter("payload IS NOT NULL").select(F.lit(None).cast("long").alias("query_id"), "payload", "shard")
-    met = held.unionByName(sent).repartition(shards, "shard").sortWithinPartitions("shard", F.col("query_id").asc_nulls_first())
-    found = met.select("query_id", "payload").mapInArrow(_search(total, words / total, top), "query_id long, doc_id long, score double, nth int")
+    packed = materialize(packed.withColumn("home", shard_of(F.col("query_id"), shards)), "bm25-queries")
+    held = index.filter("payload IS NOT NULL").select(F.lit(None).cast("long").alias("query_id"), "payload", "shard", F.lit(None).cast("array<double>").alias("scores"))
+
+    def searched(asked: DataFrame) -> DataFrame:
+        met = held.unionByName(asked).repartition(shards, "shard").sortWithinPartitions("shard", F.col("query_id").asc_nulls_first())
+        return met.select("query_id", "payload", "scores").mapInArrow(_search(total, words / total, top), "query_id long, doc_id long, score double, nth int")
+
+    # One shard first; every other shard then gets the query, one small row, with the best scores so far, behind the shard's index.
+    first = materialize(searched(packed.select("query_id", "payload", F.col("home").alias("shard"), F.lit(None).cast("array<double>").alias("scores"))), "bm25-first")
+    scores = first.groupBy("query_id").agg(F.collect_list("score").alias("scores"))  # ``top`` at most
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.lit(shards - 1).cast("long")), lambda x: x != F.col("home"))
+    sent = packed.join(scores, "query_id", "left").select("query_id", "payload", F.explode(others).alias("shard"), "scores")
+    found = first.unionByName(searched(sent)) if shards > 1 else first
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return found.withColumn("rank", rank).filter(F.col("rank") <= top).select("query_id", "rank", "doc_id", F.round("score", 6).alias("score"))
 

@@ -28,7 +28,8 @@ def brute(rows, queries, top):
 @pytest.mark.parametrize("per_shard, block", [(10_000, 64), (15, 4)])
 def test_against_brute_force(spark, monkeypatch, per_shard, block):
     monkeypatch.setattr(op, "BLOCK_DOCS", block)
-    monkeypatch.setattr(op, "STRIDE", 2)
+    monkeypatch.setattr(op, "FEW", 2)
+    monkeypatch.setattr(op, "RARE", 0.5)
     rows = corpus(n=120)
     docs = frame(spark, rows)
     got = op.search(docs, docs.filter("doc_id % 10 = 0"), 5, per_shard).collect()
@@ -53,7 +54,66 @@ def test_search_stops_early():
         assert index.search(["rare"], op.np.array([5.0]), 1)[0][0] == 7
     finally:
         op._spans = real
-    assert sum(calls[1:]) <= op.STRIDE  # of 100 blocks
+    assert sum(calls) <= op.FEW  # of 100 blocks
+
+
+def shards(n_docs=3000, n_shards=3, seed=4):
+    """Indexes over texts with a few very common and many rare words, and the statistics."""
+    rng = op.np.random.default_rng(seed)
+    texts = [" ".join(f"w{int(x)}" for x in op.np.minimum(rng.zipf(1.25, rng.integers(5, 120)), 4000)) for _ in range(n_docs)]
+    for k in range(0, n_docs, 50):
+        texts[k] = texts[k // 50]  # equal texts, so equal scores
+    builders = [op.Builder() for _ in range(n_shards)]
+    for k, t in enumerate(texts):
+        builders[k % n_shards].add(k, t)
+    mean = sum(len(op.terms(t)) for t in texts) / n_docs
+    df = Counter(w for t in texts for w in set(op.terms(t)))
+    return texts, [op.Index(next(b.rows(0)).column("payload")[0].as_py(), mean) for b in builders], df
+
+
+@pytest.mark.parametrize("few, common, rare", [(op.FEW, op.COMMON, op.RARE), (2, 1, 0.1), (3, 1000, 1)])
+def test_carried_threshold_skips_postings_and_loses_nothing(monkeypatch, few, common, rare):
+    for name, value in (("FEW", few), ("COMMON", common), ("RARE", rare)):
+        monkeypatch.setattr(op, name, value)
+    texts, own, df = shards()
+    everything = touched = 0
+    for q in range(0, len(texts), 60):
+        words = sorted(set(op.terms(texts[q])))
+        n = op.np.array([df[w] for w in words])
+        idf = op.np.log(1 + (len(texts) - n + 0.5) / (n + 0.5))
+        # All postings of all shards, for every document.
+        want = []
+        for index in own:
+            at, weights = index.known(words, idf)
+            dense = op.np.zeros(len(index.term))
+            dense[at] = weights
+            doc = op.np.repeat(op.np.arange(len(index.ids)), index.sizes)
+            scores = op.np.bincount(doc, dense[index.words] * index.own, len(index.ids))
+            want += [(-s, int(d)) for d, s in zip(index.ids, scores, strict=True) if s > 0]
+            everything += int((dense[index.words] > 0).sum())
+        before = sum(index.looked for index in own)
+        first = own[0].search(words, idf, 10)
+        found = list(first)
+        for index in own[1:]:
+            found += index.search(words, idf, 10, [s for _, s in first])
+        touched += sum(index.looked for index in own) - before
+        assert sorted((-s, d) for d, s in found)[:10] == sorted(want)[:10]
+    if common > 1:
+        assert touched < everything
+    else:  # no list is in the matrix, all but the rarest have blocks
+        index, k = own[1], 7
+        words = ["w1", "w2", texts[k].split()[0]]
+        idf = op.np.array([0.1, 0.2, 9.0])
+        index.looked = 0
+        index.search(words, idf, 10, [12.0] * 10)
+        assert index.looked < 0.5 * index.df[index.known(words, idf)[0]].sum()
+
+
+def test_numbers_sort_stably():
+    rng = op.np.random.default_rng(0)
+    a, b = rng.integers(0, 200_000, 5000), rng.integers(0, 40, 5000)
+    assert op.by_number(a).tolist() == op.np.argsort(a, kind="stable").tolist()
+    assert op.by_number(a, b).tolist() == op.np.lexsort((a, b)).tolist() and op.by_number(a[:0]).tolist() == []
 
 
 def test_null_and_empty_queries_find_nothing(spark):
