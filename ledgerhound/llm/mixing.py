@@ -2,17 +2,18 @@
 
 A naive Bayes classifier, trained on a labelled table, gives each document a posterior over the domains. Document rates
 are then fitted so that the expected tokens of each domain, the sum over documents of rate * tokens * posterior, meet the targets:
-least squares of the relative misses, over rates not below a floor, with a faint pull (``RIDGE``) to one copy of each document. At
-its optimum a rate is the larger of the floor and 1 + sum(posterior * multiplier), with one multiplier for each domain; Newton's
-method with a line search finds the multipliers. A step is one aggregation over the documents, which sends the domains' totals and their small
-Gram matrix to the driver; the number of steps doesn't depend on how rare a domain is. The fit ends when the targets are met or when no
-free rate can improve; what is missed then is returned in the report and logged as a warning. A fit that gets to neither raises.
+least squares of the relative misses over rates not below a floor, by projected gradient with implicit steps. A step moves every rate along its
+posteriors, by a multiplier for each domain, and cuts it off at the floor; the multipliers are the gradient at the point that the step reaches, not at the one it leaves, so a step
+can be long and rare domains are no slower than common ones. They solve a small equation, by Newton's method with a line search: one aggregation over the documents a
+time, which sends the domains' totals and the small Gram matrix of the rates that aren't cut off to the driver. The fit ends when the targets are met, or when
+a step changes nothing: then the projected gradient is zero and no free rate can improve; the misses are returned and logged as a warning.
 Posteriors and rates stay in Spark; everything is DataFrame functions.
 
 The classifier is fitted on at most ``LABELLED`` labelled rows (smallest id hash) with hashed words in ``BUCKETS`` buckets; posteriors
 read every word of every text. Documents without a word get the prior. Null text counts as empty; it has no tokens, so its rate
 doesn't matter and stays 1. Domains without any expected token can't be met and are left out of the targets, which are scaled to
-sum to one. With no labelled row all documents form one domain ``all``. Repeated rows are documents like others, each with its own
+sum to one. With no labelled row all documents form one domain ``all``. Of two domains with one posterior, the one that sorts last is the document's domain. A step's
+aggregate has a column for each pair of domains. Only doc_id and text are read, and all columns come back, so others can have any name. Repeated rows are documents like others, each with its own
 rate; very long texts count by their words. An empty table gives no rows.
 """
 
@@ -33,12 +34,9 @@ LABELLED = 20_000
 SMOOTHING = 1.0
 #: Posteriors are softened: the log odds of a text are those of a text of this many words.
 EFFECTIVE_WORDS = 20.0
-MAX_DOMAINS = 64
-MAX_STEPS = 200
-STEPS_PER_TABLE = 10
 TOLERANCE = 1e-4
-#: The pull of rates to 1, against misses relative to the largest target: misses that it leaves are a multiplier's RIDGE-th part at most.
-RIDGE = 1e-7
+#: How stiff a step is against its multipliers, relative to the largest target; less where a domain is rarer.
+STIFFNESS = 1e-7
 #: The queries' target: a domain's share of the tokens to this power (rare domains are seen more often).
 TEMPERATURE = 0.7
 #: The queries keep every document at least once.
@@ -66,9 +64,7 @@ def labelled_rows(docs: DataFrame, labelled: DataFrame, limit: int = LABELLED) -
 def train(docs: DataFrame, labelled: DataFrame, limit: int = LABELLED) -> tuple[list[str], DataFrame | None, list[float]]:
     """(domains, one row of log likelihoods for each bucket, log priors)."""
     rows = materialize(labelled_rows(docs, labelled, limit), "mix-labelled")
-    sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).limit(MAX_DOMAINS + 1).collect()}
-    if len(sizes) > MAX_DOMAINS:
-        raise ValueError(f"more than {MAX_DOMAINS} domains are labelled")
+    sizes = {r.domain: r.n for r in rows.groupBy("domain").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``limit``
     domains = sorted(sizes)
     if not domains:
         return [], None, []
@@ -119,8 +115,8 @@ def wanted_totals(have: list[float], domains: list[str], weights: dict[str, floa
     return target, [max(t, h, 1e-9) for t, h in zip(target, have, strict=True)]
 
 
-def solve_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None, temperature: float = TEMPERATURE,
-                least: float = 0.0) -> tuple[DataFrame, dict]:
+def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None, temperature: float = TEMPERATURE,
+              least: float = 0.0) -> tuple[DataFrame, dict]:
     """``members`` with a column rate; and the report: targets, totals, misses (relative, by domain), met and steps.
 
     ``least`` (not negative) bounds the rates from below: 0 lets documents go, 1 only repeats documents of short domains.
@@ -128,16 +124,17 @@ def solve_rates(members: DataFrame, domains: list[str], weights: dict[str, float
     n, floor = len(domains), float(max(0.0, least))
     pairs = [(i, j) for i in range(n) for j in range(i, n)]
 
-    def raw(multipliers: np.ndarray) -> Column:
-        return sum((F.col(f"p{i}") * F.lit(float(x)) for i, x in enumerate(multipliers)), F.lit(1.0))
+    def raw(pull: np.ndarray) -> Column:
+        return sum((F.col(f"p{i}") * F.lit(float(x)) for i, x in enumerate(pull)), F.col("rate"))
 
-    def rates(multipliers: np.ndarray) -> Column:
-        return F.when(F.col("tokens") > 0, F.greatest(F.lit(floor), raw(multipliers))).otherwise(F.lit(1.0))
+    def moved(df: DataFrame, pull: np.ndarray) -> DataFrame:
+        """Every rate moved along its posteriors and cut off at the floor."""
+        return df.withColumn("rate", F.when(F.col("tokens") > 0, F.greatest(F.lit(floor), raw(pull))).otherwise(F.lit(1.0)))
 
-    def look(multipliers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The domains' totals, and the Gram matrix of the documents whose rates are free."""
-        rows = members.select("tokens", *[f"p{i}" for i in range(n)], rates(multipliers).alias("rate"),
-                              F.when(raw(multipliers) >= floor, F.col("tokens")).otherwise(F.lit(0.0)).alias("free"))
+    def look(df: DataFrame, pull: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The domains' totals after a move, and the Gram matrix of the documents that it doesn't cut off."""
+        rows = df.select("tokens", *[f"p{i}" for i in range(n)], F.greatest(F.lit(floor), raw(pull)).alias("rate"),
+                         F.when(raw(pull) >= floor, F.col("tokens")).otherwise(F.lit(0.0)).alias("free"))
         got = rows.agg(*[F.sum(F.col("rate") * F.col("tokens") * F.col(f"p{i}")) for i in range(n)],
                        *[F.sum(F.col("free") * F.col(f"p{i}") * F.col(f"p{j}")) for i, j in pairs]).first()
         gram = np.zeros((n, n))
@@ -152,79 +149,51 @@ def solve_rates(members: DataFrame, domains: list[str], weights: dict[str, float
         return members.withColumn("rate", F.lit(1.0)), {"domains": domains, "targets": have, "totals": have, "misses": {x: 0.0 for x in domains}, "met": True, "steps": 0}
     target, scale = map(np.array, found)
     live = np.array(have) > 0
-    ridge = RIDGE * scale ** 2 / scale.max()
-    multipliers, steps = np.zeros(n), 0
-    at, gram = look(multipliers)
+    now, steps = members.withColumn("rate", F.lit(max(1.0, floor))), 0
+    at, gram = look(now, np.zeros(n))
+    # A step so long that the rarest domain isn't held back by its own size.
+    stiff = min(STIFFNESS / scale.max(), 1e-3 * float(np.min(np.diag(gram)[live] / scale[live] ** 2))) * scale ** 2
+    before = (target - at) / scale
     while True:
-        miss = (target - at) / scale
-        slope = np.where(live, at - target + ridge * multipliers, 0.0)
-        met = bool(np.abs(miss).max() <= TOLERANCE)
-        if met or np.abs(slope / scale).max() <= TOLERANCE / 100:  # or no free rate can improve
-            break
-        if steps >= MAX_STEPS:
-            raise RuntimeError(f"rates weren't fitted within {MAX_STEPS} steps; relative misses: {dict(zip(domains, miss.tolist(), strict=True))}")
-        own = gram[np.ix_(live, live)] + np.diag(ridge[live])
-        unit = 1 / np.sqrt(np.diag(own))  # domains differ by many orders of size
-        move = np.zeros(n)
-        move[live] = -unit * np.linalg.solve(own * np.outer(unit, unit), unit * slope[live])
-        fall, part = -float(slope @ move), 1.0
-        while True:
-            at, gram = look(multipliers + part * move)
-            steps += 1
-            rise = float(np.where(live, at - target + ridge * (multipliers + part * move), 0.0) @ move)
-            if rise <= 0.1 * fall or steps >= MAX_STEPS:
+        pull = np.zeros(n)
+        if steps:
+            at, gram = look(now, pull)
+        while True:  # the move whose gradient, where it ends, is the move
+            miss = (target - at) / scale
+            slope = np.where(live, at - target + stiff * pull, 0.0)
+            met = bool(np.abs(miss).max() <= TOLERANCE)
+            if met or np.abs(slope / scale).max() <= TOLERANCE / 100:
                 break
-            part *= max(0.1, fall / (fall + rise))  # went beyond the lowest point of the line
-        multipliers = multipliers + part * move
+            own = gram[np.ix_(live, live)] + np.diag(stiff[live])
+            unit = 1 / np.sqrt(np.diag(own))  # domains differ by many orders of size
+            move = np.zeros(n)
+            move[live] = -unit * np.linalg.lstsq(own * np.outer(unit, unit), unit * slope[live], rcond=1e-14)[0]
+            fall, part = -float(slope @ move), 1.0
+            while True:
+                at, gram = look(now, pull + part * move)
+                steps += 1
+                rise = float(np.where(live, at - target + stiff * (pull + part * move), 0.0) @ move)
+                if rise <= 0.1 * fall or part < 1e-12:
+                    break
+                part *= max(0.1, fall / (fall + rise))  # went beyond the lowest point of the line
+            pull = pull + part * move
+            if part < 1e-12:  # rounding leaves no shorter way
+                break
+        now = moved(now, pull)
+        if met or np.abs(miss - before).max() <= TOLERANCE / 100:  # or no free rate can improve
+            break
+        now, before = materialize(now, "mix-rates"), miss
     misses = dict(zip(domains, miss.tolist(), strict=True))
     if not met:
         logging.getLogger(__name__).warning("targets can't be met with rates of at least %s; relative misses: %s", floor, misses)
-    return members.withColumn("rate", rates(multipliers)), {"domains": domains, "targets": target.tolist(), "totals": at.tolist(), "misses": misses, "met": met, "steps": steps}
-
-
-def fit_rates(members: DataFrame, domains: list[str], weights: dict[str, float] | None, temperature: float = TEMPERATURE,
-              least: float = 0.0) -> tuple[DataFrame, dict]:
-    """Plain projected gradient, at most MAX_STEPS steps: a slow reference to ``solve_rates``, which the operator uses.
-
-    ``members`` with a column rate; and the report: targets, totals, misses (relative, by domain), met and steps. A domain gains
-    at most the factor 1 - have / target a step, so rare domains can be missed.
-    """
-    d = range(len(domains))
-
-    def totals(df: DataFrame, rate: Column) -> list[float]:
-        got = df.agg(*[F.sum(rate * F.col("tokens") * F.col(f"p{i}")).alias(f"t{i}") for i in d]).first()
-        return [got[i] or 0.0 for i in d]
-
-    have = totals(members, F.lit(1.0))
-    found = wanted_totals(have, domains, weights, temperature)
-    if found is None:
-        return members.withColumn("rate", F.lit(1.0)), {"domains": domains, "targets": have, "totals": have, "misses": {x: 0.0 for x in domains}, "met": True, "steps": 0}
-    target, scale = found
-    # Least squares of the relative misses, preconditioned by the tokens: a step moves document rates by
-    # size * sum(p * miss / scale). Its curvature is at most the largest row sum of G, G_ij = sum(tokens * p_i * p_j) / scale_j.
-    gram = members.agg(*[F.sum(F.col("tokens") * F.col(f"p{i}") * F.col(f"p{j}")).alias(f"g{i}_{j}") for i in d for j in d]).first()
-    bound = max(sum((gram[f"g{i}_{j}"] or 0.0) / math.sqrt(scale[i] * scale[j]) for j in d) for i in d)
-    size = 1.0 / max(bound, 1e-9)
-    now, now_rate, at, steps = members.withColumn("rate", F.lit(1.0)), F.col("rate"), have, 0
-    while steps < MAX_STEPS:
-        miss = [(target[i] - at[i]) / scale[i] for i in d]
-        if max(abs(x) for x in miss) <= TOLERANCE:
-            break
-        move = sum((F.col(f"p{i}") * F.lit(size * miss[i]) for i in d), F.lit(0.0))
-        now_rate = F.greatest(F.lit(float(max(0.0, least))), now_rate + F.when(F.col("tokens") > 0, move).otherwise(F.lit(0.0)))
-        steps += 1
-        if steps % STEPS_PER_TABLE == 0:  # keeps the expression short and the lineage cut
-            now, now_rate = materialize(now.withColumn("rate", now_rate), "mix-rates"), F.col("rate")
-        at = totals(now, now_rate)
-    misses = {x: (target[i] - at[i]) / scale[i] for i, x in enumerate(domains)}
-    return now.withColumn("rate", now_rate), {"domains": domains, "targets": target, "totals": at, "misses": misses,
-                                              "met": max(map(abs, misses.values())) <= TOLERANCE, "steps": steps}
+    return now, {"domains": domains, "targets": target.tolist(), "totals": at.tolist(), "misses": misses, "met": met, "steps": steps}
 
 
 def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, limit: int = LABELLED,
         least: float = 0.0) -> tuple[DataFrame, dict]:
-    """(doc_id, text_hash, nth, tokens, domain, posterior, rate, copies) of every row, and the fit's report.
+    """(doc_id, text_hash, nth, tokens, domain, posterior, rate, copies, miss) of every row, and the fit's report.
 
+    miss: how far the document's domain stays below its target, as a part of it (the same for all its documents; 0 within the tolerance).
     copies: the whole part of the rate, and one more with the probability of the rest, by a hash of the row.
     """
     domains, model, priors = train(docs, labelled, limit)
@@ -233,13 +202,16 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None =
         domains, priors = ["all"], [0.0]
         model = spark.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0.0).alias("l0"))
     members = materialize(posteriors(docs, domains, model, priors), "mix-members")
-    rated, report = solve_rates(members, domains, weights, least=least)
+    rated, report = fit_rates(members, domains, weights, least=least)
     best = F.greatest(*[F.struct(F.col(f"p{i}").alias("p"), F.lit(x).alias("domain")) for i, x in enumerate(domains)]) if len(domains) > 1 \
         else F.struct(F.col("p0").alias("p"), F.lit(domains[0]).alias("domain"))
     u = F.shiftrightunsigned(F.xxhash64("doc_id", "text_hash", "nth", F.lit(SEED)), 11) / float(1 << 53)
     copies = F.floor("rate") + (u < F.col("rate") - F.floor("rate")).cast("long")
+    miss = F.lit(0.0)
+    for x, v in report["misses"].items():
+        miss = F.when((F.col("best.domain") == x) & F.lit(abs(v) > TOLERANCE), F.lit(round(v, 6))).otherwise(miss)
     return rated.withColumn("rate", F.round("rate", RATE_DECIMALS)).withColumn("best", best).select("doc_id", "text_hash", "nth", "tokens", F.col("best.domain").alias("domain"),
-                                                 F.round("best.p", 9).alias("posterior"), "rate", copies.alias("copies")), report
+                                                 F.round("best.p", 9).alias("posterior"), "rate", copies.alias("copies"), miss.alias("miss")), report
 
 
 def mixed_docs(docs: DataFrame, labelled: DataFrame, weights: dict[str, float] | None = None, least: float = 0.0) -> DataFrame:
@@ -268,4 +240,4 @@ def domains_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
 def op6_mixing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     got, _ = mix(docs, domains_of(docs, table(spark, sf_dir, "labels")), least=LEAST_RATE)
-    return got.select("doc_id", "tokens", "domain", "posterior", "rate", "copies")
+    return got.select("doc_id", "tokens", "domain", "posterior", "rate", "copies", "miss")
