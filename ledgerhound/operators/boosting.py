@@ -23,9 +23,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of a block; bins of an input.
+#: Rows of a block, and of a partition of blocks; bins of an input.
 BLOCK_ROWS = 16_384
+PARTITION_ROWS = 65_536
 BINS = 255
+FEW_PARTITIONS = 8
 #: A child needs this much Hessian.
 LEAST_HESSIAN = 1e-3
 #: Trees between two checkpoints of the blocks.
@@ -137,24 +139,29 @@ class Grower:
         self.is_last[self.first + self.sizes - 1] = True
 
     def best(self, hist: np.ndarray) -> Node:
-        """The node of a histogram (slot, 3), with its best split if one gains: gradients, Hessians, rows."""
-        sums = np.cumsum(hist, axis=0)
-        total = sums[self.sizes[0] - 1].copy()
-        below = sums - np.r_[np.zeros((1, 3)), sums][self.first][self.input_of]
-        above = total - below
-        ok = ~self.is_last & (np.minimum(below[:, 2], above[:, 2]) >= self.least_rows) & (np.minimum(below[:, 1], above[:, 1]) >= LEAST_HESSIAN)
+        """The node of a histogram (3, slot), with its best split if one gains: gradients, Hessians, rows."""
+        sums = np.cumsum(hist, axis=1)
+        total = sums[:, self.sizes[0] - 1].copy()
+        start = np.where(self.first > 0, sums[:, self.first - 1], 0.0)  # before each input's first bin
+        rows = sums[2] - np.repeat(start[2], self.sizes)
+        ok = np.flatnonzero((rows >= self.least_rows) & (rows <= total[2] - self.least_rows) & ~self.is_last)
+        owner = self.input_of[ok]
+        g, h = sums[0, ok] - start[0, owner], sums[1, ok] - start[1, owner]
+        over_g, over_h = total[0] - g, total[1] - h
+        enough = np.minimum(h, over_h) >= LEAST_HESSIAN
         node = Node(hist, total)
-        if ok.any():
-            gain = np.full(self.width, -np.inf)
-            gain[ok] = below[ok, 0] ** 2 / below[ok, 1] + above[ok, 0] ** 2 / above[ok, 1] - total[0] ** 2 / total[1]
+        if enough.any():
+            ok, g, h, over_g, over_h = (x[enough] for x in (ok, g, h, over_g, over_h))
+            gain = g * g / h + over_g * over_g / over_h - total[0] ** 2 / total[1]
             at = int(np.argmax(gain))
             if gain[at] > 1e-12:
-                node.input, node.bin, node.gain = int(self.input_of[at]), at - int(self.first[self.input_of[at]]), float(gain[at])
+                f = int(self.input_of[ok[at]])
+                node.input, node.bin, node.gain = f, int(ok[at] - self.first[f]), float(gain[at])
         return node
 
     def below_rows(self, node: Node) -> float:
         a = int(self.first[node.input])
-        return float(node.hist[a:a + node.bin + 1, 2].sum())
+        return float(node.hist[2, a:a + node.bin + 1].sum())
 
     def search(self, nodes: list[Node]) -> tuple[list[int], list[int]]:
         """(nodes that best-first growth splits, those of them whose children aren't known yet)."""
@@ -231,7 +238,10 @@ class Grower:
                 out[1] += np.bincount(at, np.repeat(h, times), n * width)
                 out[2] += np.bincount(at, minlength=n * width)
             yield out
-        return blocks.mapPartitions(part).treeReduce(np.add).reshape(3, n, width).transpose(1, 2, 0)
+        sums = blocks.mapPartitions(part)
+        # A few partitions' sums come at once; those of many meet in between.
+        total = sum(sums.collect()) if blocks.getNumPartitions() <= FEW_PARTITIONS else sums.treeReduce(np.add)
+        return np.ascontiguousarray(total.reshape(3, n, width).transpose(1, 0, 2))
 
 
 def leaf_of(bins: np.ndarray, inputs: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -247,37 +257,33 @@ def leaf_of(bins: np.ndarray, inputs: np.ndarray, at: np.ndarray, left: np.ndarr
 def fit(train: DataFrame, label: str, n_trees: int, rate: float, num_leaves: int, least_rows: int, bins: int = BINS) -> BoostedTrees:
     """``train``: features (vector), ``label`` 0 or 1, weight w. Fewer trees where none gains any more; only the base for one class or no row."""
     sizes = train.select(vector_to_array("features").alias("x"), label, "w")
-    row = sizes.agg(F.max(F.size("x")), F.sum(F.col("w") * F.col(label)), F.sum("w")).first()
+    row = sizes.agg(F.max(F.size("x")), F.sum(F.col("w") * F.col(label)), F.sum("w"), F.count(F.lit(1))).first()
     n_inputs, positive, total = row[0] or 0, float(row[1] or 0.0), float(row[2] or 0.0)
     if not 0 < positive < total or not n_inputs:
         return BoostedTrees(float(np.log(max(positive, 1e-9) / max(total - positive, 1e-9))) if total else 0.0)
     model = BoostedTrees(float(np.log(positive / (total - positive))))
     edges = bin_edges(train, n_inputs, bins)
     grower = Grower(edges, num_leaves, least_rows)
-    blocks = sizes.rdd.mapPartitions(_blocks(edges, model.base, label)).persist(StorageLevel.MEMORY_AND_DISK)
-    blocks.count()
+    dealt = sizes.repartition(max(1, -(-row[3] // PARTITION_ROWS)))  # a round is one task a partition, so not more than the rows need
+    blocks = dealt.rdd.mapPartitions(_blocks(edges, model.base, label)).persist(StorageLevel.MEMORY_AND_DISK)
+    old = None
     for k in range(n_trees):
-        grown = grower.grow(blocks, rate)
+        if k and k % CHECKPOINT_TREES == 0:
+            blocks.checkpoint()
+        grown = grower.grow(blocks, rate)  # its first sum also brings the margins up to date
+        if old is not None:
+            old.unpersist()
         if grown is None:
             break
         tree, binned = grown
         model.trees.append(tree)
         old, blocks = blocks, blocks.map(_updated(binned)).persist(StorageLevel.MEMORY_AND_DISK)
-        if (k + 1) % CHECKPOINT_TREES == 0:
-            blocks.checkpoint()
-            blocks.count()
-        else:
-            blocks.foreachPartition(_touch)
-        old.unpersist()
-    blocks.unpersist()
+    for rdd in (old, blocks):
+        if rdd is not None:
+            rdd.unpersist()
     return model
 
 
-def _touch(own: Iterator) -> None:
-    for _ in own:
-        pass
-
-
 def _updated(binned: tuple[np.ndarray, ...]):
     def run(block: tuple[np.ndarray, ...]) -> tuple[np.ndarray, ...]:
         bins, y, w, margin = block
