@@ -17,8 +17,8 @@ An anchor with over ``HEAVY`` runs in the corpus isn't kept together: its string
 
 Strings are judged on the input, and never span documents. Null text counts as empty; texts under ``LENGTH`` bytes keep all their
 bytes. A null doc_id is not smaller than any, and none is smaller: such rows keep all bytes. Rows that share a doc_id don't
-remove each other's bytes, so repeated rows get the same result each. A very long text is a block of its own and is hashed piece by piece. An
-empty table gives no rows.
+remove each other's bytes, so repeated rows get the same result each. A very long text is a block of its own and is hashed piece by piece. Only
+doc_id and text are read, so other columns can have any name. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -38,9 +38,16 @@ from .registry import register
 LENGTH = 50
 GRAM = 20
 BLOCK_BYTES = 4 << 20
+#: Bytes of a block that are hashed at once.
+PIECE_BYTES = 1 << 20
 #: Input bytes for each bucket of anchors, and of contexts.
 ANCHOR_BUCKET = 32 << 20
 CONTEXT_BUCKET = 8 << 20
+#: Parts of a bucket of contexts, by anchor; a bucket's parts are sorted one after the other.
+PARTS = 16
+#: Runs of a block that are compared with their owners at once, and blocks of a task.
+RUNS = 1 << 15
+TASK_BLOCKS = 4
 HEAVY = 60_000
 #: Counts of a block's runs are sent in a byte each; those from MOST on follow in full.
 MOST = 255
@@ -108,12 +115,12 @@ class Block:
         """(anchor, first start, number of starts, document) of each run of starts with one anchor."""
         parts = []
         first = 0
-        while first < len(self.ids):  # pieces of about BLOCK_BYTES, so that a huge text needs no more memory
-            last = max(first + 1, int(np.searchsorted(self.end, self.start[first] + BLOCK_BYTES, side="right")))
+        while first < len(self.ids):  # pieces of about PIECE_BYTES, so that a huge text needs no more memory
+            last = max(first + 1, int(np.searchsorted(self.end, self.start[first] + PIECE_BYTES, side="right")))
             lo, hi = int(self.start[first]), int(self.end[last - 1])
-            doc = np.repeat(np.arange(first, last), (self.end - self.start)[first:last])
-            for at in range(lo, hi, BLOCK_BYTES):
-                stop = min(hi, at + BLOCK_BYTES + LENGTH - 1)
+            doc = np.repeat(np.arange(first, last, dtype=np.int32), (self.end - self.start)[first:last])
+            for at in range(lo, hi, PIECE_BYTES):
+                stop = min(hi, at + PIECE_BYTES + LENGTH - 1)
                 if stop - at >= LENGTH:
                     parts.append(self._runs(at, stop, doc[at - lo:stop - lo]))
             first = last
@@ -173,6 +180,13 @@ def _by_bucket(keys: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray
         yield int(bucket[order[a]]), order[a:b]
 
 
+def _by_part(anchors: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(bucket, indices of its anchors by part, how many each part has)."""
+    for b, at in _by_bucket(anchors, buckets):
+        part = (anchors[at] // U64(buckets) % U64(PARTS)).astype(np.int64)
+        yield b, at[np.argsort(part, kind="stable")], np.bincount(part, minlength=PARTS)
+
+
 # Pass 1: anchors that occur more than once.
 
 def _anchors(buckets: int):
@@ -283,10 +297,10 @@ def _contexts(anchor_buckets: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, payload, replies in _block_rows(batches):
             own = Contexts(Block(payload), replies, anchor_buckets)
-            for b, at in _by_bucket(own.anchor, buckets):
+            for b, at, parts in _by_part(own.anchor, buckets):
                 texts = [own.texts[k] for k in at.tolist()]
                 sizes = np.array([len(t) for t in texts], "<i4")
-                yield _message([(block, b, len(texts), squeeze(sizes.tobytes() + own.low[at].astype("<i8").tobytes() + b"".join(texts)))])
+                yield _message([(block, b, len(texts), squeeze(parts.astype("<i4").tobytes() + sizes.tobytes() + own.low[at].astype("<i8").tobytes() + b"".join(texts)))])
     return run
 
 
@@ -297,14 +311,15 @@ def sort_starts(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tup
     or down is up. Where that step lies beyond the string, the string is sorted directly, so equal strings are always treated alike.
     """
     n = len(data)
-    end = np.repeat(ends, np.diff(np.r_[0, ends]))
-    where = np.arange(n)
+    index = np.int32 if n < 1 << 30 else np.int64
+    end = np.repeat(ends.astype(index), np.diff(np.r_[0, ends]))
+    where = np.arange(n, dtype=index)
     step = np.zeros(n, np.int8)
     step[:-1] = np.sign(data[1:].astype(np.int16) - data[:-1])
     step[ends - 1] = 1
-    turn = np.minimum.accumulate(np.where(step != 0, where, n)[::-1])[::-1]  # where the first step is
+    turn = np.minimum.accumulate(np.where(step != 0, where, index(n))[::-1])[::-1]  # where the first step is
     rising = step[turn] > 0
-    base = np.minimum.accumulate(np.where(rising, where, n)[::-1])[::-1]  # the suffix from which this one is induced
+    base = np.minimum.accumulate(np.where(rising, where, index(n))[::-1])[::-1]  # the suffix from which this one is induced
     is_start = end - where >= length
     direct = rising | (is_start & (turn[base] + 1 >= where + length))
     need = is_start.copy()
@@ -326,7 +341,7 @@ def sort_starts(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tup
     firsts = firsts[np.lexsort(keys[::-1])]
 
     # Stage two: scan the buckets of first bytes in order; a suffix stands where its successor's rank puts it.
-    rank = np.zeros(n + 1, np.int64)
+    rank = np.zeros(n + 1, index)
     induced = np.flatnonzero(need & ~direct)
     induced = induced[np.lexsort((turn[induced] - induced, data[induced]))]  # by first byte, then by how often it repeats
     repeats = turn[induced] - induced
@@ -356,30 +371,55 @@ def sort_starts(data: np.ndarray, ends: np.ndarray, length: int = LENGTH) -> tup
     return suffixes, np.cumsum(np.r_[0, ~same]) if len(suffixes) else np.zeros(0, np.int64)
 
 
+class Message:
+    """The contexts of one block and bucket, by part."""
+
+    def __init__(self, block: int, n: int, payload: bytes) -> None:
+        self.block, self.n, self.raw = block, n, expand(payload)
+        self.parts = np.cumsum(np.r_[0, np.frombuffer(self.raw, "<i4", PARTS)])
+        self.sizes = np.frombuffer(self.raw, "<i4", n, 4 * PARTS)
+        self.low = np.frombuffer(self.raw, "<i8", n, 4 * PARTS + 4 * n)
+        self.ends = 4 * PARTS + 12 * n + np.cumsum(self.sizes, dtype=np.int64)
+        self.owners: list[bytes] = []
+
+    def texts(self, part: int) -> Iterator[bytes]:
+        a, b = self.parts[part:part + 2].tolist()
+        for end, size in zip(self.ends[a:b].tolist(), self.sizes[a:b].tolist(), strict=True):
+            yield self.raw[end - size:end]
+
+
+def _part_owners(messages: list[Message], part: int) -> None:
+    """Gives each message, for every string of its contexts of this part, the smallest document that has it."""
+    known: dict[bytes, int] = {}
+    place = known.setdefault
+    of_row = [np.fromiter((place(t, len(known)) for t in m.texts(part)), np.int64) for m in messages]
+    if not known:
+        return
+    low = np.concatenate([m.low[m.parts[part]:m.parts[part + 1]] for m in messages])
+    smallest = np.full(len(known), np.iinfo(np.int64).max)
+    np.minimum.at(smallest, np.concatenate(of_row), low)
+    sizes = np.fromiter(map(len, known), np.int64, len(known))
+    ends = np.cumsum(sizes)
+    data = np.frombuffer(b"".join(known), np.uint8)
+    known.clear()
+    suffixes, classes = sort_starts(data, ends)
+    text = np.searchsorted(ends, suffixes, side="right")
+    head = np.flatnonzero(np.r_[True, np.diff(classes) != 0])
+    owner = np.zeros(int(ends[-1]), np.int64)
+    owner[suffixes] = np.repeat(np.minimum.reduceat(smallest[text], head), np.diff(np.r_[head, len(classes)]))
+    for m, own in zip(messages, of_row, strict=True):
+        m.owners.append(owner[spans((ends - sizes)[own], sizes[own] - LENGTH + 1)].tobytes())
+
+
 def _owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """To each block: for every string of its contexts of this bucket the smallest document that has it."""
     for bucket, rows in _grouped(batches, "kind"):
-        known: dict[bytes, int] = {}
-        place = known.setdefault
-        of_row, low = [], []
-        for _, _, n, payload in rows:
-            raw = expand(payload)
-            sizes = np.frombuffer(raw, "<i4", n)
-            at = 12 * n + np.cumsum(sizes, dtype=np.int64)
-            of_row.append(np.fromiter((place(raw[b - s:b], len(known)) for b, s in zip(at.tolist(), sizes.tolist(), strict=True)), np.int64, n))
-            low.append(np.frombuffer(raw, "<i8", n, 4 * n))
-        texts = list(known)
-        smallest = np.full(len(texts), np.iinfo(np.int64).max)
-        np.minimum.at(smallest, np.concatenate(of_row), np.concatenate(low))
-        sizes = np.array([len(t) for t in texts], np.int64)
-        ends = np.cumsum(sizes)
-        suffixes, classes = sort_starts(np.frombuffer(b"".join(texts), np.uint8), ends)
-        text = np.searchsorted(ends, suffixes, side="right")
-        head = np.flatnonzero(np.r_[True, np.diff(classes) != 0])
-        owner = np.zeros(int(ends[-1]), np.int64)
-        owner[suffixes] = np.repeat(np.minimum.reduceat(smallest[text], head), np.diff(np.r_[head, len(classes)]))
-        for (block, _, n, _), own in zip(rows, of_row, strict=True):
-            yield _message([(block, bucket, n, squeeze(owner[spans((ends - sizes)[own], sizes[own] - LENGTH + 1)].tobytes()))])
+        messages = [Message(block, n, payload) for block, _, n, payload in rows]
+        rows.clear()
+        for part in range(PARTS):
+            _part_owners(messages, part)
+        for m in messages:
+            yield _message([(m.block, bucket, m.n, squeeze(b"".join(m.owners)))])
 
 
 # Pass 3: what is left of each document.
@@ -388,21 +428,22 @@ def covered(block: Block, own: Contexts, replies: dict[int, bytes], buckets: int
     """Whether each byte of the block goes."""
     begin = np.zeros(len(own.texts), np.int64)
     parts, held = [], 0
-    for b, at in _by_bucket(own.anchor, buckets):
-        parts.append(np.frombuffer(expand(replies[b]), np.int64))
+    for b, at, _ in _by_part(own.anchor, buckets):
+        parts.append(np.frombuffer(expand(replies.pop(b)), np.int64))
         ends = np.cumsum(own.starts[at])
         begin[at] = held + ends - own.starts[at]
         held += len(parts[-1])
     owner = np.concatenate(parts) if parts else np.zeros(0, np.int64)
-    depth = np.zeros(len(block.bytes) + 1, np.int64)
-    for at in range(0, len(own.first), 1 << 18):
-        size = own.size[at:at + (1 << 18)]
-        start = spans(own.first[at:at + (1 << 18)], size)
-        mine = np.repeat(block.ids[own.doc[at:at + (1 << 18)]], size)
-        gone = start[owner[spans(begin[own.context[at:at + (1 << 18)]], size)] < mine]
+    del parts
+    depth = np.zeros(len(block.bytes) + 1, np.int32)
+    for at in range(0, len(own.first), RUNS):
+        size = own.size[at:at + RUNS]
+        start = spans(own.first[at:at + RUNS], size)
+        mine = np.repeat(block.ids[own.doc[at:at + RUNS]], size)
+        gone = start[owner[spans(begin[own.context[at:at + RUNS]], size)] < mine]
         np.add.at(depth, gone, 1)
         np.add.at(depth, gone + LENGTH, -1)
-    return np.cumsum(depth[:-1]) > 0
+    return np.cumsum(depth[:-1], dtype=np.int32) > 0
 
 
 def _finish(anchor_buckets: int, buckets: int):
@@ -434,7 +475,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     total, n_blocks = blocks.agg(F.sum("size"), F.count(F.lit(1))).first()
     total = total or 0
     anchor_buckets, buckets = max(1, total // ANCHOR_BUCKET), max(1, total // CONTEXT_BUCKET)
-    n = max(1, min(n_blocks, 10_000))
+    n = max(1, -(-n_blocks // TASK_BLOCKS))
     anchors = _met(blocks.mapInArrow(_anchors(anchor_buckets), MSG), "kind", anchor_buckets).mapInArrow(_shared, MSG)
     shared = materialize(anchors, "suffix-anchors")
     sent = _met(blocks.unionByName(shared), "block", n).mapInArrow(_contexts(anchor_buckets, buckets), MSG)
