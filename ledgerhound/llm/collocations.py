@@ -41,8 +41,6 @@ END = 0
 BATCH_BYTES = 16 << 20
 #: Parts of the edges of one first word, and of a language's phrases before the last ranking.
 SALTS = 32
-#: So many hashes of wanted words (8 bytes each) are sent to the naming tasks, which then name only these; beyond that, they name all.
-NAMED = 1 << 20
 SPLIT = np.zeros(256, bool)
 SPLIT[[*b".,;:!?", 10, 11, 12, 13]] = True
 WORD = ~SPLIT
@@ -249,22 +247,19 @@ def _unlike(words: Words, same: np.ndarray, other: np.ndarray) -> np.ndarray:
     return same[~like]
 
 
-def _names(seed: int, wanted):
-    """The words behind the hashes, each once for a batch (all of them if ``wanted`` is None), and the number of words of each language."""
+def _names(seed: int):
+    """The words behind the hashes, each once for a batch, and the number of words of each language."""
     schema = pa.schema([("h", pa.int64()), ("lang", pa.string()), ("word", pa.string()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only = None if wanted is None else np.sort(np.frombuffer(wanted.value, np.int64).view(U64))
         for batch in batches:
             for part in slices(batch, "text", BATCH_BYTES):
-                yield named(Words(part, seed), only)
+                yield named(Words(part, seed))
             pa.default_memory_pool().release_unused()
 
-    def named(words: Words, only: np.ndarray | None) -> pa.RecordBatch:
-        known, at, place = np.unique(words.hash, return_index=True, return_inverse=True)
-        ok = np.ones(len(known), bool) if only is None else np.isin(known, only)
-        same = np.flatnonzero(ok[place])
-        at = np.r_[at[ok], _unlike(words, same, at[place[same]])]
+    def named(words: Words) -> pa.RecordBatch:
+        _, at, place = np.unique(words.hash, return_index=True, return_inverse=True)
+        at = np.r_[at, _unlike(words, np.arange(len(place)), at[place])]
         raw = words.data
         total = np.bincount(words.lang, minlength=len(words.names))
         rows = len(words.names)
@@ -277,15 +272,22 @@ def _names(seed: int, wanted):
 
 def names(docs: DataFrame, flow: DataFrame, seed: int) -> DataFrame:
     """(h, lang, word, n): the words of heavy nodes, several for one hash if they share it; with hash END: the number of words of each language."""
-    spark = docs.sparkSession
     nodes = flow.filter("kind = 2")
-    wanted = materialize(nodes.select("a").unionByName(nodes.select(F.col("b").alias("a"))).distinct(), "phrase-words")
-    few = wanted.count() <= NAMED
-    shared = spark.sparkContext.broadcast(b"".join(r.a.to_bytes(8, "little", signed=True) for r in wanted.toLocalIterator())) if few else None
-    rows = _texts(docs).mapInArrow(_names(seed, shared), "h long, lang string, word string, n long").groupBy("h", "lang", "word").agg(F.sum("n").alias("n"))
-    if not few:
-        rows = rows.filter(F.col("h") == END).unionByName(rows.join(wanted.select(F.col("a").alias("h")), "h", "left_semi"))
-    return materialize(rows, "phrase-names")
+    ends = docs.sparkSession.createDataFrame([(END,)], "a long")
+    wanted = nodes.select("a").unionByName(nodes.select(F.col("b").alias("a"))).unionByName(ends).distinct().select(F.col("a").alias("h"))
+    rows = _texts(docs).mapInArrow(_names(seed), "h long, lang string, word string, n long").repartition("h")
+    return materialize(rows.groupBy("h", "lang", "word").agg(F.sum("n").alias("n")).join(wanted, "h", "left_semi"), "phrase-names")
+
+
+def _best(found: DataFrame, top: int) -> DataFrame:
+    """``found`` with the column rank: the best ``top`` rows of each language. Parts of a language are ranked first, then groups of these,
+    so the last task of a language gets a fixed number of rows at most."""
+    order = [F.desc("score"), F.desc("a"), F.asc("phrase")]
+    ranked = found.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)).cast("int"))
+    for parts in (SALTS, 4, 1):
+        ranked = ranked.withColumn("part", F.col("part") % parts)
+        ranked = ranked.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("rank") <= top)
+    return ranked.drop("part")
 
 
 def collocations(docs: DataFrame, least: int = MIN_COUNT, percent: int = PERCENT, top: int = TOP) -> DataFrame:
@@ -302,10 +304,7 @@ def collocations(docs: DataFrame, least: int = MIN_COUNT, percent: int = PERCENT
     name = lambda x: words.select(F.col("h").alias(x), F.col("word").alias(f"word_{x}"))
     found = phrases(flow, percent).join(words.select(F.col("h").alias("x"), "lang", F.col("word").alias("word_x")), "x").join(name("y"), "y").join(name("z"), "z", "left")
     found = found.select("lang", F.concat_ws(" ", "word_x", "word_y", "word_z").alias("phrase"), "a", "l", "r", "score")
-    best = [F.desc("score"), F.desc("a"), F.asc("phrase")]
-    salt = F.pmod(F.xxhash64("phrase"), F.lit(SALTS))
-    parts = found.withColumn("part", salt).withColumn("rank", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*best))).filter(F.col("rank") <= top)
-    ranked = parts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*best))).filter(F.col("rank") <= top)
+    ranked = _best(found, top)
     sizes = named.filter(F.col("h") == END).select("lang", "n")
     return ranked.join(sizes, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
@@ -315,22 +314,24 @@ WITH p AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
   FROM documents),
-w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
-g AS (SELECT lang, ws[i] AS x, ws[i + 1] AS y, ws[i + 2] AS z FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0)),
-f1 AS (SELECT lang, x, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
-f2 AS (SELECT lang, x, y, count(*)::HUGEINT AS f FROM g WHERE y IS NOT NULL GROUP BY ALL),
-f3 AS (SELECT lang, x, y, z, count(*)::HUGEINT AS f FROM g WHERE z IS NOT NULL GROUP BY ALL),
-longer AS (SELECT lang, x, y, f FROM f3 WHERE f >= 10 UNION ALL SELECT lang, y, z, f FROM f3 WHERE f >= 10),
+w AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+g AS MATERIALIZED (SELECT lang, ws[i] AS x, ws[i + 1] AS y, ws[i + 2] AS z FROM (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w WHERE len(ws) > 0)),
+f1 AS MATERIALIZED (SELECT lang, x, count(*)::HUGEINT AS f FROM g GROUP BY ALL),
+f2 AS MATERIALIZED (SELECT lang, x, y, count(*)::HUGEINT AS f FROM g WHERE y IS NOT NULL GROUP BY ALL),
+f3 AS MATERIALIZED (SELECT lang, x, y, z, count(*)::HUGEINT AS f FROM g WHERE z IS NOT NULL GROUP BY ALL),
+h3 AS MATERIALIZED (SELECT * FROM f3 WHERE f >= 10),
+longer AS (SELECT lang, x, y, max(f) AS most FROM (SELECT lang, x, y, f FROM f3 WHERE f >= 10 UNION ALL SELECT lang, y, z, f FROM f3 WHERE f >= 10) GROUP BY lang, x, y),
 two AS (
   SELECT f2.lang, f2.x || ' ' || f2.y AS phrase, f2.f AS a, l.f AS l, r.f AS r, (1000000::HUGEINT * f2.f * f2.f) // (l.f * r.f) AS score
-  FROM f2 JOIN f1 l ON l.lang = f2.lang AND l.x = f2.x JOIN f1 r ON r.lang = f2.lang AND r.x = f2.y
-  WHERE f2.f >= 10 AND NOT EXISTS (SELECT 1 FROM longer o WHERE o.lang = f2.lang AND o.x = f2.x AND o.y = f2.y AND 100 * o.f >= 50 * f2.f)),
+  FROM (SELECT * FROM f2 WHERE f >= 10) f2 LEFT JOIN f1 l ON l.lang = f2.lang AND l.x = f2.x LEFT JOIN f1 r ON r.lang = f2.lang AND r.x = f2.y
+  LEFT JOIN longer o ON o.lang = f2.lang AND o.x = f2.x AND o.y = f2.y
+  WHERE 100 * coalesce(o.most, 0) < 50 * f2.f),
 cuts AS (
   SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z AS phrase, f3.f AS a, 1 AS k, l.f AS l, r.f AS r, (1000000::HUGEINT * f3.f * f3.f) // (l.f * r.f) AS score
-  FROM f3 JOIN f1 l ON l.lang = f3.lang AND l.x = f3.x JOIN f2 r ON r.lang = f3.lang AND r.x = f3.y AND r.y = f3.z WHERE f3.f >= 10
+  FROM h3 f3 LEFT JOIN f1 l ON l.lang = f3.lang AND l.x = f3.x LEFT JOIN f2 r ON r.lang = f3.lang AND r.x = f3.y AND r.y = f3.z
   UNION ALL
   SELECT f3.lang, f3.x || ' ' || f3.y || ' ' || f3.z, f3.f, 2, l.f, r.f, (1000000::HUGEINT * f3.f * f3.f) // (l.f * r.f)
-  FROM f3 JOIN f2 l ON l.lang = f3.lang AND l.x = f3.x AND l.y = f3.y JOIN f1 r ON r.lang = f3.lang AND r.x = f3.z WHERE f3.f >= 10),
+  FROM h3 f3 LEFT JOIN f2 l ON l.lang = f3.lang AND l.x = f3.x AND l.y = f3.y LEFT JOIN f1 r ON r.lang = f3.lang AND r.x = f3.z),
 three AS (SELECT lang, phrase, a, l, r, score FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM (SELECT * FROM two UNION ALL SELECT * FROM three)),
 sizes AS (SELECT lang, count(*) AS n FROM g GROUP BY lang)
