@@ -176,7 +176,8 @@ def links(fps: DataFrame, bits: int = MAX_BITS, block: int = BLOCK) -> DataFrame
     """(a, b): edges that connect exactly the distinct fingerprints joined by chains of links."""
     if not 0 <= bits <= 5:
         raise ValueError("the two halves with radius 1 + 1 find every pair of up to 5 differing bits")
-    cells = fps.mapInArrow(_cells, "cell long, fp long")
+    # Dealt out first: distinct fingerprints are small rows, but each of them becomes up to 66 cells.
+    cells = fps.repartition(width(fps.sparkSession)).mapInArrow(_cells, "cell long, fp long")
     large = (cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
              .select(F.col("cell").alias("large_cell"), F.ceil(F.col("n") / block).cast("int").alias("blocks")))
     # Few cells are large; both plans of this join (hash or sorted, chosen by measured size) split a hot cell.
