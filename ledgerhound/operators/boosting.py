@@ -6,8 +6,10 @@ rows by (leaf, input, bin): one aggregate over the blocks, combined in the parti
 a split is summed; its sibling is the parent less it. Splits of a leaf don't depend on the order, so one aggregate serves every leaf that the
 search could reach with what it knows so far, and a tree takes about as many aggregates as it has levels.
 
-The driver holds the model and the histograms of one tree (bounded by leaves, inputs and bins), never rows. This is the one place that works on
-an RDD: each step is a small sum over cached arrays, thousands of times, where planning a query would cost more than the sum.
+Histograms are added up and stay in the executors, dealt by groups of inputs; the driver gets each leaf's best split of every group, a few numbers,
+and holds the model, never rows or histograms. Rows that fill no more than one partition need no exchange between partitions: one task
+grows all trees over them. This is the one place that works on an RDD: each step is a small sum over cached arrays, thousands of
+times, where planning a query would cost more than the sum.
 """
 
 from __future__ import annotations
@@ -27,7 +29,8 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 16_384
 PARTITION_ROWS = 65_536
 BINS = 255
-FEW_PARTITIONS = 8
+#: Inputs whose histograms one task adds up.
+GROUP_INPUTS = 16
 #: A child needs this much Hessian.
 LEAST_HESSIAN = 1e-3
 #: Trees between two checkpoints of the blocks.
@@ -116,21 +119,21 @@ def _blocks(edges: list[np.ndarray], base: float, label: str):
 
 @dataclass
 class Node:
-    """A node of a growing tree: its histogram and the best split of its rows."""
-    hist: np.ndarray
+    """A node of a growing tree: its sums of gradients, Hessians and rows, and the best split of its rows (``below``: rows that go left)."""
     total: np.ndarray
     input: int = -1
     bin: int = -1
     gain: float = 0.0
+    below: float = 0.0
     left: int = -1
     right: int = -1
 
 
-class Grower:
-    """Grows one tree after the other over blocks (bins, label, weight, margin)."""
+class Slots:
+    """The histogram slots of consecutive inputs, one for each bin: histograms are arrays (3, slot) of gradients, Hessians and rows."""
 
-    def __init__(self, edges: list[np.ndarray], num_leaves: int, least_rows: int) -> None:
-        self.edges, self.num_leaves, self.least_rows = edges, num_leaves, least_rows
+    def __init__(self, edges: list[np.ndarray], least_rows: int, start: int = 0) -> None:
+        self.least_rows, self.start, self.end = least_rows, start, start + len(edges)
         self.sizes = np.array([len(e) for e in edges])
         self.first = np.cumsum(self.sizes) - self.sizes
         self.width = int(self.sizes.sum())
@@ -139,7 +142,7 @@ class Grower:
         self.is_last[self.first + self.sizes - 1] = True
 
     def best(self, hist: np.ndarray) -> Node:
-        """The node of a histogram (3, slot), with its best split if one gains: gradients, Hessians, rows."""
+        """The node of a histogram, with its best split if one gains."""
         sums = np.cumsum(hist, axis=1)
         total = sums[:, self.sizes[0] - 1].copy()
         start = np.where(self.first > 0, sums[:, self.first - 1], 0.0)  # before each input's first bin
@@ -149,19 +152,114 @@ class Grower:
         g, h = sums[0, ok] - start[0, owner], sums[1, ok] - start[1, owner]
         over_g, over_h = total[0] - g, total[1] - h
         enough = np.minimum(h, over_h) >= LEAST_HESSIAN
-        node = Node(hist, total)
+        node = Node(total)
         if enough.any():
             ok, g, h, over_g, over_h = (x[enough] for x in (ok, g, h, over_g, over_h))
             gain = g * g / h + over_g * over_g / over_h - total[0] ** 2 / total[1]
             at = int(np.argmax(gain))
             if gain[at] > 1e-12:
                 f = int(self.input_of[ok[at]])
-                node.input, node.bin, node.gain = f, int(ok[at] - self.first[f]), float(gain[at])
+                node.input, node.bin, node.gain, node.below = self.start + f, int(ok[at] - self.first[f]), float(gain[at]), float(rows[ok[at]])
         return node
 
-    def below_rows(self, node: Node) -> float:
-        a = int(self.first[node.input])
-        return float(node.hist[2, a:a + node.bin + 1].sum())
+    def add(self, out: np.ndarray, bins: np.ndarray, where: np.ndarray, g: np.ndarray, h: np.ndarray) -> None:
+        """Adds rows, each to the histogram ``where`` of ``out`` (3, histograms one after the other)."""
+        at = (bins[:, self.start:self.end] + (self.first + (where * self.width)[:, None])).ravel()
+        times = self.end - self.start
+        out[0] += np.bincount(at, np.repeat(g, times), out.shape[1])
+        out[1] += np.bincount(at, np.repeat(h, times), out.shape[1])
+        out[2] += np.bincount(at, minlength=out.shape[1])
+
+
+def summed(blocks: Iterator, groups: list[Slots], walk: tuple | None, slot: np.ndarray, n: int) -> list[np.ndarray]:
+    """For each group of inputs the ``n`` histograms (histogram, 3, slot) of some blocks' rows; ``slot``: the histogram of each leaf, or -1."""
+    out = [np.zeros((3, n * s.width)) for s in groups]
+    for bins, y, w, margin in blocks:
+        where = slot[leaf_of(bins, *walk)] if walk else np.zeros(len(y), np.int64)
+        rows = np.flatnonzero(where >= 0)
+        p = 1 / (1 + np.exp(-margin[rows]))
+        g, h = w[rows] * (p - y[rows]), w[rows] * p * (1 - p)
+        for s, o in zip(groups, out, strict=True):
+            s.add(o, bins[rows], where[rows], g, h)
+    return [np.ascontiguousarray(o.reshape(3, n, s.width).transpose(1, 0, 2)) for s, o in zip(groups, out, strict=True)]
+
+
+class OwnHistograms:
+    """The histograms of a tree's leaves over the blocks of one partition."""
+
+    def __init__(self, edges: list[np.ndarray], least_rows: int, blocks: list[tuple[np.ndarray, ...]]) -> None:
+        self.slots, self.blocks, self.kept = Slots(edges, least_rows), blocks, {}
+
+    def root(self) -> Node:
+        self.kept = {0: summed(self.blocks, [self.slots], None, np.zeros(1, np.int64), 1)[0][0]}
+        return self.slots.best(self.kept[0])
+
+    def split(self, walk: tuple, slot: np.ndarray, families: list[tuple[int, int, int]]) -> dict[int, Node]:
+        sums = summed(self.blocks, [self.slots], walk, slot, len(families))[0]
+        return {k: self.slots.best(h) for k, h in children(self.kept, sums, families)}
+
+
+def children(kept: dict[int, np.ndarray], sums: np.ndarray, families: list[tuple[int, int, int]]) -> Iterator[tuple[int, np.ndarray]]:
+    """(node, histogram) of both children in each (parent, summed child, other child); ``kept`` gets them and loses the parents."""
+    for (parent, child, other), hist in zip(families, sums, strict=True):
+        kept[child], kept[other] = hist, kept.pop(parent) - hist
+        yield from ((child, hist), (other, kept[other]))
+
+
+class SpreadHistograms:
+    """The histograms of a tree's leaves over the blocks of many partitions, kept in the executors by groups of inputs."""
+
+    def __init__(self, edges: list[np.ndarray], least_rows: int) -> None:
+        self.groups = [Slots(edges[k:k + GROUP_INPUTS], least_rows, k) for k in range(0, len(edges), GROUP_INPUTS)]
+        self.blocks, self.kept = None, []
+
+    def over(self, blocks: RDD) -> SpreadHistograms:
+        self.clear()
+        self.blocks = blocks
+        return self
+
+    def clear(self) -> None:
+        for rdd in self.kept:
+            rdd.unpersist()
+        self.kept = []
+
+    def _sums(self, walk: tuple | None, slot: np.ndarray, n: int) -> RDD:
+        """One (group, histograms) in each partition."""
+        groups = self.groups
+        return self.blocks.mapPartitions(lambda own: enumerate(summed(own, groups, walk, slot, n))) \
+            .reduceByKey(np.add, len(groups), lambda k: k)
+
+    def _best(self, found: RDD) -> dict[int, Node]:
+        """Of each node the best split of all groups, on a tie of the first one. ``found``: (group, all histograms, those of new nodes)."""
+        groups = self.groups
+        self.kept.append(found.persist(StorageLevel.MEMORY_AND_DISK))
+        splits = self.kept[-1].map(lambda x: (x[0], [(k, groups[x[0]].best(x[1][k])) for k in x[2]])).collect()
+        out: dict[int, Node] = {}
+        for _, nodes in sorted(splits, key=lambda x: x[0]):
+            for k, node in nodes:
+                if k not in out:
+                    out[k] = node
+                elif node.gain > out[k].gain:
+                    node.total = out[k].total
+                    out[k] = node
+        return out
+
+    def root(self) -> Node:
+        return self._best(self._sums(None, np.zeros(1, np.int64), 1).map(lambda x: (x[0], {0: x[1][0]}, [0])))[0]
+
+    def split(self, walk: tuple, slot: np.ndarray, families: list[tuple[int, int, int]]) -> dict[int, Node]:
+        def step(pair: tuple) -> tuple:
+            (group, kept, _), (_, sums) = pair
+            kept = dict(kept)
+            return group, kept, [k for k, _ in children(kept, sums, families)]
+        return self._best(self.kept[-1].zip(self._sums(walk, slot, len(families))).map(step))
+
+
+class Grower:
+    """Grows one tree after the other over histograms."""
+
+    def __init__(self, edges: list[np.ndarray], num_leaves: int) -> None:
+        self.edges, self.num_leaves = edges, num_leaves
 
     def search(self, nodes: list[Node]) -> tuple[list[int], list[int]]:
         """(nodes that best-first growth splits, those of them whose children aren't known yet)."""
@@ -178,27 +276,25 @@ class Grower:
                         heapq.heappush(heap, (-nodes[c].gain, c))
         return chosen, open_
 
-    def grow(self, blocks: RDD, rate: float) -> tuple[Tree, tuple[np.ndarray, ...]] | None:
+    def grow(self, histograms: OwnHistograms | SpreadHistograms, rate: float) -> tuple[Tree, tuple[np.ndarray, ...]] | None:
         """A tree, and its form over bins; None if no split gains."""
-        nodes = [self.best(self._sum(blocks, None, np.zeros(1, np.int64), 1)[0])]
+        nodes = [histograms.root()]
         while True:
             chosen, open_ = self.search(nodes)
             if not chosen:
                 return None
             if not open_:
                 break
-            smaller = []
+            families = []
             for k in open_:
                 node = nodes[k]
                 node.left, node.right = len(nodes), len(nodes) + 1
-                nodes += [Node(node.hist, node.total), Node(node.hist, node.total)]
-                smaller.append(node.left if 2 * self.below_rows(node) <= node.total[2] else node.right)
+                nodes += [Node(node.total), Node(node.total)]
+                families.append((k, node.left, node.right) if 2 * node.below <= node.total[2] else (k, node.right, node.left))
             slot = np.full(len(nodes), -1)
-            slot[smaller] = np.arange(len(smaller))
-            sums = self._sum(blocks, self._walk(nodes, range(len(nodes))), slot, len(smaller))
-            for k, c, hist in zip(open_, smaller, sums, strict=True):
-                other = nodes[k].left + nodes[k].right - c
-                nodes[c], nodes[other] = self.best(hist), self.best(nodes[k].hist - hist)
+            slot[[c for _, c, _ in families]] = np.arange(len(families))
+            for k, node in histograms.split(self._walk(nodes, range(len(nodes))), slot, families).items():
+                nodes[k] = node
         order = self._order(nodes, set(chosen))
         place = {k: i for i, k in enumerate(order)}
         inner = np.array([k in set(chosen) for k in order])
@@ -222,27 +318,6 @@ class Grower:
     def _walk(nodes: list[Node], which) -> tuple[np.ndarray, ...]:
         return tuple(np.array([getattr(nodes[k], c) for k in which]) for c in ("input", "bin", "left", "right"))
 
-    def _sum(self, blocks: RDD, walk: tuple | None, slot: np.ndarray, n: int) -> np.ndarray:
-        first, width = self.first, self.width
-
-        def part(own: Iterator) -> Iterator[np.ndarray]:
-            out = np.zeros((3, n * width))
-            for bins, y, w, margin in own:
-                where = slot[leaf_of(bins, *walk)] if walk else np.zeros(len(y), np.int64)
-                rows = np.flatnonzero(where >= 0)
-                p = 1 / (1 + np.exp(-margin[rows]))
-                g, h = w[rows] * (p - y[rows]), w[rows] * p * (1 - p)
-                at = (bins[rows] + (first + (where[rows] * width)[:, None])).ravel()
-                times = bins.shape[1]
-                out[0] += np.bincount(at, np.repeat(g, times), n * width)
-                out[1] += np.bincount(at, np.repeat(h, times), n * width)
-                out[2] += np.bincount(at, minlength=n * width)
-            yield out
-        sums = blocks.mapPartitions(part)
-        # A few partitions' sums come at once; those of many meet in between.
-        total = sum(sums.collect()) if blocks.getNumPartitions() <= FEW_PARTITIONS else sums.treeReduce(np.add)
-        return np.ascontiguousarray(total.reshape(3, n, width).transpose(1, 0, 2))
-
 
 def leaf_of(bins: np.ndarray, inputs: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The leaf of each row of bins."""
@@ -263,25 +338,47 @@ def fit(train: DataFrame, label: str, n_trees: int, rate: float, num_leaves: int
         return BoostedTrees(float(np.log(max(positive, 1e-9) / max(total - positive, 1e-9))) if total else 0.0)
     model = BoostedTrees(float(np.log(positive / (total - positive))))
     edges = bin_edges(train, n_inputs, bins)
-    grower = Grower(edges, num_leaves, least_rows)
+    grower = Grower(edges, num_leaves)
     dealt = sizes.repartition(max(1, -(-row[3] // PARTITION_ROWS)))  # a round is one task a partition, so not more than the rows need
-    blocks = dealt.rdd.mapPartitions(_blocks(edges, model.base, label)).persist(StorageLevel.MEMORY_AND_DISK)
-    old = None
+    blocks = dealt.rdd.mapPartitions(_blocks(edges, model.base, label))
+    model.trees += _grown_in_one(blocks, grower, n_trees, rate, least_rows) if row[3] <= PARTITION_ROWS \
+        else _grown_spread(blocks, grower, n_trees, rate, least_rows)
+    return model
+
+
+def _grown_in_one(blocks: RDD, grower: Grower, n_trees: int, rate: float, least_rows: int) -> list[Tree]:
+    """Trees over the rows of one partition, grown by its task."""
+    def run(own: Iterator) -> Iterator[Tree]:
+        histograms = OwnHistograms(grower.edges, least_rows, list(own))
+        for _ in range(n_trees):
+            grown = grower.grow(histograms, rate)
+            if grown is None:
+                return
+            yield grown[0]
+            histograms.blocks = [_updated(grown[1])(b) for b in histograms.blocks]
+    return blocks.mapPartitions(run).collect()
+
+
+def _grown_spread(blocks: RDD, grower: Grower, n_trees: int, rate: float, least_rows: int) -> list[Tree]:
+    """Trees over the rows of many partitions, each grown in rounds."""
+    out, old, blocks = [], None, blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    histograms = SpreadHistograms(grower.edges, least_rows)
     for k in range(n_trees):
         if k and k % CHECKPOINT_TREES == 0:
             blocks.checkpoint()
-        grown = grower.grow(blocks, rate)  # its first sum also brings the margins up to date
+        grown = grower.grow(histograms.over(blocks), rate)  # its first sum also brings the margins up to date
         if old is not None:
             old.unpersist()
         if grown is None:
             break
         tree, binned = grown
-        model.trees.append(tree)
+        out.append(tree)
         old, blocks = blocks, blocks.map(_updated(binned)).persist(StorageLevel.MEMORY_AND_DISK)
+    histograms.clear()
     for rdd in (old, blocks):
         if rdd is not None:
             rdd.unpersist()
-    return model
+    return out
 
 
 def _updated(binned: tuple[np.ndarray, ...]):

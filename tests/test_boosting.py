@@ -103,3 +103,34 @@ def test_shapley_values_equal_all_subsets(spark):
         want, base = enumerated(model, row, 5)
         assert np.allclose(have, want, atol=1e-9) and abs(base + model.base - bo.expected_margin(model)) < 1e-9
     assert np.allclose(got.sum(1) + bo.expected_margin(model), model.margin(x[:25]))
+
+
+@pytest.mark.parametrize("group, leaves, least", [(3, 6, 20), (1, 31, 5), (16, 2, 40)])
+def test_growth_over_many_partitions_equals_trying_every_split_and_sends_no_histogram_to_the_driver(spark, monkeypatch, group, leaves, least):
+    monkeypatch.setattr(bo, "CHECKPOINT_TREES", 2)
+    monkeypatch.setattr(bo, "PARTITION_ROWS", 90)
+    monkeypatch.setattr(bo, "GROUP_INPUTS", group)
+    sent = []
+    collect = bo.RDD.collect
+
+    def counted(rdd):
+        out = collect(rdd)
+        sent.extend(a.size for _, nodes in out for _, node in nodes for a in vars(node).values() if isinstance(a, np.ndarray))
+        return out
+    monkeypatch.setattr(bo.RDD, "collect", counted)
+    x, y, w = data()
+    df = spark.createDataFrame([(Vectors.dense(a), float(b), float(c)) for a, b, c in zip(x, y, w, strict=True)], ["features", "y", "w"])
+    model = bo.fit(df, "y", 3, 0.3, leaves, least)
+    margin, gains = brute(x, y, w, 3, 0.3, leaves, least)
+    assert np.allclose(model.margin(x), margin, atol=1e-9)
+    assert np.allclose(sorted(g for t in model.trees for g in t.gain[t.left >= 0]), sorted(gains), atol=1e-6)
+    assert sent and max(sent) == 3
+
+
+def test_rows_of_one_partition_grow_their_trees_in_one_job(spark, monkeypatch):
+    x, y, w = data()
+    df = spark.createDataFrame([(Vectors.dense(a), float(b), float(c)) for a, b, c in zip(x, y, w, strict=True)], ["features", "y", "w"])
+    jobs = []
+    collect = bo.RDD.collect
+    monkeypatch.setattr(bo.RDD, "collect", lambda rdd: jobs.append(rdd) or collect(rdd))
+    assert len(bo.fit(df, "y", 12, 0.3, 6, 20).trees) == 12 and len(jobs) == 1
