@@ -7,8 +7,8 @@ a split is summed; its sibling is the parent less it. Splits of a leaf don't dep
 search could reach with what it knows so far, and a tree takes about as many aggregates as it has levels.
 
 Histograms are added up and stay in the executors, dealt by groups of inputs; the driver gets each leaf's best split of every group, a few numbers,
-and holds the model, never rows or histograms. Rows that fill no more than one partition need no exchange between partitions: one task
-grows all trees over them. This is the one place that works on an RDD: each step is a small sum over cached arrays, thousands of
+and holds the model, never rows or histograms. Up to ``ONE_TASK_ROWS`` there is one partition, and nothing to exchange: its task
+grows all trees. This is the one place that works on an RDD: each step is a small sum over cached arrays, thousands of
 times, where planning a query would cost more than the sum.
 """
 
@@ -29,6 +29,8 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 16_384
 PARTITION_ROWS = 65_536
 BINS = 255
+#: Rows up to which one task grows all trees: exchanging histograms costs more than their sums there.
+ONE_TASK_ROWS = 262_144
 #: Inputs whose histograms one task adds up.
 GROUP_INPUTS = 16
 #: A child needs this much Hessian.
@@ -339,9 +341,10 @@ def fit(train: DataFrame, label: str, n_trees: int, rate: float, num_leaves: int
     model = BoostedTrees(float(np.log(positive / (total - positive))))
     edges = bin_edges(train, n_inputs, bins)
     grower = Grower(edges, num_leaves)
-    dealt = sizes.repartition(max(1, -(-row[3] // PARTITION_ROWS)))  # a round is one task a partition, so not more than the rows need
+    one = row[3] <= ONE_TASK_ROWS
+    dealt = sizes.repartition(1 if one else -(-row[3] // PARTITION_ROWS))  # a round is one task a partition, so not more than the rows need
     blocks = dealt.rdd.mapPartitions(_blocks(edges, model.base, label))
-    model.trees += _grown_in_one(blocks, grower, n_trees, rate, least_rows) if row[3] <= PARTITION_ROWS \
+    model.trees += _grown_in_one(blocks, grower, n_trees, rate, least_rows) if one \
         else _grown_spread(blocks, grower, n_trees, rate, least_rows)
     return model
 

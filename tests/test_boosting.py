@@ -108,6 +108,7 @@ def test_shapley_values_equal_all_subsets(spark):
 @pytest.mark.parametrize("group, leaves, least", [(3, 6, 20), (1, 31, 5), (16, 2, 40)])
 def test_growth_over_many_partitions_equals_trying_every_split_and_sends_no_histogram_to_the_driver(spark, monkeypatch, group, leaves, least):
     monkeypatch.setattr(bo, "CHECKPOINT_TREES", 2)
+    monkeypatch.setattr(bo, "ONE_TASK_ROWS", 90)
     monkeypatch.setattr(bo, "PARTITION_ROWS", 90)
     monkeypatch.setattr(bo, "GROUP_INPUTS", group)
     sent = []
