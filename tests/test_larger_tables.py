@@ -1,7 +1,11 @@
 """What larger tables ask of the plans: the small side is never shuffled with the lines, and sorts and aggregates stay narrow."""
 
 import datetime as dt
+from decimal import Decimal
 
+from helpers import FACT_SCHEMA
+
+from ledgerhound.operators import rules
 from ledgerhound.sources import ledgers
 
 DAY = dt.datetime(1996, 1, 2)
@@ -43,3 +47,16 @@ def test_the_dedup_sorts_numbers_and_each_column_once(spark, tmp_path):
     first = ledgers.first_lines(lines, "customer_id", "counterparty_country")
     assert "txn_id" not in plan(first) and "_ingest" not in plan(first)
     assert sorted((r.l_orderkey, r.l_linenumber, r.l_extendedprice, r.customer_id) for r in first.collect()) == [(1, 1, 9.5, "C10"), (2, 1, 4.0, "C9")]
+
+
+def test_high_risk_countries_of_a_day_need_no_sort(spark):
+    codes = [f"C{k:03}" for k in range(130)]  # more than two whole numbers of bits
+    country = spark.createDataFrame([(c, int(c != "C007")) for c in [*codes, codes[2]]], "country_code string, is_high_risk int")
+    row = lambda customer, code, amount, channel="wire": ("t", 1, 1, customer, code, "P", 9, Decimal(amount), "credit", channel, Decimal(amount))
+    fact = spark.createDataFrame([row(1, "C129", 6000), row(1, "C000", 6000), row(1, "C064", 7000), row(1, "C064", 7000), row(1, "C007", 9000), row(1, "C005", 9000, "cash"),
+                                  row(1, "C006", 10), row(2, "C002", 5000), row(3, None, 9000), row(3, "X", 9000)], FACT_SCHEMA)
+    got = rules.customer_day_rules(fact, country)
+    assert "ObjectHashAggregate" not in plan(got) and "SortAggregate" not in plan(got)
+    assert sorted((r.customer_key, r.trigger_amount, r.trigger_txn_count, r.detail.split(": ")[1]) for r in got.collect()) == \
+        [(1, 26000.0, 4, "C000,C064,C129"), (2, 10000.0, 2, "C002")]
+    assert rules.rule_r004(fact, country.filter("is_high_risk = 0")).count() == 0
