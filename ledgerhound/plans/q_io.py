@@ -86,7 +86,7 @@ GROUP BY r.rule_id, r.rule_name""", "dim_rule", "evt_alerts", "evt_scored_alerts
 def q_sql_rule_summary(spark, sf):
     """O-04: the same summary a SQL user writes against the registered views."""
     from .views import register_views
-    register_views(spark, sf)
+    register_views(spark, sf, ("dim_rule", "evt_alert", "stg_scores"))
     return spark.sql("""
         SELECT r.rule_id, r.rule_name, COUNT(a.alert_id) AS alerts, COUNT(DISTINCT a.customer_key) AS customers,
                CAST(SUM(s.is_true_positive) AS BIGINT) AS true_positives
@@ -177,6 +177,6 @@ def _mart_view_oracle() -> str:
 def q_sql_mart_views(spark, sf):
     """O-04: SQL over the reference's mart views (mart_alert, mart_dq, mart_txn_drill)."""
     from .views import register_views
-    register_views(spark, sf)
+    register_views(spark, sf, ("mart_alert", "mart_dq", "mart_txn_drill"))
     return spark.sql(_MART_VIEW_SQL.format(mart_dq="mart_dq", mart_txn_drill="mart_txn_drill",
                                            mart_alert="mart_alert"))

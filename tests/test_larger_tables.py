@@ -3,9 +3,13 @@
 import datetime as dt
 from decimal import Decimal
 
+import pytest
+from conftest import SF_SMALL
 from helpers import FACT_SCHEMA
 
 from ledgerhound.operators import rules
+from ledgerhound.plans import q_quality, store, warehouse
+from ledgerhound.plans.catalog import queries
 from ledgerhound.sources import ledgers
 
 DAY = dt.datetime(1996, 1, 2)
@@ -60,3 +64,28 @@ def test_high_risk_countries_of_a_day_need_no_sort(spark):
     assert sorted((r.customer_key, r.trigger_amount, r.trigger_txn_count, r.detail.split(": ")[1]) for r in got.collect()) == \
         [(1, 26000.0, 4, "C000,C064,C129"), (2, 10000.0, 2, "C002")]
     assert rules.rule_r004(fact, country.filter("is_high_risk = 0")).count() == 0
+
+
+def test_views_that_are_not_read_write_nothing_but_work(spark):
+    was = spark.conf.get("spark.ledgerhound.store.namespace")
+    spark.conf.set("spark.ledgerhound.store.namespace", was + "-views")
+    built = []
+    try:
+        with pytest.MonkeyPatch.context() as patch:
+            real = store.stored
+            for module in (warehouse, q_quality):
+                patch.setattr(module, "stored", lambda s, sf, name, build, params=(): built.append(name) or real(s, sf, name, build, params))
+            got = queries()["sql_rule_summary"](spark, SF_SMALL)
+            assert got.count() == 8 and not set(built) & {"lin_lines", "lin_first_lines", "lin_fact", "lin_alerts", "lin_rejected", "lin_dq_result"}
+        want = warehouse.Warehouse(spark, SF_SMALL).fact
+        lazy = spark.table("fact_transaction")
+        assert lazy.count() == want.count() > 0 and lazy.exceptAll(want).count() == 0
+        assert spark.table("mart_dq").columns == ["check_id", "check_name", "dimension", "severity", "metric_value", "threshold", "status", "is_pass"]
+    finally:
+        spark.conf.set("spark.ledgerhound.store.namespace", was)
+
+
+def test_the_controls_parse_the_feed_once(spark):
+    got = queries()["quarantine_unparsable"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert sum("from_csv" in line and "Project" in line for line in got.splitlines()) <= 1
+    assert sum("Relation" in line and line.rstrip().endswith(" text") for line in got.splitlines()) == 2  # the lines themselves are counted too
