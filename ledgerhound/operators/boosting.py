@@ -8,7 +8,7 @@ search could reach with what it knows so far, and a tree takes about as many agg
 
 Histograms are added up and stay in the executors, dealt by groups of inputs; the driver gets each leaf's best split of every group, a few numbers,
 and holds the model, never rows or histograms. Up to ``ONE_TASK_ROWS`` there is one partition, and nothing to exchange: its task
-grows all trees. This is the one place that works on an RDD: each step is a small sum over cached arrays, thousands of
+grows all trees leaf by leaf and keeps each leaf's rows, so it sums no leaf that isn't split. This is the one place that works on an RDD: each step is a small sum over cached arrays, thousands of
 times, where planning a query would cost more than the sum.
 """
 
@@ -29,8 +29,8 @@ from pyspark.sql import functions as F
 BLOCK_ROWS = 16_384
 PARTITION_ROWS = 65_536
 BINS = 255
-#: Rows up to which one task grows all trees: exchanging histograms costs more than their sums there.
-ONE_TASK_ROWS = 262_144
+#: Rows up to which one task grows all trees: exchanging histograms costs more than their sums there. It holds a byte for each row and input.
+ONE_TASK_ROWS = 1_048_576
 #: Inputs whose histograms one task adds up.
 GROUP_INPUTS = 16
 #: A child needs this much Hessian.
@@ -187,21 +187,51 @@ def summed(blocks: Iterator, groups: list[Slots], walk: tuple | None, slot: np.n
 
 
 class OwnHistograms:
-    """The histograms of a tree's leaves over the blocks of one partition."""
+    """The histograms and rows of a tree's leaves, all rows being in one partition."""
+    at_once = 1  # a round costs nothing here, so no leaf is split before the search is sure of it
 
     def __init__(self, edges: list[np.ndarray], least_rows: int, blocks: list[tuple[np.ndarray, ...]]) -> None:
-        self.slots, self.blocks, self.kept = Slots(edges, least_rows), blocks, {}
+        bins, self.y, self.w, self.margin = (np.concatenate(parts) for parts in zip(*blocks, strict=True))
+        self.slots, self.columns = Slots(edges, least_rows), np.ascontiguousarray(bins.T)
+        self.kept, self.rows = {}, {}
 
     def root(self) -> Node:
-        self.kept = {0: summed(self.blocks, [self.slots], None, np.zeros(1, np.int64), 1)[0][0]}
+        p = 1 / (1 + np.exp(-self.margin))
+        self.g, self.h = self.w * (p - self.y), self.w * p * (1 - p)
+        self.rows = {0: np.arange(len(self.y))}
+        self.kept = {0: self._summed(self.rows[0])}
         return self.slots.best(self.kept[0])
 
-    def split(self, walk: tuple, slot: np.ndarray, families: list[tuple[int, int, int]]) -> dict[int, Node]:
-        sums = summed(self.blocks, [self.slots], walk, slot, len(families))[0]
+    def _summed(self, rows: np.ndarray) -> np.ndarray:
+        """The histogram of some rows; a piece of them stays in the cache while each input's bins are added up."""
+        out = np.zeros((3, self.slots.width))
+        for start in range(0, len(rows), BLOCK_ROWS):
+            part = rows[start:start + BLOCK_ROWS]
+            g, h = self.g[part], self.h[part]
+            for column, first, size in zip(self.columns, self.slots.first, self.slots.sizes, strict=True):
+                bins = column[part].astype(np.intp)
+                own = out[:, first:first + size]
+                own[0] += np.bincount(bins, g, size)
+                own[1] += np.bincount(bins, h, size)
+                own[2] += np.bincount(bins, minlength=size)
+        return out
+
+    def split(self, nodes: list[Node], families: list[tuple[int, int, int]]) -> dict[int, Node]:
+        for parent, _, _ in families:
+            node, rows = nodes[parent], self.rows.pop(parent)
+            left = self.columns[node.input, rows] <= node.bin
+            self.rows[node.left], self.rows[node.right] = rows[left], rows[~left]
+        sums = [self._summed(self.rows[child]) for _, child, _ in families]
         return {k: self.slots.best(h) for k, h in children(self.kept, sums, families)}
 
+    def learn(self, order: list[int], values: np.ndarray) -> None:
+        """Adds its leaf's value to the margin of each row; ``order``: the nodes that the values are of."""
+        for k, value in zip(order, values, strict=True):
+            if k in self.rows:
+                self.margin[self.rows[k]] += value
+
 
-def children(kept: dict[int, np.ndarray], sums: np.ndarray, families: list[tuple[int, int, int]]) -> Iterator[tuple[int, np.ndarray]]:
+def children(kept: dict[int, np.ndarray], sums: np.ndarray | list[np.ndarray], families: list[tuple[int, int, int]]) -> Iterator[tuple[int, np.ndarray]]:
     """(node, histogram) of both children in each (parent, summed child, other child); ``kept`` gets them and loses the parents."""
     for (parent, child, other), hist in zip(families, sums, strict=True):
         kept[child], kept[other] = hist, kept.pop(parent) - hist
@@ -210,6 +240,7 @@ def children(kept: dict[int, np.ndarray], sums: np.ndarray, families: list[tuple
 
 class SpreadHistograms:
     """The histograms of a tree's leaves over the blocks of many partitions, kept in the executors by groups of inputs."""
+    at_once = None  # a round is dear, so it serves every leaf that the search may split
 
     def __init__(self, edges: list[np.ndarray], least_rows: int) -> None:
         self.groups = [Slots(edges[k:k + GROUP_INPUTS], least_rows, k) for k in range(0, len(edges), GROUP_INPUTS)]
@@ -249,7 +280,11 @@ class SpreadHistograms:
     def root(self) -> Node:
         return self._best(self._sums(None, np.zeros(1, np.int64), 1).map(lambda x: (x[0], {0: x[1][0]}, [0])))[0]
 
-    def split(self, walk: tuple, slot: np.ndarray, families: list[tuple[int, int, int]]) -> dict[int, Node]:
+    def split(self, nodes: list[Node], families: list[tuple[int, int, int]]) -> dict[int, Node]:
+        walk = tuple(np.array([getattr(n, c) for n in nodes]) for c in ("input", "bin", "left", "right"))
+        slot = np.full(len(nodes), -1)
+        slot[[c for _, c, _ in families]] = np.arange(len(families))
+
         def step(pair: tuple) -> tuple:
             (group, kept, _), (_, sums) = pair
             kept = dict(kept)
@@ -278,8 +313,8 @@ class Grower:
                         heapq.heappush(heap, (-nodes[c].gain, c))
         return chosen, open_
 
-    def grow(self, histograms: OwnHistograms | SpreadHistograms, rate: float) -> tuple[Tree, tuple[np.ndarray, ...]] | None:
-        """A tree, and its form over bins; None if no split gains."""
+    def grow(self, histograms: OwnHistograms | SpreadHistograms, rate: float) -> tuple[Tree, tuple[np.ndarray, ...], list[int]] | None:
+        """A tree, its form over bins, and the place of each of its nodes in the search; None if no split gains."""
         nodes = [histograms.root()]
         while True:
             chosen, open_ = self.search(nodes)
@@ -288,14 +323,12 @@ class Grower:
             if not open_:
                 break
             families = []
-            for k in open_:
+            for k in open_[:histograms.at_once]:
                 node = nodes[k]
                 node.left, node.right = len(nodes), len(nodes) + 1
                 nodes += [Node(node.total), Node(node.total)]
                 families.append((k, node.left, node.right) if 2 * node.below <= node.total[2] else (k, node.right, node.left))
-            slot = np.full(len(nodes), -1)
-            slot[[c for _, c, _ in families]] = np.arange(len(families))
-            for k, node in histograms.split(self._walk(nodes, range(len(nodes))), slot, families).items():
+            for k, node in histograms.split(nodes, families).items():
                 nodes[k] = node
         order = self._order(nodes, set(chosen))
         place = {k: i for i, k in enumerate(order)}
@@ -307,7 +340,7 @@ class Grower:
         left, right = at("left"), at("right")
         tree = Tree(inputs, np.array([self.edges[f][b] if i else 0.0 for f, b, i in zip(inputs, bins, inner, strict=True)]), left, right, value,
                     np.array([nodes[k].gain if i else 0.0 for k, i in zip(order, inner, strict=True)]), np.array([nodes[k].total[2] for k in order]))
-        return tree, (inputs, bins, left, right, value)
+        return tree, (inputs, bins, left, right, value), order
 
     def _order(self, nodes: list[Node], chosen: set[int]) -> list[int]:
         out = [0]
@@ -316,10 +349,6 @@ class Grower:
                 out += [nodes[k].left, nodes[k].right]
         return out
 
-    @staticmethod
-    def _walk(nodes: list[Node], which) -> tuple[np.ndarray, ...]:
-        return tuple(np.array([getattr(nodes[k], c) for k in which]) for c in ("input", "bin", "left", "right"))
-
 
 def leaf_of(bins: np.ndarray, inputs: np.ndarray, at: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
     """The leaf of each row of bins."""
@@ -342,9 +371,10 @@ def fit(train: DataFrame, label: str, n_trees: int, rate: float, num_leaves: int
     edges = bin_edges(train, n_inputs, bins)
     grower = Grower(edges, num_leaves)
     one = row[3] <= ONE_TASK_ROWS
-    dealt = sizes.repartition(1 if one else -(-row[3] // PARTITION_ROWS))  # a round is one task a partition, so not more than the rows need
+    # A round is one task a partition, so not more than the rows need. Rows of one partition are binned where they are: their blocks are the smaller load.
+    dealt = sizes if one else sizes.repartition(-(-row[3] // PARTITION_ROWS))
     blocks = dealt.rdd.mapPartitions(_blocks(edges, model.base, label))
-    model.trees += _grown_in_one(blocks, grower, n_trees, rate, least_rows) if one \
+    model.trees += _grown_in_one(blocks.coalesce(1, shuffle=True), grower, n_trees, rate, least_rows) if one \
         else _grown_spread(blocks, grower, n_trees, rate, least_rows)
     return model
 
@@ -357,8 +387,9 @@ def _grown_in_one(blocks: RDD, grower: Grower, n_trees: int, rate: float, least_
             grown = grower.grow(histograms, rate)
             if grown is None:
                 return
-            yield grown[0]
-            histograms.blocks = [_updated(grown[1])(b) for b in histograms.blocks]
+            tree, binned, order = grown
+            yield tree
+            histograms.learn(order, binned[4])
     return blocks.mapPartitions(run).collect()
 
 
@@ -374,7 +405,7 @@ def _grown_spread(blocks: RDD, grower: Grower, n_trees: int, rate: float, least_
             old.unpersist()
         if grown is None:
             break
-        tree, binned = grown
+        tree, binned, _ = grown
         out.append(tree)
         old, blocks = blocks, blocks.map(_updated(binned)).persist(StorageLevel.MEMORY_AND_DISK)
     histograms.clear()

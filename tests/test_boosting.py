@@ -135,3 +135,23 @@ def test_rows_of_one_partition_grow_their_trees_in_one_job(spark, monkeypatch):
     collect = bo.RDD.collect
     monkeypatch.setattr(bo.RDD, "collect", lambda rdd: jobs.append(rdd) or collect(rdd))
     assert len(bo.fit(df, "y", 12, 0.3, 6, 20).trees) == 12 and len(jobs) == 1
+
+
+def test_one_task_sums_only_the_leaves_that_best_first_growth_splits(monkeypatch):
+    x, y, w = data(2000)
+    edges = [np.unique(c) for c in x.T]
+    bins = np.stack([np.searchsorted(e, c) for e, c in zip(edges, x.T, strict=True)], 1).astype(np.uint8)
+    parts = [(bins[k:k + 300], y[k:k + 300], w[k:k + 300], np.full(len(y[k:k + 300]), np.log((w * y).sum() / (w * (1 - y)).sum()))) for k in range(0, 2000, 300)]
+    summed = []
+    plain = bo.OwnHistograms._summed
+    monkeypatch.setattr(bo.OwnHistograms, "_summed", lambda own, rows: summed.append(len(rows)) or plain(own, rows))
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 300)
+    histograms = bo.OwnHistograms(edges, 20, parts)
+    model = bo.BoostedTrees(float(parts[0][3][0]))
+    for _ in range(3):
+        tree, binned, order = bo.Grower(edges, 5).grow(histograms, 0.3)
+        histograms.learn(order, binned[4])
+        model.trees.append(tree)
+    margin, gains = brute(x, y, w, 3, 0.3, 5, 20)
+    assert len(summed) == 3 + len(gains) == 15  # a root and one child for each split
+    assert np.allclose(histograms.margin, margin, atol=1e-9) and np.allclose(model.margin(x), margin, atol=1e-9)
