@@ -6,6 +6,7 @@ from conftest import SF_MID
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from ledgerhound.operators import explain as ex
 from ledgerhound.operators import modeling as md
 from ledgerhound.params import ModelParams
 from ledgerhound.plans.q_models import MP, ModelRun
@@ -96,3 +97,13 @@ def test_loaded_artefact_scores_like_the_fitted_models(spark, run):
     loaded = {r.alert_id: r for r in queries()["model_save_load"](spark, SF_MID).collect()}
     for r in run.scored.collect():
         assert abs(loaded[r.alert_id].score_gbm - r.score_gbm) < 1e-9 and abs(loaded[r.alert_id].score_logistic - r.score_logistic) < 1e-9
+
+
+def test_reason_codes_sort_only_the_drivers(spark):
+    rows = [("a", [("x", 1.0), ("y", 3.0), ("z", 3.0), ("u", -2.0), ("t", -2.0), ("s", 0.5), ("r", 0.0)]), ("b", [("x", 0.0), ("y", -0.0)]),
+            ("c", [("x", float("nan")), ("y", 2.0)]), ("d", [])]
+    got = ex.reason_codes(spark.createDataFrame(rows, "alert_id string, contrib array<struct<label: string, value: double>>"))
+    assert [tuple(r) for r in got.orderBy("alert_id").collect()] == [
+        ("a", "z", "y", "x", "t", "z; y; x"), ("b", "", "", "", "", ""), ("c", "x", "y", "", "", "x; y"), ("d", "", "", "", "", "")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("sort_array(") == 1 and "sort_array(filter(" in plan
