@@ -31,6 +31,8 @@ PARTITION_ROWS = 65_536
 BINS = 255
 #: Rows up to which one task grows all trees: exchanging histograms costs more than their sums there. It holds a byte for each row and input.
 ONE_TASK_ROWS = 1_048_576
+#: Fewer rows of a leaf are added up for all inputs together: there a call for each input costs more than its sums.
+FEW_ROWS = 1_024
 #: Inputs whose histograms one task adds up.
 GROUP_INPUTS = 16
 #: A child needs this much Hessian.
@@ -208,6 +210,12 @@ class OwnHistograms:
         for start in range(0, len(rows), BLOCK_ROWS):
             part = rows[start:start + BLOCK_ROWS]
             g, h = self.g[part], self.h[part]
+            if len(part) < FEW_ROWS:
+                at = (self.columns[:, part] + self.slots.first[:, None]).ravel()
+                out[0] += np.bincount(at, np.tile(g, len(self.columns)), self.slots.width)
+                out[1] += np.bincount(at, np.tile(h, len(self.columns)), self.slots.width)
+                out[2] += np.bincount(at, minlength=self.slots.width)
+                continue
             for column, first, size in zip(self.columns, self.slots.first, self.slots.sizes, strict=True):
                 bins = column[part].astype(np.intp)
                 own = out[:, first:first + size]

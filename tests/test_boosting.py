@@ -137,7 +137,9 @@ def test_rows_of_one_partition_grow_their_trees_in_one_job(spark, monkeypatch):
     assert len(bo.fit(df, "y", 12, 0.3, 6, 20).trees) == 12 and len(jobs) == 1
 
 
-def test_one_task_sums_only_the_leaves_that_best_first_growth_splits(monkeypatch):
+@pytest.mark.parametrize("few", [0, 100, 1_024])
+def test_one_task_sums_only_the_leaves_that_best_first_growth_splits(monkeypatch, few):
+    monkeypatch.setattr(bo, "FEW_ROWS", few)
     x, y, w = data(2000)
     edges = [np.unique(c) for c in x.T]
     bins = np.stack([np.searchsorted(e, c) for e, c in zip(edges, x.T, strict=True)], 1).astype(np.uint8)
