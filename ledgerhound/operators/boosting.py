@@ -33,6 +33,8 @@ BINS = 255
 ONE_TASK_ROWS = 1_048_576
 #: Fewer rows of a leaf are added up for all inputs together: there a call for each input costs more than its sums.
 FEW_ROWS = 1_024
+#: Joint bins of inputs of few bins that are added up as one column, in one task.
+JOINT_BINS = 256
 #: Inputs whose histograms one task adds up.
 GROUP_INPUTS = 16
 #: A child needs this much Hessian.
@@ -188,6 +190,38 @@ def summed(blocks: Iterator, groups: list[Slots], walk: tuple | None, slot: np.n
     return [np.ascontiguousarray(o.reshape(3, n, s.width).transpose(1, 0, 2)) for s, o in zip(groups, out, strict=True)]
 
 
+@dataclass
+class Joint:
+    """Inputs that are added up as one column: a bin of it is a bin of each of them. ``share`` (joint bin, slot): which joint bins a slot adds up,
+    None for a single input, whose bins are its slots."""
+    column: np.ndarray
+    size: int
+    slots: slice | np.ndarray
+    share: np.ndarray | None
+
+
+def joined(columns: np.ndarray, slots: Slots) -> list[Joint]:
+    """All inputs' columns, those of few bins joined as long as ``JOINT_BINS`` hold: adding up costs by columns, most where all rows meet in a few bins."""
+    members: list[list[int]] = []
+    for f in np.argsort(-slots.sizes, kind="stable").tolist():
+        home = next((m for m in reversed(members) if np.prod(slots.sizes[m]) * slots.sizes[f] <= JOINT_BINS), None)
+        if home is None:
+            members.append([f])
+        else:
+            home.append(f)
+    out = []
+    for m in members:
+        sizes = slots.sizes[m]
+        size = int(np.prod(sizes))
+        if len(m) == 1:
+            out.append(Joint(columns[m[0]], size, slice(slots.first[m[0]], slots.first[m[0]] + size), None))
+            continue
+        column = np.ravel_multi_index([columns[f] for f in m], sizes).astype(np.uint8 if size <= 256 else np.uint16)
+        share = [(np.unravel_index(np.arange(size), sizes)[k][:, None] == np.arange(s)).astype(float) for k, s in enumerate(sizes)]
+        out.append(Joint(column, size, np.concatenate([slots.first[f] + np.arange(slots.sizes[f]) for f in m]), np.concatenate(share, axis=1)))
+    return out
+
+
 class OwnHistograms:
     """The histograms and rows of a tree's leaves, all rows being in one partition."""
     at_once = 1  # a round costs nothing here, so no leaf is split before the search is sure of it
@@ -195,6 +229,7 @@ class OwnHistograms:
     def __init__(self, edges: list[np.ndarray], least_rows: int, blocks: list[tuple[np.ndarray, ...]]) -> None:
         bins, self.y, self.w, self.margin = (np.concatenate(parts) for parts in zip(*blocks, strict=True))
         self.slots, self.columns = Slots(edges, least_rows), np.ascontiguousarray(bins.T)
+        self.joints = joined(self.columns, self.slots)
         self.kept, self.rows = {}, {}
 
     def root(self) -> Node:
@@ -205,23 +240,27 @@ class OwnHistograms:
         return self.slots.best(self.kept[0])
 
     def _summed(self, rows: np.ndarray) -> np.ndarray:
-        """The histogram of some rows; a piece of them stays in the cache while each input's bins are added up."""
+        """The histogram of some rows; a piece of them stays in the cache while each column's bins are added up."""
         out = np.zeros((3, self.slots.width))
+        sums = [out[:, j.slots] if j.share is None else np.zeros((3, j.size)) for j in self.joints] if len(rows) >= FEW_ROWS else []
         for start in range(0, len(rows), BLOCK_ROWS):
-            part = rows[start:start + BLOCK_ROWS]
+            piece = slice(start, start + BLOCK_ROWS)
+            part = piece if len(rows) == len(self.y) else rows[piece]  # a root's rows lie in order
             g, h = self.g[part], self.h[part]
-            if len(part) < FEW_ROWS:
+            if not sums:
                 at = (self.columns[:, part] + self.slots.first[:, None]).ravel()
                 out[0] += np.bincount(at, np.tile(g, len(self.columns)), self.slots.width)
                 out[1] += np.bincount(at, np.tile(h, len(self.columns)), self.slots.width)
                 out[2] += np.bincount(at, minlength=self.slots.width)
                 continue
-            for column, first, size in zip(self.columns, self.slots.first, self.slots.sizes, strict=True):
-                bins = column[part].astype(np.intp)
-                own = out[:, first:first + size]
-                own[0] += np.bincount(bins, g, size)
-                own[1] += np.bincount(bins, h, size)
-                own[2] += np.bincount(bins, minlength=size)
+            for joint, own in zip(self.joints, sums, strict=True):
+                bins = joint.column[part].astype(np.intp)
+                own[0] += np.bincount(bins, g, joint.size)
+                own[1] += np.bincount(bins, h, joint.size)
+                own[2] += np.bincount(bins, minlength=joint.size)
+        for joint, own in zip(self.joints, sums, strict=True) if sums else ():
+            if joint.share is not None:
+                out[:, joint.slots] = own @ joint.share
         return out
 
     def split(self, nodes: list[Node], families: list[tuple[int, int, int]]) -> dict[int, Node]:

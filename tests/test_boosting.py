@@ -157,3 +157,24 @@ def test_one_task_sums_only_the_leaves_that_best_first_growth_splits(monkeypatch
     margin, gains = brute(x, y, w, 3, 0.3, 5, 20)
     assert len(summed) == 3 + len(gains) == 15  # a root and one child for each split
     assert np.allclose(histograms.margin, margin, atol=1e-9) and np.allclose(model.margin(x), margin, atol=1e-9)
+
+
+@pytest.mark.parametrize("joint_bins, columns", [(1, 8), (4, 6), (256, 3), (4_096, 2)])
+def test_inputs_of_few_bins_are_added_up_as_one_column(monkeypatch, joint_bins, columns):
+    monkeypatch.setattr(bo, "JOINT_BINS", joint_bins)
+    monkeypatch.setattr(bo, "FEW_ROWS", 0)
+    monkeypatch.setattr(bo, "BLOCK_ROWS", 300)
+    sizes, n = [2, 255, 6, 1, 2, 10, 2, 1, 3], 2000
+    rng = np.random.default_rng(7)
+    bins = np.stack([rng.integers(0, s, n) for s in sizes], 1).astype(np.uint8)
+    y, w = rng.integers(0, 2, n).astype(float), rng.uniform(0.5, 1.5, n)
+    own = bo.OwnHistograms([np.arange(s, dtype=float) for s in sizes], 20, [(bins, y, w, rng.normal(size=n))])
+    own.root()
+    calls, plain = [], np.bincount
+    monkeypatch.setattr(bo.np, "bincount", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    for rows in (np.arange(n), np.flatnonzero(y == 1), np.array([5]), np.arange(0)):
+        calls.clear()
+        got = own._summed(rows)
+        assert len(calls) == 3 * columns * -(-len(rows) // 300)
+        want = [np.concatenate([plain(bins[rows, k], v[rows], s) for k, s in enumerate(sizes)]) for v in (own.g, own.h, np.ones(n))]
+        assert np.allclose(got, want, atol=1e-12) and np.array_equal(got[2], want[2])
