@@ -37,6 +37,8 @@ FEW_ROWS = 1_024
 JOINT_BINS = 256
 #: Inputs whose histograms one task adds up.
 GROUP_INPUTS = 16
+#: Conditions of a leaf up to which the patterns that rows pass are counted: there are two to the power of them.
+COUNTED_CONDITIONS = 12
 #: A child needs this much Hessian.
 LEAST_HESSIAN = 1e-3
 #: Trees between two checkpoints of the blocks.
@@ -515,24 +517,22 @@ def pattern_values(passed: np.ndarray, share: np.ndarray) -> np.ndarray:
     by the one whose value is wanted.
     """
     n, d = passed.shape
-    weight = np.zeros((n, d + 1))
-    weight[:, 0] = 1.0
+    weight = np.zeros((d + 1, n))
+    weight[0] = 1.0
+    passed, share = np.ascontiguousarray(passed.T), share[:, None]
     one = passed.astype(float)
     for k in range(d):
         size = k + 1
-        i = np.arange(size)
-        old = weight[:, :size].copy()
-        weight[:, :size] = old * share[k] * (size - i) / (size + 1)
-        weight[:, 1:size + 1] += old * one[:, k, None] * (i + 1) / (size + 1)
-    out = np.empty((n, d))
-    for k in range(d):
-        total, carry = np.zeros(n), weight[:, d].copy()
-        for i in range(d - 1, -1, -1):
-            with_it = carry * (d + 1) / (i + 1)
-            total += np.where(passed[:, k], with_it, weight[:, i] * (d + 1) / (share[k] * (d - i)))
-            carry = weight[:, i] - with_it * share[k] * (d - i) / (d + 1)
-        out[:, k] = total * (one[:, k] - share[k])
-    return out
+        i = np.arange(size)[:, None]
+        old = weight[:size].copy()
+        weight[:size] = old * share[k] * (size - i) / (size + 1)
+        weight[1:size + 1] += old * one[k] * (i + 1) / (size + 1)
+    total, carry = np.zeros((d, n)), weight[d]
+    for i in range(d - 1, -1, -1):  # unwound by each condition
+        with_it = carry * (d + 1) / (i + 1)
+        total += np.where(passed, with_it, weight[i] * (d + 1) / (share * (d - i)))
+        carry = weight[i] - with_it * share * (d - i) / (d + 1)
+    return (total * (one - share)).T
 
 
 def expected_margin(model: BoostedTrees) -> float:
@@ -553,9 +553,15 @@ def shapley_values(model: BoostedTrees, x: np.ndarray) -> np.ndarray:
                     code = np.unique(code, return_inverse=True)[1]
                 held = (columns[f] > p.low[k]) & (columns[f] <= p.high[k])
                 code = code * 2 + held
-            _, first, of = np.unique(code, return_index=True, return_inverse=True)
-            passed = (columns[p.input][:, first] > p.low[:, None]) & (columns[p.input][:, first] <= p.high[:, None])
-            values = pattern_values(passed.T, p.pass_) * p.value
+            if len(p.input) <= COUNTED_CONDITIONS:  # few patterns are counted, which needs no sort
+                found = np.flatnonzero(np.bincount(code, minlength=1 << len(p.input)))
+                place = np.zeros(1 << len(p.input), np.int64)
+                place[found] = np.arange(len(found))
+                of, passed = place[code], (found[:, None] >> np.arange(len(p.input))[::-1]) & 1 == 1
+            else:
+                _, first, of = np.unique(code, return_index=True, return_inverse=True)
+                passed = ((columns[p.input][:, first] > p.low[:, None]) & (columns[p.input][:, first] <= p.high[:, None])).T
+            values = np.ascontiguousarray((pattern_values(passed, p.pass_) * p.value).T)
             for k, f in enumerate(p.input):
-                out[f] += values[of, k]
+                out[f] += values[k][of]
     return out.T

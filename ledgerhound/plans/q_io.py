@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ..operators import marts as mt
@@ -133,10 +134,10 @@ def _publish_oracle() -> str:
                                 for name, sql in counted.items())
 
 
-def _totals(df, name):
+def _totals(df):
     """Rows and an order-free hash of all cells."""
     cells = F.xxhash64(*[F.col(c).cast("string") for c in df.columns]).cast("decimal(38,0)")
-    return df.agg(F.count(F.lit(1)).alias("n_rows"), F.sum(cells).alias("content")).select(F.lit(name).alias("extract"), "n_rows", "content")
+    return F.count(F.lit(1)).alias("n_rows"), F.sum(cells).alias("content")
 
 
 @register("publish_exports", _publish_oracle())
@@ -149,10 +150,13 @@ def q_publish_exports(spark, sf):
     from .catalog import QUERIES, report
     keys = {**EXTRACTS, **REPUBLISHED}
     frames = {name: report(Warehouse(spark, sf).dim_rule) if name == "dim_rule" else QUERIES[key](spark, sf) for name, key in keys.items()}
-    paths = sinks.publish(frames, sinks.export_dir(spark, "report_extracts"))
-    back = [_totals(spark.read.options(**feeds.CSV_OPTIONS).schema(frames[name].schema).csv(path), name) for name, path in paths.items()]
-    sent = [_totals(df, name).withColumnsRenamed({"extract": "e", "n_rows": "n", "content": "c"}) for name, df in frames.items()]
-    both = reduce(lambda a, b: a.unionByName(b), back).join(F.broadcast(reduce(lambda a, b: a.unionByName(b), sent)), F.col("extract") == F.col("e"))
+    # What is sent is counted on its way into the files: no extract is made a second time for it.
+    seen = {name: Observation() for name in frames}
+    paths = sinks.publish({name: df.observe(seen[name], *_totals(df)) for name, df in frames.items()}, sinks.export_dir(spark, "report_extracts"))
+    sent = spark.createDataFrame([(name, o.get["n_rows"], o.get["content"]) for name, o in seen.items()], "e string, n long, c decimal(38,0)")
+    back = [spark.read.options(**feeds.CSV_OPTIONS).schema(frames[name].schema).csv(path) for name, path in paths.items()]
+    back = [df.agg(*_totals(df)).select(F.lit(name).alias("extract"), "n_rows", "content") for name, df in zip(paths, back, strict=True)]
+    both = reduce(lambda a, b: a.unionByName(b), back).join(F.broadcast(sent), F.col("extract") == F.col("e"))
     return both.select("extract", "n_rows", ((F.col("n_rows") == F.col("n")) & F.col("content").eqNullSafe(F.col("c"))).alias("same_content"))
 
 

@@ -178,3 +178,19 @@ def test_inputs_of_few_bins_are_added_up_as_one_column(monkeypatch, joint_bins,
         assert len(calls) == 3 * columns * -(-len(rows) // 300)
         want = [np.concatenate([plain(bins[rows, k], v[rows], s) for k, s in enumerate(sizes)]) for v in (own.g, own.h, np.ones(n))]
         assert np.allclose(got, want, atol=1e-12) and np.array_equal(got[2], want[2])
+
+
+def test_shapley_values_count_the_patterns_of_few_conditions_without_sorting(monkeypatch):
+    rng = np.random.default_rng(11)
+    x = rng.integers(0, 5, (300, 6)).astype(float)
+    edges = [np.unique(c) for c in x.T]
+    y = ((x[:, 0] + x[:, 1] > 4) ^ (x[:, 2] > x[:, 3])).astype(float)
+    own = bo.OwnHistograms(edges, 5, [(x.astype(np.uint8), y, np.ones(300), np.zeros(300))])
+    model = bo.BoostedTrees(0.0, [bo.Grower(edges, 20).grow(own, 0.5)[0]])
+    assert max(len(p.input) for p in bo.leaf_paths(model.trees[0])) >= 3
+    monkeypatch.setattr(bo, "COUNTED_CONDITIONS", 0)
+    want = bo.shapley_values(model, x)
+    monkeypatch.setattr(bo, "COUNTED_CONDITIONS", 12)
+    monkeypatch.setattr(bo.np, "unique", None)
+    assert np.array_equal(bo.shapley_values(model, x), want)
+    assert np.allclose(want.sum(1) + bo.expected_margin(model), model.margin(x))

@@ -1,0 +1,37 @@
+"""Report extracts: each one is made once, and what came back is held against what was sent."""
+
+import pytest
+from conftest import SF_SMALL
+from pyspark.sql import functions as F
+
+from ledgerhound.plans import q_io
+from ledgerhound.plans.catalog import QUERIES, queries
+
+FRAMES = {"plain": "values (1, 'a', 1.5), (2, null, 2.5), (2, 'ü,\"x\"', null) as t(id, name, v)", "none": "values (1, 'a') as t(id, name) where id > 1"}
+
+
+@pytest.fixture
+def published(spark, monkeypatch):
+    queries()
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def counted(x):
+        made.add(1)
+        return x
+
+    monkeypatch.setattr(q_io, "EXTRACTS", {k: f"test_{k}" for k in FRAMES})
+    monkeypatch.setattr(q_io, "REPUBLISHED", {})
+    for k, sql in FRAMES.items():
+        monkeypatch.setitem(QUERIES, f"test_{k}", lambda s, sf, sql=sql: s.sql(f"select * from {sql}").withColumn("id", counted("id")))
+    return lambda: ({r.extract: (r.n_rows, r.same_content) for r in q_io.q_publish_exports(spark, SF_SMALL).collect()}, made.value)
+
+
+def test_each_extract_is_made_once(published):
+    assert published() == ({"plain": (3, True), "none": (0, True)}, 3)
+
+
+def test_a_cell_that_does_not_come_back_is_seen(published, monkeypatch):
+    write = q_io.sinks.write_csv
+    monkeypatch.setattr(q_io.sinks, "write_csv", lambda df, path: write(df.withColumn("name", F.upper("name")), path))
+    assert published()[0] == {"plain": (3, False), "none": (0, True)}
