@@ -122,3 +122,42 @@ def test_null_and_empty_queries_find_nothing(spark):
     assert [(r.query_id, r.doc_id) for r in op.search(docs, docs.filter(op.query_set(F.col("doc_id")))).collect()] == [(300, 300)]
     assert op.search(docs.limit(0), docs.limit(0)).collect() == []
     assert op.search(docs, docs.limit(0)).collect() == []
+
+
+def test_queries_of_one_home_travel_together_and_groups_lose_nothing(spark, monkeypatch):
+    rows = corpus(n=120)
+    docs = frame(spark, rows)
+    asked, want = docs.filter("doc_id % 5 = 0"), brute(rows, [(i, t) for i, t, _ in rows if i is not None and i % 5 == 0], 3)
+    sent, real = {}, op.materialize
+    monkeypatch.setattr(op, "materialize", lambda df, name: sent.setdefault(name, real(df, name)))
+    op.search(docs, asked, 3).collect()
+    assert sent["bm25-queries"].count() == 1  # was one row for each query
+    for name, value in (("GROUPS", 3), ("BUNDLE", 2), ("CHUNK_BYTES", 500), ("TILE_DOCS", 8), ("BLOCK_DOCS", 4), ("NEAR", 2), ("TOGETHER", 3), ("WAITING", 5)):
+        monkeypatch.setattr(op, name, value)
+    sent.clear()
+    found = {}
+    for r in op.search(docs, asked, 3, 10).orderBy("query_id", "rank").collect():
+        found.setdefault(r.query_id, []).append(r.doc_id)
+    assert sent["bm25-queries"].count() > 1
+    assert found == {q: [d for _, d in hits] for q, hits in want.items() if hits}
+
+
+def test_a_task_carries_the_threshold_from_shard_to_shard():
+    texts, own, df = shards()
+    ask = [(q, sorted((w, df[w]) for w in set(op.terms(texts[q])))) for q in range(0, len(texts), 100)]
+    builders = [op.Builder() for _ in range(3)]
+    for k, t in enumerate(texts):
+        builders[k % 3].add(k, t)
+    payloads = [next(b.rows(k)).column("payload")[0].as_py() for k, b in enumerate(builders)]
+    mean = sum(len(op.terms(t)) for t in texts) / len(texts)
+    columns = {"task": [0] * 4, "shard": [None, 0, 1, 2], "home": [7, None, None, None], "payload": [op.pack(ask), *payloads], "scores": [None] * 4}
+    types = [op.pa.int64()] * 3 + [op.pa.binary(), op.pa.list_(op.pa.struct([("query_id", op.pa.int64()), ("scores", op.pa.list_(op.pa.float64()))]))]
+    batch = op.pa.record_batch([op.pa.array(c, t) for c, t in zip(columns.values(), types, strict=True)], names=list(columns))
+    got = {}
+    for out in op._search(len(texts), mean, 5, False)([batch]):
+        for q, d, s, n in zip(*[c.to_pylist() for c in out.columns], strict=True):
+            got.setdefault(q, []).append((n, -s, d))
+    for q, found in ask:
+        idf = op.np.log(1 + (len(texts) - op.np.array([n for _, n in found]) + 0.5) / (op.np.array([n for _, n in found]) + 0.5))
+        want = sorted((-s, d) for index in own for d, s in index.search([w for w, _ in found], idf, 5))[:5]
+        assert [(s, d) for _, s, d in sorted(got[q])] == want  # no more rows than ``top``, though three shards were searched
