@@ -1,12 +1,14 @@
 """What larger tables ask of the plans: the small side is never shuffled with the lines, and sorts and aggregates stay narrow."""
 
 import datetime as dt
+import time
 from decimal import Decimal
 
 import pytest
 from conftest import SF_SMALL
 from helpers import FACT_SCHEMA
 
+from ledgerhound import session
 from ledgerhound.operators import rules
 from ledgerhound.plans import q_quality, store, warehouse
 from ledgerhound.plans.catalog import queries
@@ -89,3 +91,27 @@ def test_the_controls_parse_the_feed_once(spark):
     got = queries()["quarantine_unparsable"](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert sum("from_csv" in line and "Project" in line for line in got.splitlines()) <= 1
     assert sum("Relation" in line and line.rstrip().endswith(" text") for line in got.splitlines()) == 2  # the lines themselves are counted too
+
+
+def test_the_landed_lines_are_compressed_and_whole(spark, monkeypatch):
+    monkeypatch.setattr(q_quality, "LINES_PER_FILE", 500)
+    path, order = q_quality.landed_with_bad_lines(spark, SF_SMALL)
+    lines = spark.read.text(path)
+    assert lines.count() == warehouse.Warehouse(spark, SF_SMALL).staging.count() > 0
+    files = lines.inputFiles()
+    assert len(files) >= lines.count() / 500 and all(f.endswith(".txt.gz") for f in files)
+
+
+def test_a_written_table_leaves_no_shuffle_files(spark, tmp_path):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+
+    def shuffled():
+        return {name for f in env.blockManager().diskBlockManager().getAllFiles().mkString("\n").split("\n") if (name := f.rsplit("/", 1)[-1]).startswith("shuffle_")}
+    was, conf = shuffled(), spark.conf.get(session.CLEANUP_CONF)
+    path = store._written(spark, str(tmp_path / "table"), lambda: spark.range(1000).repartition(3, "id"))
+    for _ in range(40):  # they go in the background
+        if shuffled() <= was:
+            break
+        time.sleep(0.25)
+    assert shuffled() <= was
+    assert spark.read.parquet(path).count() == 1000 and spark.conf.get(session.CLEANUP_CONF) == conf
